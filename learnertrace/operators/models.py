@@ -22,6 +22,9 @@ from pyspark.sql import functions as F
 from learnertrace.operators import cohort, evaluation
 from learnertrace.sources.store import written
 
+# The features the weekly models use.
+MODEL_FEATURES = (2, 3, 6, 7, 8, 15, 16, 208, 209, 210)
+
 COLUMNS = {"featuresCol": "features", "labelCol": "label"}
 
 # The values tried for each model. `penalty` is the inverse weight
