@@ -79,26 +79,32 @@ def queries() -> dict[str, Query]:
     def weekly(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
         add(name, lambda c: build(features(c, only=(1, *IDS))))
 
+    def cohorts(name: str, build: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+        """Queries that also need the label of a later week."""
+        def run(c) -> DataFrame:
+            dropout = user_dropout(c)
+            return build(features(c, dropout, only=(1, *IDS)), features(c, dropout, only=[1]))
+        add(name, run)
+
     def supported(rows: DataFrame) -> DataFrame:
         return cohort.with_support(cohort.wide_features(rows, IDS), IDS)
 
-    def labelled(rows: DataFrame) -> DataFrame:
-        return cohort.with_future_label(supported(rows), rows)
+    def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+        return cohort.with_future_label(supported(rows), labels)
 
-    def scaled(rows: DataFrame) -> DataFrame:
-        return cohort.scale_min_max(cohort.in_valid_weeks(labelled(rows)), IDS)
+    def prepared(rows: DataFrame, labels: DataFrame, **settings) -> DataFrame:
+        return models.prepare(rows, IDS, labels, **settings)
 
-    def rule_scores(rows: DataFrame) -> DataFrame:
+    def rule_scores(rows: DataFrame, labels: DataFrame) -> DataFrame:
         """A score that is a rule instead of a fitted model."""
-        score = (F.col("f6") + F.col("f7")) / 2
-        return scaled(rows).select("user_id", "feature_week", "label", score.alias("score"),
-                                   F.when(score > 0.5, 1).otherwise(0).alias("prediction"))
+        return cohort.scaled_valid_weeks(labelled(rows, labels), IDS).selectExpr(
+            "user_id", "feature_week", "label", "(f6 + f7) / 2 AS score",
+            "CASE WHEN (f6 + f7) / 2 > 0.5 THEN 1 ELSE 0 END AS prediction")
 
-    def training(mode: str) -> Callable[[DataFrame], DataFrame]:
-        return lambda rows: cohort.training_rows(models.prepare(rows, IDS), mode).select(
-            "model_week", "feature_week", "user_id", "label")
+    def judged(name: str, measure: Callable[[DataFrame], DataFrame]) -> None:
+        cohorts(name, lambda rows, labels: measure(rule_scores(rows, labels)))
 
-    add("m01_dropout_histogram", lambda c: cohort.dropout_histogram(features(c, only=(1, *IDS))))
+    weekly("m01_dropout_histogram", cohort.dropout_histogram)
     weekly("m02_wide_features", lambda rows: cohort.wide_features(rows, IDS))
     weekly("m02z_wide_features_zero_fill",
            lambda rows: cohort.wide_features(rows, IDS, fill=0.0, drop_all_zero=True))
@@ -109,45 +115,50 @@ def queries() -> dict[str, Query]:
     add("m05_class_balance", lambda c: cohort.class_balance(features(c, only=[1])))
     weekly("m06_mean_features_by_class", lambda rows: cohort.mean_features_by_class(rows, IDS))
     weekly("m07_with_support", supported)
-    weekly("m08_with_future_label", labelled)
-    weekly("m09_scale_min_max", scaled)
-    weekly("m10_valid_weeks", lambda rows: cohort.valid_weeks(labelled(rows)))
-    weekly("m11_with_split", lambda rows: cohort.with_split(scaled(rows)).select(
+    cohorts("m08_with_future_label", labelled)
+    cohorts("m09_scale_min_max", lambda rows, labels: cohort.scale_min_max(
+        cohort.in_valid_weeks(labelled(rows, labels)), IDS))
+    cohorts("m10_valid_weeks", lambda rows, labels: cohort.valid_weeks(labelled(rows, labels)))
+    cohorts("m11_with_split", lambda rows, labels: cohort.with_split(labelled(rows, labels)).select(
         "user_id", "feature_week", "label", "is_test"))
-    weekly("m13_training_rows_week", training("week"))
-    weekly("m13a_training_rows_all", training("all"))
-    weekly("m13c_training_rows_cumulative", training("cumulative"))
-    weekly("m14_accuracy", lambda rows: evaluation.accuracy(rule_scores(rows)))
-    weekly("m14o_overall_accuracy", lambda rows: evaluation.overall_accuracy(rule_scores(rows)))
-    weekly("m15_confusion", lambda rows: evaluation.confusion(rule_scores(rows)))
-    weekly("m16_roc", lambda rows: evaluation.roc(rule_scores(rows)))
-    weekly("m17_auc", lambda rows: evaluation.auc(rule_scores(rows)))
-    weekly("m17m_mean_auc", lambda rows: evaluation.mean_auc(evaluation.auc(rule_scores(rows))))
+    for name, mode in [("m13_training_rows_week", "week"), ("m13a_training_rows_all", "all"),
+                       ("m13c_training_rows_cumulative", "cumulative")]:
+        cohorts(name, lambda rows, labels, mode=mode: cohort.training_rows(
+            prepared(rows, labels), mode).select(
+                "model_week", "feature_week", "user_id", "label"))
+    judged("m14_accuracy", evaluation.accuracy)
+    judged("m14o_overall_accuracy", evaluation.overall_accuracy)
+    judged("m15_confusion", evaluation.confusion)
+    judged("m16_roc", evaluation.roc)
+    judged("m17_auc", evaluation.auc)
+    judged("m17m_mean_auc", lambda scores: evaluation.mean_auc(evaluation.auc(scores)))
     weekly("m18_feature_cardinality",
            lambda rows: cohort.feature_cardinality(supported(rows), IDS))
     weekly("m18o_overall_cardinality",
            lambda rows: cohort.overall_cardinality(supported(rows), IDS))
     weekly("m19_any_present", lambda rows: cohort.any_present(supported(rows), [208, 209, 210]))
 
-    def fitted(rows: DataFrame, model: str, mode: str = "week") -> DataFrame:
-        return models.train_and_score(models.prepare(rows, IDS), IDS, model, QUICK[model], mode)
+    def fitted(rows: DataFrame, labels: DataFrame, model: str, mode: str = "week") -> DataFrame:
+        return models.train_and_score(prepared(rows, labels), IDS, model, QUICK[model], mode)
 
     for model in QUICK:
-        weekly(f"m12_{model}", lambda rows, model=model: fitted(rows, model))
-    weekly("m13f_cumulative_model", lambda rows: fitted(rows, "logistic_regression", "cumulative"))
+        cohorts(f"m12_{model}", lambda rows, labels, model=model: fitted(rows, labels, model))
+    cohorts("m13f_cumulative_model", lambda rows, labels: fitted(
+        rows, labels, "logistic_regression", "cumulative"))
 
-    def transferred(rows: DataFrame) -> DataFrame:
+    def transferred(rows: DataFrame, labels: DataFrame) -> DataFrame:
         """Models of all learners' rows, one week ahead, applied two weeks ahead."""
-        here, there = models.prepare(rows, IDS), models.prepare(rows, IDS, weeks_ahead=2)
-        fitted = models.fit_weekly(cohort.training_rows(here, "all"), IDS, "logistic_regression",
-                                   QUICK["logistic_regression"])
-        return models.transfer(fitted, there)
-
-    weekly("m20_transfer", transferred)
-    weekly("m21_ensemble", lambda rows: models.ensemble(
-        fitted(rows, "logistic_regression"), fitted(rows, "decision_tree"), weeks=(0, 10)))
-    weekly("m22_compare_models", lambda rows: models.compare_models(
-        models.prepare(rows, IDS), IDS, ["logistic_regression", "decision_tree"], QUICK))
+        fits = models.fit_weekly(
+            cohort.training_rows(prepared(rows, labels), "all"), IDS, "logistic_regression",
+            QUICK["logistic_regression"])
+        return models.transfer(fits, prepared(rows, labels, weeks_ahead=2))
+
+    cohorts("m20_transfer", transferred)
+    cohorts("m21_ensemble", lambda rows, labels: models.ensemble(
+        fitted(rows, labels, "logistic_regression"), fitted(rows, labels, "decision_tree"),
+        weeks=(0, 10)))
+    cohorts("m22_compare_models", lambda rows, labels: models.compare_models(
+        prepared(rows, labels), IDS, ["logistic_regression", "decision_tree"], QUICK))
     return found
 
 

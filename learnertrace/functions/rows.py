@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from learnertrace.sources.course import Course
 from learnertrace.sources.schemas import ENTITY
@@ -16,12 +15,13 @@ class Measure:
     """One feature of an aggregate: its value, and whether the row exists at all.
 
     A feature has no row where nothing qualified for it, which is different
-    from a row holding 0 or NULL; `rows` counts what qualified.
+    from a row holding 0 or NULL; `rows` counts what qualified. Both are SQL
+    expressions over the aggregate.
     """
 
     feature_id: int
-    value: Column
-    rows: Column
+    value: str
+    rows: str
 
 
 def feature_rows(
@@ -31,32 +31,28 @@ def feature_rows(
     keys = ENTITY[table]
     if len(measures) == 1:
         only = measures[0]
-        tall = frame.filter(only.rows > 0).select(
-            F.lit(only.feature_id).alias("feature_id"), *keys,
-            only.value.cast("double").alias("feature_value"),
-        )
+        tall = frame.filter(f"{only.rows} > 0").selectExpr(
+            f"{only.feature_id} AS feature_id", *keys,
+            f"CAST({only.value} AS DOUBLE) AS feature_value", course.extracted)
     else:
-        cells = F.array(*[
-            F.struct(F.lit(m.feature_id).alias("feature_id"),
-                     m.value.cast("double").alias("feature_value"),
-                     (m.rows > 0).alias("found"))
-            for m in measures
-        ])
-        tall = frame.select(*keys, F.inline(cells)).filter("found").select(
-            "feature_id", *keys, "feature_value")
-    return tall.select("*", course.extracted)
+        cells = ", ".join(
+            f"struct({m.feature_id} AS feature_id, CAST({m.value} AS DOUBLE) AS feature_value, "
+            f"{m.rows} > 0 AS found)" for m in measures)
+        tall = frame.selectExpr(*keys, f"inline(array({cells}))").filter("found").selectExpr(
+            "feature_id", *keys, "feature_value", course.extracted)
+    return tall
 
 
 def stamped(course: Course, table: str, feature_id: int, frame: DataFrame,
-            value: Column) -> DataFrame:
-    """One feature row per row of `frame`."""
-    return frame.select(F.lit(feature_id).alias("feature_id"), *ENTITY[table],
-                        value.cast("double").alias("feature_value"), course.extracted)
+            value: str) -> DataFrame:
+    """One feature row per row of `frame`; `value` is an SQL expression."""
+    return frame.selectExpr(f"{feature_id} AS feature_id", *ENTITY[table],
+                            f"CAST({value} AS DOUBLE) AS feature_value", course.extracted)
 
 
 def eligible(dropout: DataFrame) -> DataFrame:
     """Learners whose last submission falls in a known week."""
-    return dropout.filter(F.col("dropout_week").isNotNull()).select("user_id")
+    return dropout.filter("dropout_week IS NOT NULL").select("user_id")
 
 
 def keep_eligible(frame: DataFrame, dropout: DataFrame) -> DataFrame:

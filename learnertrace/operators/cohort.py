@@ -131,10 +131,13 @@ def with_support(
 
 
 def with_future_label(
-    wide: DataFrame, features: DataFrame, weeks_ahead: int = 1, last_week: int = 10,
+    wide: DataFrame, labels: DataFrame, weeks_ahead: int = 1, last_week: int = 10,
 ) -> DataFrame:
-    """Add the label of `weeks_ahead` weeks later; weeks past `last_week` or the labels go."""
-    ahead = features.filter(F.col("feature_id") == LABEL).select(
+    """Add the label of `weeks_ahead` weeks later; weeks past `last_week` or the labels go.
+
+    `labels` is any set of feature rows with those of feature 1.
+    """
+    ahead = labels.filter(F.col("feature_id") == LABEL).select(
         "user_id", (F.col("feature_week") - weeks_ahead).alias("feature_week"),
         F.col("feature_value").cast("int").alias("label"))
     return wide.filter(F.col("feature_week") <= last_week).join(ahead, KEYS)
@@ -142,28 +145,44 @@ def with_future_label(
 
 def scale_min_max(wide: DataFrame, ids: Sequence[int]) -> DataFrame:
     """Scale every feature to 0..1 within its week; a constant feature becomes 0."""
-    columns = names(ids)
-    # One row per week.
-    bounds = wide.groupBy("feature_week").agg(
-        *[F.min(c).alias(f"{c}_low") for c in columns],
-        *[F.max(c).alias(f"{c}_high") for c in columns])
+    return _scaled(wide, wide.groupBy("feature_week").agg(*_bounds(ids)), ids)
+
+
+def _bounds(ids: Sequence[int]) -> list[Column]:
+    return [extreme(c).alias(f"{c}_{end}") for c in names(ids)
+            for end, extreme in (("low", F.min), ("high", F.max))]
+
+
+def _scaled(wide: DataFrame, bounds: DataFrame, ids: Sequence[int]) -> DataFrame:
     scaled = {
-        c: F.when(F.col(f"{c}_high") > F.col(f"{c}_low"),
-                  (F.col(c) - F.col(f"{c}_low")) / (F.col(f"{c}_high") - F.col(f"{c}_low")))
-        .otherwise(0.0)
-        for c in columns
+        c: f"CASE WHEN {c}_high > {c}_low THEN ({c} - {c}_low) / ({c}_high - {c}_low) ELSE 0D END"
+        for c in names(ids)
     }
-    return wide.join(F.broadcast(bounds), "feature_week").withColumns(scaled).select(wide.columns)
+    # `bounds` has one row per week.
+    return wide.join(F.broadcast(bounds), "feature_week").selectExpr(
+        *[f"{scaled[c]} AS {c}" if c in scaled else c for c in wide.columns])
 
 
 def valid_weeks(labelled: DataFrame, min_users: int = 25) -> DataFrame:
     """Weeks with enough learners of whom at least one will be gone."""
-    return (
-        labelled.groupBy("feature_week")
-        .agg(F.count(F.lit(1)).alias("users"), F.min("label").alias("least"))
-        .filter((F.col("users") >= min_users) & (F.col("least") != 1))
-        .select("feature_week", "users")
-    )
+    return _valid(labelled.groupBy("feature_week").agg(*_guards()), min_users).select(
+        "feature_week", "users")
+
+
+def _guards() -> list[Column]:
+    return [F.count(F.lit(1)).alias("users"), F.min("label").alias("least")]
+
+
+def _valid(weeks: DataFrame, min_users: int) -> DataFrame:
+    return weeks.filter((F.col("users") >= min_users) & (F.col("least") != 1))
+
+
+def scaled_valid_weeks(
+    labelled: DataFrame, ids: Sequence[int], min_users: int = 25,
+) -> DataFrame:
+    """`scale_min_max` of the rows of the valid weeks, with one aggregate for both."""
+    weeks = labelled.groupBy("feature_week").agg(*_guards(), *_bounds(ids))
+    return _scaled(labelled, _valid(weeks, min_users), ids)
 
 
 def in_valid_weeks(labelled: DataFrame, min_users: int = 25) -> DataFrame:

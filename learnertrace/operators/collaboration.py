@@ -36,11 +36,11 @@ def contributions(
         )
     )
     measures = [
-        Measure(3, F.col("posts"), F.col("posts")),
-        Measure(4, F.col("edits"), F.col("edits")),
-        Measure(5, F.col("length"), F.col("posts")),
-        Measure(14, F.col("contributions"), F.col("contributions")),
-        Measure(201, F.col("responses"), F.col("responses")),
+        Measure(3, "posts", "posts"),
+        Measure(4, "edits", "edits"),
+        Measure(5, "length", "posts"),
+        Measure(14, "contributions", "contributions"),
+        Measure(201, "responses", "responses"),
     ]
     return feature_rows(course, "user_long_feature", keep_eligible(weekly, dropout),
                         [m for m in measures if m.feature_id in set(ids)])

@@ -41,9 +41,8 @@ def ratio(course: Course, features: DataFrame, feature_id: int) -> DataFrame:
     """Features 10, 11, 209: one feature over another of the same week, 0 over a divisor of 0."""
     above, below = RATIOS[feature_id]
     both = side_by_side(features, [above, below]).filter(f"has{above} AND has{below}")
-    value = F.when(F.col(f"v{below}") == 0, 0.0).otherwise(
-        F.try_divide(f"v{above}", f"v{below}"))
-    return stamped(course, TABLE, feature_id, both, value)
+    return stamped(course, TABLE, feature_id, both,
+                   f"CASE WHEN v{below} = 0 THEN 0 ELSE try_divide(v{above}, v{below}) END")
 
 
 def change(course: Course, features: DataFrame, feature_id: int) -> DataFrame:
@@ -70,7 +69,7 @@ def change(course: Course, features: DataFrame, feature_id: int) -> DataFrame:
     if feature_id == 105:
         frame = frame.filter(F.col("posts_before") > POSTS_NEEDED)
     return stamped(course, TABLE, feature_id, frame,
-                   F.coalesce(F.try_divide(value, F.col("before")), F.lit(0.0)))
+                   f"coalesce(try_divide(v{source}, before), 0)")
 
 
 def _attempts(features: DataFrame) -> DataFrame:
@@ -91,7 +90,7 @@ def percentile(course: Course, features: DataFrame) -> DataFrame:
         "feature_week", "feature_value",
         (F.lit(50.0) * (below + upto + 1) / F.col("n_all")).alias("percentile"))
     joined = rows.join(scores, ["feature_week", "feature_value"])
-    return stamped(course, TABLE, 202, joined, F.col("percentile"))
+    return stamped(course, TABLE, 202, joined, "percentile")
 
 
 def share_of_maximum(course: Course, features: DataFrame) -> DataFrame:
@@ -100,7 +99,7 @@ def share_of_maximum(course: Course, features: DataFrame) -> DataFrame:
     greatest = rows.groupBy("feature_week").agg(F.max("feature_value").alias("greatest"))
     # One row per course week.
     joined = rows.join(F.broadcast(greatest), "feature_week")
-    return stamped(course, TABLE, 203, joined, F.try_divide("feature_value", "greatest"))
+    return stamped(course, TABLE, 203, joined, "try_divide(feature_value, greatest)")
 
 
 def progress(
@@ -119,4 +118,4 @@ def progress(
         .filter(F.col("feature_week").between(1, last_week))
         .withColumn("gain", F.col("feature_value") - F.col("history"))
     )
-    return stamped(course, TABLE, feature_id, frame, F.col("gain"))
+    return stamped(course, TABLE, feature_id, frame, "gain")

@@ -39,5 +39,5 @@ def dropout(course: Course, dropout: DataFrame) -> DataFrame:
         "user_id", "dropout_week",
         F.explode(F.sequence(F.lit(0), F.lit(course.weeks - 1))).alias("feature_week"),
     )
-    active = F.when(F.col("dropout_week") > F.col("feature_week"), 1.0).otherwise(0.0)
-    return stamped(course, "user_long_feature", 1, grid, active)
+    return stamped(course, "user_long_feature", 1, grid,
+                   "CASE WHEN dropout_week > feature_week THEN 1 ELSE 0 END")

@@ -130,17 +130,23 @@ def score(models: Mapping[int, PipelineModel], rows: DataFrame) -> DataFrame:
 
 
 def prepare(
-    features: DataFrame, ids: Sequence[int], weeks_ahead: int = 1, last_week: int = 10,
-    min_support: int = 3, min_users: int = 25, scaled: bool = True, test_fraction: float = 0.25,
-    seed: int = 19,
+    features: DataFrame, ids: Sequence[int], labels: DataFrame | None = None,
+    weeks_ahead: int = 1, last_week: int = 10, min_support: int = 3, min_users: int = 25,
+    scaled: bool = True, test_fraction: float = 0.25, seed: int = 19,
 ) -> DataFrame:
-    """Labelled, supported, scaled and split rows of all weeks that can be analysed."""
+    """Labelled, supported, scaled and split rows of all weeks that can be analysed.
+
+    `labels` may give the rows of feature 1 on their own, which saves looking
+    for them among all features.
+    """
     wide = cohort.wide_features(features, ids)
     rows = cohort.with_future_label(
-        cohort.with_support(wide, ids, min_support), features, weeks_ahead, last_week)
-    rows = cohort.in_valid_weeks(rows, min_users)
+        cohort.with_support(wide, ids, min_support), features if labels is None else labels,
+        weeks_ahead, last_week)
     if scaled:
-        rows = cohort.scale_min_max(rows, ids)
+        rows = cohort.scaled_valid_weeks(rows, ids, min_users)
+    else:
+        rows = cohort.in_valid_weeks(rows, min_users)
     return cohort.with_split(rows, test_fraction, seed)
 
 

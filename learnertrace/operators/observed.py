@@ -39,8 +39,8 @@ def time_spent(
     if 2 in ids or 15 in ids:
         sums += [F.count(F.lit(1)).alias("events"), F.sum(duration).alias("total"),
                  F.max(duration).alias("longest")]
-        measures += [Measure(2, F.col("total"), F.col("events")),
-                     Measure(15, F.col("longest"), F.col("events"))]
+        measures += [Measure(2, "total", "events"),
+                     Measure(15, "longest", "events")]
     by_kind = {i: column for i, column in RESOURCE_FEATURES.items() if i in ids}
     if by_kind:
         wanted = resources_per_url(course).select("url_id", *by_kind.values())
@@ -50,8 +50,7 @@ def time_spent(
             shown = F.col(column)
             sums += [F.sum(duration * shown).alias(f"total_{column}"),
                      F.sum(shown).alias(f"events_{column}")]
-            measures.append(Measure(feature_id, F.col(f"total_{column}"),
-                                    F.col(f"events_{column}")))
+            measures.append(Measure(feature_id, f"total_{column}", f"events_{column}"))
     weekly = events.groupBy("user_id", "feature_week").agg(*sums)
     return feature_rows(course, TABLE, keep_eligible(weekly, dropout),
                         [m for m in measures if m.feature_id in ids])
@@ -100,7 +99,7 @@ def timestamp_deviation(course: Course, dropout: DataFrame) -> DataFrame:
              F.count(F.lit(1)).alias("moments"))
     )
     return feature_rows(course, TABLE, keep_eligible(weekly, dropout),
-                        [Measure(13, F.col("spread"), F.col("moments"))])
+                        [Measure(13, "spread", "moments")])
 
 
 def hours_deviation(course: Course, dropout: DataFrame) -> DataFrame:
@@ -115,7 +114,7 @@ def hours_deviation(course: Course, dropout: DataFrame) -> DataFrame:
         .agg(F.stddev_pop(F.hour(moment)).alias("spread"), F.count(F.lit(1)).alias("moments"))
     )
     return feature_rows(course, TABLE, keep_eligible(weekly, dropout),
-                        [Measure(301, F.col("spread"), F.col("moments"))])
+                        [Measure(301, "spread", "moments")])
 
 
 # Seconds in one unit of reaction time.
@@ -144,6 +143,6 @@ def reaction_time(course: Course, dropout: DataFrame, unit: str = "seconds") ->
         .agg(F.sum(moment * F.col("dated") - F.col("releases")).alias("waited"),
              F.sum(dated).alias("uses"), F.sum("resources").alias("pairs"))
     )
-    average = F.try_divide("waited", F.col("uses") * REACTION_UNITS[unit])
+    average = f"try_divide(waited, uses * {REACTION_UNITS[unit]})"
     return feature_rows(course, TABLE, keep_eligible(weekly, dropout),
-                        [Measure(302, average, F.col("pairs"))])
+                        [Measure(302, average, "pairs")])

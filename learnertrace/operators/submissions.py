@@ -59,10 +59,10 @@ def attempts(
         )
     )
     measures = [
-        Measure(6, F.col("problems"), F.col("submissions")),
-        Measure(7, F.col("submissions"), F.col("submissions")),
-        Measure(8, F.col("solved"), F.col("correct")),
-        Measure(208, F.col("correct"), F.col("correct")),
+        Measure(6, "problems", "submissions"),
+        Measure(7, "submissions", "submissions"),
+        Measure(8, "solved", "correct"),
+        Measure(208, "correct", "correct"),
     ]
     return feature_rows(course, TABLE, keep_eligible(weekly, dropout),
                         [m for m in measures if m.feature_id in ids])
@@ -116,8 +116,8 @@ def attempt_spans(
         F.sum((F.col("last") - F.col("first")) * pairs).alias("spans"),
     )
     measures = [
-        Measure(9, F.try_divide("numbers", "n"), F.col("n")),
-        Measure(12, F.try_divide("spans", "pairs"), F.col("n")),
+        Measure(9, "try_divide(numbers, n)", "n"),
+        Measure(12, "try_divide(spans, pairs)", "n"),
     ]
     return feature_rows(course, TABLE, keep_eligible(weekly, dropout),
                         [m for m in measures if m.feature_id in set(ids)])
@@ -135,7 +135,7 @@ def solving_time(course: Course, dropout: DataFrame) -> DataFrame:
         .agg(F.avg("took").alias("took"), F.count(F.lit(1)).alias("problems"))
     )
     return feature_rows(course, TABLE, keep_eligible(weekly, dropout),
-                        [Measure(12, F.col("took"), F.col("problems"))])
+                        [Measure(12, "took", "problems")])
 
 
 def grades(
@@ -168,8 +168,8 @@ def grades(
         .withColumnRenamed("problem_week", "feature_week")
     )
     measures = [
-        Measure(204, F.try_divide("homework", f"size_{HOMEWORK}"), F.col("homework")),
-        Measure(206, F.try_divide("lab", f"size_{lab_denominator}"), F.col("lab")),
+        Measure(204, f"try_divide(homework, size_{HOMEWORK})", "homework"),
+        Measure(206, f"try_divide(lab, size_{lab_denominator})", "lab"),
     ]
     return feature_rows(course, TABLE, keep_eligible(weekly, dropout),
                         [m for m in measures if m.feature_id in ids])
@@ -186,4 +186,4 @@ def time_before_deadline(course: Course, dropout: DataFrame) -> DataFrame:
         .agg(F.avg(late).alias("late"), F.count(F.lit(1)).alias("submissions"))
     )
     return feature_rows(course, TABLE, keep_eligible(weekly, dropout),
-                        [Measure(210, F.col("late"), F.col("submissions"))])
+                        [Measure(210, "late", "submissions")])

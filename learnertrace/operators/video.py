@@ -218,7 +218,7 @@ def _per_pair(course: Course, dropout: DataFrame, feature_id: int, per_pair: Dat
     """A row for every pair of an eligible learner, 0 if it has no play or pause."""
     found = viewers(course).join(per_pair.withColumn("found", F.lit(True)), PAIR, "left")
     return stamped(course, "user_video_feature", feature_id, keep_eligible(found, dropout),
-                   F.when(F.col("found"), F.col(value)).otherwise(F.lit(0.0)))
+                   f"CASE WHEN found THEN {value} ELSE 0 END")
 
 
 def engagement(course: Course, dropout: DataFrame, feature_id: int = 701) -> DataFrame:
@@ -246,14 +246,14 @@ def viewer_count(course: Course, dropout: DataFrame) -> DataFrame:
     """Feature 704: learners per video."""
     pairs = keep_eligible(viewers(course), dropout)
     counts = pairs.groupBy("video_id").agg(F.count(F.lit(1)).alias("learners"))
-    return stamped(course, "video_feature", 704, counts, F.col("learners"))
+    return stamped(course, "video_feature", 704, counts, "learners")
 
 
 def video_count(course: Course, dropout: DataFrame) -> DataFrame:
     """Feature 705: videos per learner."""
     counts = keep_eligible(
         viewers(course).groupBy("user_id").agg(F.count("video_id").alias("videos")), dropout)
-    return stamped(course, "user_feature", 705, counts, F.col("videos"))
+    return stamped(course, "user_feature", 705, counts, "videos")
 
 
 def _returns(course: Course, at_least_once: bool) -> DataFrame:
@@ -281,7 +281,7 @@ def rewatching_per_video(
              F.count("known").alias("learners"))
     )
     return stamped(course, "video_feature", 706, rates,
-                   F.when(F.col("video_id").isNotNull(), F.try_divide("returns", "learners")))
+                   "CASE WHEN video_id IS NOT NULL THEN try_divide(returns, learners) END")
 
 
 def rewatching_per_user(
@@ -293,7 +293,7 @@ def rewatching_per_user(
         .agg(F.sum("returns").alias("returns"), F.count("video_id").alias("videos"))
     )
     return stamped(course, "user_feature", 707, keep_eligible(rates, dropout),
-                   F.try_divide("returns", "videos"))
+                   "try_divide(returns, videos)")
 
 
 # Feature -> (table, entity, feature that is summed).
@@ -314,4 +314,4 @@ def summed(course: Course, features: DataFrame, feature_id: int) -> DataFrame:
         features.filter(F.col("feature_id") == source)
         .groupBy(entity).agg(F.sum("feature_value").alias("total"))
     )
-    return stamped(course, table, feature_id, total, F.col("total"))
+    return stamped(course, table, feature_id, total, "total")

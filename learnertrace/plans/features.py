@@ -38,7 +38,9 @@ FAMILIES: list[tuple[tuple[int, ...], Callable[[Course, DataFrame, list[int]], D
 BASE = {i for ids, _ in FAMILIES for i in ids}
 
 
-def base_features(course: Course, dropout: DataFrame, ids: Iterable[int]) -> list[tuple[str, DataFrame]]:
+def base_features(
+    course: Course, dropout: DataFrame, ids: Iterable[int],
+) -> list[tuple[str, DataFrame]]:
     """(table, rows) for each family that has a wanted feature."""
     wanted = set(ids)
     parts = []
@@ -62,34 +64,63 @@ def derive(course: Course, features: DataFrame, feature_id: int) -> DataFrame:
     return {202: derived.percentile, 203: derived.share_of_maximum}[feature_id](course, features)
 
 
-def feature(course: Course, dropout: DataFrame, feature_id: int) -> DataFrame:
-    """One feature as one plan, from the activity tables up."""
-    if feature_id in BASE:
-        return base_features(course, dropout, [feature_id])[0][1]
-    inputs = [n for n in CATALOG[feature_id].requires]
-    return derive(course, _inputs(course, dropout, inputs), feature_id)
-
-
-def _inputs(course: Course, dropout: DataFrame, ids: list[int]) -> DataFrame:
-    parts = [rows for _, rows in base_features(course, dropout, ids)]
-    parts += [feature(course, dropout, i) for i in ids if i not in BASE]
-    return union(parts)
-
-
-def union(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
+def needed(ids: Iterable[int]) -> list[int]:
+    """The features and everything that those derived from features require, ascending."""
+    found: set[int] = set()
+    waiting = list(ids)
+    while waiting:
+        feature_id = waiting.pop()
+        if feature_id not in found:
+            found.add(feature_id)
+            waiting += () if feature_id in BASE else CATALOG[feature_id].requires
+    return sorted(found)
 
 
 def features(
     course: Course, dropout: DataFrame | None = None, table: str = "user_long_feature",
     only: Iterable[int] | None = None, skip: Iterable[int] = (),
 ) -> DataFrame:
-    """Rows of one feature table for the selected features, as one plan."""
+    """Rows of one feature table for the selected features, as one plan.
+
+    Each family is built once, with all its features that anything here needs.
+    Derived features start from those same rows, so Spark finds the same
+    exchange under each of them and shuffles the activity only once.
+    """
     dropout = user_dropout(course) if dropout is None else dropout
     ids = [i for i in select(only, skip) if CATALOG[i].table == table]
     if not ids:
         raise ValueError(f"no selected feature belongs to {table}")
-    return _inputs(course, dropout, ids)
+    every = needed(ids)
+    rows: dict[tuple[int, ...], DataFrame] = {}
+    for family, operator in FAMILIES:
+        members = [i for i in family if i in every]
+        if members:
+            rows[tuple(members)] = operator(course, dropout, members)
+    parts = []
+    for members, frame in rows.items():
+        wanted = [i for i in members if i in ids]
+        if len(wanted) == len(members):
+            parts.append(frame)
+        elif wanted:
+            parts.append(frame.filter(f"feature_id IN ({', '.join(map(str, wanted))})"))
+    for i in every:
+        if i not in BASE:
+            requires = set(CATALOG[i].requires)
+            inputs = [frame for members, frame in rows.items() if requires & set(members)]
+            derivation = derive(course, union(inputs), i)
+            rows[(i,)] = derivation
+            if i in ids:
+                parts.append(derivation)
+    return union(parts)
+
+
+def feature(course: Course, dropout: DataFrame, feature_id: int) -> DataFrame:
+    """One feature as one plan, from the activity tables up."""
+    return features(course, dropout, CATALOG[feature_id].table, only=[feature_id])
+
+
+def union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
 
 
 def populate(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,11 +17,12 @@ from learnertrace.sources.schemas import ACTIVITY
 class Course:
     """Activity tables by name, plus the settings every feature needs.
 
-    A table may be absent (many courses have no collaborations); only the
-    features that read it are then unavailable.
+    A table is a DataFrame, or a function that gives one; then it is only looked
+    up when a feature reads it. A table may be absent (many courses have no
+    collaborations); the features that read it are then unavailable.
     """
 
-    tables: Mapping[str, DataFrame]
+    tables: Mapping[str, DataFrame | Callable[[], DataFrame]]
     start: str
     weeks: int
     stamp: str
@@ -33,12 +35,15 @@ class Course:
             raise ValueError("a course lasts at least one week")
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name in ACTIVITY:
-            try:
-                return self.tables[name]
-            except KeyError:
-                raise LookupError(f"this course has no table {name!r}") from None
-        raise AttributeError(name)
+        if name not in ACTIVITY:
+            raise AttributeError(name)
+        if name not in self.tables:
+            raise LookupError(f"this course has no table {name!r}")
+        table = self.tables[name]
+        if callable(table):
+            table = table()
+            object.__setattr__(self, name, table)
+        return table
 
     @property
     def start_time(self) -> Column:
@@ -51,9 +56,9 @@ class Course:
         return F.lit(end.isoformat(sep=" ")).cast("timestamp")
 
     @property
-    def extracted(self) -> Column:
-        """The run stamp, to the second."""
-        return F.lit(self.stamp[:19]).cast("timestamp").alias("date_of_extraction")
+    def extracted(self) -> str:
+        """The run stamp, to the second, as an SQL expression."""
+        return f"TIMESTAMP '{self.stamp[:19]}' AS date_of_extraction"
 
 
 def from_files(
@@ -102,10 +107,10 @@ def from_jdbc(
 def conform(frame: DataFrame, ddl: str) -> DataFrame:
     """Select the columns of `ddl` and cast each to its declared type."""
     columns = [part.strip().split(" ") for part in ddl.split(",")]
-    return frame.select(*[F.col(name).cast(kind).alias(name) for name, kind in columns])
+    return frame.selectExpr(*[f"CAST({name} AS {kind}) AS {name}" for name, kind in columns])
 
 
 def _course(
     read: Callable[[str], DataFrame], start: str, weeks: int, stamp: str, names: list[str] | None,
 ) -> Course:
-    return Course({name: read(name) for name in names or ACTIVITY}, start, weeks, stamp)
+    return Course({name: partial(read, name) for name in names or ACTIVITY}, start, weeks, stamp)

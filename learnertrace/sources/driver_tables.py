@@ -1,11 +1,13 @@
 """A course read out of general-purpose test tables (events, documents, part).
 
-Every row of the tables takes part. The same view in SQL is `COURSE_SQL` in
-`oracle_queries.py`.
+Every row of the tables takes part. The same view for the SQL twins is
+`COURSE_SQL` in `oracle_queries.py`.
 """
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,84 +16,87 @@ from learnertrace.sources.schemas import ACTIVITY
 
 START, WEEKS, STAMP = "2024-01-01 00:00:00", 5, "2024-02-01 00:00:00"
 
+# Columns read from each test table.
+READ = {
+    "events": ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+               "value DOUBLE, props STRING"),
+    "documents": "doc_id BIGINT, text STRING",
+    "part": "p_partkey BIGINT, p_size INT",
+}
+
+START_SECONDS = f"unix_timestamp(TIMESTAMP '{START}')"
+EVENT = [
+    "event_id", "user_id", "event_type", "value",
+    "date_trunc('second', CAST(ts AS TIMESTAMP)) AS second",
+    f"unix_timestamp(CAST(ts AS TIMESTAMP)) - {START_SECONDS} AS sec",
+    "CAST(regexp_extract(props, '[0-9]+', 0) AS INT) AS k",
+]
+VALID = "CASE WHEN event_type = 'error' THEN 0 ELSE 1 END AS validity"
+SUBMITTED = "event_type IN ('purchase', 'signup', 'error')"
+EVEN = "p_partkey - p_partkey % 2"
+
+# Table -> (where its rows come from, which of them, its columns).
+VIEWS = {
+    "observed_events": ("events", None, [
+        "event_id AS observed_event_id", "user_id", "second AS observed_event_timestamp",
+        "value AS observed_event_duration", VALID, "event_id DIV 5 AS url_id"]),
+    # Learners submit at one of five paces, so they stop in different weeks; the
+    # submissions of a sixth group have no times.
+    "submissions": ("events", SUBMITTED, [
+        "event_id AS submission_id", "user_id", "k % 20 AS problem_id",
+        f"timestamp_seconds({START_SECONDS} + sec * nullif(user_id % 6, 0) DIV 5) "
+        "AS submission_timestamp",
+        "1 + floor(value / 20) AS submission_attempt_number", VALID]),
+    "assessments": ("events", SUBMITTED, [
+        "event_id AS submission_id",
+        "CASE WHEN event_id % 3 = 0 THEN 0 ELSE 1 END AS assessment_grade"]),
+    "problems": ("part", None, [
+        "p_partkey AS problem_id",
+        "CASE p_partkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 3 ELSE 2 END AS problem_type_id",
+        "p_partkey % 5 AS problem_week",
+        f"timestamp_seconds({START_SECONDS} + (p_partkey % 5 + 1) * 604800) "
+        "AS problem_hard_deadline"]),
+    "collaborations": ("contributions", None, [
+        "user_id", "1 + k % 4 AS collaboration_type_id", "second AS collaboration_timestamp",
+        "text AS collaboration_content"]),
+    "click_events": ("events", "event_type IN ('view', 'click', 'purchase')", [
+        "event_id", "user_id", "concat('v', k % 10) AS video_id",
+        "CASE event_type WHEN 'view' THEN 'play_video' WHEN 'click' THEN 'pause_video' "
+        "ELSE 'seek_video' END AS observed_event_type",
+        "CASE WHEN value >= 1 THEN value END AS video_current_time",
+        f"timestamp_seconds({START_SECONDS} + sec DIV 200) AS observed_event_timestamp"]),
+    "urls": ("part", None, ["p_partkey AS url_id", "concat('/u/', p_partkey) AS url"]),
+    "resources": ("part", None, [
+        "1000000 + p_partkey AS resource_id", f"concat('/u/', {EVEN}) AS resource_uri",
+        "1 + p_size % 8 AS resource_type_id",
+        f"timestamp_seconds({START_SECONDS} + p_size * 3600) AS resource_release_timestamp"]),
+    "resources_urls": ("part", None, [
+        "1000000 + p_partkey AS resource_id", f"{EVEN} AS url_id"]),
+    "resource_types": ("types", None, ["resource_type_id"]),
+}
+
 
 def course(spark: SparkSession, folder: str) -> Course:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
+    def read(name: str) -> DataFrame:
+        return spark.read.schema(READ[name]).parquet(f"{folder}/{name}.parquet")
 
-    start = F.unix_timestamp(F.lit(START).cast("timestamp"))
-    part = table("part")
-    # One row per resource type that occurs; types run from 1 to 8.
-    kind = (1 + F.col("p_size") % 8).alias("resource_type_id")
-    event = (
-        table("events")
-        .withColumn("ts", F.col("ts").cast("timestamp"))
-        .withColumn("sec", F.unix_timestamp("ts") - start)
-        .withColumn("k", F.regexp_extract("props", "[0-9]+", 0).cast("int"))
-    )
-    second = F.date_trunc("second", "ts")
+    def source(name: str) -> DataFrame:
+        if name == "events":
+            return read("events").selectExpr(*EVENT)
+        if name == "contributions":
+            events = source("events").filter("event_type = 'signup'")
+            return events.withColumn("doc_id", F.expr("event_id DIV 10")).join(
+                read("documents"), "doc_id")
+        if name == "types":
+            return read("part").selectExpr("1 + p_size % 8 AS resource_type_id").distinct()
+        return read(name)
 
-    def submitted(*columns) -> DataFrame:
-        return event.filter(F.col("event_type").isin("purchase", "signup", "error")).select(*columns)
+    def view(name: str) -> DataFrame:
+        origin, chosen, columns = VIEWS[name]
+        rows = source(origin)
+        rows = rows.filter(chosen) if chosen else rows
+        return conform(rows.selectExpr(*columns), ACTIVITY[name])
 
-    # Learners submit at one of five paces, so they stop in different weeks;
-    # a sixth group has no submission times.
-    pace = F.nullif(F.col("user_id") % 6, F.lit(0))
-    deadline = F.timestamp_seconds(start + (F.col("p_partkey") % 5 + 1) * 7 * 86400)
-    tables = {
-        "observed_events": event.select(
-            F.col("event_id").alias("observed_event_id"), "user_id",
-            second.alias("observed_event_timestamp"),
-            F.col("value").alias("observed_event_duration"),
-            F.when(F.col("event_type") == "error", 0).otherwise(1).alias("validity"),
-            F.floor(F.col("event_id") / 5).alias("url_id")),
-        "submissions": submitted(
-            F.col("event_id").alias("submission_id"), "user_id",
-            (F.col("k") % 20).alias("problem_id"),
-            F.timestamp_seconds(start + F.floor(F.col("sec") * pace / 5))
-            .alias("submission_timestamp"),
-            (1 + F.floor(F.col("value") / 20)).alias("submission_attempt_number"),
-            F.when(F.col("event_type") == "error", 0).otherwise(1).alias("validity")),
-        "assessments": submitted(
-            F.col("event_id").alias("submission_id"),
-            F.when(F.col("event_id") % 3 == 0, 0).otherwise(1).alias("assessment_grade")),
-        "problems": part.select(
-            F.col("p_partkey").alias("problem_id"),
-            F.element_at(F.array(F.lit(1), F.lit(3), F.lit(2)),
-                         (F.col("p_partkey") % 3 + 1).cast("int")).alias("problem_type_id"),
-            (F.col("p_partkey") % 5).alias("problem_week"),
-            deadline.alias("problem_hard_deadline")),
-        "collaborations": event.filter("event_type = 'signup'")
-        .withColumn("doc_id", F.floor(F.col("event_id") / 10))
-        .join(table("documents").select("doc_id", "text"), "doc_id")
-        .select("user_id", (1 + F.col("k") % 4).alias("collaboration_type_id"),
-                second.alias("collaboration_timestamp"),
-                F.col("text").alias("collaboration_content")),
-        "click_events": event.filter(F.col("event_type").isin("view", "click", "purchase"))
-        .select(
-            "event_id", "user_id",
-            F.concat(F.lit("v"), F.col("k") % 10).alias("video_id"),
-            F.when(F.col("event_type") == "view", "play_video")
-            .when(F.col("event_type") == "click", "pause_video")
-            .otherwise("seek_video").alias("observed_event_type"),
-            F.when(F.col("value") >= 1, F.col("value")).alias("video_current_time"),
-            F.timestamp_seconds(start + F.floor(F.col("sec") / 200))
-            .alias("observed_event_timestamp")),
-        "urls": part.select(
-            F.col("p_partkey").alias("url_id"),
-            F.concat(F.lit("/u/"), F.col("p_partkey")).alias("url")),
-        "resources": part.select(
-            (1000000 + F.col("p_partkey")).alias("resource_id"),
-            F.concat(F.lit("/u/"), F.col("p_partkey") - F.col("p_partkey") % 2)
-            .alias("resource_uri"), kind,
-            F.timestamp_seconds(start + F.col("p_size") * 3600)
-            .alias("resource_release_timestamp")),
-        "resources_urls": part.select(
-            (1000000 + F.col("p_partkey")).alias("resource_id"),
-            (F.col("p_partkey") - F.col("p_partkey") % 2).alias("url_id")),
-        "resource_types": part.select(kind).distinct(),
-    }
-    return Course({name: conform(frame, ACTIVITY[name]) for name, frame in tables.items()},
-                  START, WEEKS, STAMP)
+    return Course({name: partial(view, name) for name in VIEWS}, START, WEEKS, STAMP)

@@ -428,7 +428,10 @@ FINAL_SQL = {
     "m09_scale_min_max": f"""
         SELECT user_id, week AS feature_week, label, {WIDE_COLUMNS} FROM scaled""",
     "m10_valid_weeks": "SELECT week AS feature_week, users FROM weeks",
-    "m11_with_split": "SELECT user_id, week AS feature_week, label, is_test FROM split",
+    "m11_with_split": """
+        SELECT user_id, week AS feature_week, label,
+               substr(md5(user_id || ':' || week || ':19'), 1, 8) < '40000000' AS is_test
+        FROM labelled""",
     "m13_training_rows_week": """
         SELECT week AS model_week, week AS feature_week, user_id, label FROM split
         WHERE NOT is_test""",
