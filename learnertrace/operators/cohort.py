@@ -188,7 +188,8 @@ def scaled_valid_weeks(
 def in_valid_weeks(labelled: DataFrame, min_users: int = 25) -> DataFrame:
     """The rows of the valid weeks."""
     weeks = valid_weeks(labelled, min_users).select("feature_week")
-    return labelled.join(F.broadcast(weeks), "feature_week", "left_semi")
+    kept = labelled.join(F.broadcast(weeks), "feature_week", "left_semi")
+    return kept.select(*labelled.columns)
 
 
 def with_split(wide: DataFrame, test_fraction: float = 0.25, seed: int = 19) -> DataFrame:
