@@ -65,9 +65,9 @@ def queries() -> dict[str, Query]:
     with_dropout("f302d_time_to_react_days", lambda c, d: observed.reaction_time(c, d, "days"))
     with_dropout("f702s_session_engagement", video.session_engagement)
     with_dropout("f706f_rewatched_share_per_video",
-                 lambda c, d: video.rewatching_per_video(c, d, at_least_once=True))
+                 lambda c, d: video.video_features(c, d, [706], at_least_once=True))
     with_dropout("f707f_rewatched_share_per_user",
-                 lambda c, d: video.rewatching_per_user(c, d, at_least_once=True))
+                 lambda c, d: video.user_features(c, d, [707], at_least_once=True))
 
     add("s03_stored_features", _stored)
     add("s07_extracted_after", lambda c: cohort.extracted_after(

@@ -12,10 +12,12 @@ pair, few and small, are chained.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from learnertrace.functions.rows import eligible, keep_eligible, stamped
+from learnertrace.functions.rows import Measure, eligible, feature_rows, keep_eligible, stamped
 from learnertrace.sources.course import Course
 
 # Event types, and the gap in whole minutes that separates two sittings.
@@ -23,20 +25,10 @@ PLAY, PAUSE = "play_video", "pause_video"
 GAP_MINUTES = 30
 
 PAIR = ["user_id", "video_id"]
-SESSIONS = {701: False, 702: True}
-
-
-def _flag(condition: Column) -> Column:
-    """NULL counts as false."""
-    return F.coalesce(condition, F.lit(False))
-
-
-def _bit(condition: Column) -> Column:
-    return condition.cast("int")
-
-
-def _minutes(later: Column, earlier: Column) -> Column:
-    return F.floor((later - earlier) / 60)
+IN_SLOT = "PARTITION BY user_id, video_id, slot ORDER BY observed_event_timestamp, event_id"
+IN_PAIR = "PARTITION BY user_id, video_id ORDER BY slot, piece"
+UPTO = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+BEFORE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 
 
 def pieces(course: Course, piece_seconds: int = 3600) -> DataFrame:
@@ -48,252 +40,230 @@ def pieces(course: Course, piece_seconds: int = 3600) -> DataFrame:
     `watched_0` and `watched_1`, for a first click that leaves watching off or
     on: positions where watching ended minus positions where it started.
     `unknown_*` counts the ends and starts without a position, `open_*` is the
-    position of the last start. `leaves` is the state after the rest if
-    `settled`, else how often, modulo 2, the rest flips the state.
+    position of the last start, made by click number `opened_*`. `leaves` is the
+    state after the rest if `settled`, else how often, modulo 2, the rest flips
+    the state.
     """
-    seconds = F.unix_timestamp("observed_event_timestamp")
-    clicks = (
+    second = "unix_timestamp(observed_event_timestamp)"
+    rows = (
         course.click_events
         .filter(F.col("observed_event_type").isin(PLAY, PAUSE))
-        .select(
+        .filter("user_id IS NOT NULL AND video_id IS NOT NULL")
+        .selectExpr(
             *PAIR, "event_id", "observed_event_timestamp",
-            (F.col("observed_event_type") == PLAY).alias("play"),
-            F.col("video_current_time").cast("double").alias("at"), seconds.alias("sec"),
-            F.floor(seconds / piece_seconds).alias("slot"),
-        )
-    )
-    slot = Window.partitionBy(*PAIR, "slot").orderBy("observed_event_timestamp", "event_id")
-    upto = slot.rowsBetween(Window.unboundedPreceding, 0)
-    before = slot.rowsBetween(Window.unboundedPreceding, -1)
-    long_gap = _flag(_minutes(F.col("sec"), F.col("prev.sec")) > GAP_MINUTES)
-    rows = (
-        clicks
-        .withColumn("n", F.row_number().over(slot))
-        .withColumn("prev", F.lag(F.struct("at", "sec")).over(slot))
-        .withColumn("first", F.col("prev").isNull() | long_gap)
-        .withColumn("back", _flag(F.col("prev.at") > F.col("at")))
+            f"CAST(observed_event_type = '{PLAY}' AS INT) AS play", "video_current_time AS spot",
+            f"{second} AS sec", f"{second} DIV {piece_seconds} AS slot")
+        .selectExpr("*", f"row_number() OVER ({IN_SLOT}) AS n",
+                    f"lag(struct(spot, sec)) OVER ({IN_SLOT}) AS prev")
+        .selectExpr(
+            "*", "coalesce(prev.spot > spot, false) AS back",
+            f"prev IS NULL OR coalesce((sec - prev.sec) DIV 60 > {GAP_MINUTES}, false) AS first")
         # A play that jumps back ends watching if it is on, and starts it if it is off.
-        .withColumn("flips", ~F.col("first") & F.col("play") & F.col("back"))
-        .withColumn("piece", F.sum(_bit(F.col("first"))).over(upto))
-        .withColumn("flipped", F.sum(_bit(F.col("flips"))).over(upto))
+        .selectExpr("*", "CAST(NOT first AND play = 1 AND back AS INT) AS flips")
+        .selectExpr("*", f"sum(CAST(first AS INT)) OVER ({IN_SLOT} {UPTO}) AS piece",
+                    f"sum(flips) OVER ({IN_SLOT} {UPTO}) AS flipped")
         # Any other click settles the state: on after a play, off after a pause.
-        .withColumn("mark", F.when(~F.col("flips"), F.struct(
-            (~F.col("first")).alias("settled"),
-            (F.when(F.col("first"), 0).otherwise(_bit(F.col("play")))).alias("state"),
-            F.col("flipped"))))
-        .withColumn("since", F.last("mark", ignorenulls=True).over(before))
+        .selectExpr("*", f"""
+            last(IF(flips = 1, NULL, struct(NOT first AS settled, IF(first, 0, play) AS state,
+                                            flipped)), true) OVER ({IN_SLOT} {BEFORE}) AS since""")
+        .selectExpr("*", "flipped - flips - since.flipped + since.state AS turns",
+                    "IF(back, prev.spot, spot) AS end_spot")
+        .selectExpr("*", "turns % 2 = 1 AS on_0",
+                    "(turns + IF(since.settled, 0, 1)) % 2 = 1 AS on_1")
     )
-    flips_since = (F.col("flipped") - _bit(F.col("flips"))
-                   - F.col("since.flipped") + F.col("since.state"))
-    rest = ~F.col("first")
-    ends = F.col("back") | ~F.col("play")
-    end_at = F.when(F.col("back"), F.col("prev.at")).otherwise(F.col("at"))
     summaries = []
     for entered in (0, 1):
-        shift = F.when(F.col("since.settled"), 0).otherwise(entered)
-        on = (flips_since + shift) % 2 == 1
-        closing, opening = rest & on & ends, rest & ~on & F.col("play")
+        on = f"on_{entered}"
+        closing = f"NOT first AND {on} AND (back OR play = 0)"
+        opening = f"NOT first AND NOT {on} AND play = 1"
         summaries += [
-            (F.coalesce(F.sum(F.when(closing, end_at)), F.lit(0.0))
-             - F.coalesce(F.sum(F.when(opening, F.col("at"))), F.lit(0.0)))
-            .alias(f"watched_{entered}"),
-            F.count_if((closing & end_at.isNull()) | (opening & F.col("at").isNull()))
-            .alias(f"unknown_{entered}"),
-            F.max(F.when(opening, F.col("n"))).alias(f"opened_{entered}"),
-            F.max_by("at", F.when(opening, F.col("n"))).alias(f"open_{entered}"),
+            f"coalesce(sum(IF({closing}, end_spot, NULL)), 0D) "
+            f"- coalesce(sum(IF({opening}, spot, NULL)), 0D) AS watched_{entered}",
+            f"count_if(({closing} AND end_spot IS NULL) OR ({opening} AND spot IS NULL)) "
+            f"AS unknown_{entered}",
+            f"max(IF({opening}, n, NULL)) AS opened_{entered}",
+            f"max_by(spot, IF({opening}, n, NULL)) AS open_{entered}",
         ]
-    # State after a click of the rest, relative to `settled` of the piece so far.
-    after = F.when(F.col("flips"), (flips_since + 1) % 2).otherwise(_bit(F.col("play")))
-    settled = F.when(F.col("flips"), F.col("since.settled")).otherwise(F.lit(True))
-    last = F.col("n")
-    near = F.col("sec").isNotNull() & F.col("prev.sec").isNotNull()
-    first = F.col("first")
-    return rows.groupBy(*PAIR, "slot", "piece").agg(
-        F.max(F.when(first, _bit(F.col("play")))).alias("first_play"),
-        F.max(F.when(first, F.col("at"))).alias("first_at"),
-        F.max(F.when(first, F.col("sec"))).alias("first_sec"),
-        F.max_by("at", last).alias("last_at"),
-        F.max_by("sec", last).alias("last_sec"),
-        F.max_by(F.when(first, F.lit(False)).otherwise(settled), last).alias("settled"),
-        F.max_by(F.when(first, F.lit(0)).otherwise(after), last).alias("leaves"),
-        F.count_if(rest & F.col("back") & near).alias("scrolls"),
+    return rows.groupBy(*PAIR, "slot", "piece").agg(*map(F.expr, [
+        "max(IF(first, play, NULL)) AS first_play",
+        "max(IF(first, spot, NULL)) AS first_spot",
+        "max(IF(first, sec, NULL)) AS first_sec",
+        "max_by(spot, n) AS last_spot",
+        "max_by(sec, n) AS last_sec",
+        "max_by(NOT first AND (flips = 0 OR since.settled), n) AS settled",
+        "max_by(IF(first, 0, IF(flips = 1, (turns + 1) % 2, play)), n) AS leaves",
+        "count_if(NOT first AND back AND sec IS NOT NULL AND prev.sec IS NOT NULL) AS scrolls",
         *summaries,
+    ]))
+
+
+def linked(pieces: DataFrame) -> DataFrame:
+    """The pieces of each pair in order, with what their first click does to the one before."""
+    return (
+        pieces
+        .selectExpr("*", f"row_number() OVER ({IN_PAIR}) AS index",
+                    f"lag(struct(last_spot, last_sec)) OVER ({IN_PAIR}) AS prev")
+        .selectExpr("*", "first_play = 1 AS play",
+                    # Before the first click of all, the position counts as 0.
+                    "IF(prev IS NULL, 0D, prev.last_spot) AS prev_spot",
+                    "(first_sec - prev.last_sec) DIV 60 AS minutes")
+        .selectExpr("*", "coalesce(prev_spot > first_spot, false) AS back",
+                    f"coalesce(minutes > {GAP_MINUTES}, false) AS gap",
+                    f"coalesce(minutes <= {GAP_MINUTES}, false) AS near")
     )
 
 
-def chained(course: Course, sessions: bool = False, piece_seconds: int = 3600) -> DataFrame:
-    """The pieces of each pair in order, with what really happened in them.
+def chained(linked: DataFrame, sessions: bool) -> DataFrame:
+    """Add what really happened in each piece.
 
     With `sessions`, a play after a long gap while watching is on breaks the
-    session: what was open is dropped, and `session` counts up.
+    session: what was open is dropped, and the session number counts up. The
+    added columns end in `_s` then, else in `_t`.
     """
-    order = Window.partitionBy(*PAIR).orderBy("slot", "piece")
-    upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    play = F.col("first_play") == 1
-    gap_minutes = _minutes(F.col("first_sec"), F.col("prev.last_sec"))
-    # Before the first click of all, the position counts as 0.
-    prev_at = F.when(F.col("prev").isNull(), F.lit(0.0)).otherwise(F.col("prev.last_at"))
-    breaks = F.col("gap") if sessions else F.lit(False)
-    chain = (
-        pieces(course, piece_seconds)
-        .withColumn("index", F.row_number().over(order))
-        .withColumn("prev", F.lag(F.struct("last_at", "last_sec")).over(order))
-        .withColumn("prev_at", prev_at)
-        .withColumn("back", _flag(F.col("prev_at") > F.col("first_at")))
-        .withColumn("gap", _flag(gap_minutes > GAP_MINUTES))
-        .withColumn("near", _flag(gap_minutes <= GAP_MINUTES))
-        .withColumn("flips", play & (F.col("back") | breaks))
-        .withColumn("fixed", F.col("settled") | ~F.col("flips"))
-        .withColumn("to", F.when(F.col("settled"), F.col("leaves")).otherwise(
-            (F.col("leaves") + F.when(F.col("flips"), 1).otherwise(F.col("first_play"))) % 2))
-        .withColumn("turned", F.sum(F.when(~F.col("fixed"), F.col("to")).otherwise(0)).over(upto))
-        .withColumn("since", F.last(F.when(F.col("fixed"), F.struct("to", "turned")),
-                                    ignorenulls=True).over(before))
-    )
-    turned_before = F.col("turned") - F.when(~F.col("fixed"), F.col("to")).otherwise(0)
-    enters = (F.coalesce(F.col("since.to"), F.lit(0)) + turned_before
-              - F.coalesce(F.col("since.turned"), F.lit(0))) % 2
-    on = F.col("enters") == 1
-    inner = F.col("inner") == 1
-
-    def rest(name: str) -> Column:
-        return F.when(inner, F.col(f"{name}_1")).otherwise(F.col(f"{name}_0"))
-
-    reset = on & play & ~F.col("back") & breaks
-    closing = on & ~reset & (F.col("back") | ~play)
-    opening = ~on & play
-    end_at = F.when(F.col("back"), F.col("prev_at")).otherwise(F.col("first_at"))
+    end = "s" if sessions else "t"
+    breaks = "gap" if sessions else "false"
+    parity = "IF(fixed, 0, to)"
+    reset = f"enters = 1 AND play AND NOT back AND {breaks}"
+    closing = f"enters = 1 AND NOT ({reset}) AND (back OR NOT play)"
+    opening = "enters = 0 AND play"
+    rest = "IF(inner = 1, {0}_1, {0}_0)".format
+    end_spot = "IF(back, prev_spot, first_spot)"
     return (
-        chain
-        .withColumn("enters", enters)
-        .withColumn("inner", F.when(F.col("flips"), 1 - F.col("enters"))
-                    .otherwise(F.col("first_play")))
-        .withColumn("exits", F.when(F.col("fixed"), F.col("to"))
-                    .otherwise((F.col("enters") + F.col("to")) % 2))
-        .withColumn("session", F.sum(_bit(reset)).over(upto))
-        .select(
-            *PAIR, "index", "session", "exits",
-            (rest("watched") + F.when(closing, F.coalesce(end_at, F.lit(0.0))).otherwise(0.0)
-             - F.when(opening, F.coalesce(F.col("first_at"), F.lit(0.0))).otherwise(0.0))
-            .alias("watched"),
-            (rest("unknown") + _bit(closing & end_at.isNull())
-             + _bit(opening & F.col("first_at").isNull())).alias("unknown"),
-            (rest("opened").isNotNull() | opening).alias("opened"),
-            F.when(rest("opened").isNotNull(), rest("open")).otherwise(F.col("first_at"))
-            .alias("open_at"),
-            _bit(F.col("gap")).alias("gaps"),
-            (F.col("scrolls") + _bit(F.col("back") & F.col("near"))).alias("scrolls"),
-        )
+        linked
+        .selectExpr("*", f"play AND (back OR {breaks}) AS flips")
+        .selectExpr("*", "settled OR NOT flips AS fixed", """
+            IF(settled, leaves, (leaves + IF(flips, 1, first_play)) % 2) AS to""")
+        .selectExpr("*", f"sum({parity}) OVER ({IN_PAIR} {UPTO}) AS turned")
+        .selectExpr("*", f"""
+            last(IF(fixed, struct(to, turned), NULL), true) OVER ({IN_PAIR} {BEFORE}) AS since""")
+        .selectExpr("*", f"""
+            (coalesce(since.to, 0) + turned - {parity} - coalesce(since.turned, 0)) % 2
+              AS enters""")
+        .selectExpr("*", "IF(flips, 1 - enters, first_play) AS inner",
+                    f"sum(CAST({reset} AS INT)) OVER ({IN_PAIR} {UPTO}) AS session")
+        .selectExpr(
+            *linked.columns, f"session AS session_{end}",
+            f"IF(fixed, to, (enters + to) % 2) AS exits_{end}",
+            f"{rest('watched')} + IF({closing}, coalesce({end_spot}, 0D), 0D) "
+            f"- IF({opening}, coalesce(first_spot, 0D), 0D) AS watched_{end}",
+            f"{rest('unknown')} + CAST({closing} AND {end_spot} IS NULL AS INT) "
+            f"+ CAST({opening} AND first_spot IS NULL AS INT) AS unknown_{end}",
+            f"{rest('opened')} IS NOT NULL OR ({opening}) AS opened_{end}",
+            f"IF({rest('opened')} IS NOT NULL, {rest('open')}, first_spot) AS open_{end}")
     )
 
 
-def watched(course: Course, sessions: bool = False) -> DataFrame:
-    """Seconds watched per learner, video and session; one session if not `sessions`.
+def _seconds(end: str, counted: str = "true") -> str:
+    """Aggregate over pieces: seconds watched in those that count.
 
     What was started but never ended does not count: its start, subtracted with
     all others, is added back. The total is NULL if any position it needs is.
     """
-    pieces_in_order = F.col("index")
-    dangling = F.max_by("exits", pieces_in_order) == 1
-    start = F.max_by("open_at", F.when(F.col("opened"), pieces_in_order))
+    dangling = f"max_by(exits_{end}, IF({counted}, index, NULL)) = 1"
+    start = f"max_by(open_{end}, IF({counted} AND opened_{end}, index, NULL))"
     return (
-        chained(course, sessions).groupBy(*PAIR, "session")
-        .agg(F.sum("watched").alias("net"), F.sum("unknown").alias("unknown"),
-             F.when(dangling, F.coalesce(start, F.lit(0.0))).otherwise(0.0).alias("extra"),
-             F.when(dangling & start.isNull(), 1).otherwise(0).alias("excused"))
-        .select(*PAIR, "session",
-                F.when(F.col("unknown") == F.col("excused"), F.col("net") + F.col("extra"))
-                .alias("seconds"))
+        f"IF(sum(IF({counted}, unknown_{end}, 0)) = IF({dangling} AND {start} IS NULL, 1, 0), "
+        f"sum(IF({counted}, watched_{end}, 0D)) + IF({dangling}, coalesce({start}, 0D), 0D), "
+        f"NULL)"
     )
 
 
-def viewers(course: Course) -> DataFrame:
-    """Every (learner, video) pair with any click."""
-    return course.click_events.select(*PAIR).distinct()
-
-
-def _per_pair(course: Course, dropout: DataFrame, feature_id: int, per_pair: DataFrame,
-              value: str) -> DataFrame:
-    """A row for every pair of an eligible learner, 0 if it has no play or pause."""
-    found = viewers(course).join(per_pair.withColumn("found", F.lit(True)), PAIR, "left")
-    return stamped(course, "user_video_feature", feature_id, keep_eligible(found, dropout),
-                   f"CASE WHEN found THEN {value} ELSE 0 END")
-
-
-def engagement(course: Course, dropout: DataFrame, feature_id: int = 701) -> DataFrame:
-    """Feature 701, seconds watched, and 702, seconds watched in the last session."""
-    sessions = SESSIONS[feature_id]
-    total = watched(course, sessions)
-    if sessions:
-        total = total.groupBy(*PAIR).agg(F.max_by("seconds", "session").alias("seconds"))
-    return _per_pair(course, dropout, feature_id, total, "seconds")
-
-
 def session_engagement(course: Course, dropout: DataFrame) -> DataFrame:
     """Seconds watched in every session, numbered from 0; the last one is feature 702."""
-    total = keep_eligible(watched(course, True), dropout)
-    return total.select(*PAIR, F.col("session").cast("int").alias("session"), "seconds")
-
-
-def scroll_backs(course: Course, dropout: DataFrame) -> DataFrame:
-    """Feature 703: jumps back to an earlier position within half an hour."""
-    total = chained(course).groupBy(*PAIR).agg(F.sum("scrolls").alias("scrolls"))
-    return _per_pair(course, dropout, 703, total, "scrolls")
+    sessions = (
+        chained(linked(pieces(course)), True)
+        .groupBy(*PAIR, F.col("session_s").cast("int").alias("session"))
+        .agg(F.expr(_seconds("s")).alias("seconds"))
+    )
+    return keep_eligible(sessions, dropout).select(*PAIR, "session", "seconds")
 
 
-def viewer_count(course: Course, dropout: DataFrame) -> DataFrame:
-    """Feature 704: learners per video."""
-    pairs = keep_eligible(viewers(course), dropout)
-    counts = pairs.groupBy("video_id").agg(F.count(F.lit(1)).alias("learners"))
-    return stamped(course, "video_feature", 704, counts, "learners")
+# Feature -> what has to be known of each pair; features 704 and 705 count pairs.
+NEEDS = {701: "watched", 702: "last_session", 703: "scrolls", 706: "returns", 707: "returns"}
+TOTALS = {
+    "watched": _seconds("t"),
+    "last_session": _seconds("s", "session_s = last_session"),
+    "scrolls": "sum(scrolls + CAST(back AND near AS INT))",
+    "returns": "count_if(gap)",
+}
 
 
-def video_count(course: Course, dropout: DataFrame) -> DataFrame:
-    """Feature 705: videos per learner."""
-    counts = keep_eligible(
-        viewers(course).groupBy("user_id").agg(F.count("video_id").alias("videos")), dropout)
-    return stamped(course, "user_feature", 705, counts, "videos")
+def pairs(course: Course, ids: Iterable[int] = tuple(NEEDS)) -> DataFrame:
+    """Every (learner, video) pair with any click, and what the features need of it.
 
+    All of it comes from one pass over the play and pause clicks; a pair without
+    such clicks has 0 everywhere.
+    """
+    viewers = course.click_events.select(*PAIR).distinct()
+    wanted = sorted({NEEDS[i] for i in ids if i in NEEDS})
+    if not wanted:
+        return viewers
+    steps = linked(pieces(course))
+    if "watched" in wanted:
+        steps = chained(steps, False)
+    if "last_session" in wanted:
+        steps = chained(steps, True).selectExpr(
+            "*", "max(session_s) OVER (PARTITION BY user_id, video_id) AS last_session")
+    totals = steps.groupBy(*PAIR).agg(*[F.expr(TOTALS[t]).alias(t) for t in wanted],
+                                      F.lit(True).alias("found"))
+    return viewers.join(totals, PAIR, "left").selectExpr(
+        *PAIR, *[f"IF(found, {t}, 0) AS {t}" for t in wanted])
+
+
+def pair_features(
+    course: Course, dropout: DataFrame, ids: Iterable[int] = (701, 702, 703),
+    known: DataFrame | None = None,
+) -> DataFrame:
+    """Features 701, 702, 703: seconds watched, the same in the last session, jumps back.
 
-def _returns(course: Course, at_least_once: bool) -> DataFrame:
-    """How often each learner came back to each video after a long gap."""
-    gaps = chained(course).groupBy(*PAIR).agg(F.sum("gaps").alias("gaps"))
-    times = F.coalesce(F.col("gaps"), F.lit(0))
-    if at_least_once:
-        times = _bit(times > 0)
-    return viewers(course).join(gaps, PAIR, "left").select(*PAIR, times.alias("returns"))
+    `known` may give the result of `pairs`, here and below.
+    """
+    frame = pairs(course, ids) if known is None else known
+    return feature_rows(course, "user_video_feature", keep_eligible(frame, dropout),
+                        [Measure(i, NEEDS[i], "1") for i in ids])
 
 
-def rewatching_per_video(
-    course: Course, dropout: DataFrame, at_least_once: bool = False,
+def video_features(
+    course: Course, dropout: DataFrame, ids: Iterable[int] = (704, 706),
+    known: DataFrame | None = None, at_least_once: bool = False,
 ) -> DataFrame:
-    """Feature 706: returns to a video per learner who saw it.
+    """Features 704, learners per video, and 706, returns to a video per learner who saw it.
 
-    Every clicked video has a row, with NULL if no eligible learner saw it.
-    `at_least_once` gives the share of learners who returned at all instead.
+    Feature 706 has a row for every clicked video, with NULL if no eligible
+    learner saw it. `at_least_once` gives the share of learners who returned at
+    all instead.
     """
-    known = eligible(dropout).withColumn("known", F.lit(True))
-    rates = (
-        _returns(course, at_least_once).join(known, "user_id", "left")
-        .groupBy("video_id")
-        .agg(F.sum(F.when(F.col("known"), F.col("returns"))).alias("returns"),
-             F.count("known").alias("learners"))
-    )
-    return stamped(course, "video_feature", 706, rates,
-                   "CASE WHEN video_id IS NOT NULL THEN try_divide(returns, learners) END")
-
-
-def rewatching_per_user(
-    course: Course, dropout: DataFrame, at_least_once: bool = False,
+    frame = pairs(course, ids) if known is None else known
+    sums = ["count(known) AS learners", "count(*) AS anyone"]
+    if 706 in ids:
+        sums.append(f"sum(IF(known, {_times(at_least_once)}, NULL)) AS returns")
+    known_learner = eligible(dropout).withColumn("known", F.lit(True))
+    videos = frame.join(known_learner, "user_id", "left").groupBy("video_id").agg(
+        *map(F.expr, sums))
+    rate = "IF(video_id IS NOT NULL, try_divide(returns, learners), NULL)"
+    measures = [Measure(704, "learners", "learners"), Measure(706, rate, "anyone")]
+    return feature_rows(course, "video_feature", videos,
+                        [m for m in measures if m.feature_id in ids])
+
+
+def user_features(
+    course: Course, dropout: DataFrame, ids: Iterable[int] = (705, 707),
+    known: DataFrame | None = None, at_least_once: bool = False,
 ) -> DataFrame:
-    """Feature 707: a learner's returns to videos per video seen."""
-    rates = (
-        _returns(course, at_least_once).groupBy("user_id")
-        .agg(F.sum("returns").alias("returns"), F.count("video_id").alias("videos"))
-    )
-    return stamped(course, "user_feature", 707, keep_eligible(rates, dropout),
-                   "try_divide(returns, videos)")
+    """Features 705, videos per learner, and 707, a learner's returns to videos per video seen."""
+    frame = pairs(course, ids) if known is None else known
+    sums = ["count(video_id) AS videos", "count(*) AS anything"]
+    if 707 in ids:
+        sums.append(f"sum({_times(at_least_once)}) AS returns")
+    users = frame.groupBy("user_id").agg(*map(F.expr, sums))
+    measures = [Measure(705, "videos", "anything"),
+                Measure(707, "try_divide(returns, videos)", "anything")]
+    return feature_rows(course, "user_feature", keep_eligible(users, dropout),
+                        [m for m in measures if m.feature_id in ids])
+
+
+def _times(at_least_once: bool) -> str:
+    return "CAST(returns > 0 AS INT)" if at_least_once else "returns"
 
 
 # Feature -> (table, entity, feature that is summed).

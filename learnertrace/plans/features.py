@@ -13,7 +13,7 @@ from learnertrace.operators.dropout import user_dropout
 from learnertrace.plans.catalog import CATALOG, feature_info, select
 from learnertrace.sources.course import Course
 from learnertrace.sources.schemas import ENTITY
-from learnertrace.sources.store import FeatureStore
+from learnertrace.sources.store import FeatureStore, written
 
 # Features that come out of one scan together: (their numbers, their operator).
 FAMILIES: list[tuple[tuple[int, ...], Callable[[Course, DataFrame, list[int]], DataFrame]]] = [
@@ -27,27 +27,38 @@ FAMILIES: list[tuple[tuple[int, ...], Callable[[Course, DataFrame, list[int]], D
     ((210,), lambda c, d, ids: submissions.time_before_deadline(c, d)),
     ((301,), lambda c, d, ids: observed.hours_deviation(c, d)),
     ((302,), lambda c, d, ids: observed.reaction_time(c, d)),
-    ((701,), lambda c, d, ids: video.engagement(c, d, 701)),
-    ((702,), lambda c, d, ids: video.engagement(c, d, 702)),
-    ((703,), lambda c, d, ids: video.scroll_backs(c, d)),
-    ((704,), lambda c, d, ids: video.viewer_count(c, d)),
-    ((705,), lambda c, d, ids: video.video_count(c, d)),
-    ((706,), lambda c, d, ids: video.rewatching_per_video(c, d)),
-    ((707,), lambda c, d, ids: video.rewatching_per_user(c, d)),
 ]
-BASE = {i for ids, _ in FAMILIES for i in ids}
+# The same for features of (learner, video) pairs, which share one pass over the clicks.
+VIDEO_FAMILIES: list[tuple[tuple[int, ...], Callable[..., DataFrame]]] = [
+    ((701, 702, 703), video.pair_features),
+    ((704, 706), video.video_features),
+    ((705, 707), video.user_features),
+]
+BASE = {i for ids, _ in [*FAMILIES, *VIDEO_FAMILIES] for i in ids}
 
 
 def base_features(
-    course: Course, dropout: DataFrame, ids: Iterable[int],
-) -> list[tuple[str, DataFrame]]:
-    """(table, rows) for each family that has a wanted feature."""
+    course: Course, dropout: DataFrame, ids: Iterable[int], stored: bool = False,
+) -> dict[tuple[int, ...], DataFrame]:
+    """Rows of each family that has wanted features, by those features.
+
+    With `stored`, what is known of the (learner, video) pairs is written out
+    once instead of being part of each plan that uses it.
+    """
     wanted = set(ids)
-    parts = []
+    parts = {}
     for family, operator in FAMILIES:
-        chosen = [i for i in family if i in wanted]
+        chosen = tuple(i for i in family if i in wanted)
         if chosen:
-            parts.append((CATALOG[chosen[0]].table, operator(course, dropout, chosen)))
+            parts[chosen] = operator(course, dropout, chosen)
+    of_videos = [tuple(i for i in family if i in wanted) for family, _ in VIDEO_FAMILIES]
+    if any(of_videos):
+        known = video.pairs(course, [i for chosen in of_videos for i in chosen])
+        if stored:
+            known = written(known)
+        for chosen, (_, operator) in zip(of_videos, VIDEO_FAMILIES):
+            if chosen:
+                parts[chosen] = operator(course, dropout, chosen, known)
     return parts
 
 
@@ -91,11 +102,7 @@ def features(
     if not ids:
         raise ValueError(f"no selected feature belongs to {table}")
     every = needed(ids)
-    rows: dict[tuple[int, ...], DataFrame] = {}
-    for family, operator in FAMILIES:
-        members = [i for i in family if i in every]
-        if members:
-            rows[tuple(members)] = operator(course, dropout, members)
+    rows = base_features(course, dropout, every)
     parts = []
     for members, frame in rows.items():
         wanted = [i for i in members if i in ids]
@@ -142,8 +149,8 @@ def populate(
         for table in ENTITY:
             store.create(table)
     dropout = store.read("user_dropout")
-    for table, rows in base_features(course, dropout, ids):
-        store.append(table, rows)
+    for members, rows in base_features(course, dropout, ids, stored=True).items():
+        store.append(CATALOG[members[0]].table, rows)
     for i in ids:
         if i not in BASE:
             requires = CATALOG[i].requires

@@ -4,6 +4,7 @@ import random
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from learnertrace.operators import video
 from learnertrace.operators.dropout import user_dropout
@@ -77,20 +78,20 @@ def test_features_equal_the_walk(make_course, nulls):
     whole = {pair: walk(s, False) for pair, s in sequences.items()}
     split = {pair: walk(s, True)[0] for pair, s in sequences.items()}
     pair = ("user_id", "video_id")
-    assert values(video.engagement(course, learners, 701), *pair) == {
+    assert values(video.pair_features(course, learners, [701]), *pair) == {
         p: t[0] for p, (t, _, _) in whole.items()}
-    assert values(video.engagement(course, learners, 702), *pair) == {
+    assert values(video.pair_features(course, learners, [702]), *pair) == {
         p: t[-1] for p, t in split.items()}
-    assert values(video.scroll_backs(course, learners), *pair) == {
+    assert values(video.pair_features(course, learners, [703]), *pair) == {
         p: s for p, (_, s, _) in whole.items()}
     every = {(r.user_id, r.video_id, r.session): r.seconds
              for r in video.session_engagement(course, learners).collect()}
     assert every == {(*p, i): v for p, t in split.items() for i, v in enumerate(t)}
     videos = {v for _, v in sequences}
     seen = {v: [g for (_, x), (_, _, g) in whole.items() if x == v] for v in videos}
-    assert values(video.rewatching_per_video(course, learners), "video_id") == {
+    assert values(video.video_features(course, learners, [706]), "video_id") == {
         v: round(sum(g) / len(g), 6) for v, g in seen.items()}
-    assert values(video.rewatching_per_video(course, learners, True), "video_id") == {
+    assert values(video.video_features(course, learners, [706], at_least_once=True), "video_id") == {
         v: round(sum(x > 0 for x in g) / len(g), 6) for v, g in seen.items()}
 
 
@@ -99,11 +100,17 @@ def test_the_cut_does_not_matter(make_course, piece_seconds):
     sequences = random_sequences(11, 300, 30, True)
     course = course_of(make_course, sequences)
     totals = {}
-    for row in video.chained(course, True, piece_seconds).collect():
-        key = (row.user_id, row.video_id)
-        gaps, scrolls = totals.get(key, (0, 0))
-        totals[key] = gaps + row.gaps, scrolls + row.scrolls
-    assert totals == {p: (walk(s, True)[2], walk(s, True)[1]) for p, s in sequences.items()}
+    steps = video.linked(video.pieces(course, piece_seconds))
+    steps = video.chained(video.chained(steps, False), True).selectExpr(
+        "*", "max(session_s) OVER (PARTITION BY user_id, video_id) AS last_session")
+    found = steps.groupBy(*video.PAIR).agg(
+        *[F.expr(text).alias(name) for name, text in video.TOTALS.items()])
+    for row in found.collect():
+        totals[row.user_id, row.video_id] = (
+            row.watched, row.last_session, row.scrolls, row.returns)
+    assert totals == {
+        p: (walk(s, False)[0][0], walk(s, True)[0][-1], *walk(s, True)[1:])
+        for p, s in sequences.items()}
 
 
 def test_one_pair_with_very_many_clicks(make_course):
@@ -113,7 +120,7 @@ def test_one_pair_with_very_many_clicks(make_course):
                 for i in range(5000)]
     course = course_of(make_course, {("u", "v"): sequence})
     total = walk(sequence, False)[0][0]
-    assert values(video.engagement(course, user_dropout(course), 701), "user_id") == {"u": total}
+    assert values(video.pair_features(course, user_dropout(course), [701]), "user_id") == {"u": total}
     assert video.pieces(course).count() == 5000 * 40 // 3600 + 1
 
 
@@ -122,22 +129,22 @@ def test_pairs_without_play_or_pause(make_course):
         ("u", "a"): [(SEEK, 3.0, at(1))], ("u", "b"): [(PAUSE, 3.0, at(1)), (PLAY, 5.0, at(2))],
         ("x", "a"): [(PLAY, 0.0, at(1)), (PAUSE, 9.0, at(2))]}, learners=["u"])
     learners = user_dropout(course)
-    assert values(video.engagement(course, learners), "user_id", "video_id") == {
+    assert values(video.pair_features(course, learners, [701]), "user_id", "video_id") == {
         ("u", "a"): 0, ("u", "b"): 0}
-    assert values(video.viewer_count(course, learners), "video_id") == {"a": 1, "b": 1}
-    assert values(video.video_count(course, learners), "user_id") == {"u": 2}
+    assert values(video.video_features(course, learners, [704]), "video_id") == {"a": 1, "b": 1}
+    assert values(video.user_features(course, learners, [705]), "user_id") == {"u": 2}
 
 
 def test_a_video_no_learner_saw(make_course):
     course = course_of(make_course, {("x", "a"): [(PLAY, 0.0, at(1))],
                                      ("u", "b"): [(PLAY, 0.0, at(1))]}, learners=["u"])
-    assert values(video.rewatching_per_video(course, user_dropout(course)), "video_id") == {
+    assert values(video.video_features(course, user_dropout(course), [706]), "video_id") == {
         "a": None, "b": 0}
 
 
 def test_sums_agree(make_course):
     course = course_of(make_course, random_sequences(5, 400, 10, False))
-    features = video.engagement(course, user_dropout(course))
+    features = video.pair_features(course, user_dropout(course), [701])
     per_user = values(video.summed(course, features, 710), "user_id")
     per_video = values(video.summed(course, features, 711), "video_id")
     assert sum(per_user.values()) == pytest.approx(sum(per_video.values()))
