@@ -1,6 +1,7 @@
 """The catalogue, the stored tables and a whole run."""
 
 import warnings
+from types import SimpleNamespace
 
 import pytest
 
@@ -84,6 +85,17 @@ def test_written_tables_go_to_the_shared_folder(spark):
     assert all(shared_folder(spark) in f for f in table.inputFiles())
 
 
+def test_the_shared_folder_is_never_local_on_a_cluster():
+    def session(master, setting=None):
+        context = SimpleNamespace(master=master, applicationId="app", getCheckpointDir=lambda: None)
+        return SimpleNamespace(sparkContext=context,
+                               conf=SimpleNamespace(get=lambda name, default: setting))
+    assert shared_folder(session("yarn", "hdfs://x/y/")) == "hdfs://x/y"
+    with pytest.raises(RuntimeError):
+        shared_folder(session("yarn"))
+    assert shared_folder(session("local[2]")) == shared_folder(session("local[2]"))
+
+
 def test_course_from_files_and_catalogue(spark, tmp_path):
     source = driver_course(spark, FOLDER)
     for name in ACTIVITY:
