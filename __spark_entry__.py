@@ -19,6 +19,15 @@ from learnertrace.plans.features import feature, features  # noqa: E402
 from learnertrace.sources.driver_tables import course  # noqa: E402
 from learnertrace.sources.store import FeatureStore, shared_folder  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from learnertrace.llm import queries as training_data
+except ModuleNotFoundError as missing:
+    # Without the operators of training data, the others still work.
+    if (missing.name or "").split(".")[:2] not in (["corpus_pipeline"], ["learnertrace", "llm"]):
+        raise
+    corpus_pipeline = training_data = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 IDS = models.MODEL_FEATURES
 # Small grids: the checks look at the rows, not at how well a model is tuned.
@@ -159,6 +168,9 @@ def queries() -> dict[str, Query]:
         weeks=(0, 10)))
     cohorts("m22_compare_models", lambda rows, labels: models.compare_models(
         prepared(rows, labels), IDS, ["logistic_regression", "decision_tree"], QUICK))
+    if training_data:
+        found.update(training_data.QUERIES)
+        found["pipeline"] = corpus_pipeline.run
     return found
 
 
@@ -173,8 +185,13 @@ def _stored(c) -> DataFrame:
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL for every query but those that fit models."""
+    """DuckDB SQL for every query that SQL can express."""
     bodies = {f"f{number:03d}_{about.name}": oracle_queries.feature_select(number)
               for number, about in CATALOG.items()}
     bodies.update(oracle_queries.FINAL_SQL)
-    return {name: oracle_queries.with_views(body) for name, body in bodies.items()}
+    found = {name: oracle_queries.with_views(body) for name, body in bodies.items()}
+    if training_data:
+        found.update(training_data.SQL)
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
