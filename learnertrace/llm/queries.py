@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
-from learnertrace.llm import decontaminate, exact_dedup, mixing
+from learnertrace.llm import decontaminate, exact_dedup, jaccard_join, mixing
+from learnertrace.llm.html_text import op4_html_text
+from learnertrace.llm.licenses import op3_license_scan
 from learnertrace.llm.token_counts import op6_token_counts
 from learnertrace.llm.token_records import op5_token_records
 
 QUERIES = {
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+    "op3_license_scan": op3_license_scan,
+    "op4_html_text": op4_html_text,
     "op5_token_records": op5_token_records,
     "op6_token_counts": op6_token_counts,
+    "op7_jaccard_join": jaccard_join.op7_jaccard_join,
     "op8_decontamination": decontaminate.op8_decontamination,
     "op9_mixing": mixing.op9_mixing,
 }
 
 SQL = {
     "op2_exact_dedup": exact_dedup.SQL,
+    "op7_jaccard_join": jaccard_join.SQL,
     "op8_decontamination": decontaminate.SQL,
     "op9_mixing": mixing.SQL,
 }
