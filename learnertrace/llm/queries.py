@@ -5,10 +5,13 @@ from __future__ import annotations
 from learnertrace.llm import decontaminate, exact_dedup, jaccard_join, mixing
 from learnertrace.llm.html_text import op4_html_text
 from learnertrace.llm.licenses import op3_license_scan
+from learnertrace.llm.quality import op10_quality
 from learnertrace.llm.token_counts import op6_token_counts
 from learnertrace.llm.token_records import op5_token_records
+from learnertrace.llm.toxicity import op1_toxicity
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op3_license_scan": op3_license_scan,
     "op4_html_text": op4_html_text,
@@ -17,6 +20,7 @@ QUERIES = {
     "op7_jaccard_join": jaccard_join.op7_jaccard_join,
     "op8_decontamination": decontaminate.op8_decontamination,
     "op9_mixing": mixing.op9_mixing,
+    "op10_quality": op10_quality,
 }
 
 SQL = {
