@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from learnertrace.llm import decontaminate, mixing, token_records
+from learnertrace.llm import decontaminate, jaccard_join, mixing, quality, token_records
 from learnertrace.llm.common import table, written
 
 
+def good(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return quality.accepted(docs, table(spark, folder, "labels"))
+
+
+def apart(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """One document of each group of near duplicates stays (five words, 80%)."""
+    return jaccard_join.deduplicate(docs)
+
+
 def without_benchmark(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Contaminated documents go."""
     return decontaminate.clean(docs, table(spark, folder, "benchmark"))
@@ -24,12 +34,14 @@ def records(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality", good),
+    ("near_duplicates", apart),
     ("decontamination", without_benchmark),
     ("mixing", mixed),
     ("token_records", records),
 ]
 
-#: SQL cannot express the classifier and the tokenizer.
+#: SQL can express neither the classifier nor the tokenizer.
 ORACLE_SQL = None
 
 
