@@ -56,7 +56,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int
 
     Of more labelled documents those with the least hash of their id are taken, so reruns
     agree. Labels other than 0 and 1 and null ids are left out; of several labels of one id
-    the largest counts, of several rows of one id any one text.
+    the largest counts, of several texts of one id the last in order.
     """
     told = (labels.filter(F.col(label).isin(0, 1) & (fold("doc_id", folds) != held))
             .groupBy(F.col("doc_id").alias("id")).agg(F.max(label).cast("int").alias("label")))
@@ -70,7 +70,8 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int
         return Sample([], np.empty(0), np.empty(0))
     # The sample has a fixed bound, so it may be broadcast.
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(
-        F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("id", "label", "text").dropDuplicates(["id"])
+        F.broadcast(chosen), F.col("doc_id") == F.col("id")).groupBy("id").agg(
+            F.max("label").alias("label"), F.max("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
