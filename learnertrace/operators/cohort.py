@@ -27,29 +27,43 @@ def _counted(ids: Sequence[int], counts: Column) -> Column:
     return sum(terms[1:], terms[0])
 
 
-def dropout_histogram(features: DataFrame, last_week: int = 15) -> DataFrame:
-    """Learners by the first week with label 0; those without one fall in `last_week`."""
-    gone = (F.col("feature_id") == LABEL) & (F.col("feature_value") == 0)
-    first = features.groupBy("user_id").agg(
-        F.coalesce(F.min(F.when(gone, F.col("feature_week"))), F.lit(last_week)).alias("week"))
-    # One counter per bin, all in one row: empty bins come out as 0 without a join.
-    bins = [F.count_if(F.col("week") == w).alias(f"w{w}") for w in range(last_week + 1)]
-    cells = F.array(*[F.struct(F.lit(w).alias("week"), F.col(f"w{w}").alias("users"))
-                      for w in range(last_week + 1)])
-    return first.agg(*bins).select(F.inline(cells))
+def dropout_histogram(features: DataFrame, last_week: int | None = None) -> DataFrame:
+    """Learners by the first week with label 0; those without one stand in the last bin.
+
+    Bins are the weeks that have labels and one more, so every learner is in one. With
+    `last_week` that bin also holds those gone in `last_week` or later.
+    """
+    is_label = F.col("feature_id") == LABEL
+    gone = F.min(F.when(is_label & (F.col("feature_value") == 0), F.col("feature_week")))
+    if last_week is not None:
+        gone = F.when(gone < last_week, gone)
+    first = features.groupBy("user_id").agg(gone.alias("first"))
+    counts = first.groupBy("first").agg(F.count(F.lit(1)).alias("users"))
+    end = F.lit(last_week) if last_week is not None else F.max(F.when(is_label, F.col("feature_week"))) + 1
+    bins = features.agg(F.coalesce(end, F.lit(0)).cast("int").alias("end")).select(
+        "end", F.explode(F.sequence(F.lit(0), F.col("end"))).alias("week"))
+    # One row per course week on either side.
+    own = F.when(F.col("week") < F.col("end"), F.col("week"))
+    return bins.join(F.broadcast(counts), own.eqNullSafe(F.col("first")), "left").select(
+        "week", F.coalesce("users", F.lit(0)).alias("users"))
 
 
 def wide_features(
     features: DataFrame, ids: Sequence[int], fill: float = -1.0, dense: bool = True,
-    drop_all_zero: bool = False,
+    drop_all_zero: bool = False, labels: DataFrame | None = None,
 ) -> DataFrame:
     """One row per learner and week, one column per feature, `fill` where there is none.
 
     `dense` keeps every labelled learner-week, also those without any feature;
     label rows exist for each learner and course week, so they are the grid and
-    no join is needed. Otherwise only learner-weeks with a listed feature stay.
+    no join is needed. They are looked for in `labels`, if given, else in `features`;
+    without any the result is empty. Without `dense` only learner-weeks with a listed
+    feature stay.
     """
     kind = F.col("feature_id")
+    if labels is not None:
+        features = features.filter(kind.isin(*ids) & (kind != LABEL)).unionByName(
+            labels.filter(kind == LABEL).select(*features.columns))
     wide = (
         features.filter(kind.isin(LABEL, *ids))
         .groupBy(*KEYS)
@@ -78,6 +92,12 @@ def supported_coverage(wide: DataFrame, ids: Sequence[int], missing: float = -1.
     return _by_feature(weekly, ids)
 
 
+def overall_coverage(wide: DataFrame, ids: Sequence[int], missing: float = -1.0) -> DataFrame:
+    """Learner-weeks that have each feature, over all weeks."""
+    total = wide.agg(*[F.count_if(F.col(c) != missing).alias(c) for c in names(ids)])
+    return _by_feature(total.withColumn("feature_week", F.lit(0)), ids).drop("feature_week")
+
+
 def _by_feature(weekly: DataFrame, ids: Sequence[int]) -> DataFrame:
     cells = F.array(*[F.struct(F.lit(i).alias("feature_id"), F.col(f"f{i}").alias("users"))
                       for i in ids])
@@ -131,16 +151,19 @@ def with_support(
 
 
 def with_future_label(
-    wide: DataFrame, labels: DataFrame, weeks_ahead: int = 1, last_week: int = 10,
+    wide: DataFrame, labels: DataFrame, weeks_ahead: int = 1, last_week: int | None = None,
 ) -> DataFrame:
-    """Add the label of `weeks_ahead` weeks later; weeks past `last_week` or the labels go.
+    """Add the label of `weeks_ahead` weeks later; weeks past the labels, or past `last_week`
+    if given, go.
 
     `labels` is any set of feature rows with those of feature 1.
     """
     ahead = labels.filter(F.col("feature_id") == LABEL).select(
         "user_id", (F.col("feature_week") - weeks_ahead).alias("feature_week"),
         F.col("feature_value").cast("int").alias("label"))
-    return wide.filter(F.col("feature_week") <= last_week).join(ahead, KEYS)
+    if last_week is not None:
+        wide = wide.filter(F.col("feature_week") <= last_week)
+    return wide.join(ahead, KEYS)
 
 
 def scale_min_max(wide: DataFrame, ids: Sequence[int]) -> DataFrame:
@@ -205,24 +228,27 @@ def with_split(wide: DataFrame, test_fraction: float = 0.25, seed: int = 19) ->
     return wide.withColumn("is_test", F.substring(digest, 1, 8) < limit)
 
 
-def training_rows(split: DataFrame, mode: str = "week", last_week: int = 10) -> DataFrame:
-    """Rows that train the model of each `model_week`.
+def training_rows(split: DataFrame, mode: str = "week", last_week: int | None = None) -> DataFrame:
+    """Rows that train the model of each `model_week`, in every mode up to `last_week` if given.
 
     "week" takes the training part of that week, "all" every row of it, and
     "cumulative" all rows of earlier weeks too, but none of the week's own test
     rows.
     """
+    if last_week is not None:
+        split = split.filter(F.col("feature_week") <= last_week)
     own = split.withColumn("model_week", F.col("feature_week"))
     if mode == "all":
         return own
     if mode == "week":
         return own.filter(~F.col("is_test"))
     if mode == "cumulative":
-        later = F.explode(F.sequence(F.col("feature_week"), F.lit(last_week)))
         # One row per week that has rows of its own.
-        weeks = own.filter(F.col("feature_week") <= last_week).select("model_week").distinct()
+        weeks = own.select("model_week").distinct()
+        last = split.agg(F.max("feature_week")).scalar()
+        later = F.explode(F.sequence(F.col("feature_week"), last))
         return (
-            split.filter(F.col("feature_week") <= last_week).withColumn("model_week", later)
+            split.withColumn("model_week", later)
             .filter((F.col("model_week") > F.col("feature_week")) | ~F.col("is_test"))
             .join(F.broadcast(weeks), "model_week", "left_semi")
             .select(*own.columns)

@@ -103,11 +103,11 @@ def share_of_maximum(course: Course, features: DataFrame) -> DataFrame:
 
 
 def progress(
-    course: Course, features: DataFrame, feature_id: int, last_week: int = 13,
+    course: Course, features: DataFrame, feature_id: int, last_week: int | None = None,
 ) -> DataFrame:
     """Features 205 and 207: a grade minus the mean of all earlier grades, NULL without any.
 
-    Given for weeks 1 to `last_week`. The window holds one learner's weeks.
+    Given from week 1 on, up to `last_week` if given. The window holds one learner's weeks.
     """
     history: Column = F.avg("feature_value").over(
         Window.partitionBy("user_id").orderBy("feature_week")
@@ -115,7 +115,8 @@ def progress(
     frame = (
         features.filter(F.col("feature_id") == PROGRESS[feature_id])
         .withColumn("history", history)
-        .filter(F.col("feature_week").between(1, last_week))
+        .filter(F.col("feature_week") >= 1 if last_week is None
+                else F.col("feature_week").between(1, last_week))
         .withColumn("gain", F.col("feature_value") - F.col("history"))
     )
     return stamped(course, TABLE, feature_id, frame, "gain")

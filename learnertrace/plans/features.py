@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from learnertrace.operators import collaboration, derived, observed, submissions, video
 from learnertrace.operators.dropout import dropout as label
@@ -13,7 +14,7 @@ from learnertrace.operators.dropout import user_dropout
 from learnertrace.plans.catalog import CATALOG, feature_info, select
 from learnertrace.sources.course import Course
 from learnertrace.sources.schemas import ENTITY
-from learnertrace.sources.store import FeatureStore, written
+from learnertrace.sources.store import FeatureStore, dropped, written
 
 # Features that come out of one scan together: (their numbers, their operator).
 FAMILIES: list[tuple[tuple[int, ...], Callable[[Course, DataFrame, list[int]], DataFrame]]] = [
@@ -38,12 +39,12 @@ BASE = {i for ids, _ in [*FAMILIES, *VIDEO_FAMILIES] for i in ids}
 
 
 def base_features(
-    course: Course, dropout: DataFrame, ids: Iterable[int], stored: bool = False,
+    course: Course, dropout: DataFrame, ids: Iterable[int], used: list[str] | None = None,
 ) -> dict[tuple[int, ...], DataFrame]:
     """Rows of each family that has wanted features, by those features.
 
-    With `stored`, what is known of the (learner, video) pairs is written out
-    once instead of being part of each plan that uses it.
+    With `used`, what is known of the (learner, video) pairs is written out once, into a
+    table whose path is added there, instead of being part of each plan that uses it.
     """
     wanted = set(ids)
     parts = {}
@@ -54,8 +55,8 @@ def base_features(
     of_videos = [tuple(i for i in family if i in wanted) for family, _ in VIDEO_FAMILIES]
     if any(of_videos):
         known = video.pairs(course, [i for chosen in of_videos for i in chosen])
-        if stored:
-            known = written(known)
+        if used is not None:
+            known = written(known, used=used)
         for chosen, (_, operator) in zip(of_videos, VIDEO_FAMILIES):
             if chosen:
                 parts[chosen] = operator(course, dropout, chosen, known)
@@ -137,9 +138,10 @@ def populate(
     """Prepare the tables and store the selected features; returns their numbers.
 
     Every stage starts from a stored table: who dropped out when, then the
-    features taken from activity, then those derived from them in the order of
-    their numbers. A derived feature whose inputs are not stored gets no rows.
-    With `fresh` the tables are created anew, otherwise earlier runs are kept.
+    features taken from activity, then those derived from them, all that depend on the same
+    depth of others in one write. What a derived feature requires is computed for it even
+    if it is not selected, and then not stored. With `fresh` the tables are created anew,
+    otherwise earlier runs are kept; what is stored of this run's selected features is replaced.
     """
     spark = store.spark
     ids = select(only, skip)
@@ -149,11 +151,33 @@ def populate(
         for table in ENTITY:
             store.create(table)
     dropout = store.read("user_dropout")
-    for members, rows in base_features(course, dropout, ids, stored=True).items():
-        store.append(CATALOG[members[0]].table, rows)
-    for i in ids:
-        if i not in BASE:
+    every, used = needed(ids), []
+    unstored: dict[int, DataFrame] = {}
+    for members, rows in base_features(course, dropout, every, used).items():
+        kept = [i for i in members if i in ids]
+        for i in members:
+            if i not in ids:
+                unstored[i] = rows.filter(F.col("feature_id") == i)
+        if kept:
+            rows = rows if len(kept) == len(members) else rows.filter(F.col("feature_id").isin(*kept))
+            store.append(CATALOG[members[0]].table, rows, kept, course.stamp)
+    waiting = [i for i in every if i not in BASE]
+    while waiting:
+        ready = [i for i in waiting if not set(CATALOG[i].requires) & set(waiting)]
+        by_table: dict[str, list[tuple[int, DataFrame]]] = {}
+        for i in ready:
             requires = CATALOG[i].requires
-            inputs = store.read(CATALOG[requires[0]].table, requires, course.stamp)
-            store.append(CATALOG[i].table, derive(course, inputs, i))
+            inputs = [unstored[r] for r in requires if r in unstored]
+            stored = [r for r in requires if r not in unstored]
+            if stored:
+                inputs.append(store.read(CATALOG[stored[0]].table, stored, course.stamp))
+            rows = derive(course, union(inputs), i)
+            if i in ids:
+                by_table.setdefault(CATALOG[i].table, []).append((i, rows))
+            else:
+                unstored[i] = rows
+        for table, parts in by_table.items():
+            store.append(table, union([rows for _, rows in parts]), [i for i, _ in parts], course.stamp)
+        waiting = [i for i in waiting if i not in ready]
+    dropped(spark, *used)
     return ids

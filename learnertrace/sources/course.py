@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
-from datetime import datetime, timedelta
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,9 +50,9 @@ class Course:
 
     @property
     def end_time(self) -> Column:
-        """First moment after the last week."""
-        end = datetime.fromisoformat(self.start) + timedelta(weeks=self.weeks)
-        return F.lit(end.isoformat(sep=" ")).cast("timestamp")
+        """First moment after the last week: that many elapsed seconds after the start, as weeks
+        are counted, whatever clocks do in between."""
+        return F.timestamp_seconds(F.unix_timestamp(self.start_time) + F.lit(self.weeks * 604800))
 
     @property
     def extracted(self) -> str:
@@ -65,9 +64,16 @@ def from_files(
     spark: SparkSession, root: str, start: str, weeks: int, stamp: str,
     format: str = "parquet", names: list[str] | None = None,
 ) -> Course:
-    """Tables stored as one folder each under `root`, in any Spark file format."""
+    """Tables stored as one folder each under `root`, in any Spark file format.
+
+    Formats that know their types are read with those and cast; text formats are read as
+    the declared types.
+    """
     def read(name: str) -> DataFrame:
-        return spark.read.schema(ACTIVITY[name]).format(format).load(f"{root.rstrip('/')}/{name}")
+        reader, path = spark.read.format(format), f"{root.rstrip('/')}/{name}"
+        if format in ("csv", "json", "text", "xml"):
+            return reader.schema(ACTIVITY[name]).load(path)
+        return conform(reader.load(path), ACTIVITY[name])
     return _course(read, start, weeks, stamp, names)
 
 

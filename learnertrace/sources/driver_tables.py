@@ -1,6 +1,6 @@
 """A course read out of general-purpose test tables (events, documents, part).
 
-Every row of the tables takes part. The same view for the SQL twins is
+Every document and nearly every other row takes part. The same view for the SQL twins is
 `COURSE_SQL` in `oracle_queries.py`.
 """
 
@@ -43,7 +43,7 @@ VIEWS = {
     # Learners submit at one of five paces, so they stop in different weeks; the
     # submissions of a sixth group have no times.
     "submissions": ("events", SUBMITTED, [
-        "event_id AS submission_id", "user_id", "k % 20 AS problem_id",
+        "event_id AS submission_id", "user_id", "user_id * 14 + k % 20 AS problem_id",
         f"timestamp_seconds({START_SECONDS} + sec * nullif(user_id % 6, 0) DIV 5) "
         "AS submission_timestamp",
         "1 + floor(value / 20) AS submission_attempt_number", VALID]),
@@ -76,19 +76,32 @@ VIEWS = {
 }
 
 
-def course(spark: SparkSession, folder: str) -> Course:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+def course(spark: SparkSession, folder: str, weeks: int = WEEKS) -> Course:
+    """The course, or with other `weeks` the same activity drawn out to that many.
+
+    The session's zone has to be UTC, as the tables' times are.
+    """
+    stretch = weeks // WEEKS
+    event_columns = [e.replace(f"- {START_SECONDS} AS sec", f"- {START_SECONDS}) * {stretch} AS sec")
+              .replace("unix_timestamp(CAST(ts", "(unix_timestamp(CAST(ts")
+              if e.endswith("AS sec") else
+              f"timestamp_seconds((unix_timestamp(CAST(ts AS TIMESTAMP)) - {START_SECONDS}) * {stretch} "
+              f"+ {START_SECONDS}) AS second" if e.endswith("AS second") else e for e in EVENT]
 
     def read(name: str) -> DataFrame:
         return spark.read.schema(READ[name]).parquet(f"{folder}/{name}.parquet")
 
     def source(name: str) -> DataFrame:
         if name == "events":
-            return read("events").selectExpr(*EVENT)
+            return read("events").selectExpr(*event_columns)
         if name == "contributions":
-            events = source("events").filter("event_type = 'signup'")
-            return events.withColumn("doc_id", F.expr("event_id DIV 10")).join(
-                read("documents"), "doc_id")
+            # A signup contributes the document of its ten events; besides, every document is
+            # contributed once by one of five events.
+            chosen = ("filter(array(CASE WHEN event_type = 'signup' THEN event_id DIV 10 END, "
+                      "CASE WHEN event_id % 5 = event_id DIV 5 % 5 THEN event_id DIV 5 END), "
+                      "d -> d IS NOT NULL)")
+            events = source("events").withColumn("doc_id", F.explode(F.expr(chosen)))
+            return events.join(read("documents"), "doc_id")
         if name == "types":
             return read("part").selectExpr("1 + p_size % 8 AS resource_type_id").distinct()
         return read(name)
@@ -97,6 +110,7 @@ def course(spark: SparkSession, folder: str) -> Course:
         origin, chosen, columns = VIEWS[name]
         rows = source(origin)
         rows = rows.filter(chosen) if chosen else rows
+        columns = [c.replace(f"p_partkey % {WEEKS}", f"p_partkey % {weeks}") for c in columns]
         return conform(rows.selectExpr(*columns), ACTIVITY[name])
 
-    return Course({name: partial(view, name) for name in VIEWS}, START, WEEKS, STAMP)
+    return Course({name: partial(view, name) for name in VIEWS}, START, weeks, STAMP)

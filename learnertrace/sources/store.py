@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterable
 from functools import cache
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,16 +43,32 @@ class FeatureStore:
             writer = writer.partitionBy(*FEATURE_PARTITIONS)
         writer.parquet(self.path(table))
 
-    def append(self, table: str, rows: DataFrame) -> None:
+    def append(self, table: str, rows: DataFrame, ids: Iterable[int] = (),
+               stamp: str | None = None) -> None:
         """Add feature rows; the same run and feature written again is replaced.
 
-        Rebalancing gathers a feature's rows into few files without forcing a
-        large feature into one task.
+        With `ids` and `stamp`, what is stored of these features for that run goes first, so a
+        feature that has no rows any more leaves none behind. A write that breaks off may leave
+        such a feature empty; writing again mends it. Rebalancing gathers a feature's rows
+        into few files without forcing a large feature into one task.
         """
+        if stamp is not None:
+            self._clear(table, set(ids), stamp)
         rows = conform(rows, OUTPUT[table]).hint("rebalance", *FEATURE_PARTITIONS)
         (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*FEATURE_PARTITIONS).parquet(self.path(table)))
 
+    def _clear(self, table: str, ids: set[int], stamp: str) -> None:
+        files, root = hadoop_path(self.spark, self.path(table))
+        if not files.exists(root):
+            return
+        for run in files.listStatus(root):
+            if unquote(run.getPath().getName()) != f"date_of_extraction={stamp[:19]}":
+                continue
+            for feature in files.listStatus(run.getPath()):
+                if feature.getPath().getName() in {f"feature_id={i}" for i in ids}:
+                    files.delete(feature.getPath(), True)
+
     def read(self, table: str, ids: Iterable[int] | None = None,
              stamp: str | None = None) -> DataFrame:
         """Rows of a table, of some features and one run if given."""
@@ -63,6 +80,19 @@ class FeatureStore:
         return rows.select(*[part.strip().split(" ")[0] for part in OUTPUT[table].split(",")])
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it knows it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def dropped(spark: SparkSession, *paths: str) -> None:
+    """Remove intermediate tables that nothing reads any more."""
+    for path in paths:
+        files, where = hadoop_path(spark, path)
+        files.delete(where, True)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for intermediate tables.
 
@@ -82,14 +112,17 @@ def _local_folder(application: str) -> str:
     return tempfile.mkdtemp(prefix=f"learnertrace-{application}-")
 
 
-def written(frame: DataFrame, *partitions: str) -> DataFrame:
+def written(frame: DataFrame, *partitions: str, used: list[str] | None = None) -> DataFrame:
     """Write `frame` as a table in the shared folder and read it back.
 
     What follows starts from the files, so it neither repeats the work before
-    nor depends on the executors that did it.
+    nor depends on the executors that did it. The table's path is added to `used`,
+    for a caller that removes it when done.
     """
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    if used is not None:
+        used.append(path)
     rebalanced = frame.hint("rebalance", *partitions) if partitions else frame
     rebalanced.write.partitionBy(*partitions).parquet(path)
     return spark.read.schema(frame.schema).parquet(path).select(*frame.columns)

@@ -27,8 +27,26 @@ def features(spark):
 
 
 def test_histogram(features):
-    counts = dict(cohort.dropout_histogram(features).collect())
+    assert dict(cohort.dropout_histogram(features).collect()) == {0: 0, 1: 1, 2: 1}
+    counts = dict(cohort.dropout_histogram(features, last_week=15).collect())
     assert len(counts) == 16 and counts[1] == 1 and counts[15] == 1 and sum(counts.values()) == 2
+    assert dict(cohort.dropout_histogram(features, last_week=1).collect()) == {0: 0, 1: 2}
+
+
+def test_every_learner_of_a_long_course_is_in_a_bin(spark):
+    rows = long(spark, *[(1, u, w, float(w < end)) for u, end in (("u", 3), ("v", 17), ("w", 99))
+                         for w in range(20)])
+    counts = dict(cohort.dropout_histogram(rows).collect())
+    assert len(counts) == 21 and {w for w, n in counts.items() if n} == {3, 17, 20}
+
+
+def test_labels_apart_from_features(features):
+    apart = features.filter("feature_id <> 1")
+    labels = features.filter("feature_id = 1")
+    assert as_set(cohort.wide_features(apart, IDS, labels=labels)) == as_set(cohort.wide_features(features, IDS))
+    assert as_set(cohort.wide_features(features, IDS, labels=labels)) == as_set(
+        cohort.wide_features(features, IDS))
+    assert as_set(cohort.overall_coverage(cohort.wide_features(features, IDS), IDS)) == {(2, 2), (3, 1)}
 
 
 def test_wide(features):

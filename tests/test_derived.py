@@ -37,8 +37,10 @@ def test_change_of_length_needs_more_than_five_posts(spark, make_course):
 def test_progress_over_earlier_weeks(spark, make_course):
     features = rows(spark, (204, "u", 0, 1.0), (204, "u", 1, 0.5), (204, "u", 3, 0.0),
                     (204, "v", 2, 1.0), (204, "u", 14, 1.0), (206, "u", 0, 9.0))
-    assert weekly(derived.progress(make_course(weeks=20), features, 205)) == {
-        ("u", 1): -0.5, ("u", 3): -0.75, ("v", 2): None}
+    every = {("u", 1): -0.5, ("u", 3): -0.75, ("v", 2): None, ("u", 14): 0.5}
+    assert weekly(derived.progress(make_course(weeks=20), features, 205)) == every
+    del every["u", 14]
+    assert weekly(derived.progress(make_course(weeks=20), features, 205, last_week=13)) == every
 
 
 def test_percentile_of_ties(spark, make_course):

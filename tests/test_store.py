@@ -4,7 +4,9 @@ import warnings
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
+from learnertrace.functions.weeks import by_week
 from learnertrace.plans.catalog import CATALOG, feature_info, select
 from learnertrace.plans.features import BASE, derive, features, needed, populate
 from learnertrace.sources.course import Course, from_catalog, from_files
@@ -64,6 +66,60 @@ def test_run_equals_the_plans(spark, tmp_path):
     assert store.read("user_long_feature").count() == before + second.count()
 
 
+def test_selection_brings_in_what_it_needs(spark, tmp_path):
+    course = driver_course(spark, FOLDER)
+    store = FeatureStore(spark, str(tmp_path))
+    assert populate(course, store, only=[10, 110, 712]) == [10, 110, 712]
+    for table in ("user_long_feature", "user_feature"):
+        planned = features(course, table=table, only=[10, 110, 712])
+        assert rounded(store.read(table)) == rounded(planned) and planned.count()
+
+
+def test_an_empty_rewrite_leaves_no_stale_rows(spark, tmp_path):
+    store = FeatureStore(spark, str(tmp_path))
+    rows = spark.createDataFrame([(i, "u", 0, 1.0, at(0)) for i in (2, 3)], OUTPUT["user_long_feature"])
+    store.append("user_long_feature", rows, [2, 3], "2024-01-01 00:00:00")
+    store.append("user_long_feature", rows.filter("feature_id = 9"), [2], "2024-01-01 00:00:00")
+    assert as_set(store.read("user_long_feature")) == as_set(rows.filter("feature_id = 3"))
+    store.append("user_long_feature", rows.filter("feature_id = 9"), [3], "2024-02-01 00:00:00")
+    assert store.read("user_long_feature").count() == 1
+
+
+@pytest.mark.parametrize("start", ["2024-01-01 00:00:00", "2024-09-02 00:00:00"])
+def test_a_course_ends_by_elapsed_weeks(spark, start):
+    """Across a change of clocks the last week is whole, and no week follows it."""
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        course = Course({}, start, 15, "2025-01-01 00:00:00")
+        ticks = spark.range(15 * 7 * 24 * 2 + 96).select(F.timestamp_seconds(
+            F.unix_timestamp(course.start_time) + (F.col("id") - 48) * 1800).alias("t"))
+        weeks = by_week(course, ticks, "t").groupBy("feature_week").count().collect()
+        assert {r.feature_week: r["count"] for r in weeks} == {w: 336 for w in range(15)}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_files_of_other_types_are_cast(spark, tmp_path):
+    frame = spark.createDataFrame([(1, 7, at(5), 2, 1, 9)], "observed_event_id INT, user_id LONG, "
+                                  "observed_event_timestamp TIMESTAMP, observed_event_duration INT, "
+                                  "validity LONG, url_id INT")
+    frame.write.parquet(f"{tmp_path}/observed_events")
+    course = from_files(spark, str(tmp_path), "2024-01-01 00:00:00", 5, "2024-02-01 00:00:00")
+    assert course.observed_events.first().user_id == "7"
+    assert course.observed_events.schema == spark.createDataFrame([], ACTIVITY["observed_events"]).schema
+
+
+def test_the_test_course_uses_its_tables(spark):
+    for folder in (FOLDER, "/root/testdata/sf0.01"):
+        course = driver_course(spark, folder)
+        documents = spark.read.parquet(f"{folder}/documents.parquet")
+        assert course.collaborations.select("collaboration_content").distinct().count() == documents.select(
+            "text").distinct().count()
+        parts = course.problems.count()
+        reached = course.submissions.join(course.problems, "problem_id").select("problem_id").distinct().count()
+        assert reached >= 0.9 * parts
+
+
 def test_reading_one_feature_opens_only_its_files(spark, tmp_path):
     store = FeatureStore(spark, str(tmp_path))
     rows = spark.createDataFrame(
