@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from itertools import product
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark import inheritable_thread_target
+from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     LinearSVC,
@@ -12,15 +15,13 @@ from pyspark.ml.classification import (
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import PolynomialExpansion, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from learnertrace.operators import cohort, evaluation
-from learnertrace.sources.store import written
+from learnertrace.sources.store import dropped, hadoop_path, written
 
 # The features the weekly models use.
 MODEL_FEATURES = (2, 3, 6, 7, 8, 15, 16, 208, 209, 210)
@@ -28,11 +29,13 @@ MODEL_FEATURES = (2, 3, 6, 7, 8, 15, 16, 208, 209, 210)
 COLUMNS = {"featuresCol": "features", "labelCol": "label"}
 
 # The values tried for each model. `penalty` is the inverse weight
-# of the regularisation, as opposed to Spark's regParam.
+# of the regularisation, as opposed to Spark's regParam; `degree` that of a polynomial kernel,
+# 1 for a linear one.
 GRIDS: dict[str, dict[str, list]] = {
     "logistic_regression": {"penalty": [1, 10, 100, 1000, 10000], "fitIntercept": [True, False]},
-    "svm": {"penalty": [1, 10, 100, 1000]},
-    "decision_tree": {"impurity": ["gini", "entropy"]},
+    "svm": {"penalty": [1, 10, 100, 1000], "degree": [1, 3, 4, 5]},
+    "decision_tree": {"impurity": ["gini", "entropy"],
+                      "featureSubsetStrategy": ["sqrt", "log2", "all"]},
     "random_forest": {
         "numTrees": [10, 20, 30], "impurity": ["gini", "entropy"],
         "featureSubsetStrategy": ["sqrt", "log2", "all"], "bootstrap": [True, False],
@@ -40,86 +43,145 @@ GRIDS: dict[str, dict[str, list]] = {
     "neural_network": {"solver": ["l-bfgs", "gd"]},
 }
 
+#: Rows of a week that one partition holds while its models are fitted.
+ROWS_PER_PART = 50_000
 
-def estimator(model: str, n_features: int, seed: int = 19) -> Estimator:
+
+def estimator(model: str, n_features: int, seed: int = 19, **settings) -> Estimator:
+    """A classifier. A tree that looks at some features per split is a forest of one tree."""
     if model == "logistic_regression":
-        return LogisticRegression(standardization=False, **COLUMNS)
-    if model == "svm":
-        return LinearSVC(standardization=False, **COLUMNS)
-    if model == "decision_tree":
-        return DecisionTreeClassifier(seed=seed, **COLUMNS)
-    if model == "random_forest":
-        return RandomForestClassifier(seed=seed, **COLUMNS)
-    if model == "neural_network":
-        return MultilayerPerceptronClassifier(layers=[n_features, 100, 2], seed=seed, **COLUMNS)
-    raise ValueError(f"unknown model {model!r}; known are {sorted(GRIDS)}")
+        stage = LogisticRegression(standardization=False, **COLUMNS)
+    elif model == "svm":
+        stage = LinearSVC(standardization=False, **COLUMNS)
+    elif model == "decision_tree" and settings.get("featureSubsetStrategy", "all") != "all":
+        stage = RandomForestClassifier(numTrees=1, bootstrap=False, seed=seed, **COLUMNS)
+    elif model == "decision_tree":
+        settings.pop("featureSubsetStrategy", None)
+        stage = DecisionTreeClassifier(seed=seed, **COLUMNS)
+    elif model == "random_forest":
+        stage = RandomForestClassifier(seed=seed, **COLUMNS)
+    elif model == "neural_network":
+        stage = MultilayerPerceptronClassifier(layers=[n_features, 100, 2], seed=seed, **COLUMNS)
+    else:
+        raise ValueError(f"unknown model {model!r}; known are {sorted(GRIDS)}")
+    return stage.copy({stage.getParam(name): value for name, value in settings.items()})
+
+
+def choices(grid: Mapping[str, list]) -> list[dict]:
+    """Every combination of a grid's values."""
+    return [dict(zip(grid, values)) for values in product(*grid.values())]
+
+
+def _fit(rows: DataFrame, n: int, n_features: int, model: str, choice: Mapping, seed: int) -> list[Transformer]:
+    """Stages fitted on `rows` (features, label), of which there are `n`.
+
+    Spark divides the loss by the number of rows and multiplies the penalty, so
+    an inverse weight of c becomes 1 / (c * n).
+    """
+    settings, stages = dict(choice), []
+    if "penalty" in settings:
+        settings["regParam"] = 1.0 / (settings.pop("penalty") * max(n, 1))
+    if settings.pop("degree", 1) > 1:
+        stages.append(PolynomialExpansion(degree=choice["degree"], inputCol="features", outputCol="powers"))
+        settings["featuresCol"] = "powers"
+        rows = stages[0].transform(rows)
+    return [*stages, estimator(model, n_features, seed, **settings).fit(rows)]
+
+
+def _margin_to_probability(rows: DataFrame) -> list[Transformer]:
+    """Stages that turn the margin of a support vector machine into the probability of class
+    1, a sigmoid fitted on the scored rows."""
+    slicer = VectorSlicer(inputCol="rawPrediction", outputCol="margin", indices=[1])
+    curve = LogisticRegression(featuresCol="margin", labelCol="label", rawPredictionCol="margin_raw",
+                               predictionCol="margin_prediction")
+    return [slicer, curve.fit(slicer.transform(rows))]
 
 
 def fit_weekly(
     training: DataFrame, ids: Sequence[int], model: str = "logistic_regression",
-    grid: Mapping[str, list] | None = None, folds: int = 3, parallelism: int = 4, seed: int = 19,
+    grid: Mapping[str, list] | None = None, folds: int = 3, parallelism: int = 8, seed: int = 19,
 ) -> dict[int, PipelineModel]:
     """One classifier per `model_week`, chosen by cross-validated accuracy over `grid`.
 
     `training` is what `cohort.training_rows` gives. It is written out once,
-    split by model week; each fit then reads its own part, in as many passes as
-    it needs. Weeks with one class only have nothing to learn and are left out.
-    A grid with a single choice is fitted directly.
+    split by model week, and removed when done; each week then reads its own part once and
+    keeps it for all its fits. A learner's fold is a hash of the learner, so a rerun has the
+    same folds; a choice's accuracy is the mean over folds that have rows to fit and to judge. Weeks
+    with one class only have nothing to learn and are left out. A grid with a single choice is
+    fitted directly.
     """
-    grid = GRIDS[model] if grid is None else grid
-    training = written(training, "model_week")
+    tried, used = choices(GRIDS[model] if grid is None else grid), []
+    training = written(training, "model_week", used=used)
+    fold = F.pmod(F.xxhash64("user_id", F.lit(seed)), F.lit(folds)).cast("int")
     # One row per course week.
     weeks = (
         training.groupBy("model_week")
-        .agg(F.count(F.lit(1)).alias("n"), F.count_distinct("label").alias("classes"))
+        .agg(F.count(F.lit(1)).alias("n"), F.count_distinct("label").alias("classes"),
+             *[F.count_if(fold == k).alias(f"n{k}") for k in range(folds)])
         .filter("classes > 1").orderBy("model_week").collect()
     )
     assembler = VectorAssembler(inputCols=cohort.names(ids), outputCol="features")
-    models = {}
-    for week in weeks:
-        rows = training.filter(F.col("model_week") == week["model_week"])
-        stage = estimator(model, len(ids), seed)
-        choices = _choices(stage, grid, week["n"])
-        if len(choices) > 1:
-            stage = CrossValidator(
-                estimator=stage, estimatorParamMaps=choices, numFolds=folds, seed=seed,
-                parallelism=parallelism,
-                evaluator=MulticlassClassificationEvaluator(metricName="accuracy"))
-            fitted = Pipeline(stages=[assembler, stage]).fit(rows)
-            fitted = PipelineModel([fitted.stages[0], fitted.stages[1].bestModel])
-        else:
-            fitted = Pipeline(stages=[assembler, stage.copy(choices[0])]).fit(rows)
-        models[week["model_week"]] = fitted
-    return models
-
-
-def _choices(stage: Estimator, grid: Mapping[str, list], n: int) -> list:
-    """Parameter maps of the grid.
+    threaded = inheritable_thread_target(training.sparkSession)
 
-    Spark divides the loss by the number of rows and multiplies the penalty, so
-    an inverse weight of c becomes 1 / (c * n).
-    """
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        if name == "penalty":
-            builder = builder.addGrid(stage.regParam, [1.0 / (c * n) for c in values])
-        else:
-            builder = builder.addGrid(stage.getParam(name), list(values))
-    return builder.build()
+    def fit_week(week) -> PipelineModel:
+        n = week["n"]
+        rows = assembler.transform(training.filter(F.col("model_week") == week["model_week"])).select(
+            "features", "label", fold.alias("fold")).coalesce(-(-n // ROWS_PER_PART)).persist()
+        sizes = [week[f"n{k}"] for k in range(folds)]
 
+        def judged(choice: Mapping, k: int) -> float | None:
+            if not 0 < sizes[k] < n:
+                return None
+            fitted = _fit(rows.filter(F.col("fold") != k), n - sizes[k], len(ids), model, choice, seed)
+            right = (F.col("prediction") == F.col("label")).cast("double")
+            return PipelineModel(fitted).transform(rows.filter(F.col("fold") == k)).agg(F.avg(right)).first()[0]
 
-def score(models: Mapping[int, PipelineModel], rows: DataFrame) -> DataFrame:
-    """Apply each week's model to the rows of that week.
+        def accuracy(choice: Mapping) -> float:
+            found = [x for x in (judged(choice, k) for k in range(folds)) if x is not None]
+            return sum(found) / max(len(found), 1)
 
-    The score is the probability of class 1, or the margin for a model without one.
-    """
+        try:
+            best = 0
+            if len(tried) > 1:
+                scores = list(inner.map(threaded(accuracy), tried))
+                best = scores.index(max(scores))
+            stages = _fit(rows, n, len(ids), model, tried[best], seed)
+            if model == "svm":
+                stages += _margin_to_probability(PipelineModel(stages).transform(rows))
+            return PipelineModel([assembler, *stages])
+        finally:
+            rows.unpersist()
+
+    try:
+        with ThreadPoolExecutor(parallelism) as inner, ThreadPoolExecutor(max(1, parallelism // 2)) as outer:
+            fitted = list(outer.map(threaded(fit_week), weeks))
+    finally:
+        dropped(training.sparkSession, *used)
+    return {week["model_week"]: pipeline for week, pipeline in zip(weeks, fitted)}
+
+
+def save_models(models: Mapping[int, PipelineModel], folder: str) -> None:
+    """Store weekly models, one folder each; what is there of other weeks stays."""
+    for week, model in models.items():
+        model.write().overwrite().save(f"{folder.rstrip('/')}/week={week}")
+
+
+def load_models(spark: SparkSession, folder: str) -> dict[int, PipelineModel]:
+    """The weekly models stored in a folder."""
+    files, root = hadoop_path(spark, folder)
+    names = sorted(x.getPath().getName() for x in files.listStatus(root))
+    weeks = [int(name.removeprefix("week=")) for name in names if name.startswith("week=")]
+    return {w: PipelineModel.load(f"{folder.rstrip('/')}/week={w}") for w in sorted(weeks)}
+
+
+def score(models: Mapping[int, PipelineModel], rows: DataFrame) -> DataFrame:
+    """Apply each week's model to the rows of that week. The score is the probability of class 1."""
     parts = []
     for week, model in models.items():
         out = model.transform(rows.filter(F.col("feature_week") == week))
-        source = "probability" if "probability" in out.columns else "rawPrediction"
         parts.append(out.select(
             "user_id", "feature_week", "label",
-            vector_to_array(source)[1].alias("score"),
+            vector_to_array("probability")[1].alias("score"),
             F.col("prediction").cast("int").alias("prediction")))
     if not parts:
         raise ValueError("no week had enough learners of both classes")
@@ -131,7 +193,7 @@ def score(models: Mapping[int, PipelineModel], rows: DataFrame) -> DataFrame:
 
 def prepare(
     features: DataFrame, ids: Sequence[int], labels: DataFrame | None = None,
-    weeks_ahead: int = 1, last_week: int = 10, min_support: int = 3, min_users: int = 25,
+    weeks_ahead: int = 1, last_week: int | None = None, min_support: int = 3, min_users: int = 25,
     scaled: bool = True, test_fraction: float = 0.25, seed: int = 19,
 ) -> DataFrame:
     """Labelled, supported, scaled and split rows of all weeks that can be analysed.
@@ -139,7 +201,7 @@ def prepare(
     `labels` may give the rows of feature 1 on their own, which saves looking
     for them among all features.
     """
-    wide = cohort.wide_features(features, ids)
+    wide = cohort.wide_features(features, ids, labels=labels)
     rows = cohort.with_future_label(
         cohort.with_support(wide, ids, min_support), features if labels is None else labels,
         weeks_ahead, last_week)
@@ -150,11 +212,22 @@ def prepare(
     return cohort.with_split(rows, test_fraction, seed)
 
 
+def save_prepared(prepared: DataFrame, path: str) -> None:
+    """Store prepared rows, one folder per week, for `open_prepared`."""
+    prepared.hint("rebalance", "feature_week").write.mode("overwrite").partitionBy("feature_week").parquet(path)
+
+
+def open_prepared(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
 def train_and_score(
     prepared: DataFrame, ids: Sequence[int], model: str = "logistic_regression",
     grid: Mapping[str, list] | None = None, mode: str = "week",
 ) -> DataFrame:
-    """Fit per week and score the test rows."""
+    """Fit per week and score the test rows; in mode "all" no row is left to test with."""
+    if mode == "all":
+        raise ValueError('mode "all" trains on the test rows; use fit_weekly and transfer')
     prepared = written(prepared, "feature_week")
     models = fit_weekly(cohort.training_rows(prepared, mode), ids, model, grid)
     return score(models, prepared.filter("is_test"))
@@ -166,14 +239,18 @@ def transfer(models: Mapping[int, PipelineModel], other: DataFrame) -> DataFrame
 
 
 def ensemble(scores_a: DataFrame, scores_b: DataFrame,
-             weeks: tuple[int, int] = (3, 10)) -> DataFrame:
-    """Mean score of two models for the same rows, and the class it stands for."""
+             weeks: tuple[int, int] | None = None) -> DataFrame:
+    """Mean score of two models for the same rows, and the class it stands for.
+
+    `weeks` may give the first and last week to take; both scores are probabilities.
+    """
     keys = ["user_id", "feature_week"]
-    inside = F.col("feature_week").between(*weeks)
-    second = scores_b.filter(inside).select(*keys, F.col("score").alias("other"))
+    if weeks is not None:
+        scores_a = scores_a.filter(F.col("feature_week").between(*weeks))
+    second = scores_b.select(*keys, F.col("score").alias("other"))
     mean = (F.col("score") + F.col("other")) / 2
     return (
-        scores_a.filter(inside).join(second, keys)
+        scores_a.join(second, keys)
         .select(*keys, "label", mean.alias("score"),
                 F.when(mean > 0.5, 1).otherwise(0).alias("prediction"))
     )
@@ -197,3 +274,10 @@ def compare_models(
     for table in tables[1:]:
         metrics = metrics.unionByName(table)
     return metrics
+
+
+def model_totals(metrics: DataFrame) -> DataFrame:
+    """`compare_models` rows over all weeks: rows, share right, mean AUC where there is one."""
+    return metrics.groupBy("model").agg(
+        F.sum("n").alias("n"), (F.sum(F.col("accuracy") * F.col("n")) / F.sum("n")).alias("accuracy"),
+        F.avg(F.when(F.col("auc") != -1, F.col("auc"))).alias("mean_auc"))

@@ -1,10 +1,14 @@
 """Weekly classifiers on a rule that can be learned."""
 
+import math
+import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from learnertrace.operators import cohort, evaluation, models
+from learnertrace.operators import cohort, evaluation, models, report
+from learnertrace.sources.store import shared_folder
 
 IDS = [2, 3]
 
@@ -23,7 +27,7 @@ def prepared(spark):
 
 
 GRIDS = {"logistic_regression": {"penalty": [1, 100], "fitIntercept": [True, False]},
-         "svm": {"penalty": [10]}, "decision_tree": {"impurity": ["gini"]},
+         "svm": {"penalty": [10], "degree": [1, 3]}, "decision_tree": {"impurity": ["gini"], "featureSubsetStrategy": ["all", "sqrt"]},
          "random_forest": {"numTrees": [10], "bootstrap": [True]},
          "neural_network": {"solver": ["l-bfgs"]}}
 
@@ -33,6 +37,7 @@ def test_models_learn(prepared, model):
     scores = models.train_and_score(prepared, IDS, model, GRIDS[model])
     assert scores.columns == ["user_id", "feature_week", "label", "score", "prediction"]
     assert scores.count() == prepared.filter("is_test").count()
+    assert scores.filter("score NOT BETWEEN 0 AND 1").count() == 0
     assert evaluation.overall_accuracy(scores).first()["accuracy"] > 0.85
     assert evaluation.mean_auc(evaluation.auc(scores)).first()[0] > 0.9
 
@@ -50,18 +55,67 @@ def test_transfer_and_ensemble(prepared):
     assert evaluation.overall_accuracy(both).first()["accuracy"] > 0.85
 
 
-def test_grids_cover_every_setting(prepared):
-    stage = models.estimator("random_forest", 2)
-    assert len(models._choices(stage, models.GRIDS["random_forest"], 100)) == 36
-    stage = models.estimator("logistic_regression", 2)
-    choices = models._choices(stage, models.GRIDS["logistic_regression"], 50)
-    assert {c[stage.regParam] for c in choices} == {1 / (c * 50) for c in (1, 10, 100, 1000, 10000)}
+def test_grids_cover_every_setting():
+    sizes = {model: len(models.choices(grid)) for model, grid in models.GRIDS.items()}
+    assert sizes == {"logistic_regression": 10, "svm": 16, "decision_tree": 6, "random_forest": 36,
+                     "neural_network": 2}
+    for model, grid in models.GRIDS.items():
+        for choice in models.choices(grid):
+            settings = {k: v for k, v in choice.items() if k not in ("penalty", "degree")}
+            models.estimator(model, 2, **settings)
+
+
+def test_penalty_is_an_inverse_weight(prepared):
+    """The penalised gradient vanishes at the solution."""
+    rows = prepared.filter("feature_week = 3 AND NOT is_test").withColumn("model_week", F.col("feature_week"))
+    stage = models.fit_weekly(rows, IDS, "logistic_regression", {"penalty": [10]})[3].stages[-1]
+    weights, data = stage.coefficients.toArray(), rows.select("f2", "f3", "label").collect()
+    for k, name in enumerate(("f2", "f3")):
+        slope = sum((1 / (1 + math.exp(-(weights @ [r.f2, r.f3] + stage.intercept))) - r.label) * r[name]
+                    for r in data)
+        assert abs(slope + weights[k] / 10) < 0.05
+
+
+def test_models_and_rows_are_stored(spark, prepared, tmp_path):
+    fitted = models.fit_weekly(cohort.training_rows(prepared), IDS, "svm", {"penalty": [1]})
+    models.save_models(fitted, str(tmp_path / "m"))
+    models.save_prepared(prepared, str(tmp_path / "p"))
+    again = models.load_models(spark, str(tmp_path / "m"))
+    rows = models.open_prepared(spark, str(tmp_path / "p"))
+    assert sorted(again) == [3, 4] and rows.count() == prepared.count()
+    first = {(r.user_id, r.feature_week): r.score for r in models.transfer(fitted, prepared).collect()}
+    assert first == {(r.user_id, r.feature_week): r.score for r in models.transfer(again, rows).collect()}
+
+
+def test_no_table_is_left_behind(spark, prepared, tmp_path):
+    before = set(os.listdir(shared_folder(spark)))
+    models.fit_weekly(cohort.training_rows(prepared), IDS, "decision_tree", {"impurity": ["gini"]})
+    assert set(os.listdir(shared_folder(spark))) == before
+
+
+def test_training_on_all_rows_is_not_judged(prepared):
+    with pytest.raises(ValueError, match="transfer"):
+        models.train_and_score(prepared, IDS, mode="all")
+
+
+def test_report(prepared):
+    scores = models.train_and_score(prepared, IDS, "decision_tree", GRIDS["decision_tree"])
+    weekly, total = report.report(scores, prepared.drop("label"), IDS)
+    rows = {r.feature_week: r for r in weekly.collect()}
+    assert {w: r.predicted_week for w, r in rows.items()} == {3: 4, 4: 5}
+    assert all(r.c00 + r.c01 + r.c10 + r.c11 == r.test_users == r.correct + r.incorrect for r in rows.values())
+    assert all(r.users == r.users_f2 == 300 for r in rows.values())
+    assert total.first().test_users == scores.count() and total.first().mean_present == 2
 
 
 def test_comparison(prepared):
     table = models.compare_models(prepared, IDS, ["logistic_regression", "decision_tree"], GRIDS)
-    assert {(r.model, r.feature_week) for r in table.collect()} == {
+    rows = table.collect()
+    assert {(r.model, r.feature_week) for r in rows} == {
         (m, w) for m in ("logistic_regression", "decision_tree") for w in (3, 4)}
+    totals = {r.model: r for r in models.model_totals(table).collect()}
+    assert set(totals) == {r.model for r in rows}
+    assert totals["decision_tree"].n == sum(r.n for r in rows if r.model == "decision_tree")
 
 
 def test_one_class_week_is_left_out(spark):
