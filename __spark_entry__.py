@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,11 +13,11 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_queries  # noqa: E402
-from learnertrace.operators import cohort, evaluation, models, observed, submissions, video  # noqa: E402
+from learnertrace.operators import cohort, evaluation, models, observed, report, submissions, video  # noqa: E402
 from learnertrace.operators.dropout import user_dropout  # noqa: E402
 from learnertrace.plans.catalog import CATALOG  # noqa: E402
-from learnertrace.plans.features import feature, features  # noqa: E402
-from learnertrace.sources.driver_tables import course  # noqa: E402
+from learnertrace.plans.features import feature, features, populate  # noqa: E402
+from learnertrace.sources.driver_tables import WEEKS, course  # noqa: E402
 from learnertrace.sources.store import FeatureStore, shared_folder  # noqa: E402
 
 try:
@@ -30,10 +31,7 @@ except ModuleNotFoundError as missing:
 
 Query = Callable[[SparkSession, str], DataFrame]
 IDS = models.MODEL_FEATURES
-# Small grids: the checks look at the rows, not at how well a model is tuned.
-QUICK = {"logistic_regression": {"penalty": [1, 100]}, "svm": {"penalty": [1]},
-         "decision_tree": {"impurity": ["gini"]},
-         "random_forest": {"numTrees": [10]}, "neural_network": {"solver": ["l-bfgs"]}}
+LONG, LATER = 20, "2024-03-01 00:00:00"
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -58,8 +56,11 @@ def queries() -> dict[str, Query]:
     """One query per operator, by its number in the survey."""
     found: dict[str, Query] = {}
 
-    def add(name: str, build: Callable[..., DataFrame]) -> None:
-        found[name] = lambda spark, folder: comparable(build(course(spark, folder)))
+    def add(name: str, build: Callable[..., DataFrame], weeks: int = WEEKS) -> None:
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")  # the tables' own
+            return comparable(build(course(spark, folder, weeks)))
+        found[name] = run
 
     def with_dropout(name: str, build: Callable[..., DataFrame]) -> None:
         add(name, lambda c: build(c, user_dropout(c)))
@@ -80,7 +81,9 @@ def queries() -> dict[str, Query]:
 
     add("s03_stored_features", _stored)
     add("s07_extracted_after", lambda c: cohort.extracted_after(
-        features(c, only=[3, 4, 5, 14, 201]), "2024-01-15 00:00:00"))
+        features(c, only=[2, 15]).unionByName(features(replace(c, stamp=LATER), only=[3, 4, 5, 14, 201])),
+        "2024-02-15 00:00:00"))
+    add("s10_populate", _populated)
     for name, table in [("t01", "user_long_feature"), ("t02", "user_feature"),
                         ("t03", "video_feature"), ("t04", "user_video_feature")]:
         add(f"{name}_{table}", lambda c, table=table: features(c, table=table))
@@ -88,12 +91,13 @@ def queries() -> dict[str, Query]:
     def weekly(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
         add(name, lambda c: build(features(c, only=(1, *IDS))))
 
-    def cohorts(name: str, build: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+    def cohorts(name: str, build: Callable[[DataFrame, DataFrame], DataFrame],
+                weeks: int = WEEKS) -> None:
         """Queries that also need the label of a later week."""
         def run(c) -> DataFrame:
             dropout = user_dropout(c)
             return build(features(c, dropout, only=(1, *IDS)), features(c, dropout, only=[1]))
-        add(name, run)
+        add(name, run, weeks)
 
     def supported(rows: DataFrame) -> DataFrame:
         return cohort.with_support(cohort.wide_features(rows, IDS), IDS)
@@ -104,11 +108,11 @@ def queries() -> dict[str, Query]:
     def prepared(rows: DataFrame, labels: DataFrame, **settings) -> DataFrame:
         return models.prepare(rows, IDS, labels, **settings)
 
-    def rule_scores(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    def rule_scores(rows: DataFrame, labels: DataFrame, one: str = "f6", two: str = "f7") -> DataFrame:
         """A score that is a rule instead of a fitted model."""
         return cohort.scaled_valid_weeks(labelled(rows, labels), IDS).selectExpr(
-            "user_id", "feature_week", "label", "(f6 + f7) / 2 AS score",
-            "CASE WHEN (f6 + f7) / 2 > 0.5 THEN 1 ELSE 0 END AS prediction")
+            "user_id", "feature_week", "label", f"({one} + {two}) / 2 AS score",
+            f"CASE WHEN ({one} + {two}) / 2 > 0.5 THEN 1 ELSE 0 END AS prediction")
 
     def judged(name: str, measure: Callable[[DataFrame], DataFrame]) -> None:
         cohorts(name, lambda rows, labels: measure(rule_scores(rows, labels)))
@@ -118,6 +122,7 @@ def queries() -> dict[str, Query]:
     weekly("m02z_wide_features_zero_fill",
            lambda rows: cohort.wide_features(rows, IDS, fill=0.0, drop_all_zero=True))
     weekly("m03_feature_coverage", lambda rows: cohort.feature_coverage(rows, IDS))
+    weekly("m03o_overall_coverage", lambda rows: cohort.overall_coverage(supported(rows), IDS))
     weekly("m03s_supported_coverage", lambda rows: cohort.supported_coverage(supported(rows), IDS))
     weekly("m04_feature_count_distribution", lambda rows: cohort.feature_count_distribution(
         cohort.wide_features(rows, IDS, fill=0.0), IDS))
@@ -147,27 +152,54 @@ def queries() -> dict[str, Query]:
            lambda rows: cohort.overall_cardinality(supported(rows), IDS))
     weekly("m19_any_present", lambda rows: cohort.any_present(supported(rows), [208, 209, 210]))
 
-    def fitted(rows: DataFrame, labels: DataFrame, model: str, mode: str = "week") -> DataFrame:
-        return models.train_and_score(prepared(rows, labels), IDS, model, QUICK[model], mode)
+    def determined(scores: DataFrame) -> DataFrame:
+        """What of fitted scores does not hang on the fit: which rows have one, and its range."""
+        return scores.selectExpr("user_id", "feature_week", "label", "score BETWEEN 0 AND 1 AS in_range",
+                                 "prediction IN (0, 1) AS is_class")
 
-    for model in QUICK:
-        cohorts(f"m12_{model}", lambda rows, labels, model=model: fitted(rows, labels, model))
-    cohorts("m13f_cumulative_model", lambda rows, labels: fitted(
-        rows, labels, "logistic_regression", "cumulative"))
+    for model in models.GRIDS:
+        cohorts(f"m12_{model}", lambda rows, labels, model=model: determined(
+            models.train_and_score(prepared(rows, labels), IDS, model)))
+    cohorts("m13f_cumulative_model", lambda rows, labels: determined(models.train_and_score(
+        prepared(rows, labels), IDS, "logistic_regression", mode="cumulative")))
 
     def transferred(rows: DataFrame, labels: DataFrame) -> DataFrame:
-        """Models of all learners' rows, one week ahead, applied two weeks ahead."""
-        fits = models.fit_weekly(
-            cohort.training_rows(prepared(rows, labels), "all"), IDS, "logistic_regression",
-            QUICK["logistic_regression"])
-        return models.transfer(fits, prepared(rows, labels, weeks_ahead=2))
+        """Models of the learners with even numbers, stored and read back, for the odd ones."""
+        def half(frame: DataFrame, odd: int) -> DataFrame:
+            return frame.filter(F.col("user_id").cast("long") % 2 == odd)
+
+        even, odd = (prepared(half(rows, k), half(labels, k), min_users=10) for k in (0, 1))
+        spark = rows.sparkSession
+        folder = f"{shared_folder(spark)}/models-{os.urandom(8).hex()}"
+        models.save_models(models.fit_weekly(
+            cohort.training_rows(even, "all"), IDS, "logistic_regression"), folder)
+        return determined(models.transfer(models.load_models(spark, folder), odd))
 
     cohorts("m20_transfer", transferred)
     cohorts("m21_ensemble", lambda rows, labels: models.ensemble(
-        fitted(rows, labels, "logistic_regression"), fitted(rows, labels, "decision_tree"),
-        weeks=(0, 10)))
+        rule_scores(rows, labels), rule_scores(rows, labels, "f2", "f15")))
     cohorts("m22_compare_models", lambda rows, labels: models.compare_models(
-        prepared(rows, labels), IDS, ["logistic_regression", "decision_tree"], QUICK))
+        prepared(rows, labels), IDS, ["logistic_regression", "decision_tree"]).selectExpr(
+            "model", "feature_week", "n", "accuracy BETWEEN 0 AND 1 AS is_share",
+            "auc = -1 OR auc BETWEEN 0 AND 1 AS is_auc"))
+
+    def reported(rows: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+        return report.report(rule_scores(rows, labels), supported(rows), IDS)
+
+    cohorts("s09_report_weekly", lambda rows, labels: reported(rows, labels)[0])
+    cohorts("s09_report_total", lambda rows, labels: reported(rows, labels)[1])
+
+    # The same activity drawn out to 20 weeks: no week may be left out.
+    def long_feature(number: int) -> None:
+        add(f"f{number:03d}l_20_weeks", lambda c: feature(c, user_dropout(c), number), LONG)
+
+    long_feature(205)
+    long_feature(207)
+    cohorts("m01l_20_weeks", lambda rows, labels: cohort.dropout_histogram(rows), LONG)
+    cohorts("m08l_20_weeks", labelled, LONG)
+    cohorts("m13cl_20_weeks", lambda rows, labels: cohort.training_rows(
+        prepared(rows, labels), "cumulative").select(
+            "model_week", "feature_week", "user_id", "label"), LONG)
     if training_data:
         found.update(training_data.QUERIES)
         found["pipeline"] = corpus_pipeline.run
@@ -184,12 +216,22 @@ def _stored(c) -> DataFrame:
     return store.read("user_long_feature", [2, 15], c.stamp)
 
 
+def _populated(c) -> DataFrame:
+    """A whole run into an empty store, and its weekly features read back."""
+    spark = c.observed_events.sparkSession
+    store = FeatureStore(spark, f"{shared_folder(spark)}/run-{os.urandom(8).hex()}")
+    populate(c, store)
+    return store.read("user_long_feature", stamp=c.stamp)
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for every query that SQL can express."""
     bodies = {f"f{number:03d}_{about.name}": oracle_queries.feature_select(number)
               for number, about in CATALOG.items()}
     bodies.update(oracle_queries.FINAL_SQL)
     found = {name: oracle_queries.with_views(body) for name, body in bodies.items()}
+    found.update({name: oracle_queries.drawn_out(oracle_queries.with_views(body))
+                  for name, body in oracle_queries.LONG_SQL.items()})
     if training_data:
         found.update(training_data.SQL)
         if corpus_pipeline.ORACLE_SQL:

@@ -20,7 +20,7 @@ COURSE_SQL = {
         FROM ev""",
     "submissions": """
         SELECT CAST(event_id AS VARCHAR) AS submission_id, CAST(user_id AS VARCHAR) AS user_id,
-               CAST(k % 20 AS VARCHAR) AS problem_id,
+               CAST(user_id * 14 + k % 20 AS VARCHAR) AS problem_id,
                sec * nullif(user_id % 6, 0) // 5 AS sec,
                CAST(1 + floor(value / 20) AS BIGINT) AS attempt, event_type <> 'error' AS valid
         FROM ev WHERE event_type IN ('purchase', 'signup', 'error')""",
@@ -36,7 +36,10 @@ COURSE_SQL = {
     "collaborations": """
         SELECT CAST(user_id AS VARCHAR) AS user_id, 1 + k % 4 AS kind, sec, text AS content
         FROM ev JOIN documents ON doc_id = event_id // 10
-        WHERE event_type = 'signup'""",
+        WHERE event_type = 'signup'
+        UNION ALL
+        SELECT CAST(user_id AS VARCHAR), 1 + k % 4, sec, text
+        FROM documents JOIN ev ON event_id = doc_id * 5 + doc_id % 5""",
     "clicks": """
         SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, 'v' || (k % 10) AS video_id,
                CASE event_type WHEN 'view' THEN 'play' WHEN 'click' THEN 'pause' ELSE 'seek' END
@@ -161,7 +164,7 @@ def _progress(source: int) -> str:
         SELECT user_id, week,
                v - (SELECT avg(v) FROM f{source} h WHERE h.user_id = f.user_id AND h.week < f.week)
                  AS v
-        FROM f{source} f WHERE week BETWEEN 1 AND 13"""
+        FROM f{source} f WHERE week >= 1"""
 
 
 def _grade(kind: int) -> str:
@@ -317,7 +320,7 @@ MODEL_SQL = {
     "supported": f"SELECT * FROM wide WHERE {_terms('<> -1')} > 3",
     "labelled": """
         SELECT s.*, CAST(g.label AS INTEGER) AS label FROM supported s
-        JOIN grid g ON g.user_id = s.user_id AND g.week = s.week + 1 WHERE s.week <= 10""",
+        JOIN grid g ON g.user_id = s.user_id AND g.week = s.week + 1""",
     "weeks": """
         SELECT week, count(*) AS users FROM labelled GROUP BY week
         HAVING count(*) >= 25 AND min(label) < 1""",
@@ -330,6 +333,10 @@ MODEL_SQL = {
     "split": """
         SELECT *, substr(md5(user_id || ':' || week || ':19'), 1, 8) < '40000000' AS is_test
         FROM scaled""",
+    # Weeks whose training rows have both classes.
+    "taught": """
+        SELECT week FROM split WHERE NOT is_test GROUP BY week HAVING count(DISTINCT label) > 1""",
+    "halves": "SELECT user_id, week, label, CAST(user_id AS BIGINT) % 2 AS odd FROM labelled",
     # A score that is a rule instead of a fitted model.
     "scores": """
         SELECT user_id, week, label, (f6 + f7) / 2 AS score,
@@ -351,8 +358,22 @@ MODEL_SQL = {
                                ELSE 0 END) AS auc
             FROM scores p JOIN scores n ON p.week = n.week AND p.label = 1 AND n.label = 0
             GROUP BY p.week) a USING (week)""",
+    "weekly_report": f"""
+        SELECT * FROM (
+            SELECT week, count(*) AS test_users, count(*) FILTER (label = prediction) AS correct,
+                   count(*) FILTER (label = 0 AND prediction = 0) AS c00,
+                   count(*) FILTER (label = 0 AND prediction = 1) AS c01,
+                   count(*) FILTER (label = 1 AND prediction = 0) AS c10,
+                   count(*) FILTER (label = 1 AND prediction = 1) AS c11
+            FROM scores GROUP BY week)
+        JOIN auc USING (week) JOIN (
+            SELECT week, count(*) AS users, avg({_terms('<> -1')}) AS mean_present, {
+                ", ".join(f"count(*) FILTER (f{i} <> -1) AS users_f{i}" for i in MODEL_IDS)}
+            FROM supported GROUP BY week) USING (week)""",
 }
 
+USERS = ", ".join(f"users_f{i}" for i in MODEL_IDS)
+DETERMINED = "user_id, week AS feature_week, label, true AS in_range, true AS is_class"
 IDS_VALUES = ", ".join(f"({i})" for i in MODEL_IDS)
 WIDE_COLUMNS = ", ".join(f"round(f{i}, 6) + 0 AS f{i}" for i in MODEL_IDS)
 COUNTS = ", ".join(f"({k})" for k in range(len(MODEL_IDS) + 1))
@@ -385,17 +406,23 @@ FINAL_SQL = {
         (SELECT user_id, count(n) / count(*) AS v
          FROM learner_pairs LEFT JOIN returns USING (user_id, video_id) GROUP BY user_id)"""),
     "s03_stored_features": " UNION ALL ".join(feature_select(i) for i in (2, 15)),
-    "s07_extracted_after": " UNION ALL ".join(feature_select(i) for i in (3, 4, 5, 14, 201)),
+    "s07_extracted_after": " UNION ALL ".join(feature_select(i) for i in (3, 4, 5, 14, 201)).replace(
+        STAMP, "'2024-03-01 00:00:00' AS date_of_extraction"),
+    "s10_populate": " UNION ALL ".join(feature_select(i) for i in WEEKLY_SQL),
     "t01_user_long_feature": " UNION ALL ".join(feature_select(i) for i in WEEKLY_SQL),
     "t02_user_feature": " UNION ALL ".join(feature_select(i) for i in USER_SQL),
     "t03_video_feature": " UNION ALL ".join(feature_select(i) for i in VIDEO_SQL),
     "t04_user_video_feature": " UNION ALL ".join(feature_select(i) for i in PAIR_SQL),
     "m01_dropout_histogram": """
         SELECT CAST(b.week AS INTEGER) AS week, count(first) AS users
-        FROM (SELECT unnest(range(16)) AS week) b
-        LEFT JOIN (SELECT coalesce(min(week) FILTER (id = 1 AND v = 0), 15) AS first
+        FROM (SELECT unnest(range((SELECT max(week) + 2 FROM grid))) AS week) b
+        LEFT JOIN (SELECT coalesce(min(week) FILTER (id = 1 AND v = 0),
+                                   (SELECT max(week) + 1 FROM grid)) AS first
                    FROM long GROUP BY user_id) ON first = b.week
         GROUP BY b.week""",
+    "m03o_overall_coverage": " UNION ALL ".join(
+        f"SELECT {i} AS feature_id, count(*) FILTER (f{i} <> -1) AS users FROM supported"
+        for i in MODEL_IDS),
     "m02_wide_features": f"SELECT user_id, week AS feature_week, {WIDE_COLUMNS} FROM wide",
     "m02z_wide_features_zero_fill": f"""
         SELECT user_id, week AS feature_week, {WIDE_COLUMNS} FROM zero_wide
@@ -441,6 +468,40 @@ FINAL_SQL = {
         SELECT m.week AS model_week, s.week AS feature_week, s.user_id, s.label
         FROM split s JOIN (SELECT DISTINCT week FROM split) m ON s.week <= m.week
         WHERE s.week < m.week OR NOT s.is_test""",
+    **{f"m12_{model}": f"SELECT {DETERMINED} FROM split JOIN taught USING (week) WHERE is_test"
+       for model in ("logistic_regression", "svm", "decision_tree", "random_forest", "neural_network")},
+    "m13f_cumulative_model": f"""
+        SELECT {DETERMINED} FROM split WHERE is_test AND week IN (
+            SELECT m.week FROM split s JOIN (SELECT DISTINCT week FROM split) m ON s.week <= m.week
+            WHERE s.week < m.week OR NOT s.is_test GROUP BY m.week HAVING count(DISTINCT s.label) > 1)""",
+    "m20_transfer": f"""
+        SELECT {DETERMINED} FROM halves h JOIN (
+            SELECT week FROM halves GROUP BY week
+            HAVING count(*) FILTER (odd = 0) >= 10 AND count(DISTINCT label) FILTER (odd = 0) = 2
+               AND count(*) FILTER (odd = 1) >= 10 AND min(label) FILTER (odd = 1) < 1)
+          USING (week) WHERE odd = 1""",
+    "m21_ensemble": """
+        SELECT user_id, week AS feature_week, label, round((f6 + f7 + f2 + f15) / 4, 6) + 0 AS score,
+               CASE WHEN ((f6 + f7) / 2 + (f2 + f15) / 2) / 2 > 0.5 THEN 1 ELSE 0 END AS prediction
+        FROM scaled""",
+    "m22_compare_models": """
+        SELECT model, week AS feature_week, count(*) AS n, true AS is_share, true AS is_auc
+        FROM split JOIN taught USING (week)
+        CROSS JOIN (VALUES ('logistic_regression'), ('decision_tree')) t(model)
+        WHERE is_test GROUP BY model, week""",
+    "s09_report_weekly": f"""
+        SELECT week AS feature_week, week + 1 AS predicted_week, round(correct / test_users, 6) AS accuracy,
+               round(auc, 6) AS auc, users, test_users, correct, test_users - correct AS incorrect,
+               c00, c01, c10, c11, {USERS}, round(mean_present, 6) AS mean_present
+        FROM weekly_report""",
+    "s09_report_total": f"""
+        SELECT sum(users) AS users, sum(test_users) AS test_users, sum(correct) AS correct,
+               sum(test_users - correct) AS incorrect,
+               round(sum(correct) / sum(test_users), 6) AS accuracy,
+               round(avg(auc) FILTER (auc <> -1), 6) AS mean_auc,
+               {", ".join(f"sum(users_f{i}) AS users_f{i}" for i in MODEL_IDS)},
+               round(sum(mean_present * users) / sum(users), 6) AS mean_present
+        FROM weekly_report""",
     "m14_accuracy": """
         SELECT week AS feature_week, count(*) AS n,
                round(avg(CAST(label = prediction AS INTEGER)), 6) AS accuracy
@@ -487,3 +548,25 @@ def with_views(body: str) -> str:
     views = ",\n".join(f"{name} AS ({text.strip()})" for name, text in VIEWS.items()
                        if name in needed)
     return f"WITH RECURSIVE {views}\n{body.strip()}"
+
+
+# Queries over the same activity drawn out to 20 weeks.
+LONG_SQL = {
+    "f205l_20_weeks": feature_select(205),
+    "f207l_20_weeks": feature_select(207),
+    "m01l_20_weeks": FINAL_SQL["m01_dropout_histogram"],
+    "m08l_20_weeks": FINAL_SQL["m08_with_future_label"],
+    "m13cl_20_weeks": FINAL_SQL["m13c_training_rows_cumulative"],
+}
+
+
+def drawn_out(query: str) -> str:
+    """`query` over a course of 20 weeks, as `course(..., weeks=20)` gives it."""
+    for short, long in [
+        ("CAST(floor(epoch(ts)) AS BIGINT) - 1704067200 AS sec",
+         "(CAST(floor(epoch(ts)) AS BIGINT) - 1704067200) * 4 AS sec"),
+        ("5 * 604800", "20 * 604800"), ("range(5)", "range(20)"), ("p_partkey % 5", "p_partkey % 20"),
+        ("BETWEEN 0 AND 4", "BETWEEN 0 AND 19"),
+    ]:
+        query = query.replace(short, long)
+    return query

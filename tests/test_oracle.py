@@ -1,5 +1,8 @@
 """Every query with an SQL twin against DuckDB."""
 
+import os
+import re
+
 import pytest
 
 import __spark_entry__ as entry
@@ -14,7 +17,13 @@ def duck():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(SQL))
+# Whole grids take minutes each; the driver compares these too. ALL_QUERIES=1 runs them here.
+LONG_FITS = {"m12_logistic_regression", "m12_svm", "m12_random_forest", "m13f_cumulative_model",
+             "m20_transfer", "m22_compare_models"}
+NAMES = [n for n in sorted(SQL) if n not in LONG_FITS or os.environ.get("ALL_QUERIES")]
+
+
+@pytest.mark.parametrize("name", NAMES)
 def test_same_as_sql(spark, duck, name):
     assert difference(spark, duck, FOLDER, entry.queries()[name], SQL[name]) is None
 
@@ -22,10 +31,7 @@ def test_same_as_sql(spark, duck, name):
 def test_every_sql_has_a_query():
     queries = entry.queries()
     assert set(SQL) <= set(queries)
-    assert {n for n in queries if n not in SQL} == {
-        "m12_logistic_regression", "m12_svm", "m12_decision_tree", "m12_random_forest",
-        "m12_neural_network", "m13f_cumulative_model", "m20_transfer", "m21_ensemble",
-        "m22_compare_models"}
+    assert not [n for n in queries if n not in SQL and not re.match(r"op\d+_|pipeline$", n)]
 
 
 def test_entry(spark):
