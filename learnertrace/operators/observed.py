@@ -27,31 +27,37 @@ def time_spent(
 ) -> DataFrame:
     """Features 2, 15, 16, 17, 18: total and longest time, and time by kind of resource.
 
-    All of them come out of one scan and one aggregate. A url shown by several
-    resources counts once per resource, as a join to the resources would; here
-    that number is a multiplier on a table with one row per url, so events are
-    never duplicated.
+    All of them come out of one scan. A url shown by several resources counts once per
+    resource, as a join to the resources would; here that number is a multiplier on a table
+    with one row per url, so events are never duplicated. Events are summed per learner, week
+    and url before they meet that table, so a url with a third of all events (or events without
+    url) is a row per learner and week in the join.
     """
     ids = set(ids)
     duration = F.col("observed_event_duration")
     events = by_week(course, valid_events(course), "observed_event_timestamp")
+    keys = ["user_id", "feature_week"]
+    parts = [F.count(F.lit(1)).alias("events"), F.sum(duration).alias("total"),
+             F.max(duration).alias("longest")]
     sums, measures = [], []
     if 2 in ids or 15 in ids:
-        sums += [F.count(F.lit(1)).alias("events"), F.sum(duration).alias("total"),
-                 F.max(duration).alias("longest")]
         measures += [Measure(2, "total", "events"),
                      Measure(15, "longest", "events")]
+        sums = parts
     by_kind = {i: column for i, column in RESOURCE_FEATURES.items() if i in ids}
     if by_kind:
         wanted = resources_per_url(course).select("url_id", *by_kind.values())
         how = "left" if sums else "inner"
-        events = events.join(wanted, "url_id", how)
+        events = events.groupBy(*keys, "url_id").agg(*parts).join(wanted, "url_id", how)
+        if sums:
+            sums = [F.sum("events").alias("events"), F.sum("total").alias("total"),
+                    F.max("longest").alias("longest")]
         for feature_id, column in by_kind.items():
             shown = F.col(column)
-            sums += [F.sum(duration * shown).alias(f"total_{column}"),
-                     F.sum(shown).alias(f"events_{column}")]
+            sums += [F.sum(F.col("total") * shown).alias(f"total_{column}"),
+                     F.sum(F.col("events") * shown).alias(f"events_{column}")]
             measures.append(Measure(feature_id, f"total_{column}", f"events_{column}"))
-    weekly = events.groupBy("user_id", "feature_week").agg(*sums)
+    weekly = events.groupBy(*keys).agg(*sums)
     return feature_rows(course, TABLE, keep_eligible(weekly, dropout),
                         [m for m in measures if m.feature_id in ids])
 
@@ -125,7 +131,8 @@ def reaction_time(course: Course, dropout: DataFrame, unit: str = "seconds") ->
     """Feature 302: average time from the release of a resource to its use, in any week.
 
     Releases are summed per url first, so a url with many resources is one row
-    in the join and an event is never multiplied.
+    in the join and an event is never multiplied; events are summed per learner, week and
+    url before it.
     """
     release = seconds_since_start(course, F.col("resource_release_timestamp")).cast("double")
     released = (
@@ -136,12 +143,17 @@ def reaction_time(course: Course, dropout: DataFrame, unit: str = "seconds") ->
              F.coalesce(F.sum("release"), F.lit(0.0)).alias("releases"))
     )
     moment = seconds_since_start(course, F.col("observed_event_timestamp")).cast("double")
-    dated = F.when(F.col("observed_event_timestamp").isNotNull(), F.col("dated")).otherwise(0)
+    seen = (
+        valid_events(course)
+        .groupBy("user_id", week(course, F.col("observed_event_timestamp")).alias("feature_week"), "url_id")
+        .agg(F.count(F.lit(1)).alias("n"), F.count("observed_event_timestamp").alias("timed"),
+             F.sum(moment).alias("moments"))
+    )
     weekly = (
-        valid_events(course).join(released, "url_id")
-        .groupBy("user_id", week(course, F.col("observed_event_timestamp")).alias("feature_week"))
-        .agg(F.sum(moment * F.col("dated") - F.col("releases")).alias("waited"),
-             F.sum(dated).alias("uses"), F.sum("resources").alias("pairs"))
+        seen.join(released, "url_id").groupBy("user_id", "feature_week")
+        .agg(F.sum(F.col("moments") * F.col("dated") - F.col("timed") * F.col("releases")).alias("waited"),
+             F.sum(F.col("timed") * F.col("dated")).alias("uses"),
+             F.sum(F.col("n") * F.col("resources")).alias("pairs"))
     )
     average = f"try_divide(waited, uses * {REACTION_UNITS[unit]})"
     return feature_rows(course, TABLE, keep_eligible(weekly, dropout),

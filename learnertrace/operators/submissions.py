@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from learnertrace.functions.rows import Measure, feature_rows, keep_eligible
@@ -146,7 +146,8 @@ def grades(
 
     Counted in the week the problem belongs to, not the week of the submission.
     Lab grades are divided by the number of homework problems unless
-    `lab_denominator` says otherwise.
+    `lab_denominator` says otherwise. Submissions are counted per learner and problem before
+    they meet the problems.
     """
     ids = set(ids)
     wanted = [kind for feature, kind in ((204, HOMEWORK), (206, LAB)) if feature in ids]
@@ -159,6 +160,7 @@ def grades(
     weekly = (
         valid_submissions(course).select("submission_id", "user_id", "problem_id")
         .join(correct_assessments(course), "submission_id")
+        .groupBy("user_id", "problem_id").agg(F.sum("correct").alias("correct"))
         .join(problems.filter(kind.isin(*wanted)).select("problem_id", "problem_week", kind),
               "problem_id")
         .groupBy("user_id", "problem_week")
@@ -176,14 +178,23 @@ def grades(
 
 
 def time_before_deadline(course: Course, dropout: DataFrame) -> DataFrame:
-    """Feature 210: average seconds from deadline to submission, negative when early."""
-    late: Column = (F.unix_timestamp("submission_timestamp")
-                    - F.unix_timestamp("problem_hard_deadline"))
-    weekly = (
+    """Feature 210: average seconds from deadline to submission, negative when early.
+
+    Submissions are summed per learner, week and problem before they meet the deadlines.
+    """
+    tried = (
         by_week(course, valid_submissions(course), "submission_timestamp")
-        .join(course.problems.select("problem_id", "problem_hard_deadline"), "problem_id")
+        .groupBy("user_id", "feature_week", "problem_id")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.unix_timestamp("submission_timestamp")).alias("times"))
+    )
+    due = F.unix_timestamp("problem_hard_deadline")
+    weekly = (
+        tried.join(course.problems.select("problem_id", due.alias("due")), "problem_id")
         .groupBy("user_id", "feature_week")
-        .agg(F.avg(late).alias("late"), F.count(F.lit(1)).alias("submissions"))
+        .agg(F.sum(F.col("times") - F.col("n") * F.col("due")).alias("seconds"),
+             F.sum(F.when(F.col("due").isNotNull(), F.col("n"))).alias("dated"),
+             F.sum("n").alias("submissions"))
+        .withColumn("late", F.try_divide("seconds", "dated"))
     )
     return feature_rows(course, TABLE, keep_eligible(weekly, dropout),
                         [Measure(210, "late", "submissions")])

@@ -78,6 +78,18 @@ def test_activity_is_combined_before_it_is_shuffled(course, no_small_tables):
         assert re.search(r"Exchange hashpartitioning\(user_id#\d+, (feature_week|_grouping)", plan)
 
 
+@pytest.mark.parametrize("number, key", [(16, "url_id"), (302, "url_id"), (204, "problem_id"),
+                                         (210, "problem_id")])
+def test_activity_is_combined_before_it_meets_urls_and_problems(course, no_small_tables, number, key):
+    """What is shuffled to the join is already summed per learner and url or problem."""
+    lines = physical(feature(course, user_dropout(course), number)).splitlines()
+    dealt = [k for k, line in enumerate(lines) if re.search(rf"Exchange hashpartitioning\({key}#\d+L?, \d+\)", line)]
+    table = "observed_events" if key == "url_id" else "submissions"
+    below = [lines[k:next(j for j in range(k, len(lines)) if "FileScan" in lines[j]) + 1] for k in dealt]
+    own = [part for part in below if f"/{table}]" in part[-1] or f"{table}" in part[-1]]
+    assert own and all(any("partial_" in line for line in part) for part in own)
+
+
 def test_no_hint_without_a_bound(course, no_small_tables):
     """With automatic broadcasts off, just the bounded tables are still broadcast."""
     bounded = {16: 1, 17: 1, 18: 1, 202: 2, 203: 1, 204: 1, 205: 1, 206: 1, 207: 1}
