@@ -41,6 +41,9 @@ SEEDS = 4
 
 LEAF = 32
 
+#: Size of the filter that keeps texts outside blocks from being shuffled: 8 MB.
+FILTER_BITS = 1 << 26
+
 
 # --- sets of shingles -------------------------------------------------------------------
 
@@ -370,6 +373,24 @@ def _roots(done: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         [pa.array(np.concatenate([d[k] for d in done]), pa.int64()) for k in (0, 1)], names=["a", "b"])
 
 
+# --- texts of blocks ---------------------------------------------------------------------
+
+def likely_in(texts: DataFrame, wanted: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """Rows of `texts` whose text_hash may be one of `wanted`; none that is goes missing.
+
+    A bitmap with a bit for each text_hash modulo `bits` is broadcast, in rows of 4 KB; its
+    size does not depend on the data. When it fills up it only lets more rows pass.
+    """
+    at = F.pmod(F.col("text_hash"), F.lit(bits)) + 1
+    bitmap = wanted.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bitmap"))
+    position = F.bitmap_bit_position(at)
+    byte = F.conv(F.hex(F.substring("bitmap", (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.call_function("shiftright", byte, (position % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+    return texts.withColumn("bucket", F.bitmap_bucket_number(at)).join(
+        F.broadcast(bitmap), "bucket").filter(is_set).select(*texts.columns)
+
+
 # --- the join ---------------------------------------------------------------------------
 
 def _described(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
@@ -411,8 +432,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
         F.ceil(F.sum("n_shingles") / F.lit(block_shingles)).cast("int").alias("tiles"))
     wanted = written(sets.join(tiles, "root").select("text_hash", F.col("root").alias("block"), "tiles"))
     several = bool(wanted.filter("tiles > 1").head(1))
-    dealt = mapped(texts.select("text_hash", "text").join(wanted, "text_hash").select("block", "tiles", "text"),
-                   partial(_sets, words=words),
+    members = likely_in(texts.select("text_hash", "text"), wanted).join(wanted, "text_hash")
+    dealt = mapped(members.select("block", "tiles", "text"), partial(_sets, words=words),
                    "block long, tile int, other int, node long, found binary")
     at = ["block", "tile", "other"]
     found = mapped(dealt.repartition(*at).sortWithinPartitions(*at, "node"),

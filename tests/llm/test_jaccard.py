@@ -143,3 +143,12 @@ def test_components_of_chains_and_stars(spark):
     edges = [(k, k + 1) for k in range(100, 160)] + [(500, k) for k in range(501, 540)] + [(7, 3), (3, 7), (9, 9)]
     got = {r.node: r.root for r in jj.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{k: 100 for k in range(100, 161)}, **{k: 500 for k in range(500, 540)}, 3: 3, 7: 3}
+
+
+def test_filter_lets_all_wanted_pass(spark):
+    texts = spark.range(5000).selectExpr("xxhash64(id) AS text_hash", "id")
+    wanted = texts.filter("id % 7 = 0").select("text_hash")
+    for bits, most in ((1 << 26, 720), (1 << 12, 5000)):
+        got = {r.id for r in jj.likely_in(texts, wanted, bits).collect()}
+        assert {k for k in range(5000) if k % 7 == 0} <= got and len(got) <= most
+    assert jj.likely_in(texts, wanted.limit(0)).count() == 0
