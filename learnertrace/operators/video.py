@@ -191,8 +191,8 @@ TOTALS = {
 def pairs(course: Course, ids: Iterable[int] = tuple(NEEDS)) -> DataFrame:
     """Every (learner, video) pair with any click, and what the features need of it.
 
-    All of it comes from one pass over the play and pause clicks; a pair without
-    such clicks has 0 everywhere.
+    The totals come from one pass over the play and pause clicks, the pairs from a second
+    scan of all clicks; a pair without play or pause has 0 everywhere.
     """
     viewers = course.click_events.select(*PAIR).distinct()
     wanted = sorted({NEEDS[i] for i in ids if i in NEEDS})
