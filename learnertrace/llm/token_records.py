@@ -2,7 +2,8 @@
 
 A record is framed as in common record files: the payload's length as 8 bytes, a masked
 checksum of these, the payload, a masked checksum of it (all little-endian). The payload is a
-flag and the document's id, then the token ids as 4 bytes each. The checksum is CRC-32,
+flag, the document's id and the width of a token id, then the token ids: 2 bytes each where
+the vocabulary allows it, else 4. The checksum is CRC-32,
 rotated and shifted by a constant so that a checksum of data that holds checksums is sound.
 
 Documents are range-partitioned by id; each partition writes one shard, in order of id. A
@@ -20,6 +21,7 @@ import zlib
 from collections.abc import Iterator
 from functools import cache, partial
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyarrow import fs
@@ -34,10 +36,10 @@ READ = "shard int, record long, doc_id long, start long, n_tokens long, ids_crc3
 
 #: Fixed value of the masking rule.
 MASK = 0xA282EAD8
-HEAD, FOOT, NAME = struct.Struct("<QI"), struct.Struct("<I"), struct.Struct("<?q")
+HEAD, FOOT, NAME = struct.Struct("<QI"), struct.Struct("<I"), struct.Struct("<?qB")
 
 #: Distinct words whose ids a Python worker keeps, and the longest that it keeps.
-KEPT, KEPT_BYTES = 300_000, 48
+KEPT, KEPT_BYTES = 1_000_000, 48
 
 
 def masked(data: bytes) -> int:
@@ -72,6 +74,12 @@ def unframed(file) -> Iterator[bytes]:
         offset += HEAD.size + length + FOOT.size
 
 
+def contents(payload: bytes) -> tuple[int | None, np.ndarray]:
+    """The document's id and the token ids of a record."""
+    known, doc_id, width = NAME.unpack_from(payload)
+    return doc_id if known else None, np.frombuffer(payload, f"<u{width}", offset=NAME.size)
+
+
 def place(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of a path or URI, and the path within it."""
     return (fs.FileSystem.from_uri(path) if ":/" in path
@@ -79,7 +87,7 @@ def place(path: str) -> tuple[fs.FileSystem, str]:
 
 
 class WordIds:
-    """Ids of texts, by the tokenizers library, little-endian in 4 bytes each.
+    """Ids of texts, by the tokenizers library, little-endian in `width` bytes each.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of
     its words in turn; each distinct word is encoded once per worker, and words are kept up
@@ -91,8 +99,14 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        ids = self.library.get_vocab(with_added_tokens=True).values()
+        self.width = 2 if max(ids, default=0) < 1 << 16 else 4
+        self.code = {2: "H", 4: "I"}[self.width]
         self.known: dict[bytes, bytes] = {}
 
+    def packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
+
     def of(self, texts: list[bytes]) -> Iterator[bytes]:
         if len(self.known) > KEPT:
             self.known.clear()
@@ -103,7 +117,7 @@ class WordIds:
             if missing:
                 ids = self.library.encode_batch(
                     [w.decode(errors="replace") for w in missing], add_special_tokens=False)
-                new = {w: struct.pack(f"<{len(e.ids)}I", *e.ids) for w, e in zip(missing, ids)}
+                new = {w: self.packed(e.ids) for w, e in zip(missing, ids)}
                 self.known.update((w, v) for w, v in new.items() if len(w) <= KEPT_BYTES)
                 if any(len(w) > KEPT_BYTES for w in new):
                     found = self.known | new
@@ -121,18 +135,19 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, path: str,
     shard = TaskContext.get().partitionId()
     name = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}.rec"
     system, where = place(name)
-    end, offset, record, out = struct.pack("<I", end_id), 0, 0, None
+    words = word_ids(path)
+    end, width, offset, record, out = words.packed([end_id]), words.width, 0, 0, None
     try:
         for batch in pieces(batches):
             rows = []
             names = batch.column("doc_id").to_pylist()
-            for doc_id, ids in zip(names, word_ids(path).of(encoded(batch.column("text")))):
+            for doc_id, ids in zip(names, words.of(encoded(batch.column("text")))):
                 if out is None:
                     system.create_dir(os.path.dirname(where), recursive=True)
                     out = system.open_output_stream(where)
-                framed = frame(NAME.pack(doc_id is not None, doc_id or 0) + ids + end)
+                framed = frame(NAME.pack(doc_id is not None, doc_id or 0, width) + ids + end)
                 out.write(framed)
-                rows.append((shard, name, record, doc_id, offset, len(framed), len(ids) // 4 + 1))
+                rows.append((shard, name, record, doc_id, offset, len(framed), len(ids) // width + 1))
                 offset, record = offset + len(framed), record + 1
             if rows:
                 yield pa.RecordBatch.from_arrays(
@@ -176,11 +191,9 @@ def _read(batches: Iterator[pa.RecordBatch], shards: list[tuple]) -> Iterator[pa
                 seen = 0
                 with system.open_input_stream(where, buffer_size=1 << 20) as file:
                     for record, payload in enumerate(unframed(file)):
-                        known, doc_id = NAME.unpack_from(payload)
-                        ids = memoryview(payload)[NAME.size:]
-                        count, seen = len(ids) // 4, record + 1
-                        yield (shard, record, doc_id if known else None, start, count,
-                               zlib.crc32(ids))
+                        doc_id, ids = contents(payload)
+                        count, seen = len(ids), record + 1
+                        yield shard, record, doc_id, start, count, zlib.crc32(ids.astype("<u4"))
                         start += count
                 if seen != records:
                     raise ValueError(f"{path}: {seen} records instead of {records}")
@@ -228,7 +241,7 @@ def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             with system.open_input_file(where) as file:
                 file.seek(row["offset"])
                 payload = next(unframed(file))
-            ids.append(list(struct.unpack(f"<{row['n_tokens']}I", payload[NAME.size:])))
+            ids.append(contents(payload)[1].tolist())
         yield pa.RecordBatch.from_arrays(
             [pa.array([r["doc_id"] for r in rows], pa.int64()), pa.array(ids, pa.list_(pa.int64()))],
             names=["doc_id", "ids"])
