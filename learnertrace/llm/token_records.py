@@ -41,6 +41,9 @@ HEAD, FOOT, NAME = struct.Struct("<QI"), struct.Struct("<I"), struct.Struct("<?q
 #: Distinct words whose ids a Python worker keeps, and the longest that it keeps.
 KEPT, KEPT_BYTES = 1_000_000, 48
 
+#: Words that are encoded as one line.
+LINE = 64
+
 
 def masked(data: bytes) -> int:
     crc = zlib.crc32(data)
@@ -107,6 +110,19 @@ class WordIds:
     def packed(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}{self.code}", *ids)
 
+    def encoded(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """The ids of some words: lines of words are encoded, and cut where a word starts."""
+        new = {}
+        parts = [words[k:k + LINE] for k in range(0, len(words), LINE)]
+        lines = [[w.decode(errors="replace") for w in part] for part in parts]
+        found = self.library.encode_batch([" ".join(line) for line in lines], add_special_tokens=False)
+        for part, line, encoding in zip(parts, lines, found):
+            ids, starts = self.packed(encoding.ids), [start for start, _ in encoding.offsets]
+            after = np.cumsum([len(word) + 1 for word in line])
+            cuts = [0, *(np.searchsorted(starts, after) * self.width).tolist()]
+            new.update(zip(part, (ids[a:b] for a, b in zip(cuts, cuts[1:]))))
+        return new
+
     def of(self, texts: list[bytes]) -> Iterator[bytes]:
         if len(self.known) > KEPT:
             self.known.clear()
@@ -115,9 +131,7 @@ class WordIds:
             missing = list(set(words).difference(self.known))
             found = self.known
             if missing:
-                ids = self.library.encode_batch(
-                    [w.decode(errors="replace") for w in missing], add_special_tokens=False)
-                new = {w: self.packed(e.ids) for w, e in zip(missing, ids)}
+                new = self.encoded(missing)
                 self.known.update((w, v) for w, v in new.items() if len(w) <= KEPT_BYTES)
                 if any(len(w) > KEPT_BYTES for w in new):
                     found = self.known | new
