@@ -23,6 +23,7 @@ Sets and texts are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import cache, partial
 
@@ -33,14 +34,17 @@ from pyspark.sql import functions as F
 
 from learnertrace.llm.common import LOWER_BYTES, NOT_SPACE, encoded, mapped, pieces, table, written
 
-MEETING = "key long, a long, b long"
+MEETING = "key long, node long"
 
 #: Shingles that one task holds of a block, and the seeds for dealing shingles into groups.
-BLOCK_SHINGLES = 4_000_000
+BLOCK_SHINGLES = 3_000_000
 SEEDS = 4
 
 LEAF = 32
 
+#: Shingles that are compared at once.
+AT_ONCE = 500_000
+
 #: Size of the filter that keeps texts outside blocks from being shuffled: 8 MB.
 FILTER_BITS = 1 << 26
 
@@ -129,8 +133,15 @@ class Bands:
             self.of(self.edges[-1])
         largest = self.edges[band + 1] - 1
         differ = 2 * largest * (100 - self.percent) // (100 + self.percent)
-        spare = int(0.012 * differ + 2 * (0.012 * differ) ** 0.5)
-        return differ + 1 + spare, spare
+        # Groups that come out empty in the smallest sets that meet here, with a margin.
+        smallest, spare = self.edges[max(band - 1, 0)], 0
+        while True:
+            count = differ + 1 + spare
+            empty = count * math.exp(-smallest / count)
+            more = min(int(empty + 2 * empty ** 0.5), differ * 15 // 100)
+            if more <= spare:
+                return count, spare
+            spare = more
 
 
 def keys(found: np.ndarray, bands: Bands) -> np.ndarray:
@@ -166,18 +177,13 @@ def _starred(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return first, node[head][other], node[other]
 
 
-def _batch(key, a, b) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (key, a, b)],
-                                      names=["key", "a", "b"])
-
-
 def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.unique(np.stack((a, b), axis=1), axis=0) if len(a) else np.empty((0, 2), np.int64)
 
 
 def _meetings(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """(key, node, node) for the first node that a batch has under a key, (any, first, other)
-    for those that meet it there."""
+    """(key, node) for the first node that a batch has under a key. The others that meet it
+    there share one more key with it, however many they have met under."""
     bands = Bands(percent)
     for batch in pieces(batches):
         seen, many, nodes = set(), [], []
@@ -196,26 +202,25 @@ def _meetings(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> It
         key, node = key[order], node[order]
         first, a, b = _starred(key, node)
         pair = _pairs(a, b)
-        yield _batch(np.concatenate((key[first], pair[:, 0])), np.concatenate((node[first], pair[:, 0])),
-                     np.concatenate((node[first], pair[:, 1])))
+        shared = mix(mix(pair[:, 0].astype(np.uint64)) + pair[:, 1].astype(np.uint64)).view(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate((key[first], shared, shared)), pa.int64()),
+             pa.array(np.concatenate((node[first], pair[:, 0], pair[:, 1])), pa.int64())],
+            names=["key", "node"])
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Meetings sorted by key to pairs (a, b): the first under a key with each other one."""
     last_key = last_node = None
     for batch in batches:
-        key, a, b = (batch.column(c).to_numpy() for c in ("key", "a", "b"))
-        known = a != b
-        own, node = key[~known], a[~known]
-        pairs = [(a[known], b[known])]
-        if len(own):
-            if last_key is not None and own[0] == last_key:
-                own = np.concatenate(([last_key], own))
-                node = np.concatenate(([last_node], node))
-            first, x, y = _starred(own, node)
-            pairs.append((x, y))
-            last_key, last_node = own[-1], node[np.flatnonzero(first)[-1]]
-        pair = _pairs(np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs]))
+        key, node = (batch.column(c).to_numpy() for c in ("key", "node"))
+        if not len(key):
+            continue
+        if last_key is not None and key[0] == last_key:
+            key, node = np.concatenate(([last_key], key)), np.concatenate(([last_node], node))
+        first, a, b = _starred(key, node)
+        last_key, last_node = key[-1], node[np.flatnonzero(first)[-1]]
+        pair = _pairs(a, b)
         yield pa.RecordBatch.from_arrays([pa.array(pair[:, k], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
 
@@ -302,6 +307,20 @@ class Tree:
         return found[passes(self.points[found], self.sizes[found], self.sizes[found])]
 
 
+def overlaps(own: np.ndarray, others: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
+    """How many elements each of the other sets shares with `own`, some sets at a time."""
+    found, start = [], 0
+    ends = np.cumsum(sizes)
+    while start < len(others):
+        held = ends[start] - sizes[start]
+        stop = max(start + 1, int(np.searchsorted(ends, held + AT_ONCE, side="right")))
+        every, part = np.concatenate(others[start:stop]), sizes[start:stop]
+        at = np.minimum(np.searchsorted(own, every), len(own) - 1)
+        found.append(np.add.reduceat((own[at] == every).astype(np.int64), np.cumsum(part) - part))
+        start = stop
+    return np.concatenate(found)
+
+
 def linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
     """For each set the number of the first set of its component."""
     root = np.full(len(sets), -1)
@@ -316,10 +335,8 @@ def linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
             found = tree.search(k, left)
             if not len(found):
                 continue
-            sizes = tree.sizes[found]
-            every, own = np.concatenate([sets[j] for j in found]), sets[k]
-            at = np.minimum(np.searchsorted(own, every), len(own) - 1)
-            shared = np.add.reduceat((own[at] == every).astype(np.int64), np.cumsum(sizes) - sizes)
+            sizes, own = tree.sizes[found], sets[k]
+            shared = overlaps(own, [sets[j] for j in found], sizes)
             found = found[100 * shared >= percent * (sizes + len(own) - shared)]
             left[found], root[found] = False, start
             open_.extend(found.tolist())
@@ -328,7 +345,7 @@ def linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
 
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     """(block, tiles, text) to (block, tile, other, node, set), once for each pair of tiles."""
-    for batch in pieces(batches):
+    for batch in pieces(batches, most=1 << 20):
         seen, rows = set(), []
         for block, tiles, text in zip(batch.column("block").to_pylist(),
                                       batch.column("tiles").to_pylist(), encoded(batch.column("text"))):
@@ -375,11 +392,11 @@ def _roots(done: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
 
 # --- texts of blocks ---------------------------------------------------------------------
 
-def likely_in(texts: DataFrame, wanted: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
-    """Rows of `texts` whose text_hash may be one of `wanted`; none that is goes missing.
+def with_likely(texts: DataFrame, wanted: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """`texts` with a flag `likely`, true wherever text_hash is one of `wanted`, and seldom elsewhere.
 
     A bitmap with a bit for each text_hash modulo `bits` is broadcast, in rows of 4 KB; its
-    size does not depend on the data. When it fills up it only lets more rows pass.
+    size does not depend on the data. When it fills up it only flags more rows.
     """
     at = F.pmod(F.col("text_hash"), F.lit(bits)) + 1
     bitmap = wanted.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(
@@ -388,7 +405,7 @@ def likely_in(texts: DataFrame, wanted: DataFrame, bits: int = FILTER_BITS) -> D
     byte = F.conv(F.hex(F.substring("bitmap", (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     is_set = F.call_function("shiftright", byte, (position % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
     return texts.withColumn("bucket", F.bitmap_bucket_number(at)).join(
-        F.broadcast(bitmap), "bucket").filter(is_set).select(*texts.columns)
+        F.broadcast(bitmap), "bucket", "left").select(*texts.columns, F.coalesce(is_set, F.lit(False)).alias("likely"))
 
 
 # --- the join ---------------------------------------------------------------------------
@@ -421,7 +438,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
         f"doc long, doc_id {kind}, text_hash long, n_shingles long, node long"))
 
     meetings = mapped(texts.select("text"), partial(_meetings, words=words, percent=percent), MEETING)
-    pairs = written(mapped(meetings.repartition("key").sortWithinPartitions("key", "a"), _met,
+    pairs = written(mapped(meetings.repartition("key").sortWithinPartitions("key", "node"), _met,
                            "a long, b long").distinct())
     blocks = components(pairs)
 
@@ -432,7 +449,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
         F.ceil(F.sum("n_shingles") / F.lit(block_shingles)).cast("int").alias("tiles"))
     wanted = written(sets.join(tiles, "root").select("text_hash", F.col("root").alias("block"), "tiles"))
     several = bool(wanted.filter("tiles > 1").head(1))
-    members = likely_in(texts.select("text_hash", "text"), wanted).join(wanted, "text_hash")
+    members = with_likely(texts.select("text_hash", "text"), wanted).filter("likely").join(wanted, "text_hash")
     dealt = mapped(members.select("block", "tiles", "text"), partial(_sets, words=words),
                    "block long, tile int, other int, node long, found binary")
     at = ["block", "tile", "other"]
@@ -464,14 +481,17 @@ def deduplicate(docs: DataFrame, **settings) -> DataFrame:
         F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(row, F.col("doc_id").alias("id"), F.xxhash64(text).alias("hash"),
-                       F.regexp_like(text, F.lit(NOT_SPACE)).alias("full"))
-    kept = rows.filter("full").alias("l").join(
-        stays.alias("r"), F.col("l.id").eqNullSafe(F.col("r.id")) & (F.col("l.hash") == F.col("r.hash")),
+    rows = with_likely(docs.select(row, F.col("doc_id").alias("id"), F.xxhash64(text).alias("text_hash")),
+                       found.filter(~F.col("first")).select("text_hash"))
+    # Only rows with the text of a dropped one are shuffled.
+    kept = rows.filter("likely").alias("l").join(
+        stays.alias("r"), F.col("l.id").eqNullSafe(F.col("r.id")) & (F.col("l.text_hash") == F.col("r.hash")),
         "left_semi")
     if found.filter("n_shingles > 0").groupBy("doc_id", "text_hash").count().filter("count > 1").head(1):
-        kept = kept.dropDuplicates(["id", "hash"])
-    return kept.unionByName(rows.filter("not full")).select("row.*")
+        kept = kept.dropDuplicates(["id", "text_hash"])
+    blank = ~F.regexp_like(F.coalesce(F.col("row.text").cast("string"), F.lit("")), F.lit(NOT_SPACE))
+    rest = rows.filter(~F.col("likely") | blank)
+    return kept.filter(~blank).unionByName(rest).select("row.*")
 
 
 def op7_jaccard_join(spark, folder: str) -> DataFrame:

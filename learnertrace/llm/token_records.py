@@ -39,7 +39,7 @@ MASK = 0xA282EAD8
 HEAD, FOOT, NAME = struct.Struct("<QI"), struct.Struct("<I"), struct.Struct("<?qB")
 
 #: Distinct words whose ids a Python worker keeps, and the longest that it keeps.
-KEPT, KEPT_BYTES = 1_000_000, 48
+KEPT, KEPT_BYTES = 500_000, 48
 
 #: Words that are encoded as one line.
 LINE = 64
