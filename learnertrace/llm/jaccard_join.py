@@ -15,8 +15,9 @@ block. Texts that are near copies of nothing meet nobody and never travel furthe
 
 Within a block a search goes from set to set: each finds, in the block's tree, its partners
 among those not yet reached. A group of near copies costs about one search for each member
-rather than each pair, and gives one row for each member. A block too large for a task is cut
-into tiles, each pair of which is one task; the components found there are joined at the end.
+rather than each pair, and gives one row for each member. A block too large for a task is parted
+by size, and a part that still is too large cut into tiles, each pair of which is one task; the
+components found there are joined at the end.
 
 Sets and texts are told apart by 64-bit hashes.
 """
@@ -344,37 +345,38 @@ def linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    """(block, tiles, text) to (block, tile, other, node, set), once for each pair of tiles."""
+    """(block, part, tiles, text) to (block, part, tile, other, node, set), for each pair of tiles."""
     for batch in pieces(batches, most=1 << 20):
         seen, rows = set(), []
-        for block, tiles, text in zip(batch.column("block").to_pylist(),
-                                      batch.column("tiles").to_pylist(), encoded(batch.column("text"))):
+        places = zip(*(batch.column(c).to_pylist() for c in ("block", "part", "tiles")))
+        for (block, part, tiles), text in zip(places, encoded(batch.column("text"))):
             found = shingles(text, words)
             node = signature(found)
-            if node in seen:
+            if (block, part, node) in seen:
                 continue
-            seen.add(node)
+            seen.add((block, part, node))
             data, tile = found.tobytes(), node % tiles
-            rows.extend((block, min(tile, other), max(tile, other), node, data) for other in range(tiles))
+            rows.extend((block, part, min(tile, other), max(tile, other), node, data)
+                        for other in range(tiles))
         if rows:
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
-                                             names=["block", "tile", "other", "node", "found"])
+                                             names=["block", "part", "tile", "other", "node", "found"])
 
 
 def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Sets sorted by block and tiles to (a, b): a node and the first of its component there."""
+    """Sets sorted by block, part and tiles to (a, b): a node and the first of its component there."""
     def solved(nodes: list[int], sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         own = np.array(nodes, np.int64)
         return own[linked(sets, percent)], own
 
     at, nodes, sets, done = None, [], [], []
     for batch in batches:
-        for block, tile, other, node, data in zip(*(batch.column(c).to_pylist() for c in batch.schema.names)):
-            if (block, tile, other) != at:
+        for *here, node, data in zip(*(batch.column(c).to_pylist() for c in batch.schema.names)):
+            if here != at:
                 if nodes:
                     done.append(solved(nodes, sets))
-                at, nodes, sets = (block, tile, other), [], []
+                at, nodes, sets = here, [], []
             if not nodes or node != nodes[-1]:
                 nodes.append(node)
                 sets.append(np.frombuffer(data, np.uint64))
@@ -442,17 +444,26 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
                            "a long, b long").distinct())
     blocks = components(pairs)
 
-    # One text for each set of a block, and how many tiles the block is cut into.
+    # One text for each set of a block. A block too large for a task is first parted by size: linked
+    # sets lie in the same band or in neighbours, so each set goes to its own and the next one's part.
     sets = blocks.join(nodes.groupBy("node").agg(
         F.min("text_hash").alias("text_hash"), F.max("n_shingles").alias("n_shingles")), "node")
-    tiles = sets.groupBy("root").agg(
-        F.ceil(F.sum("n_shingles") / F.lit(block_shingles)).cast("int").alias("tiles"))
-    wanted = written(sets.join(tiles, "root").select("text_hash", F.col("root").alias("block"), "tiles"))
-    several = bool(wanted.filter("tiles > 1").head(1))
+    bands = Bands(percent)
+    bands.of(nodes.agg(F.coalesce(F.max("n_shingles"), F.lit(1))).first()[0])
+    band = F.size(F.filter(F.array(*map(F.lit, bands.edges)), lambda edge: edge <= F.col("n_shingles"))) - 1
+    large = F.col("total") > block_shingles
+    parted = sets.join(sets.groupBy("root").agg(F.sum("n_shingles").alias("total")), "root").withColumn(
+        "part", F.explode(F.when(large, F.array(band, band + 1)).otherwise(F.array(F.lit(-1)))))
+    tiles = parted.groupBy("root", "part").agg(
+        F.ceil(F.sum("n_shingles") / F.lit(block_shingles)).cast("int").alias("tiles"),
+        F.count(F.lit(1)).alias("sets")).filter("sets > 1")
+    wanted = written(parted.join(tiles, ["root", "part"]).select(
+        "text_hash", F.col("root").alias("block"), "part", "tiles"))
+    several = bool(wanted.filter("tiles > 1 OR part >= 0").head(1))
     members = with_likely(texts.select("text_hash", "text"), wanted).filter("likely").join(wanted, "text_hash")
-    dealt = mapped(members.select("block", "tiles", "text"), partial(_sets, words=words),
-                   "block long, tile int, other int, node long, found binary")
-    at = ["block", "tile", "other"]
+    dealt = mapped(members.select("block", "part", "tiles", "text"), partial(_sets, words=words),
+                   "block long, part int, tile int, other int, node long, found binary")
+    at = ["block", "part", "tile", "other"]
     found = mapped(dealt.repartition(*at).sortWithinPartitions(*at, "node"),
                    partial(_linked, percent=percent), "a long, b long")
     if several:
