@@ -2,8 +2,9 @@
 
 Some hundreds of rules, each a regular expression over the words of a text, are written down
 as families of licenses times forms of mention: an identifier tag, a notice ("released under
-the ... license, version ..."), a name with a version, a bare name. A text without any of a
-few keywords is not scanned. In the others a rule is tried only where its own keyword stands,
+the ... license, version ..."), a name with a version, a bare name. A rule has a keyword, which
+every match contains, and signs, of which every match contains one. A text without any sign of
+any rule is not scanned. In the others a rule is tried only where its keyword and a sign stand,
 and where two detections overlap so that one lies within the other, the inner one goes unless
 its rule has priority. Only DataFrame functions are used.
 
@@ -20,16 +21,13 @@ from pyspark.sql import functions as F
 
 from learnertrace.llm.common import lower_ascii, table
 
-#: A text with none of these, in lower case, holds no detection.
-KEYWORDS = ("licen", "gpl", "spdx", "copyright", "commons", "reserved", "domain", "unlicense")
-
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 #: Phrases that are always reported, with their labels.
 BASE = [("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")]
 
-#: label, keyword, name as a regular expression over words, versions.
+#: label, keyword (in every match of the name), name as a regular expression over words, versions.
 FAMILIES = [
     ("mit", "mit", "mit", []),
     ("mit-expat", "expat", "expat", []),
@@ -60,7 +58,7 @@ FAMILIES = [
     ("artistic", "artistic", "artistic", ["1 0", "2 0"]),
     ("unlicense", "unlicense", "unlicense", []),
     ("wtfpl", "wtfpl", "wtfpl", []),
-    ("ofl", "sil", "(?:sil )?open font", ["1 0", "1 1"]),
+    ("ofl", "font", "(?:sil )?open font", ["1 0", "1 1"]),
     ("python", "python", "python(?: software foundation)?", ["2 0", "2"]),
     ("postgresql", "postgresql", "postgresql", []),
     ("openssl", "openssl", "openssl", []),
@@ -77,17 +75,19 @@ FAMILIES = [
     ("cc-by-nc-sa", "nc", "cc by nc sa", ["1 0", "2 0", "2 5", "3 0", "4 0"]),
     ("cc-by-nc-nd", "nc", "cc by nc nd", ["1 0", "2 0", "2 5", "3 0", "4 0"]),
     ("cc-by", "creative", "creative commons attribution", ["2 0", "3 0", "4 0"]),
-    ("cc-by-sa", "sharealike", "creative commons attribution share ?alike", ["2 0", "3 0", "4 0"]),
-    ("cc-by-nc", "noncommercial", "creative commons attribution non ?commercial", ["2 0", "3 0", "4 0"]),
+    ("cc-by-sa", "share", "creative commons attribution share ?alike", ["2 0", "3 0", "4 0"]),
+    ("cc-by-nc", "commercial", "creative commons attribution non ?commercial", ["2 0", "3 0", "4 0"]),
     ("cc0", "cc0", "cc0", ["1 0"]),
 ]
 
 #: Forms of mention: priority (1 first), confidence, the expression around a name and a version.
 TAG, NOTICE, VERSION, NAME = (1, 1.0), (2, 0.9), (3, 0.8), (4, 0.6)
-UNDER = ("(?:licen[sc]ed|released|distributed|published|provided|available) under"
-         "(?: the)?(?: terms of)?(?: the)?")
+GIVEN = ("released", "distributed", "published", "provided", "available")
+UNDER = f"(?:licen[sc]ed|{'|'.join(GIVEN)}) under(?: the)?(?: terms of)?(?: the)?"
 NUMBER = "(?: licen[sc]e)?(?: version| v)? v?"
 CLEAR = "(?: licen[sc]e(?: version| v)?| version) v?"
+#: What stands around a name in a family's form: one of these is in every match.
+SIGNS = {TAG: ("spdx",), NOTICE: ("licen", *GIVEN), VERSION: ("licen", "version"), NAME: ("licen",)}
 
 #: Rules that belong to no family: label, keyword, form, expression.
 SINGLE = [
@@ -96,17 +96,18 @@ SINGLE = [
     ("all-rights-reserved", "reserved", NAME, "all rights reserved"),
     ("copyright", "copyright", NAME, "copyright (?:c )?(?:19|20)[0-9][0-9]"),
     ("mit", "hereby", NOTICE, "permission is hereby granted free of charge"),
-    ("isc", "hereby", NOTICE, "permission to use copy modify and or distribute this software"),
+    ("isc", "permission", NOTICE, "permission to use copy modify and or distribute this software"),
     ("bsd", "redistribution", NOTICE, "redistribution and use in source and binary forms"),
 ]
 
 
 def rules() -> list[dict]:
-    """All rules in order: label, keyword, regex, priority, confidence, base."""
+    """All rules in order: label, keyword, signs, regex, priority, confidence, base."""
     found = []
 
-    def add(label, keyword, form, expression, base=False):
-        found.append({"label": label, "keyword": keyword, "regex": f"(?<= ){expression}(?= )",
+    def add(label, keyword, form, expression, signs=None, base=False):
+        found.append({"label": label, "keyword": keyword, "signs": list(signs or SIGNS[form]),
+                      "regex": f"(?<= ){expression}(?= )",
                       "priority": form[0], "confidence": form[1], "base": base})
 
     for label, keyword, name, versions in FAMILIES:
@@ -118,15 +119,18 @@ def rules() -> list[dict]:
             add(exact, keyword, TAG, f"spdx license identifier {name} {version}(?: only| or later)?")
             add(exact, keyword, NOTICE, f"{UNDER} {name}{NUMBER}{version}(?: or later)?")
             add(exact, keyword, VERSION, f"{name}{CLEAR}{version}(?: or later)?")
-    for single in SINGLE:
-        add(*single)
+    for label, keyword, form, expression in SINGLE:
+        add(label, keyword, form, expression, signs=(keyword,))
     for phrase, label in BASE:
         add(label, phrase.split(" ")[-2], NAME, phrase, base=True)
     return found
 
 
-RULES = ("array<struct<label:string,keyword:string,regex:string,priority:int,confidence:double,"
-         "base:boolean>>")
+#: The signs of all rules: a text with none of these, in lower case, holds no detection.
+KEYWORDS = tuple(sorted({sign for rule in rules() for sign in rule["signs"]}))
+
+RULES = ("array<struct<label:string,keyword:string,signs:array<string>,regex:string,priority:int,"
+         "confidence:double,base:boolean>>")
 MARK = "\u0001"
 
 
@@ -150,8 +154,8 @@ def detections(text: Column) -> Column:
             rule.priority.alias("priority"), rule.confidence.alias("confidence"), rule.base.alias("base")))
 
     def scanned(joined: Column) -> Column:
-        tried = F.filter(every, lambda rule: F.contains(
-            joined, rule.keyword) & F.regexp_like(joined, rule.regex))
+        tried = F.filter(every, lambda rule: F.contains(joined, rule.keyword) & F.exists(
+            rule.signs, lambda sign: F.contains(joined, sign)) & F.regexp_like(joined, rule.regex))
         return F.flatten(F.transform(tried, lambda rule: places(joined, rule)))
 
     return of(words, scanned)

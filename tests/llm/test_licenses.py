@@ -1,6 +1,7 @@
 """License scans against the same rules applied one by one in Python."""
 
 import re
+from itertools import product
 
 from learnertrace.llm import licenses
 
@@ -58,3 +59,60 @@ def test_labels_of_plain_mentions(spark):
     labels = {r.doc_id: r.labels for r in licenses.license_summary(frame).collect()}
     assert labels[4] == "mit" and labels[6] == "gpl,gpl-3" and labels[7] == "cc-by-nc-4.0"
     assert labels[8] == "apache,apache-2.0" and "lgpl-2.1" in labels[10] and "bsd-3-clause" in labels[10]
+
+
+def ungated(text):
+    """Labels of a text by all rules, whatever words it has."""
+    joined = f" {' '.join(re.findall('[^\x00-\x2F\x3A-\x60\x7B-\x7F]+', text.lower()))} "
+    found = [(m.start(), m.end(), rule["priority"], nth, rule) for nth, rule in enumerate(licenses.rules())
+             for m in re.finditer(rule["regex"], joined)]
+    kept = [x for x in found if x[4]["base"] or not any(
+        y[0] <= x[0] and x[1] <= y[1] and y[2] <= x[2]
+        and (y[0], -y[1], y[2], y[3]) < (x[0], -x[1], x[2], x[3]) for y in found)]
+    return ",".join(sorted({x[4]["label"] for x in kept}))
+
+
+def mentions(expression):
+    """Every text that an expression of groups of alternatives, [ ] and ? matches."""
+    def sequence(parts):
+        return ["".join(x) for x in product(*map(part, parts))]
+
+    def part(node):
+        kind, value = str(node[0]), node[1]
+        if kind == "LITERAL":
+            return [chr(value)]
+        if kind == "IN":
+            return [x for item in value for x in part(item)]
+        if kind == "RANGE":
+            return [chr(value[0]), chr(value[1])]
+        if kind == "BRANCH":
+            return [x for branch in value[1] for x in sequence(branch)]
+        if kind == "SUBPATTERN":
+            return sequence(value[3])
+        assert kind == "MAX_REPEAT" and value[:2] == (0, 1)
+        return ["", *sequence(value[2])]
+
+    return sequence(re._parser.parse(expression.removeprefix("(?<= )").removesuffix("(?= )")))
+
+
+def test_keywords_are_in_every_match():
+    for rule in licenses.rules():
+        for text in mentions(rule["regex"]):
+            assert re.search(rule["regex"], f" {text} ")
+            assert rule["keyword"] in text and any(sign in text for sign in rule["signs"])
+            assert any(keyword in text for keyword in licenses.KEYWORDS)
+
+
+def test_no_gate_hides_a_match(spark):
+    texts = ["released under the MIT", "Distributed under the BSD.", "provided under Apache 2.0", "CC BY version 4.0",
+             "Redistribution and use in source and binary forms", "PERMISSION to use, copy, modify, and/or distribute "
+             "this software", "available under the Creative Commons Attribution-Share Alike 4.0",
+             "Creative Commons Attribution Non Commercial version 3.0", "licensed under the Open Font License 1.1"]
+    for rule in licenses.rules():
+        every = sorted(mentions(rule["regex"]))
+        texts += [every[0], every[-1], every[len(every) // 2], f"x {every[len(every) // 3]}, y"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in licenses.license_summary(frame).collect()}
+    assert got == {k: ungated(text) for k, text in enumerate(texts)}
+    assert all(got.values())
+    assert [got[k] for k in range(7)] == ["mit", "bsd", "apache-2.0", "cc-by-4.0", "bsd", "isc", "cc-by-sa-4.0"]
