@@ -2,14 +2,15 @@
 
 Each source gets a target, a share of the whole by weight that stops at `most` times the
 source's size. A document is then expected target / size times. Within a source the
-documents stand in an order by size; the running sum of expected copies, shifted by one
+documents stand in order of size and doc_id; the running sum of expected copies, shifted by one
 random offset, is cut at the whole numbers: a document is taken once for each whole number
 that its step crosses. Neighbours in that order have about the same size, so the words
 taken stay near the target.
 
-The running sum never needs a whole source in one task: a source is cut into blocks (size
-class, and doc_id modulo a number that grows with the table), blocks are counted by a
-map-side aggregate, and only the counts are summed up per source. Only DataFrame functions.
+The running sum never needs a whole source in one task: the order is cut into blocks (size,
+and a range of doc_id of fixed width), blocks are counted by a map-side aggregate, the counts
+are summed up within classes of sizes, and only the classes per source. How wide the blocks
+are changes nothing in the order. Only DataFrame functions.
 """
 
 from __future__ import annotations
@@ -65,33 +66,40 @@ def offset(source: Column, seed: int) -> Column:
 def plan(sizes: DataFrame, seed: int = 7, rows_per_block: int = 100_000, **settings) -> DataFrame:
     """`sizes` (doc_id, source, size, other columns) with source_size, target and copies.
 
-    Reruns agree: the offset is a hash, and the order is by size class, block, size and
-    doc_id. Rows that agree in all of these are interchangeable. A document's copies lie
-    between 0 and `most`; documents without words are sampled like others.
+    Reruns agree: the offset is a hash, and the order is by size and doc_id, nulls last. Rows
+    that agree in both are interchangeable. A document's copies lie between 0 and `most`;
+    documents without words are sampled like others. A block has rows of one size whose
+    doc_id is in the same range of `rows_per_block` numbers.
     """
-    total = sizes.count()
-    blocks = max(1, -(-total // rows_per_block))
-    # Sixteen classes for each doubling of the size.
+    # Sixteen classes for each doubling of the size; they grow with the size, as blocks do with doc_id.
     step = F.when(F.col("size") > 0, F.floor(F.log2(F.col("size").cast("double")) * 16)).otherwise(-1)
     placed = sizes.withColumn("class", step.cast("int")).withColumn(
-        "block", F.coalesce(F.pmod(F.col("doc_id"), F.lit(blocks)), F.lit(0)).cast("int"))
-    counted = placed.groupBy("source", "class", "block").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("size").alias("block_size"))
-    shares = targets(counted.groupBy("source").agg(F.sum("block_size").alias("source_size")),
+        "block", F.floor(F.col("doc_id") / F.lit(rows_per_block)))
+    counted = placed.groupBy("source", "class", "size", "block").agg(F.count(F.lit(1)).alias("rows"))
+    classes = counted.groupBy("source", "class").agg(
+        F.sum("rows").alias("rows"), F.sum(F.col("rows") * F.col("size")).alias("class_size"))
+    shares = targets(classes.groupBy("source").agg(F.sum("class_size").alias("source_size")),
                      **settings)
-    ahead = Window.partitionBy("source").orderBy("class", "block").rowsBetween(
-        Window.unboundedPreceding, -1)
-    starts = counted.withColumn("ahead", F.coalesce(F.sum("rows").over(ahead), F.lit(0))).join(
+
+    def before(window):
+        rows = F.sum("rows").over(window.rowsBetween(Window.unboundedPreceding, -1))
+        return F.coalesce(rows, F.lit(0))
+
+    smaller = classes.withColumn("smaller", before(Window.partitionBy("source").orderBy("class"))).join(
         shares.withColumnRenamed("source", "name"), F.col("source").eqNullSafe(F.col("name"))).select(
-            F.col("source").alias("name"), F.col("class").alias("at_class"),
-            F.col("block").alias("at_block"), "ahead", "source_size", "target")
-    within = Window.partitionBy("source", "class", "block").orderBy("size", "doc_id")
+            "name", F.col("class").alias("of_class"), "smaller", "source_size", "target")
+    ahead = before(Window.partitionBy("source", "class").orderBy("size", F.col("block").asc_nulls_last()))
+    starts = counted.withColumn("ahead", ahead).join(
+        smaller, F.col("source").eqNullSafe(F.col("name")) & (F.col("class") == F.col("of_class"))).select(
+            "name", F.col("size").alias("at_size"), F.col("block").alias("at_block"),
+            (F.col("ahead") + F.col("smaller")).alias("ahead"), "source_size", "target")
+    within = Window.partitionBy("source", "size", "block").orderBy(F.col("doc_id").asc_nulls_last())
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     crossed = F.floor(offset(F.col("source"), seed) + F.col("nth") * F.col("expected")) - F.floor(
         offset(F.col("source"), seed) + (F.col("nth") - 1) * F.col("expected"))
     return (placed.withColumn("nth", F.row_number().over(within))
             .join(starts, F.col("source").eqNullSafe(F.col("name"))
-                  & (F.col("class") == F.col("at_class")) & (F.col("block") == F.col("at_block")))
+                  & (F.col("size") == F.col("at_size")) & F.col("block").eqNullSafe(F.col("at_block")))
             .withColumn("nth", F.col("nth") + F.col("ahead")).withColumn("expected", expected)
             .withColumn("copies", F.least(crossed, F.ceil("expected")).cast("long"))
             .select(*sizes.columns, "source_size", "target", "copies"))

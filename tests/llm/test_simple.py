@@ -3,7 +3,9 @@
 import math
 import struct
 import zlib
+from collections import Counter
 
+import duckdb
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -186,6 +188,19 @@ def test_mix_reaches_targets(spark):
             assert all(0 <= r.copies <= 2 for r in own)
 
 
+def test_mix_equals_the_sql_at_every_block_size(spark):
+    rows = [(k * 7919 % 1000 - 20 if k % 90 else None, "w " * (k * 37 % 23 if k % 4 else 5),
+             ["a", "b", "c", None][k * k % 11 % 4]) for k in range(1000)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", rows)
+    want = Counter(con.execute(f"SELECT doc_id, size, source_size, target::DOUBLE, taken FROM ({mixing.SQL})").fetchall())
+    sized = docs(spark, rows).repartition(5).select("doc_id", "source", mixing.words(F.col("text")).alias("size"))
+    for width in (100_000, 100, 3):
+        got = mixing.plan(sized, rows_per_block=width).collect()
+        assert Counter((r.doc_id, r.size, r.source_size, r.target, r.copies * r.size) for r in got) == want
+
+
 def test_mix_of_odd_rows(spark):
     frame = docs(spark, ODD + [(9, "x y z", "u")] * 3)
     mixed = mixing.mix(frame)
