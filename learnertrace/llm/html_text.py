@@ -5,7 +5,9 @@ less its share of link text, to the elements around it: all to its parent, half
 above, less and less to those further out. Elements that say what they are (article,
 main) start with points, as do class and id names of content. The best container, discounted
 by its own share of links, is kept with those siblings that score enough themselves.
-Menus, forms and the like are left out wherever they stand.
+Menus, forms and the like are left out wherever they stand. Where only a class or id says so, an
+article, an element with a name of content too, or one with most of the page's text stays, unless
+it is mostly links.
 """
 
 from __future__ import annotations
@@ -56,19 +58,34 @@ UNWANTED = re.compile(
 WANTED = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|main|post|story|text|page)(?:$|[\s_-])",
                     re.IGNORECASE)
 
+#: A name that tells what an element has beside or below it, not what it is.
+BESIDE = re.compile(r"(?:no|has|with|without)[_-]", re.IGNORECASE)
+
 START = {"article": 25, "main": 25, "section": 3, "div": 5, "pre": 3, "td": 3, "blockquote": 3}
 
 
 class Element:
-    __slots__ = ("tag", "parent", "out", "score", "chars", "link_chars", "within")
+    __slots__ = ("tag", "parent", "out", "doubt", "score", "chars", "link_chars", "within")
 
-    def __init__(self, tag: str, parent: Element | None, out: bool, bonus: float, within: bool) -> None:
+    def __init__(self, tag: str, parent: Element | None, out: bool, bonus: float, within: bool,
+                 doubt: Doubt | None = None) -> None:
         self.tag, self.parent, self.out, self.score = tag, parent, out, bonus
+        #: The innermost element around it that is left out by its name alone.
+        self.doubt = doubt
         self.chars = self.link_chars = 0
         #: Whether an article or main element stands around it.
         self.within = within
 
 
+class Doubt:
+    """An element that only its class or id speaks against: where it starts, and its text."""
+    __slots__ = ("at", "around", "content", "chars", "link_chars")
+
+    def __init__(self, at: int, around: Doubt | None, content: bool) -> None:
+        self.at, self.around, self.content = at, around, content
+        self.chars = self.link_chars = 0
+
+
 def named(attributes: str) -> dict[str, str]:
     found = {}
     for name, a, b, c in ATTRIBUTE.findall(attributes):
@@ -77,7 +94,7 @@ def named(attributes: str) -> dict[str, str]:
 
 
 def unwanted(tag: str, given: dict[str, str], within: bool) -> bool:
-    """Whether an element is left out by what it says of itself."""
+    """Whether an element is left out by what it is."""
     if tag in OUT or tag == "header" and not within:
         return True
     if tag in ("html", "body", "main") or not given:
@@ -85,18 +102,38 @@ def unwanted(tag: str, given: dict[str, str], within: bool) -> bool:
     if "hidden" in given or given.get("aria-hidden") == "true" or given.get("role") in ROLES:
         return True
     style = given.get("style", "").replace(" ", "").lower()
-    if "display:none" in style or "visibility:hidden" in style:
-        return True
-    names = f"{given.get('class', '')} {given.get('id', '')}"
-    found = UNWANTED.search(names)
-    if found and within and tag in ("header", "h1", "h2", "hgroup", "div"):
+    return "display:none" in style or "visibility:hidden" in style
+
+
+def names(given: dict[str, str]) -> list[str]:
+    return f"{given.get('class', '')} {given.get('id', '')}".split()
+
+
+def spoken_against(name: str, tag: str, within: bool) -> bool:
+    """Whether one class or id names something that is left out."""
+    if within and tag in ("header", "h1", "h2", "hgroup", "div"):
         # An article's own header names its title.
-        found = UNWANTED.search(re.sub("header", "", names, flags=re.IGNORECASE))
-    return bool(found)
+        name = re.sub("header", "", name, flags=re.IGNORECASE)
+    return bool(UNWANTED.search(name)) and not BESIDE.match(name)
+
+
+def content(given: dict[str, str]) -> bool:
+    """Whether a class or id of its own, not one like post-comments, names content."""
+    return any(WANTED.search(name) and not UNWANTED.search(name) for name in names(given))
 
 
 def blocks(page: str) -> list[tuple[Element, str, int]]:
     """(element, text, characters in links) of each block of wanted text, in page order."""
+    found, doubts, total = read(page, frozenset())
+    spared = frozenset(d.at for d in doubts if (d.content or 2 * d.chars > total) and 2 * d.link_chars <= d.chars)
+    return read(page, spared)[0] if spared else found
+
+
+def read(page: str, spared: frozenset[int]) -> tuple[list[tuple[Element, str, int]], list[Doubt], int]:
+    """The blocks, what was left out by name alone, and the characters of both.
+
+    Elements that start at one of `spared` are not left out by name.
+    """
     closing = page.rfind(">")
     cut = re.compile(r"<[a-zA-Z/!?]").search(page, closing + 1)
     if cut and not page.startswith("<!--", cut.start()):
@@ -107,9 +144,19 @@ def blocks(page: str) -> list[tuple[Element, str, int]]:
     found: list[tuple[Element, str, int]] = []
     held: list[str] = []
     linked = [0]
+    doubts: list[Doubt] = []
+    total = [0]
 
     def text(raw: str) -> None:
-        if not stack[-1][1].out and raw:
+        element = stack[-1][1]
+        if element.out or not raw:
+            return
+        size = sum(map(len, raw.split()))
+        total[0] += size
+        if element.doubt is not None:
+            element.doubt.chars += size
+            element.doubt.link_chars += size if opened["a"] else 0
+        else:
             held.append(raw)
             if opened["a"]:
                 linked[0] += len(raw)
@@ -188,18 +235,27 @@ def blocks(page: str) -> list[tuple[Element, str, int]]:
         if tag in VOID:
             continue
         given = named(attributes) if len(attributes) > 1 else {}
-        out = parent.out or unwanted(tag, given, parent.within)
-        if block or out != parent.out:
+        out, doubt = parent.out or unwanted(tag, given, parent.within), parent.doubt
+        against = given and not out and tag not in ("html", "body", "main") and any(
+            spoken_against(name, tag, parent.within) for name in names(given))
+        if against and match.start() not in spared:
+            doubt = Doubt(match.start(), parent.doubt, tag == "article" or content(given))
+            doubts.append(doubt)
+        if block or out != parent.out or doubt is not parent.doubt:
             bonus = START.get(tag, 0)
-            if given and WANTED.search(f"{given.get('class', '')} {given.get('id', '')}"):
+            if given and (content(given) if against else any(map(WANTED.search, names(given)))):
                 bonus += 25
-            element = Element(tag, parent, out, bonus, parent.within or tag in ("article", "main"))
+            element = Element(tag, parent, out, bonus, parent.within or tag in ("article", "main"), doubt)
         else:
             element = parent
         stack.append((tag, element))
         opened[tag] += 1
     flush()
-    return found
+    for doubt in reversed(doubts):  # inner ones first
+        if doubt.around is not None:
+            doubt.around.chars += doubt.chars
+            doubt.around.link_chars += doubt.link_chars
+    return found, doubts, total[0]
 
 
 def main_text(page: str) -> str:

@@ -49,6 +49,29 @@ def test_main_text(name):
     assert main_text(got) == "\n".join(want)
 
 
+WRAPPED = {
+    "content with": (f"<div class='content with-sidebar'><p>{A}</p><p>{B}</p></div><div class=sidebar>{C}</div>", [A, B]),
+    "content beside": (f"<div id=content class=sidebar><p>{A}</p><p>{B}</p></div><p class=share>{C}</p>", [A, B]),
+    "row without": (f"<div class='row no-sidebar'><div><p>{A}</p><p>{B}</p></div></div>", [A, B]),
+    "article that has": (f"<article class='post has-comments'><p>{A}</p><p>{B}</p>"
+                         f"<div class=comments><p>{C}</p></div></article>", [A, B]),
+    "article by name": (f"<div><article class=related><p>{A}</p></article></div>", [A]),
+    "most of the text": (f"<div class='widget'><div class='notice'><p>{A}</p><p>{B}</p><p>{C}</p></div>"
+                         f"<div class=sidebar><p>{A}</p></div></div><div class=ad><p>{C}</p></div>", [A, B, C]),
+    "inline wrapper": (f"<span class='widget'><p>{A}</p><p>{B}</p></span>", [A, B]),
+    "article in an unwanted wrapper": (f"<div class=widget-area><article><p>{A}</p></article></div>", [A]),
+    "most, but links": (f"<div class=menu><a href=x>{A}</a> <a href=y>{B}</a></div><div><p>{C}</p></div>", [C]),
+    "content, but links": (f"<article><p>{A}</p><div class='content share'><a href=x>{B}</a></div></article>", [A]),
+    "not most": (f"<div><p>{A}</p><p>{B}</p></div><div class=post-comments><p>{C}</p></div>", [A, B]),
+}
+
+
+@pytest.mark.parametrize("name", WRAPPED)
+def test_names_alone_do_not_drop_content(name):
+    got, want = WRAPPED[name]
+    assert main_text(page(got)) == "\n".join(want)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from(
     ["<p>", "</p>", "<div class='ad'>", "</div>", "<b", "<!--", "-->", "<a href=\"x>", "text, more", "&amp", "&#0;",
