@@ -266,10 +266,12 @@ def main_text(page: str) -> str:
     """
     found = blocks(page)
     scored: dict[int, Element] = {}
+    most = 0.0
     for element, text, links in found:
         commas = text.count(",") + text.count("，") + text.count("、")
         points = 1 + commas + min(len(text) // 100, 3) if len(text) >= 25 else 0
         points *= 1 - links / len(text)
+        most = max(most, points)
         around, level = element, 0
         if element.tag not in ("p", "pre", "td", "li", "blockquote", "dd") and not element.tag.startswith("h"):
             level = 1  # text that stands in a container itself
@@ -280,8 +282,9 @@ def main_text(page: str) -> str:
                 around.score += points / (1 if level == 1 else 2 if level == 2 else 3 * level)
                 scored[id(around)] = around
             around, level = around.parent, level + 1
-    if not found:
-        return ""
+    if not most:
+        inside = [text for element, text, links in found if element.within]
+        return "\n".join(inside or [text for element, text, links in found])
 
     def worth(element: Element) -> float:
         return element.score * (1 - element.link_chars / max(element.chars, 1))

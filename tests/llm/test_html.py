@@ -65,6 +65,21 @@ WRAPPED = {
     "not most": (f"<div><p>{A}</p><p>{B}</p></div><div class=post-comments><p>{C}</p></div>", [A, B]),
 }
 
+SHORT = {
+    "divs": ("<div><p>Hi.</p></div><div><p>Yo.</p></div>", ["Hi.", "Yo."]),
+    "divs at depths": ("<h1>T</h1><div><div><p>Hi.</p></div></div><div>Yo.<ul><li>a<li>b</ul></div><nav>n</nav>",
+                       ["T", "Hi.", "Yo.", "a", "b"]),
+    "article beside divs": ("<div><p>Hi.</p></div><article><div><p>Yo.</p></div><p>Ok.</p></article>", ["Yo.", "Ok."]),
+    "articles of main": ("<main><article><p>Hi.</p></article><article><p>Yo.</p></article></main>", ["Hi.", "Yo."]),
+    "nothing wanted": ("<nav>n</nav><div hidden>x</div>", []),
+}
+
+
+@pytest.mark.parametrize("name", SHORT)
+def test_pages_too_short_to_score(name):
+    got, want = SHORT[name]
+    assert main_text(page(got)) == "\n".join(want)
+
 
 @pytest.mark.parametrize("name", WRAPPED)
 def test_names_alone_do_not_drop_content(name):
