@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from learnertrace.operators import cohort, evaluation, models, report
 from learnertrace.sources.store import shared_folder
 
@@ -123,3 +124,18 @@ def test_one_class_week_is_left_out(spark):
         [(f"u{i}", 0, 1.0, float(i), 0) for i in range(40)],
         "user_id STRING, feature_week INT, f2 DOUBLE, f3 DOUBLE, label INT"))
     assert models.fit_weekly(cohort.training_rows(frame), IDS, "decision_tree") == {}
+
+
+def test_registered_grids_are_whole(spark, monkeypatch):
+    used = {}
+
+    def noted(rows, features, model, grid):
+        used[model] = grid
+        return spark.createDataFrame(
+            [], "user_id string, feature_week int, label int, score double, prediction double")
+
+    monkeypatch.setattr(models, "prepare", lambda rows, *_, **settings: rows)
+    monkeypatch.setattr(models, "train_and_score", noted)
+    for model in models.GRIDS:
+        entry.queries()[f"m12_{model}"](spark, "/root/testdata/sf0.001")
+    assert used == models.GRIDS
