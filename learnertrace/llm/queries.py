@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from learnertrace.llm import decontaminate, exact_dedup, jaccard_join, mixing
+from learnertrace.llm.conversations import op11_conversation_repair
 from learnertrace.llm.html_text import op4_html_text
 from learnertrace.llm.licenses import op3_license_scan
 from learnertrace.llm.quality import op10_quality
@@ -21,6 +22,7 @@ QUERIES = {
     "op8_decontamination": decontaminate.op8_decontamination,
     "op9_mixing": mixing.op9_mixing,
     "op10_quality": op10_quality,
+    "op11_conversation_repair": op11_conversation_repair,
 }
 
 SQL = {
