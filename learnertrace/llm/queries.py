@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from learnertrace.llm import decontaminate, exact_dedup, jaccard_join, mixing
+from learnertrace.llm import decontaminate, exact_dedup, hard_negatives, jaccard_join, mixing, top_k
 from learnertrace.llm.conversations import op11_conversation_repair
 from learnertrace.llm.html_text import op4_html_text
 from learnertrace.llm.licenses import op3_license_scan
@@ -23,6 +23,8 @@ QUERIES = {
     "op9_mixing": mixing.op9_mixing,
     "op10_quality": op10_quality,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_top_k": top_k.op12_top_k,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 
 SQL = {
@@ -30,4 +32,6 @@ SQL = {
     "op7_jaccard_join": jaccard_join.SQL,
     "op8_decontamination": decontaminate.SQL,
     "op9_mixing": mixing.SQL,
+    "op12_top_k": top_k.SQL,
+    "op13_hard_negatives": hard_negatives.SQL,
 }
