@@ -5,9 +5,8 @@ less its share of link text, to the elements around it: all to its parent, half
 above, less and less to those further out. Elements that say what they are (article,
 main) start with points, as do class and id names of content. The best container, discounted
 by its own share of links, is kept with those siblings that score enough themselves.
-Menus, forms and the like are left out wherever they stand. Where only a class or id says so, an
-article, an element with a name of content too, or one with most of the page's text stays, unless
-it is mostly links.
+Menus, forms and the like are left out wherever they stand, and so is what a class or id names as comments,
+adverts, notices and so on, whatever its size; `blocks` tells which names are not final.
 """
 
 from __future__ import annotations
@@ -49,17 +48,31 @@ CLOSES = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("
 
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu "
                   "menubar toolbar alertdialog".split())
-UNWANTED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertis\w*|adsense|sponsor\w*|promo\w*|banner|side-?bar|menu|"
-    r"nav|navbar|navigation|breadcrumbs?|footer|masthead|top-?bar|comments?|commentlist|disqus|"
-    r"respond|repl(?:y|ies)|cookies?|consent|gdpr|notices?|alert|pop-?up|modal|overlay|newsletter|"
-    r"subscri\w*|sign-?up|log-?in|share|sharing|social|related|recommend\w*|widget|pagination|"
-    r"pager|toolbar|skip|header)(?:$|[\s_-])", re.IGNORECASE)
+
+
+def _names(words: str) -> re.Pattern:
+    return re.compile(rf"(?:^|[\s_-])(?:{words})(?:$|[\s_-])", re.IGNORECASE)
+
+
+#: What such a name speaks against is never main text.
+FOREIGN = _names(
+    r"ads?|adverts?|advertis\w*|adsense|sponsor\w*|promo\w*|comments?|commentlist|disqus|respond|"
+    r"repl(?:y|ies)|cookies?|consent|gdpr|newsletter|subscri\w*|sign-?up|log-?in|share|sharing|social")
+#: Nor is this, but for elements that are named content as well, and pages with no other text.
+ASIDE = _names(
+    r"banner|side-?bar|menu|nav|navbar|navigation|breadcrumbs?|footer|notices?|alert|pop-?up|modal|"
+    r"overlay|related|recommend\w*|pagination|pager")
+#: Names of parts of a page that may also hold all of it.
+PART = _names(r"masthead|top-?bar|widget|toolbar|skip|header")
+LEVELS = ((3, FOREIGN), (2, ASIDE), (1, PART))
 WANTED = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|main|post|story|text|page)(?:$|[\s_-])",
                     re.IGNORECASE)
 
 #: A name that tells what an element has beside or below it, not what it is.
-BESIDE = re.compile(r"(?:no|has|with|without)[_-]", re.IGNORECASE)
+BESIDE = re.compile(r"(?:no|has|with|without)[_-]|.*[_-](?:open|closed|enabled|disabled|on|off)$", re.IGNORECASE)
+
+#: Characters from which a block passes points.
+SCORES = 25
 
 START = {"article": 25, "main": 25, "section": 3, "div": 5, "pre": 3, "td": 3, "blockquote": 3}
 
@@ -78,12 +91,18 @@ class Element:
 
 
 class Doubt:
-    """An element that only its class or id speaks against: where it starts, and its text."""
-    __slots__ = ("at", "around", "content", "chars", "link_chars")
+    """An element that only its class or id speaks against, and how strongly; its own text, and
+    that of all below it."""
+    __slots__ = ("at", "around", "level", "content", "own", "chars", "link_chars", "inner")
 
-    def __init__(self, at: int, around: Doubt | None, content: bool) -> None:
-        self.at, self.around, self.content = at, around, content
-        self.chars = self.link_chars = 0
+    def __init__(self, at: int, around: Doubt | None, level: int, content: bool) -> None:
+        self.at, self.around, self.level, self.content = at, around, level, content
+        self.own = self.chars = self.link_chars = 0
+        self.inner: list[Doubt] = []
+
+    def text(self) -> bool:
+        """Whether it is text rather than links."""
+        return self.chars > 0 and 2 * self.link_chars <= self.chars
 
 
 def named(attributes: str) -> dict[str, str]:
@@ -109,28 +128,50 @@ def names(given: dict[str, str]) -> list[str]:
     return f"{given.get('class', '')} {given.get('id', '')}".split()
 
 
-def spoken_against(name: str, tag: str, within: bool) -> bool:
-    """Whether one class or id names something that is left out."""
+def spoken_against(name: str, tag: str, within: bool) -> int:
+    """How strongly one class or id tells that an element is left out: a level, or 0."""
     if within and tag in ("header", "h1", "h2", "hgroup", "div"):
         # An article's own header names its title.
         name = re.sub("header", "", name, flags=re.IGNORECASE)
-    return bool(UNWANTED.search(name)) and not BESIDE.match(name)
+    if BESIDE.match(name):
+        return 0
+    return next((level for level, pattern in LEVELS if pattern.search(name)), 0)
 
 
 def content(given: dict[str, str]) -> bool:
     """Whether a class or id of its own, not one like post-comments, names content."""
-    return any(WANTED.search(name) and not UNWANTED.search(name) for name in names(given))
+    return any(WANTED.search(name) and not any(pattern.search(name) for _, pattern in LEVELS)
+               for name in names(given))
 
 
 def blocks(page: str) -> list[tuple[Element, str, int]]:
-    """(element, text, characters in links) of each block of wanted text, in page order."""
-    found, doubts, total = read(page, frozenset())
-    spared = frozenset(d.at for d in doubts if (d.content or 2 * d.chars > total) and 2 * d.link_chars <= d.chars)
-    return read(page, spared)[0] if spared else found
+    """(element, text, characters in links) of each block of wanted text, in page order.
+
+    An element that only its name speaks against stays where it is an article or named content as well,
+    unless the name is one of FOREIGN. Where nothing else on the page is long enough to score, a
+    PART stays, and an ASIDE where there is no other text at all: the one with most text, and of
+    those inside it, while it has no such text of its own, again that with most.
+    """
+    found, doubts = read(page, frozenset())
+    spared = {d.at for d in doubts if d.level < 3 and d.content and d.text()}
+    if spared:
+        found, doubts = read(page, frozenset(spared))
+    if any(len(text) >= SCORES for _, text, _ in found):
+        return found
+    strongest = 1 if found else 2
+    inside = [d for d in doubts if d.around is None]
+    before = len(spared)
+    while inside := [d for d in inside if d.level <= strongest and d.text()]:
+        most = max(inside, key=lambda d: d.chars)
+        spared.add(most.at)
+        if most.own >= SCORES:
+            break
+        inside = most.inner
+    return read(page, frozenset(spared))[0] if len(spared) > before else found
 
 
-def read(page: str, spared: frozenset[int]) -> tuple[list[tuple[Element, str, int]], list[Doubt], int]:
-    """The blocks, what was left out by name alone, and the characters of both.
+def read(page: str, spared: frozenset[int]) -> tuple[list[tuple[Element, str, int]], list[Doubt]]:
+    """The blocks, and what was left out by name alone.
 
     Elements that start at one of `spared` are not left out by name.
     """
@@ -145,15 +186,14 @@ def read(page: str, spared: frozenset[int]) -> tuple[list[tuple[Element, str, in
     held: list[str] = []
     linked = [0]
     doubts: list[Doubt] = []
-    total = [0]
 
     def text(raw: str) -> None:
         element = stack[-1][1]
         if element.out or not raw:
             return
-        size = sum(map(len, raw.split()))
-        total[0] += size
         if element.doubt is not None:
+            size = sum(map(len, raw.split()))
+            element.doubt.own += size
             element.doubt.chars += size
             element.doubt.link_chars += size if opened["a"] else 0
         else:
@@ -236,10 +276,11 @@ def read(page: str, spared: frozenset[int]) -> tuple[list[tuple[Element, str, in
             continue
         given = named(attributes) if len(attributes) > 1 else {}
         out, doubt = parent.out or unwanted(tag, given, parent.within), parent.doubt
-        against = given and not out and tag not in ("html", "body", "main") and any(
-            spoken_against(name, tag, parent.within) for name in names(given))
+        against = 0
+        if given and not out and tag not in ("html", "body", "main"):
+            against = max((spoken_against(name, tag, parent.within) for name in names(given)), default=0)
         if against and match.start() not in spared:
-            doubt = Doubt(match.start(), parent.doubt, tag == "article" or content(given))
+            doubt = Doubt(match.start(), parent.doubt, against, tag == "article" or content(given))
             doubts.append(doubt)
         if block or out != parent.out or doubt is not parent.doubt:
             bonus = START.get(tag, 0)
@@ -255,7 +296,8 @@ def read(page: str, spared: frozenset[int]) -> tuple[list[tuple[Element, str, in
         if doubt.around is not None:
             doubt.around.chars += doubt.chars
             doubt.around.link_chars += doubt.link_chars
-    return found, doubts, total[0]
+            doubt.around.inner.append(doubt)
+    return found, doubts
 
 
 def main_text(page: str) -> str:
@@ -269,7 +311,7 @@ def main_text(page: str) -> str:
     most = 0.0
     for element, text, links in found:
         commas = text.count(",") + text.count("，") + text.count("、")
-        points = 1 + commas + min(len(text) // 100, 3) if len(text) >= 25 else 0
+        points = 1 + commas + min(len(text) // 100, 3) if len(text) >= SCORES else 0
         points *= 1 - links / len(text)
         most = max(most, points)
         around, level = element, 0
@@ -321,7 +363,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row of `pages`; n_chars are code points.
 
     A null html counts as empty and gives an empty text. Repeated rows are read each, other
-    columns are ignored, nothing is cut off.
+    columns are ignored, nothing is cut off: a page of any length is read whole, in a batch of its own
+    where it is long. An empty table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -65,6 +65,34 @@ WRAPPED = {
     "not most": (f"<div><p>{A}</p><p>{B}</p></div><div class=post-comments><p>{C}</p></div>", [A, B]),
 }
 
+def several(n, text=B, tag="p"):
+    return f"<{tag}>{text}</{tag}>" * n
+
+
+COMMENTED = {
+    "more comments than post": (f"<div class=post>{several(3, A)}</div><div id=comments>{several(10)}</div>", [A] * 3),
+    "more comments than article": (f"<article>{several(3, A)}</article><div id=comments>{several(10)}</div>", [A] * 3),
+    "comments as articles": (f"<article>{several(6, A)}</article><section>" + "".join(
+        f"<article class='comment'><p>{B}</p></article>" for _ in range(4)) + "</section>", [A] * 6),
+    "comments as articles inside": (f"<article>{several(6, A)}" + "".join(
+        f"<article class='comment'><p>{B}</p></article>" for _ in range(4)) + "</article>", [A] * 6),
+    "comment named content": (f"<article>{several(3, A)}</article><div class='comment content'>{several(2)}</div>", [A] * 3),
+    "comment named text": (f"<article>{several(3, A)}<div class='comment text'>{several(9)}</div></article>", [A] * 3),
+    "long sidebar": (f"<div>{several(2, A)}</div><div class=sidebar>{several(8)}</div>", [A] * 2),
+    "short page, cookie notice": (f"<p>Short.</p><div class='cookie-notice'>{several(3)}</div>", ["Short."]),
+    "short page, notice": (f"<p>Short.</p><div class='notice'>{several(3)}</div>", ["Short."]),
+    "short page in a widget": (f"<h1>T</h1><div class='widget'>{several(3, A)}</div>", [A] * 3),
+    "only comments": (f"<div class=comments>{several(3)}</div>", []),
+    "comments are open": (f"<div class='entry comments-open'>{several(3, A)}</div>", [A] * 3),
+}
+
+
+@pytest.mark.parametrize("name", COMMENTED)
+def test_no_size_makes_comments_text(name):
+    got, want = COMMENTED[name]
+    assert main_text(page(got)) == "\n".join(want)
+
+
 SHORT = {
     "divs": ("<div><p>Hi.</p></div><div><p>Yo.</p></div>", ["Hi.", "Yo."]),
     "divs at depths": ("<h1>T</h1><div><div><p>Hi.</p></div></div><div>Yo.<ul><li>a<li>b</ul></div><nav>n</nav>",
