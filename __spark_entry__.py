@@ -13,12 +13,21 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_queries  # noqa: E402
-from learnertrace.operators import cohort, evaluation, models, observed, report, submissions, video  # noqa: E402
+from learnertrace.operators import (  # noqa: E402
+    certificates,
+    cohort,
+    evaluation,
+    models,
+    observed,
+    report,
+    submissions,
+    video,
+)
 from learnertrace.operators.dropout import user_dropout  # noqa: E402
 from learnertrace.plans.catalog import CATALOG  # noqa: E402
 from learnertrace.plans.features import feature, features, populate  # noqa: E402
 from learnertrace.sources.driver_tables import WEEKS, course  # noqa: E402
-from learnertrace.sources.store import FeatureStore, shared_folder  # noqa: E402
+from learnertrace.sources.store import FeatureStore, dropped, shared_folder, written  # noqa: E402
 
 try:
     import corpus_pipeline
@@ -163,6 +172,24 @@ def queries() -> dict[str, Query]:
     cohorts("m13f_cumulative_model", lambda rows, labels: determined(models.train_and_score(
         prepared(rows, labels), IDS, "logistic_regression", mode="cumulative")))
 
+    def certified(model: str, grid: dict, mode: str = "week") -> Callable[[DataFrame, DataFrame], DataFrame]:
+        """How far the chosen model of each week is from the optimum."""
+        def measure(rows: DataFrame, labels: DataFrame) -> DataFrame:
+            used: list[str] = []
+            training = written(cohort.training_rows(prepared(rows, labels), mode), used=used)
+            found = certificates.residuals(models.fit_weekly(training, IDS, model, grid), training)
+            dropped(training.sparkSession, *used)
+            return found.select("feature_week", F.round("residual", 2).alias("residual"))
+        return measure
+
+    for model in ("logistic_regression", "svm"):
+        cohorts(f"m12c_{model}", certified(model, models.GRIDS[model]))
+    # A first split that looks at some features only need not be the best.
+    cohorts("m12c_decision_tree", certified(
+        "decision_tree", models.GRIDS["decision_tree"] | {"featureSubsetStrategy": ["all"]}))
+    cohorts("m13fc_cumulative_model", certified(
+        "logistic_regression", models.GRIDS["logistic_regression"], "cumulative"))
+
     def transferred(rows: DataFrame, labels: DataFrame) -> DataFrame:
         """Models of the learners with even numbers, stored and read back, for the odd ones."""
         def half(frame: DataFrame, odd: int) -> DataFrame:

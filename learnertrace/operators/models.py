@@ -20,7 +20,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from learnertrace.operators import cohort, evaluation
+from learnertrace.operators import cohort, evaluation, hinge
 from learnertrace.sources.store import dropped, hadoop_path, written
 
 # The features the weekly models use.
@@ -46,6 +46,9 @@ GRIDS: dict[str, dict[str, list]] = {
 #: Rows of a week that one partition holds while its models are fitted.
 ROWS_PER_PART = 50_000
 
+#: Values of a feature between which trees may split; with more values, so many quantiles.
+BINS = 1024
+
 
 def estimator(model: str, n_features: int, seed: int = 19, **settings) -> Estimator:
     """A classifier. A tree that looks at some features per split is a forest of one tree."""
@@ -54,12 +57,12 @@ def estimator(model: str, n_features: int, seed: int = 19, **settings) -> Estima
     elif model == "svm":
         stage = LinearSVC(standardization=False, **COLUMNS)
     elif model == "decision_tree" and settings.get("featureSubsetStrategy", "all") != "all":
-        stage = RandomForestClassifier(numTrees=1, bootstrap=False, seed=seed, **COLUMNS)
+        stage = RandomForestClassifier(numTrees=1, bootstrap=False, seed=seed, maxBins=BINS, **COLUMNS)
     elif model == "decision_tree":
         settings.pop("featureSubsetStrategy", None)
-        stage = DecisionTreeClassifier(seed=seed, **COLUMNS)
+        stage = DecisionTreeClassifier(seed=seed, maxBins=BINS, **COLUMNS)
     elif model == "random_forest":
-        stage = RandomForestClassifier(seed=seed, **COLUMNS)
+        stage = RandomForestClassifier(seed=seed, maxBins=BINS, **COLUMNS)
     elif model == "neural_network":
         stage = MultilayerPerceptronClassifier(layers=[n_features, 100, 2], seed=seed, **COLUMNS)
     else:
@@ -121,6 +124,12 @@ def fit_weekly(
         .filter("classes > 1").orderBy("model_week").collect()
     )
     assembler = VectorAssembler(inputCols=cohort.names(ids), outputCol="features")
+    if model == "svm":
+        try:
+            return _fit_machines(training, ids, tried, fold, assembler, {
+                week["model_week"]: [week[f"n{k}"] for k in range(folds)] for week in weeks})
+        finally:
+            dropped(training.sparkSession, *used)
     threaded = inheritable_thread_target(training.sparkSession)
 
     def fit_week(week) -> PipelineModel:
@@ -160,6 +169,19 @@ def fit_weekly(
     return {week["model_week"]: pipeline for week, pipeline in zip(weeks, fitted)}
 
 
+def _fit_machines(training: DataFrame, ids: Sequence[int], tried: Sequence[Mapping], fold, assembler,
+                  sizes: Mapping[int, Sequence[int]]) -> dict[int, PipelineModel]:
+    """The best support vector machine per week, with probabilities; see `hinge`."""
+    spark, models = training.sparkSession, {}
+    best = hinge.fitted_grid(training, cohort.names(ids), fold, sizes, tried)
+    for week, (choice, weights, constant) in best.items():
+        stages = [assembler, *hinge.as_stages(spark, len(ids), choice.get("degree", 1), choice["penalty"],
+                                              sum(sizes[week]), weights, constant)]
+        rows = PipelineModel(stages).transform(training.filter(F.col("model_week") == week))
+        models[week] = PipelineModel([*stages, *_margin_to_probability(rows)])
+    return models
+
+
 def save_models(models: Mapping[int, PipelineModel], folder: str) -> None:
     """Store weekly models, one folder each; what is there of other weeks stays."""
     for week, model in models.items():

@@ -336,6 +336,9 @@ MODEL_SQL = {
     # Weeks whose training rows have both classes.
     "taught": """
         SELECT week FROM split WHERE NOT is_test GROUP BY week HAVING count(DISTINCT label) > 1""",
+    "taught_so_far": """
+        SELECT m.week FROM split s JOIN (SELECT DISTINCT week FROM split) m ON s.week <= m.week
+        WHERE s.week < m.week OR NOT s.is_test GROUP BY m.week HAVING count(DISTINCT s.label) > 1""",
     "halves": "SELECT user_id, week, label, CAST(user_id AS BIGINT) % 2 AS odd FROM labelled",
     # A score that is a rule instead of a fitted model.
     "scores": """
@@ -470,10 +473,11 @@ FINAL_SQL = {
         WHERE s.week < m.week OR NOT s.is_test""",
     **{f"m12_{model}": f"SELECT {DETERMINED} FROM split JOIN taught USING (week) WHERE is_test"
        for model in ("logistic_regression", "svm", "decision_tree", "random_forest", "neural_network")},
+    **{f"m12c_{model}": "SELECT week AS feature_week, CAST(0 AS DOUBLE) AS residual FROM taught"
+       for model in ("logistic_regression", "svm", "decision_tree")},
     "m13f_cumulative_model": f"""
-        SELECT {DETERMINED} FROM split WHERE is_test AND week IN (
-            SELECT m.week FROM split s JOIN (SELECT DISTINCT week FROM split) m ON s.week <= m.week
-            WHERE s.week < m.week OR NOT s.is_test GROUP BY m.week HAVING count(DISTINCT s.label) > 1)""",
+        SELECT {DETERMINED} FROM split WHERE is_test AND week IN (SELECT week FROM taught_so_far)""",
+    "m13fc_cumulative_model": "SELECT week AS feature_week, CAST(0 AS DOUBLE) AS residual FROM taught_so_far",
     "m20_transfer": f"""
         SELECT {DETERMINED} FROM halves h JOIN (
             SELECT week FROM halves GROUP BY week
