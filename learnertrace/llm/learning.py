@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 
 from learnertrace.llm.common import encoded, mapped, pieces
 
-#: Of a longer text in a sample, so many bytes are taken.
-TEXT_BYTES = 32 << 10
-
 
 def fold(doc_id: str, folds: int) -> Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(folds))
@@ -41,18 +38,9 @@ class Sample:
         return len(set(self.label.tolist())) < 2
 
 
-def bounded(text: bytes, most: int = TEXT_BYTES, parts: int = 16) -> bytes:
-    """The text, or of a longer one evenly spaced parts of together `most` bytes."""
-    if len(text) <= most:
-        return text
-    size = most // parts
-    return b"".join(text[(len(text) - size) * k // (parts - 1):][:size] for k in range(parts))
-
-
 def sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int,
            per_class: int) -> Sample:
-    """At most `per_class` documents of each label, none of the fold `held`, with their texts as
-    `bounded` gives them.
+    """At most `per_class` documents of each label, none of the fold `held`, with their whole texts.
 
     Of more labelled documents those with the least hash of their id are taken, so reruns
     agree. Labels other than 0 and 1 and null ids are left out; of several labels of one id
@@ -75,9 +63,9 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            cuts = [bounded(text) for text in encoded(batch.column("text"))]
+            texts = encoded(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id").cast(pa.string()), batch.column("label"), pa.array(cuts, pa.binary())],
+                [batch.column("id").cast(pa.string()), batch.column("label"), pa.array(texts, pa.binary())],
                 names=["id", "label", "text"])
 
     found = sorted(mapped(texts, run, "id string, label int, text binary").collect(), key=lambda r: r.id)

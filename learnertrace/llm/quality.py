@@ -19,10 +19,10 @@ from learnertrace.llm.common import table
 CHUNK, STEP = 512, 448
 VECTOR, WIDTH, FILTERS = 8, 7, 24
 
-#: The bound of the sample: documents of each label (of each at most learning.TEXT_BYTES), and chunks of each for fitting.
+#: The bound of the sample: documents of each label, with their whole texts.
 PER_CLASS = 4_000
-CHUNKS_EACH = 3
-EPOCHS = 6
+#: Rounds over all chunks, and the least number of steps; steps of so many chunks.
+EPOCHS, LEAST_STEPS, BATCH = 2, 1200, 48
 
 #: Chunks that are scored at once, so that memory does not depend on a text's length.
 AT_ONCE = 32
@@ -112,30 +112,32 @@ def fit(told: learning.Sample) -> Quality:
     if len(set(told.label[apart].tolist())) < 2 or len(set(told.label[~apart].tolist())) < 2:
         apart = np.zeros(len(told.label), dtype=bool)  # too few to hold any apart
     draw = np.random.default_rng(0)
-    rows, owner = [], []
-    for document, text in enumerate(told.texts):
-        if not apart[document] and text:
-            every = chunks(text)
-            chosen = every[draw.permutation(len(every))[:CHUNKS_EACH]]
-            rows.append(chosen)
-            owner += [document] * len(chosen)
-    if not rows:
+    shown = [k for k in np.flatnonzero(~apart) if told.texts[k]]
+    counts = {k: len(chunks(told.texts[k])) for k in shown}
+    n = sum(counts.values())
+    if not n:
         return Quality(told.rate)
-    rows = np.concatenate(rows)
-    # Some chunks are cut short, so that short texts are known as well.
-    short = np.flatnonzero(draw.random(len(rows)) < 0.15)
-    for k in short:
-        rows[k, draw.integers(8, CHUNK):] = 0
-    label = told.label[owner].astype(np.float32)
-    weight = told.weight[owner]
-    weight = (weight / weight.mean()).astype(np.float32)
+    weight = told.weight / told.weight[shown].mean()
 
     network = Network()
-    batches = max(1, len(rows) // 48)
-    adam = learning.Adam(network.arrays, EPOCHS * batches, 0.01)
-    for _ in range(EPOCHS):
-        for chosen in np.array_split(draw.permutation(len(rows)), batches):
-            adam(network.slopes(rows[chosen], label[chosen], weight[chosen]))
+    rounds = max(EPOCHS, -(-LEAST_STEPS * BATCH // n))
+    adam = learning.Adam(network.arrays, rounds * (n // BATCH + 1), 0.01)
+    # Chunks of so many documents are mixed, so that memory does not grow with the texts.
+    for _ in range(rounds):
+        for some in np.array_split(draw.permutation(shown), -(-n // (200 * BATCH))):
+            if not len(some):
+                continue
+            rows = np.concatenate([chunks(told.texts[k]) for k in some])
+            owner = np.repeat(some, [counts[k] for k in some])
+            # Some chunks are cut short, so that short texts are known as well.
+            for k in np.flatnonzero(draw.random(len(rows)) < 0.15):
+                rows[k, draw.integers(8, CHUNK):] = 0
+            order = draw.permutation(len(rows))
+            for start in range(0, len(order), BATCH):
+                chosen = order[start:start + BATCH]
+                mine = owner[chosen]
+                adam(network.slopes(rows[chosen], told.label[mine].astype(np.float32),
+                                    weight[mine].astype(np.float32)))
     judges = apart if apart.any() else ~apart
     known, values = [], []
     for document, text in enumerate(told.texts):

@@ -20,10 +20,14 @@ ORDERS = (4, 5, 6)
 BITS = 18
 WINDOW = 1000
 
-#: The bound of the sample: documents of each label (of each at most learning.TEXT_BYTES), and windows of each for fitting.
+#: The bound of the sample: documents of each label, with their whole texts.
 PER_CLASS = 4_000
-WINDOWS_EACH = 4
-EPOCHS, LEAST_STEPS = 10, 300
+#: Rounds over all windows, and the least number of steps; steps of so many windows.
+EPOCHS, LEAST_STEPS, STEP = 8, 300, 256
+#: Bytes of windows that are kept from round to round; those of further documents are made anew.
+KEPT = 128 << 20
+#: Rounds after which a toxic document's windows count by how toxic they look.
+ALIKE = 2
 
 #: Weights are pulled to 0, so that n-grams which say nothing fade out.
 PULL = np.float32(1e-5)
@@ -86,35 +90,63 @@ def fit(told: learning.Sample) -> Toxicity:
     apart = np.arange(len(told.label)) % 4 == 3
     if len(set(told.label[apart].tolist())) < 2 or len(set(told.label[~apart].tolist())) < 2:
         apart = np.zeros(len(told.label), dtype=bool)  # too few to hold any apart
-    features, owner = [], []
-    for document, text in enumerate(told.texts):
-        if not apart[document]:
-            for window in spread(windows(text), WINDOWS_EACH):
-                features.append(window.astype(np.int32))
-                owner.append(document)
-    if not features:
+    shown = np.flatnonzero(~apart)
+    kept: dict[int, list[np.ndarray]] = {}
+    room = KEPT
+
+    def cut(document: int) -> list[np.ndarray]:
+        nonlocal room
+        if document in kept:
+            return kept[document]
+        cuts = [window.astype(np.int32) for window in windows(told.texts[document])]
+        size = sum(window.nbytes for window in cuts)
+        if size <= room:
+            kept[document], room = cuts, room - size
+        return cuts
+
+    toxic, other, n = np.ones(1 << BITS), np.ones(1 << BITS), 0
+    for document in shown:
+        cuts = cut(document)
+        for window in cuts:
+            (toxic if told.label[document] else other)[window] += 1 / len(cuts)
+        n += len(cuts)
+    if not n:
         return Toxicity(told.rate)
-    label = told.label[owner]
-    toxic, other = np.ones(1 << BITS), np.ones(1 << BITS)
-    for window, y in zip(features, label):
-        (toxic if y else other)[window] += 1
     ratio = np.log((toxic / toxic.sum()) / (other / other.sum())).astype(np.float32)
 
-    weight = told.weight[owner] / told.weight[owner].mean()
+    weight = told.weight / told.weight[shown].mean()
     scale, bias = np.ones(1 << BITS, np.float32), np.zeros(1, np.float32)
     draw = np.random.default_rng(0)
-    batches = max(1, len(features) // 256)
-    rounds = max(EPOCHS, -(-LEAST_STEPS // batches))
-    adam = learning.Adam([scale, bias], rounds * batches, 0.2)
-    for _ in range(rounds):
-        for chosen in np.array_split(draw.permutation(len(features)), batches):
-            sizes = np.array([len(features[k]) for k in chosen])
-            here = np.concatenate([features[k] for k in chosen])
-            value = ratio[here] / np.sqrt(np.repeat(sizes, sizes))
-            z = np.add.reduceat(value * scale[here], np.cumsum(sizes) - sizes) + bias[0]
-            slope = (learning.sigmoid(z) - label[chosen]) * weight[chosen] / len(chosen)
-            adam([np.bincount(here, value * np.repeat(slope, sizes), 1 << BITS).astype(np.float32)
-                  + PULL * scale, np.array([slope.sum()], np.float32)])
+    rounds = max(EPOCHS, -(-LEAST_STEPS * STEP // n))
+    adam = learning.Adam([scale, bias], rounds * (n // STEP + 1), 0.2)
+
+    def step(held: list[tuple[np.ndarray, float, float]]) -> None:
+        sizes = np.array([len(window) for window, _, _ in held])
+        here = np.concatenate([window for window, _, _ in held])
+        label, part = np.array([y for _, y, _ in held]), np.array([w for _, _, w in held])
+        value = ratio[here] / np.sqrt(np.repeat(sizes, sizes))
+        z = np.add.reduceat(value * scale[here], np.cumsum(sizes) - sizes) + bias[0]
+        slope = (learning.sigmoid(z) - label) * part / len(held)
+        adam([np.bincount(here, value * np.repeat(slope, sizes), 1 << BITS).astype(np.float32)
+              + PULL * scale, np.array([slope.sum()], np.float32)])
+
+    for turn in range(rounds):
+        held: list[tuple[np.ndarray, float, float]] = []
+        for document in draw.permutation(shown):
+            cuts, label = cut(document), told.label[document]
+            parts = np.ones(len(cuts))
+            if label and turn >= ALIKE and len(cuts) > 1:
+                # What makes a document toxic may stand in one of its windows only.
+                seen = np.array([(scale[c] * ratio[c]).sum() / np.sqrt(len(c)) for c in cuts])
+                parts = np.exp(2 * (seen - seen.max()))
+                parts /= parts.max()
+            for window, part in zip(cuts, parts):
+                held.append((window, label, weight[document] * part))
+                if len(held) == STEP:
+                    step(held)
+                    held = []
+        if held:
+            step(held)
     model = Toxicity(told.rate, scale * ratio, float(bias[0]))
     judges = apart if apart.any() else ~apart
     values = [model.values(text) for document, text in enumerate(told.texts) if judges[document]]
@@ -123,13 +155,6 @@ def fit(told: learning.Sample) -> Toxicity:
     return model
 
 
-def spread(items: list, most: int) -> list:
-    """At most `most` of the items, evenly spaced."""
-    if len(items) <= most:
-        return items
-    return [items[(2 * k + 1) * len(items) // (2 * most)] for k in range(most)]
-
-
 def trained(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2,
             per_class: int = PER_CLASS) -> Toxicity:
     """A model of the labels outside the fold `held`, from at most `per_class` texts of each."""
