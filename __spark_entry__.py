@@ -25,7 +25,8 @@ from learnertrace.operators import (  # noqa: E402
 )
 from learnertrace.operators.dropout import user_dropout  # noqa: E402
 from learnertrace.plans.catalog import CATALOG  # noqa: E402
-from learnertrace.plans.features import feature, features, populate  # noqa: E402
+from learnertrace.plans.features import feature, features, populate, stored_states  # noqa: E402
+from learnertrace.plans.increments import StateStore  # noqa: E402
 from learnertrace.sources.driver_tables import WEEKS, course  # noqa: E402
 from learnertrace.sources.store import FeatureStore, dropped, shared_folder, written  # noqa: E402
 
@@ -93,8 +94,10 @@ def queries() -> dict[str, Query]:
         features(c, only=[2, 15]).unionByName(features(replace(c, stamp=LATER), only=[3, 4, 5, 14, 201])),
         "2024-02-15 00:00:00"))
     add("s10_populate", _populated)
-    for name, table in [("t01", "user_long_feature"), ("t02", "user_feature"),
-                        ("t03", "video_feature"), ("t04", "user_video_feature")]:
+    add("s11_incremental", _incremental)
+    add("t01_user_long_feature", lambda c: features(c, known_states=stored_states(c)))
+    add("t01p_one_plan", features)
+    for name, table in [("t02", "user_feature"), ("t03", "video_feature"), ("t04", "user_video_feature")]:
         add(f"{name}_{table}", lambda c, table=table: features(c, table=table))
 
     def weekly(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
@@ -251,6 +254,15 @@ def _populated(c) -> DataFrame:
     return store.read("user_long_feature", stamp=c.stamp)
 
 
+def _incremental(c) -> DataFrame:
+    """Four weeks taken in, then the fifth, which alone is read for that."""
+    spark = c.observed_events.sparkSession
+    store = StateStore(spark, f"{shared_folder(spark)}/states-{os.urandom(8).hex()}")
+    store.add(c, until="2024-01-29 00:00:00")
+    store.add(c)
+    return store.features(c)
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for every query that SQL can express."""
     bodies = {f"f{number:03d}_{about.name}": oracle_queries.feature_select(number)

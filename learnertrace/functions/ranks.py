@@ -5,57 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from learnertrace.sources.store import written
+
 
 def running_totals(
-    histogram: DataFrame, group: str, value: str, counts: list[str],
-    descending: bool = False, buckets: int = 256,
+    histogram: DataFrame, group: str, value: str, counts: list[str], descending: bool = False,
 ) -> DataFrame:
     """Add, for each count, `<count>_before` (sum over earlier values) and `<count>_all`.
 
-    `histogram` has one row per (group, value), with no NULL value. Few groups
-    with very many values would put each group into one window task, so a group
-    is cut into about `buckets` ranges of values: the windows run inside a
-    range, and the sums of the earlier ranges come from a table with one row per
-    range.
-
-    Each row finds its range in the same broadcast array that holds the sums of
-    the earlier ranges, so a row and its offset cannot disagree about the cuts.
-    That array has at most `buckets` entries per group, and groups are course
-    weeks.
+    `histogram` has one row per (group, value), with no NULL value. It is dealt out by ranges of
+    (group, value), and written with the number of the partition each row came to: a partition
+    that is computed again later must not cut otherwise. Few groups with very many values are thus
+    many partitions. Totals run within a group's part of a partition; what comes before it is
+    carried over from a table with a row for each group in a partition.
     """
-    shares = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    cuts = histogram.groupBy(group).agg(
-        F.percentile_approx(value, shares, F.lit(20 * buckets)).alias("cuts"))
-    at_most = F.col(value)
-    # The floor of a range is the greatest cut not above its values; NULL below all cuts.
-    floor = F.array_max(F.filter("cuts", lambda cut: cut <= at_most))
-    per_range = (
-        histogram.join(F.broadcast(cuts), group)
-        .groupBy(group, floor.alias("floor"))
-        .agg(*[F.sum(c).alias(c) for c in counts])
-    )
-    order = F.col("floor").desc_nulls_last() if descending else F.col("floor").asc_nulls_first()
-    earlier = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(group)
-    ranges = per_range.select(
-        group, "floor",
-        *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in counts],
-        *[F.sum(c).over(whole).alias(f"{c}_all") for c in counts],
-    )
-    fields = [c for c in ranges.columns if c != group]
-    per_group = ranges.groupBy(group).agg(F.collect_list(F.struct(*fields)).alias("ranges"))
-    # Structs compare by their first field, NULL first: the maximum is the row's range.
-    own = F.array_max(F.filter(
-        "ranges", lambda r: r["floor"].isNull() | (r["floor"] <= at_most)))
-    placed = histogram.join(F.broadcast(per_group), group).withColumn("range", own).drop("ranges")
-    inside = (
-        Window.partitionBy(group, F.col("range.floor"))
-        .orderBy(F.col(value).desc() if descending else F.col(value).asc())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return placed.select(
+    by_value = F.col(value).desc() if descending else F.col(value).asc()
+    dealt = written(histogram.repartitionByRange(group, by_value).withColumn("part", F.spark_partition_id()))
+    sums = dealt.groupBy(group, "part").agg(*[F.sum(c).alias(c) for c in counts])
+    parts = Window.partitionBy(group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = sums.select(
+        group, "part",
+        *[F.coalesce(F.sum(c).over(parts), F.lit(0)).alias(f"{c}_carried") for c in counts],
+        *[F.sum(c).over(Window.partitionBy(group)).alias(f"{c}_all") for c in counts])
+    inside = (Window.partitionBy(group, "part").orderBy(by_value)
+              .rowsBetween(Window.unboundedPreceding, -1))
+    running = dealt.select("*", *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(f"{c}_inside") for c in counts])
+    # Partitions and groups together bound the rows of `carried`.
+    return running.join(F.broadcast(carried), [group, "part"]).select(
         *histogram.columns,
-        *[(F.coalesce(F.sum(c).over(inside), F.lit(0)) + F.col(f"range.{c}_before"))
-          .alias(f"{c}_before") for c in counts],
-        *[F.col(f"range.{c}_all").alias(f"{c}_all") for c in counts],
-    )
+        *[(F.col(f"{c}_inside") + F.col(f"{c}_carried")).alias(f"{c}_before") for c in counts],
+        *[f"{c}_all" for c in counts])

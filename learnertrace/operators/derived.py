@@ -6,11 +6,13 @@ from the feature table or still part of the same plan.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from learnertrace.functions.ranks import running_totals
-from learnertrace.functions.rows import stamped
+from learnertrace.functions.rows import Measure, feature_rows, stamped
 from learnertrace.sources.course import Course
 
 TABLE = "user_long_feature"
@@ -37,39 +39,74 @@ def side_by_side(features: DataFrame, ids: list[int]) -> DataFrame:
     )
 
 
-def ratio(course: Course, features: DataFrame, feature_id: int) -> DataFrame:
-    """Features 10, 11, 209: one feature over another of the same week, 0 over a divisor of 0."""
-    above, below = RATIOS[feature_id]
-    both = side_by_side(features, [above, below]).filter(f"has{above} AND has{below}")
-    return stamped(course, TABLE, feature_id, both,
-                   f"CASE WHEN v{below} = 0 THEN 0 ELSE try_divide(v{above}, v{below}) END")
+#: What `together` gives.
+TOGETHER = {*RATIOS, *CHANGES, *PROGRESS, 203}
+
 
+def together(
+    course: Course, features: DataFrame, ids: Iterable[int], last_week: int | None = None,
+) -> DataFrame:
+    """Any of features 10, 11, 103-105, 109-112, 203, 205, 207 and 209, from one row per learner and week.
 
-def change(course: Course, features: DataFrame, feature_id: int) -> DataFrame:
-    """Features 103-105, 109-112: a week's value over the week before's; 0 if that fails.
+    * 10, 11, 209: one feature over another of the same week, 0 over a divisor of 0.
+    * 103-105, 109-112: a week's value over the week before's; 0 if that fails. Only directly
+      consecutive weeks give a row. Post length (105) also asks for more than five posts in the
+      earlier week.
+    * 203: a learner's average attempts over the greatest of the week.
+    * 205, 207: a grade minus the mean of all earlier grades, NULL without any; from week 1 on, up to
+      `last_week` if given.
 
-    Only directly consecutive weeks give a row. Post length (105) also asks for
-    more than five posts in the earlier week. The window holds one learner's
-    weeks.
+    The windows hold one learner's weeks, and all features share one aggregate and one window.
     """
-    source = CHANGES[feature_id]
+    ids = sorted(set(ids))
+    ratios = sorted({i for i in ids if i in RATIOS} | {CHANGES[i] for i in ids if CHANGES.get(i) in RATIOS})
+    sources = {x for i in ratios for x in RATIOS[i]} | {PROGRESS[i] for i in ids if i in PROGRESS}
+    sources |= {CHANGES[i] for i in ids if i in CHANGES and CHANGES[i] not in RATIOS}
+    sources |= ({3} if 105 in ids else set()) | ({9} if 203 in ids else set())
+    rows = side_by_side(features, sorted(sources))
+    for i in ratios:
+        above, below = RATIOS[i]
+        rows = rows.withColumns({
+            f"v{i}": F.expr(f"CASE WHEN v{below} = 0 THEN 0 ELSE try_divide(v{above}, v{below}) END"),
+            f"has{i}": F.expr(f"has{above} AND has{below}")})
     weeks = Window.partitionBy("user_id").orderBy("feature_week")
-    value = F.col(f"v{source}")
-    needed = [source, 3] if feature_id == 105 else [source]
-    frame = side_by_side(features, needed)
-    if feature_id == 105:
-        frame = frame.withColumn("posts_before", F.lag("v3").over(weeks))
-    frame = (
-        frame.withColumn("before", F.lag(value).over(weeks))
-        .withColumn("had_before", F.lag(f"has{source}").over(weeks))
-        .withColumn("week_before", F.lag("feature_week").over(weeks))
-        .filter(F.col(f"has{source}") & F.col("had_before")
-                & (F.col("week_before") == F.col("feature_week") - 1))
-    )
-    if feature_id == 105:
-        frame = frame.filter(F.col("posts_before") > POSTS_NEEDED)
-    return stamped(course, TABLE, feature_id, frame,
-                   f"coalesce(try_divide(v{source}, before), 0)")
+    earlier: dict[str, Column] = {}
+    if any(i in CHANGES for i in ids):
+        earlier["week_before"] = F.lag("feature_week").over(weeks)
+    for i in ids:
+        if i in CHANGES:
+            source = CHANGES[i]
+            earlier[f"before{source}"] = F.lag(f"v{source}").over(weeks)
+            earlier[f"had{source}"] = F.lag(f"has{source}").over(weeks)
+        if i in PROGRESS:
+            earlier[f"history{PROGRESS[i]}"] = F.avg(f"v{PROGRESS[i]}").over(
+                weeks.rangeBetween(Window.unboundedPreceding, -1))
+    if 105 in ids:
+        earlier["posts_before"] = F.lag("v3").over(weeks)
+    rows = rows.withColumns(earlier) if earlier else rows
+    if 203 in ids:
+        # One row per course week.
+        rows = rows.join(F.broadcast(rows.groupBy("feature_week").agg(F.max("v9").alias("greatest"))), "feature_week")
+    measures = []
+    for i in ids:
+        if i in RATIOS:
+            value, found = f"v{i}", f"has{i}"
+        elif i in CHANGES:
+            source = CHANGES[i]
+            value = f"coalesce(try_divide(v{source}, before{source}), 0)"
+            found = f"has{source} AND had{source} AND week_before = feature_week - 1"
+            found += f" AND posts_before > {POSTS_NEEDED}" if i == 105 else ""
+        elif i in PROGRESS:
+            value, found = f"v{PROGRESS[i]} - history{PROGRESS[i]}", f"has{PROGRESS[i]} AND feature_week >= 1"
+            found += f" AND feature_week <= {last_week}" if last_week is not None else ""
+        else:
+            value, found = "try_divide(v9, greatest)", "has9"
+        measures.append(Measure(i, value, f"CAST({found} AS INT)"))
+    return feature_rows(course, TABLE, rows, measures)
+
+
+#: Tasks over which the learners with one value of a week are spread.
+SALTS = 16
 
 
 def _attempts(features: DataFrame) -> DataFrame:
@@ -86,37 +123,11 @@ def percentile(course: Course, features: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"))
     ranked = running_totals(histogram, "feature_week", "feature_value", ["n"])
     below, upto = F.col("n_before"), F.col("n_before") + F.col("n")
+    # Very many learners may share a value: its percentile goes to several tasks, its learners to any of them.
     scores = ranked.select(
         "feature_week", "feature_value",
-        (F.lit(50.0) * (below + upto + 1) / F.col("n_all")).alias("percentile"))
-    joined = rows.join(scores, ["feature_week", "feature_value"])
+        (F.lit(50.0) * (below + upto + 1) / F.col("n_all")).alias("percentile"),
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("user_id"), F.lit(SALTS)).cast("int"))
+    joined = salted.join(scores, ["feature_week", "feature_value", "salt"])
     return stamped(course, TABLE, 202, joined, "percentile")
-
-
-def share_of_maximum(course: Course, features: DataFrame) -> DataFrame:
-    """Feature 203: a learner's average attempts over the greatest of the week."""
-    rows = _attempts(features)
-    greatest = rows.groupBy("feature_week").agg(F.max("feature_value").alias("greatest"))
-    # One row per course week.
-    joined = rows.join(F.broadcast(greatest), "feature_week")
-    return stamped(course, TABLE, 203, joined, "try_divide(feature_value, greatest)")
-
-
-def progress(
-    course: Course, features: DataFrame, feature_id: int, last_week: int | None = None,
-) -> DataFrame:
-    """Features 205 and 207: a grade minus the mean of all earlier grades, NULL without any.
-
-    Given from week 1 on, up to `last_week` if given. The window holds one learner's weeks.
-    """
-    history: Column = F.avg("feature_value").over(
-        Window.partitionBy("user_id").orderBy("feature_week")
-        .rangeBetween(Window.unboundedPreceding, -1))
-    frame = (
-        features.filter(F.col("feature_id") == PROGRESS[feature_id])
-        .withColumn("history", history)
-        .filter(F.col("feature_week") >= 1 if last_week is None
-                else F.col("feature_week").between(1, last_week))
-        .withColumn("gain", F.col("feature_value") - F.col("history"))
-    )
-    return stamped(course, TABLE, feature_id, frame, "gain")

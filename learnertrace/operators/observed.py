@@ -94,12 +94,13 @@ def resources_per_url(course: Course) -> DataFrame:
 def timestamp_deviation(course: Course, dropout: DataFrame) -> DataFrame:
     """Feature 13: spread of the times of day at which a learner was seen in a week.
 
-    Each distinct moment counts once.
+    Each distinct second counts once, the resolution of the source's times.
     """
-    moment = F.col("observed_event_timestamp")
+    moment = F.col("moment")
     moments = by_week(course, valid_events(course), "observed_event_timestamp")
     weekly = (
-        moments.select("user_id", "feature_week", "observed_event_timestamp").distinct()
+        moments.select("user_id", "feature_week", F.date_trunc("second", "observed_event_timestamp").alias("moment"))
+        .distinct()
         .groupBy("user_id", "feature_week")
         .agg(F.stddev_pop(seconds_of_day(moment)).alias("spread"),
              F.count(F.lit(1)).alias("moments"))
@@ -127,21 +128,26 @@ def hours_deviation(course: Course, dropout: DataFrame) -> DataFrame:
 REACTION_UNITS = {"seconds": 1, "days": 86400}
 
 
-def reaction_time(course: Course, dropout: DataFrame, unit: str = "seconds") -> DataFrame:
-    """Feature 302: average time from the release of a resource to its use, in any week.
+def releases_per_url(course: Course) -> DataFrame:
+    """url_id -> number of its resources, of those with a release, and the sum of the releases.
 
-    Releases are summed per url first, so a url with many resources is one row
-    in the join and an event is never multiplied; events are summed per learner, week and
-    url before it.
+    A url with many resources is one row, so an event that meets it is never multiplied.
     """
     release = seconds_since_start(course, F.col("resource_release_timestamp")).cast("double")
-    released = (
+    return (
         course.resources_urls.join(
             course.resources.select("resource_id", release.alias("release")), "resource_id")
         .groupBy("url_id")
         .agg(F.count(F.lit(1)).alias("resources"), F.count("release").alias("dated"),
              F.coalesce(F.sum("release"), F.lit(0.0)).alias("releases"))
     )
+
+
+def reaction_time(course: Course, dropout: DataFrame, unit: str = "seconds") -> DataFrame:
+    """Feature 302: average time from the release of a resource to its use, in any week.
+
+    Events are summed per learner, week and url before they meet the releases.
+    """
     moment = seconds_since_start(course, F.col("observed_event_timestamp")).cast("double")
     seen = (
         valid_events(course)
@@ -150,7 +156,7 @@ def reaction_time(course: Course, dropout: DataFrame, unit: str = "seconds") ->
              F.sum(moment).alias("moments"))
     )
     weekly = (
-        seen.join(released, "url_id").groupBy("user_id", "feature_week")
+        seen.join(releases_per_url(course), "url_id").groupBy("user_id", "feature_week")
         .agg(F.sum(F.col("moments") * F.col("dated") - F.col("timed") * F.col("releases")).alias("waited"),
              F.sum(F.col("timed") * F.col("dated")).alias("uses"),
              F.sum(F.col("n") * F.col("resources")).alias("pairs"))

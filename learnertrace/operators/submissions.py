@@ -86,13 +86,19 @@ def attempt_spans(
     number = F.col("submission_attempt_number")
     moment = F.col("submission_timestamp")
     in_week = F.when(during(course, moment), week(course, moment))
-    keys = ["user_id", "problem_id", "feature_week"]
     per_number = (
         course.submissions.filter(F.col("problem_id").isNotNull() & number.isNotNull())
         .groupBy("user_id", "problem_id", in_week.alias("feature_week"),
                  number.cast("long").alias("number"))
         .agg(F.count_if(F.col("validity") == 1).alias("valid"), F.count(F.lit(1)).alias("rows"))
     )
+    return first_and_last(course, per_number, dropout, ids)
+
+
+def first_and_last(course: Course, per_number: DataFrame, dropout: DataFrame, ids: Iterable[int]) -> DataFrame:
+    """Features 9 and 12 from counts (valid, rows) per learner, problem, week of the course or
+    NULL, and attempt number."""
+    keys = ["user_id", "problem_id", "feature_week"]
     per_week = per_number.groupBy(*keys).agg(
         F.max("number").alias("top"), F.max_by("valid", "number").alias("valid_at_top"),
         F.min("number").alias("low"), F.min_by("rows", "number").alias("rows_at_low"),
@@ -149,6 +155,18 @@ def grades(
     `lab_denominator` says otherwise. Submissions are counted per learner and problem before
     they meet the problems.
     """
+    solved = (
+        valid_submissions(course).select("submission_id", "user_id", "problem_id")
+        .join(correct_assessments(course), "submission_id")
+        .groupBy("user_id", "problem_id").agg(F.sum("correct").alias("correct"))
+    )
+    return per_problem_grades(course, solved, dropout, ids, lab_denominator)
+
+
+def per_problem_grades(
+    course: Course, solved: DataFrame, dropout: DataFrame, ids: Iterable[int], lab_denominator: int = HOMEWORK,
+) -> DataFrame:
+    """Features 204 and 206 from correct submissions per learner and problem."""
     ids = set(ids)
     wanted = [kind for feature, kind in ((204, HOMEWORK), (206, LAB)) if feature in ids]
     in_course = (F.col("problem_week") >= 0) & (F.col("problem_week") < course.weeks)
@@ -158,10 +176,7 @@ def grades(
     sizes = problems.groupBy("problem_week").agg(
         *[F.count_if(kind == k).alias(f"size_{k}") for k in {HOMEWORK, lab_denominator}])
     weekly = (
-        valid_submissions(course).select("submission_id", "user_id", "problem_id")
-        .join(correct_assessments(course), "submission_id")
-        .groupBy("user_id", "problem_id").agg(F.sum("correct").alias("correct"))
-        .join(problems.filter(kind.isin(*wanted)).select("problem_id", "problem_week", kind),
+        solved.join(problems.filter(kind.isin(*wanted)).select("problem_id", "problem_week", kind),
               "problem_id")
         .groupBy("user_id", "problem_week")
         .agg(F.sum(F.when(kind == HOMEWORK, F.col("correct"))).alias("homework"),

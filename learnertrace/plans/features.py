@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from learnertrace.operators import collaboration, derived, observed, submissions, video
+from learnertrace.operators import collaboration, derived, observed, states, submissions, video
 from learnertrace.operators.dropout import dropout as label
 from learnertrace.operators.dropout import user_dropout
 from learnertrace.plans.catalog import CATALOG, feature_info, select
@@ -40,15 +40,19 @@ BASE = {i for ids, _ in [*FAMILIES, *VIDEO_FAMILIES] for i in ids}
 
 def base_features(
     course: Course, dropout: DataFrame, ids: Iterable[int], used: list[str] | None = None,
+    known_states: states.States | None = None,
 ) -> dict[tuple[int, ...], DataFrame]:
     """Rows of each family that has wanted features, by those features.
 
     With `used`, what is known of the (learner, video) pairs is written out once, into a
-    table whose path is added there, instead of being part of each plan that uses it.
+    table whose path is added there, instead of being part of each plan that uses it. With
+    `known_states` the weekly features are rolled up from these instead of the activity.
     """
     wanted = set(ids)
     parts = {}
-    for family, operator in FAMILIES:
+    weekly = FAMILIES if known_states is None else [FAMILIES[0], *[
+        (family, partial(rolled_up, operator, known_states)) for family, operator in states.ROLLUPS.items()]]
+    for family, operator in weekly:
         chosen = tuple(i for i in family if i in wanted)
         if chosen:
             parts[chosen] = operator(course, dropout, chosen)
@@ -63,17 +67,33 @@ def base_features(
     return parts
 
 
-def derive(course: Course, features: DataFrame, feature_id: int) -> DataFrame:
-    """A feature computed from `features`, rows that include those it requires."""
-    if feature_id in derived.RATIOS:
-        return derived.ratio(course, features, feature_id)
-    if feature_id in derived.CHANGES:
-        return derived.change(course, features, feature_id)
-    if feature_id in derived.PROGRESS:
-        return derived.progress(course, features, feature_id)
-    if feature_id in video.SUMS:
-        return video.summed(course, features, feature_id)
-    return {202: derived.percentile, 203: derived.share_of_maximum}[feature_id](course, features)
+def rolled_up(operator: Callable[..., DataFrame], known: states.States, course: Course, dropout: DataFrame,
+              ids: Iterable[int]) -> DataFrame:
+    return operator(course, known, dropout, ids)
+
+
+def stored_states(course: Course, ids: Iterable[int] = tuple(CATALOG), used: list[str] | None = None) -> states.States:
+    """The states that some features are rolled up from, each written out from one scan."""
+    known = states.states(course, kinds=states.kinds_for(sources(ids)))
+    return known.each(lambda kind, rows: written(rows, used=used))
+
+
+def derive(course: Course, features: DataFrame, ids: Iterable[int]) -> DataFrame:
+    """Features of one table computed from `features`, rows that include what those require that are
+    not computed from others themselves."""
+    ids = set(ids)
+    parts = []
+    if ids & derived.TOGETHER:
+        parts.append(derived.together(course, features, ids & derived.TOGETHER))
+    if 202 in ids:
+        parts.append(derived.percentile(course, features))
+    parts += [video.summed(course, features, i) for i in sorted(ids) if i in video.SUMS]
+    return union(parts)
+
+
+def sources(ids: Iterable[int]) -> set[int]:
+    """The features taken from activity that some features are derived from, directly or not."""
+    return {i for i in needed(ids) if i in BASE}
 
 
 def needed(ids: Iterable[int]) -> list[int]:
@@ -90,20 +110,23 @@ def needed(ids: Iterable[int]) -> list[int]:
 
 def features(
     course: Course, dropout: DataFrame | None = None, table: str = "user_long_feature",
-    only: Iterable[int] | None = None, skip: Iterable[int] = (),
+    only: Iterable[int] | None = None, skip: Iterable[int] = (), known_states: states.States | None = None,
 ) -> DataFrame:
     """Rows of one feature table for the selected features, as one plan.
 
     Each family is built once, with all its features that anything here needs.
     Derived features start from those same rows, so Spark finds the same
-    exchange under each of them and shuffles the activity only once.
+    exchange under each of them and shuffles the activity only once. With `known_states` weekly
+    features, and who dropped out when, come from these.
     """
-    dropout = user_dropout(course) if dropout is None else dropout
+    if dropout is None:
+        dropout = user_dropout(course) if known_states is None else states.user_dropout(
+            course, known_states.submissions)
     ids = [i for i in select(only, skip) if CATALOG[i].table == table]
     if not ids:
         raise ValueError(f"no selected feature belongs to {table}")
     every = needed(ids)
-    rows = base_features(course, dropout, every)
+    rows = base_features(course, dropout, every, known_states=known_states)
     parts = []
     for members, frame in rows.items():
         wanted = [i for i in members if i in ids]
@@ -111,14 +134,10 @@ def features(
             parts.append(frame)
         elif wanted:
             parts.append(frame.filter(f"feature_id IN ({', '.join(map(str, wanted))})"))
-    for i in every:
-        if i not in BASE:
-            requires = set(CATALOG[i].requires)
-            inputs = [frame for members, frame in rows.items() if requires & set(members)]
-            derivation = derive(course, union(inputs), i)
-            rows[(i,)] = derivation
-            if i in ids:
-                parts.append(derivation)
+    derivations = [i for i in ids if i not in BASE]
+    if derivations:
+        inputs = [frame for members, frame in rows.items() if sources(derivations) & set(members)]
+        parts.append(derive(course, union(inputs), derivations))
     return union(parts)
 
 
@@ -137,23 +156,24 @@ def populate(
 ) -> list[int]:
     """Prepare the tables and store the selected features; returns their numbers.
 
-    Every stage starts from a stored table: who dropped out when, then the
-    features taken from activity, then those derived from them, all that depend on the same
-    depth of others in one write. What a derived feature requires is computed for it even
-    if it is not selected, and then not stored. With `fresh` the tables are created anew,
-    otherwise earlier runs are kept; what is stored of this run's selected features is replaced.
+    Every stage starts from a stored table: the states of the activity and who dropped out when, then
+    the features taken from these, then those derived from them, all of a table in one write. What a
+    derived feature requires is computed for it even if it is not selected, and then not stored. With
+    `fresh` the tables are created anew, otherwise earlier runs are kept; what is stored of this
+    run's selected features is replaced.
     """
     spark = store.spark
     ids = select(only, skip)
-    store.replace("user_dropout", user_dropout(course))
+    every, used = needed(ids), []
+    known = stored_states(course, every, used)
+    store.replace("user_dropout", states.user_dropout(course, known.submissions))
     store.replace("feature_info", feature_info(spark))
     if fresh:
         for table in ENTITY:
             store.create(table)
     dropout = store.read("user_dropout")
-    every, used = needed(ids), []
     unstored: dict[int, DataFrame] = {}
-    for members, rows in base_features(course, dropout, every, used).items():
+    for members, rows in base_features(course, dropout, every, used, known).items():
         kept = [i for i in members if i in ids]
         for i in members:
             if i not in ids:
@@ -161,23 +181,15 @@ def populate(
         if kept:
             rows = rows if len(kept) == len(members) else rows.filter(F.col("feature_id").isin(*kept))
             store.append(CATALOG[members[0]].table, rows, kept, course.stamp)
-    waiting = [i for i in every if i not in BASE]
-    while waiting:
-        ready = [i for i in waiting if not set(CATALOG[i].requires) & set(waiting)]
-        by_table: dict[str, list[tuple[int, DataFrame]]] = {}
-        for i in ready:
-            requires = CATALOG[i].requires
-            inputs = [unstored[r] for r in requires if r in unstored]
-            stored = [r for r in requires if r not in unstored]
-            if stored:
-                inputs.append(store.read(CATALOG[stored[0]].table, stored, course.stamp))
-            rows = derive(course, union(inputs), i)
-            if i in ids:
-                by_table.setdefault(CATALOG[i].table, []).append((i, rows))
-            else:
-                unstored[i] = rows
-        for table, parts in by_table.items():
-            store.append(table, union([rows for _, rows in parts]), [i for i, _ in parts], course.stamp)
-        waiting = [i for i in waiting if i not in ready]
+    for table in ENTITY:
+        derivations = [i for i in ids if i not in BASE and CATALOG[i].table == table]
+        if derivations:
+            requires = sources(derivations)
+            inputs = [unstored[i] for i in requires if i in unstored]
+            stored: dict[str, list[int]] = {}
+            for i in requires - set(unstored):
+                stored.setdefault(CATALOG[i].table, []).append(i)
+            inputs += [store.read(name, members, course.stamp) for name, members in stored.items()]
+            store.append(table, derive(course, union(inputs), derivations), derivations, course.stamp)
     dropped(spark, *used)
     return ids

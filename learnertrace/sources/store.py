@@ -12,17 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from learnertrace.sources.course import conform
+from learnertrace.sources.manifest import Manifest, hadoop_path
 from learnertrace.sources.schemas import OUTPUT
 
-FEATURE_PARTITIONS = ["date_of_extraction", "feature_id"]
+#: The folders of a write: copies of the run's stamp and the feature, which the files hold as well.
+LEAVES = ["run", "feature"]
 
 
 class FeatureStore:
-    """The output tables, one parquet folder each under `root`.
+    """The output tables, one folder each under `root`.
 
-    Feature tables are partitioned by run and feature. A write replaces just
-    the (run, feature) partitions it has rows for, so a repeated run leaves no
-    duplicates, and a reader of one feature opens only its files.
+    A write makes a folder of its own, in it one of Parquet files for each run and feature, and
+    then adds a list of the folders that are the table now (`Manifest`). A write that breaks off
+    changes nothing, a repeated run leaves no duplicates, a reader sees one state of the table from
+    beginning to end, and of one feature it opens only the files.
     """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
@@ -32,58 +35,73 @@ class FeatureStore:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    def manifest(self, table: str) -> Manifest:
+        return Manifest(self.spark, self.path(table))
+
     def create(self, table: str) -> None:
-        """(Re)create a table, empty, with its declared columns."""
-        self.replace(table, self.spark.createDataFrame([], OUTPUT[table]))
+        """(Re)create a table, empty."""
+        manifest = self.manifest(table)
+        manifest.commit({}, manifest.read()[0])
 
     def replace(self, table: str, rows: DataFrame) -> None:
-        rows = conform(rows, OUTPUT[table])
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        if "feature_value" in rows.columns:
-            writer = writer.partitionBy(*FEATURE_PARTITIONS)
-        writer.parquet(self.path(table))
+        """Make `rows` the whole table."""
+        self._write(table, rows, lambda key: False)
 
     def append(self, table: str, rows: DataFrame, ids: Iterable[int] = (),
                stamp: str | None = None) -> None:
         """Add feature rows; the same run and feature written again is replaced.
 
-        With `ids` and `stamp`, what is stored of these features for that run goes first, so a
-        feature that has no rows any more leaves none behind. A write that breaks off may leave
-        such a feature empty; writing again mends it. Rebalancing gathers a feature's rows
-        into few files without forcing a large feature into one task.
+        With `ids` and `stamp`, all that was stored of these features for that run goes, also where
+        a feature has no rows any more.
         """
-        if stamp is not None:
-            self._clear(table, set(ids), stamp)
-        rows = conform(rows, OUTPUT[table]).hint("rebalance", *FEATURE_PARTITIONS)
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*FEATURE_PARTITIONS).parquet(self.path(table)))
-
-    def _clear(self, table: str, ids: set[int], stamp: str) -> None:
-        files, root = hadoop_path(self.spark, self.path(table))
-        if not files.exists(root):
+        gone = {f"{stamp[:19]}|{i}" for i in ids} if stamp is not None else set()
+        self._write(table, rows, lambda key: key not in gone)
+
+    def _write(self, table: str, rows: DataFrame, stays) -> None:
+        manifest = self.manifest(table)
+        before, parts = manifest.read()
+        folder = manifest.new_folder()
+        self._files(table, rows, f"{self.path(table)}/{folder}")
+        manifest.commit({key: leaf for key, leaf in parts.items() if stays(key)}
+                        | self._leaves(table, folder), before)
+
+    def _files(self, table: str, rows: DataFrame, path: str) -> None:
+        """Rebalancing gathers a feature's rows into few files without forcing a large feature into one task."""
+        rows = conform(rows, OUTPUT[table])
+        if "feature_value" not in rows.columns:
+            rows.write.parquet(path)
             return
+        stamp = F.date_format("date_of_extraction", "yyyy-MM-dd HH:mm:ss")
+        rows = rows.withColumns({"run": stamp, "feature": F.col("feature_id")})
+        rows.hint("rebalance", *LEAVES).write.partitionBy(*LEAVES).parquet(path)
+
+    def _leaves(self, table: str, folder: str) -> dict[str, str]:
+        """Run and feature (for other tables nothing) -> where below the table's folder it is."""
+        if "feature_value" not in OUTPUT[table]:
+            return {"": folder}
+        files, root = hadoop_path(self.spark, f"{self.path(table)}/{folder}")
+        found = {}
         for run in files.listStatus(root):
-            if unquote(run.getPath().getName()) != f"date_of_extraction={stamp[:19]}":
-                continue
-            for feature in files.listStatus(run.getPath()):
-                if feature.getPath().getName() in {f"feature_id={i}" for i in ids}:
-                    files.delete(feature.getPath(), True)
+            name = run.getPath().getName()
+            if name.startswith("run="):
+                for feature in files.listStatus(run.getPath()):
+                    last = feature.getPath().getName()
+                    found[f"{unquote(name[4:])}|{last.removeprefix('feature=')}"] = f"{folder}/{name}/{last}"
+        return found
 
     def read(self, table: str, ids: Iterable[int] | None = None,
              stamp: str | None = None) -> DataFrame:
-        """Rows of a table, of some features and one run if given."""
-        rows = self.spark.read.schema(OUTPUT[table]).parquet(self.path(table))
-        if ids is not None:
-            rows = rows.filter(F.col("feature_id").isin(*ids))
-        if stamp is not None:
-            rows = rows.filter(F.col("date_of_extraction") == F.lit(stamp[:19]).cast("timestamp"))
-        return rows.select(*[part.strip().split(" ")[0] for part in OUTPUT[table].split(",")])
-
-
-def hadoop_path(spark: SparkSession, path: str):
-    """The file system of a path, and the path as it knows it."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+        """Rows of a table as it is now, of some features and one run if given."""
+        parts = self.manifest(table).read()[1]
+        wanted = None if ids is None else {str(i) for i in ids}
+        leaves = []
+        for key, leaf in sorted(parts.items()):
+            run, _, feature = key.rpartition("|")
+            if (wanted is None or feature in wanted) and (stamp is None or run == stamp[:19]):
+                leaves.append(f"{self.path(table)}/{leaf}")
+        if not leaves:
+            return self.spark.createDataFrame([], OUTPUT[table])
+        return self.spark.read.schema(OUTPUT[table]).parquet(*leaves)
 
 
 def dropped(spark: SparkSession, *paths: str) -> None:

@@ -412,7 +412,8 @@ FINAL_SQL = {
     "s07_extracted_after": " UNION ALL ".join(feature_select(i) for i in (3, 4, 5, 14, 201)).replace(
         STAMP, "'2024-03-01 00:00:00' AS date_of_extraction"),
     "s10_populate": " UNION ALL ".join(feature_select(i) for i in WEEKLY_SQL),
-    "t01_user_long_feature": " UNION ALL ".join(feature_select(i) for i in WEEKLY_SQL),
+    **{name: " UNION ALL ".join(feature_select(i) for i in WEEKLY_SQL)
+       for name in ("t01_user_long_feature", "t01p_one_plan", "s11_incremental")},
     "t02_user_feature": " UNION ALL ".join(feature_select(i) for i in USER_SQL),
     "t03_video_feature": " UNION ALL ".join(feature_select(i) for i in VIDEO_SQL),
     "t04_user_video_feature": " UNION ALL ".join(feature_select(i) for i in PAIR_SQL),

@@ -182,4 +182,4 @@ def test_unknown_tables_and_derivations(spark, make_course):
     pairs = spark.createDataFrame([], OUTPUT["user_video_feature"])
     for number in derived:
         inputs = pairs if CATALOG[number].requires[0] > 700 else empty
-        assert derive(make_course(), inputs, number).count() == 0
+        assert derive(make_course(), inputs, [number]).count() == 0
