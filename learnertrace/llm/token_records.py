@@ -38,8 +38,9 @@ READ = "shard int, record long, doc_id long, start long, n_tokens long, ids_crc3
 MASK = 0xA282EAD8
 HEAD, FOOT, NAME = struct.Struct("<QI"), struct.Struct("<I"), struct.Struct("<?qB")
 
-#: Distinct words whose ids a Python worker keeps, and the longest that it keeps.
-KEPT, KEPT_BYTES = 500_000, 48
+#: Bytes of memory that a Python worker's known words take, in each of two generations; what one takes,
+#: at most; the longest word that is kept.
+KEPT, OVERHEAD, KEPT_BYTES = 160 << 20, 220, 48
 
 #: Words that are encoded as one line.
 LINE = 64
@@ -94,7 +95,7 @@ class WordIds:
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of
     its words in turn; each distinct word is encoded once per worker, and words are kept up
-    to a bound. Only ASCII white space is cut at; the library sees to all other.
+    to a bound: where it is reached, those met since the time before stay, the older ones go. Only ASCII white space is cut at; the library sees to all other.
     """
 
     def __init__(self, path: str) -> None:
@@ -106,6 +107,8 @@ class WordIds:
         self.width = 2 if max(ids, default=0) < 1 << 16 else 4
         self.code = {2: "H", 4: "I"}[self.width]
         self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
+        self.held = 0
 
     def packed(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}{self.code}", *ids)
@@ -124,18 +127,26 @@ class WordIds:
         return new
 
     def of(self, texts: list[bytes]) -> Iterator[bytes]:
-        if len(self.known) > KEPT:
-            self.known.clear()
+        if self.held > KEPT:
+            # The words met since the last time stay; a text's own are known anew if it needs others.
+            self.before, self.known, self.held = self.known, {}, 0
         for text in texts:
             words = text.split()
-            missing = list(set(words).difference(self.known))
-            found = self.known
-            if missing:
-                new = self.encoded(missing)
-                self.known.update((w, v) for w, v in new.items() if len(w) <= KEPT_BYTES)
-                if any(len(w) > KEPT_BYTES for w in new):
-                    found = self.known | new
-            yield b"".join(map(found.__getitem__, words))
+            missing = set(words).difference(self.known)
+            if not missing:
+                yield b"".join(map(self.known.__getitem__, words))
+                continue
+            new = {w: self.before[w] for w in missing if w in self.before} if self.before else {}
+            new |= self.encoded([w for w in missing if w not in new] if new else list(missing))
+            long = {w: v for w, v in new.items() if len(w) > KEPT_BYTES}
+            for w in long:
+                del new[w]
+            self.known.update(new)
+            self.held += OVERHEAD * len(new)
+            if long:
+                yield b"".join([long[w] if w in long else self.known[w] for w in words])
+            else:
+                yield b"".join(map(self.known.__getitem__, words))
 
 
 @cache
