@@ -26,7 +26,7 @@ def mark_duplicates(docs: DataFrame, counters: int = 256) -> DataFrame:
     Columns other than doc_id and text are ignored. A null text counts as empty; empty
     texts are equal to each other. In a group the row with the smallest doc_id stays, a
     null doc_id last; among rows that repeat the same doc_id exactly one stays. An empty
-    table gives an empty result.
+    table gives an empty result. Texts of any length: only their digests are shuffled.
     """
     rows = written(docs.select(
         "doc_id", F.monotonically_increasing_id().alias("row"), digest(F.col("text")).alias("digest")))

@@ -193,7 +193,9 @@ def license_summary(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every row.
 
     Base phrases count at all their places, resolved or not; labels are theirs and those of
-    kept detections. score is the highest confidence of a detection, 0 without any.
+    kept detections. score is the highest confidence of a detection, 0 without any. A null or
+    empty text has no words and no labels; repeated rows are scanned each; other columns are ignored; an
+    empty table gives an empty result. A text of any length is scanned whole, as one string of its words.
     """
     base = F.coalesce(F.col("base"), F.lit(False))
 

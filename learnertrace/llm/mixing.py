@@ -69,7 +69,7 @@ def plan(sizes: DataFrame, seed: int = 7, rows_per_block: int = 100_000, **setti
     Reruns agree: the offset is a hash, and the order is by size and doc_id, nulls last. Rows
     that agree in both are interchangeable. A document's copies lie between 0 and `most`;
     documents without words are sampled like others. A block has rows of one size whose
-    doc_id is in the same range of `rows_per_block` numbers.
+    doc_id, a number, is in the same range of `rows_per_block` numbers. An empty table gives none.
     """
     # Sixteen classes for each doubling of the size; they grow with the size, as blocks do with doc_id.
     step = F.when(F.col("size") > 0, F.floor(F.log2(F.col("size").cast("double")) * 16)).otherwise(-1)
@@ -109,7 +109,8 @@ def mix(docs: DataFrame, **settings) -> DataFrame:
     """The rows of `docs`, each as often as the mix takes it; the columns of `docs`.
 
     A null text has size 0, a null source is a source of its own, last in order. Repeated
-    rows are documents of their own. An empty table gives an empty mix.
+    rows are documents of their own. An empty table gives an empty mix. doc_id is a number; texts of
+    any length count as their words, and go along as they are.
     """
     sized = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), "doc_id", "source",

@@ -124,7 +124,8 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
 
     `path` is a byte-level vocabulary's file, in the same place on every machine. A null text
     counts as empty, and an empty text has no bytes and no tokens. Repeated rows are counted
-    each; other columns are ignored. Memory per task is that of a batch and the kept counts.
+    each; other columns are ignored; an empty table gives an empty result. Memory per task is that of a
+    batch and the kept counts; a text of any length is counted whole, in a batch of its own where it is long.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
