@@ -27,6 +27,8 @@ from learnertrace.operators.dropout import user_dropout  # noqa: E402
 from learnertrace.plans.catalog import CATALOG  # noqa: E402
 from learnertrace.plans.features import feature, features, populate, stored_states  # noqa: E402
 from learnertrace.plans.increments import StateStore  # noqa: E402
+from learnertrace.sources.bucketed import open_by_learner, save_by_learner  # noqa: E402
+from learnertrace.sources.course import from_files  # noqa: E402
 from learnertrace.sources.driver_tables import WEEKS, course  # noqa: E402
 from learnertrace.sources.store import FeatureStore, dropped, shared_folder, written  # noqa: E402
 
@@ -89,6 +91,7 @@ def queries() -> dict[str, Query]:
     with_dropout("f707f_rewatched_share_per_user",
                  lambda c, d: video.user_features(c, d, [707], at_least_once=True))
 
+    add("s01_partitioned_files", _by_day)
     add("s03_stored_features", _stored)
     add("s07_extracted_after", lambda c: cohort.extracted_after(
         features(c, only=[2, 15]).unionByName(features(replace(c, stamp=LATER), only=[3, 4, 5, 14, 201])),
@@ -169,6 +172,24 @@ def queries() -> dict[str, Query]:
         return scores.selectExpr("user_id", "feature_week", "label", "score BETWEEN 0 AND 1 AS in_range",
                                  "prediction IN (0, 1) AS is_class")
 
+    def reopened(rows: DataFrame, labels: DataFrame) -> DataFrame:
+        """Prepared wide rows, stored and opened again."""
+        path = f"{shared_folder(rows.sparkSession)}/prepared-{os.urandom(8).hex()}"
+        models.save_prepared(prepared(rows, labels), path)
+        return models.open_prepared(rows.sparkSession, path).select(
+            "user_id", "feature_week", "label", "is_test", *cohort.names(IDS))
+
+    def by_learner(rows: DataFrame, labels: DataFrame) -> DataFrame:
+        """Wide rows and labels stored by learner, opened again and joined where they lie."""
+        spark, root = rows.sparkSession, f"{shared_folder(rows.sparkSession)}/learners-{os.urandom(8).hex()}"
+        save_by_learner(supported(rows), f"{root}/wide", 8)
+        save_by_learner(labels.selectExpr("user_id", "feature_week", "CAST(feature_value AS INT) AS label"),
+                        f"{root}/labels", 8)
+        return cohort.with_future_label_by_learner(
+            open_by_learner(spark, f"{root}/wide"), open_by_learner(spark, f"{root}/labels"))
+
+    cohorts("s08_reopened_frame", reopened)
+    cohorts("s08_by_learner", by_learner)
     for model, grid in models.GRIDS.items():
         cohorts(f"m12_{model}", lambda rows, labels, model=model, grid=grid: determined(
             models.train_and_score(prepared(rows, labels), IDS, model, grid)))
@@ -179,9 +200,10 @@ def queries() -> dict[str, Query]:
         """How far the chosen model of each week is from the optimum."""
         def measure(rows: DataFrame, labels: DataFrame) -> DataFrame:
             used: list[str] = []
-            training = written(cohort.training_rows(prepared(rows, labels), mode), used=used)
-            found = certificates.residuals(models.fit_weekly(training, IDS, model, grid), training)
-            dropped(training.sparkSession, *used)
+            table = written(prepared(rows, labels), "feature_week", used=used)
+            fitted = models.fit_prepared(table, IDS, model, grid, mode)
+            found = certificates.residuals(fitted, cohort.training_rows(table, mode))
+            dropped(rows.sparkSession, *used)
             return found.select("feature_week", F.round("residual", 2).alias("residual"))
         return measure
 
@@ -200,10 +222,12 @@ def queries() -> dict[str, Query]:
 
         even, odd = (prepared(half(rows, k), half(labels, k), min_users=10) for k in (0, 1))
         spark = rows.sparkSession
-        folder = f"{shared_folder(spark)}/models-{os.urandom(8).hex()}"
-        models.save_models(models.fit_weekly(
-            cohort.training_rows(even, "all"), IDS, "logistic_regression"), folder)
-        return determined(models.transfer(models.load_models(spark, folder), odd))
+        folder, about = f"{shared_folder(spark)}/models-{os.urandom(8).hex()}", {"scaled": True}
+        fitted = models.fit_weekly(cohort.training_rows(even, "all"), IDS, "logistic_regression")
+        # Two stored runs, the first of which lacks a week; the second counts.
+        models.save_models(dict(list(fitted.items())[:1]), folder, about)
+        models.save_models(fitted, folder, about)
+        return determined(models.transfer(models.load_models(spark, folder, IDS, about), odd))
 
     cohorts("m20_transfer", transferred)
     cohorts("m21_ensemble", lambda rows, labels: models.ensemble(
@@ -236,6 +260,17 @@ def queries() -> dict[str, Query]:
     return found
 
 
+def _by_day(c) -> DataFrame:
+    """Features from activity that is stored in folders by date."""
+    spark = c.observed_events.sparkSession
+    root = f"{shared_folder(spark)}/days-{os.urandom(8).hex()}"
+    for name, moment in (("observed_events", "observed_event_timestamp"), ("submissions", "submission_timestamp")):
+        rows = getattr(c, name).withColumn("day", F.to_date(moment))
+        rows.hint("rebalance", "day").write.partitionBy("day").parquet(f"{root}/{name}")
+    days = from_files(spark, root, c.start, c.weeks, c.stamp, day="day")
+    return features(days, only=[2, 6, 7, 13, 15])
+
+
 def _stored(c) -> DataFrame:
     """Features 2 and 15 written twice for the same run, and read back."""
     spark = c.observed_events.sparkSession

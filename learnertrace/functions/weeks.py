@@ -31,7 +31,7 @@ def during(course: Course, moment: Column) -> Column:
 
 def by_week(course: Course, frame: DataFrame, moment: str) -> DataFrame:
     """Rows inside the course with their `feature_week`."""
-    return frame.filter(during(course, F.col(moment))).withColumn(
+    return course.on_days(frame, course.start_time, course.end_time).filter(during(course, F.col(moment))).withColumn(
         "feature_week", week(course, F.col(moment))
     )
 

@@ -166,6 +166,18 @@ def with_future_label(
     return wide.join(ahead, KEYS)
 
 
+def with_future_label_by_learner(wide: DataFrame, labels: DataFrame, weeks_ahead: int = 1) -> DataFrame:
+    """`with_future_label` of tables that are stored by learner (`sources.bucketed`), where they lie.
+
+    `labels` has user_id, feature_week and label. The learner alone is the key, so that buckets
+    meet without a shuffle; the week, of which a learner has few, is compared within.
+    """
+    ahead = labels.select("user_id", F.col("feature_week").alias("labelled_week"), F.col("label").cast("int").alias("label"))
+    apart = F.col("labelled_week") - F.col("feature_week")
+    return (wide.join(ahead.hint("merge"), "user_id")
+            .filter((apart >= weeks_ahead) & (apart <= weeks_ahead)).drop("labelled_week"))
+
+
 def scale_min_max(wide: DataFrame, ids: Sequence[int]) -> DataFrame:
     """Scale every feature to 0..1 within its week; a constant feature becomes 0."""
     return _scaled(wide, wide.groupBy("feature_week").agg(*_bounds(ids)), ids)

@@ -2,26 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from functools import reduce
 from itertools import product
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
-    LinearSVC,
     LogisticRegression,
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import PolynomialExpansion, VectorAssembler, VectorSlicer
+from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from learnertrace.operators import cohort, evaluation, hinge
-from learnertrace.sources.store import dropped, hadoop_path, written
+from learnertrace.sources.manifest import Manifest
+from learnertrace.sources.store import dropped, written
 
 # The features the weekly models use.
 MODEL_FEATURES = (2, 3, 6, 7, 8, 15, 16, 208, 209, 210)
@@ -51,11 +53,9 @@ BINS = 1024
 
 
 def estimator(model: str, n_features: int, seed: int = 19, **settings) -> Estimator:
-    """A classifier. A tree that looks at some features per split is a forest of one tree."""
+    """A classifier; support vector machines come from `hinge` instead. A tree that looks at some features per split is a forest of one tree."""
     if model == "logistic_regression":
         stage = LogisticRegression(standardization=False, **COLUMNS)
-    elif model == "svm":
-        stage = LinearSVC(standardization=False, **COLUMNS)
     elif model == "decision_tree" and settings.get("featureSubsetStrategy", "all") != "all":
         stage = RandomForestClassifier(numTrees=1, bootstrap=False, seed=seed, maxBins=BINS, **COLUMNS)
     elif model == "decision_tree":
@@ -66,7 +66,7 @@ def estimator(model: str, n_features: int, seed: int = 19, **settings) -> Estima
     elif model == "neural_network":
         stage = MultilayerPerceptronClassifier(layers=[n_features, 100, 2], seed=seed, **COLUMNS)
     else:
-        raise ValueError(f"unknown model {model!r}; known are {sorted(GRIDS)}")
+        raise ValueError(f"no estimator for model {model!r}; known are {sorted(GRIDS)}")
     return stage.copy({stage.getParam(name): value for name, value in settings.items()})
 
 
@@ -75,20 +75,16 @@ def choices(grid: Mapping[str, list]) -> list[dict]:
     return [dict(zip(grid, values)) for values in product(*grid.values())]
 
 
-def _fit(rows: DataFrame, n: int, n_features: int, model: str, choice: Mapping, seed: int) -> list[Transformer]:
-    """Stages fitted on `rows` (features, label), of which there are `n`.
+def _fit(rows: DataFrame, n: int, n_features: int, model: str, choice: Mapping, seed: int) -> Transformer:
+    """A model fitted on `rows` (features, label), of which there are `n`.
 
     Spark divides the loss by the number of rows and multiplies the penalty, so
     an inverse weight of c becomes 1 / (c * n).
     """
-    settings, stages = dict(choice), []
+    settings = dict(choice)
     if "penalty" in settings:
         settings["regParam"] = 1.0 / (settings.pop("penalty") * max(n, 1))
-    if settings.pop("degree", 1) > 1:
-        stages.append(PolynomialExpansion(degree=choice["degree"], inputCol="features", outputCol="powers"))
-        settings["featuresCol"] = "powers"
-        rows = stages[0].transform(rows)
-    return [*stages, estimator(model, n_features, seed, **settings).fit(rows)]
+    return estimator(model, n_features, seed, **settings).fit(rows)
 
 
 def _margin_to_probability(rows: DataFrame) -> list[Transformer]:
@@ -100,6 +96,26 @@ def _margin_to_probability(rows: DataFrame) -> list[Transformer]:
     return [slicer, curve.fit(slicer.transform(rows))]
 
 
+@dataclass(frozen=True)
+class Week:
+    """Rows that train the model of a week: all, those of label 1, and those in each fold."""
+
+    week: int
+    rows: int
+    ones: int
+    sizes: tuple[int, ...]
+
+
+def _fold(folds: int, seed: int) -> Column:
+    """A learner's fold, a hash of the learner, so a rerun has the same folds."""
+    return F.pmod(F.xxhash64("user_id", F.lit(seed)), F.lit(folds)).cast("int")
+
+
+def _counts(fold: Column, folds: int) -> list[Column]:
+    return [F.count(F.lit(1)).alias("n"), F.sum("label").alias("ones"),
+            *[F.count_if(fold == k).alias(f"n{k}") for k in range(folds)]]
+
+
 def fit_weekly(
     training: DataFrame, ids: Sequence[int], model: str = "logistic_regression",
     grid: Mapping[str, list] | None = None, folds: int = 3, parallelism: int = 8, seed: int = 19,
@@ -108,45 +124,83 @@ def fit_weekly(
 
     `training` is what `cohort.training_rows` gives. It is written out once,
     split by model week, and removed when done; each week then reads its own part once and
-    keeps it for all its fits. A learner's fold is a hash of the learner, so a rerun has the
-    same folds; a choice's accuracy is the mean over folds that have rows to fit and to judge. Weeks
-    with one class only have nothing to learn and are left out. A grid with a single choice is
-    fitted directly.
+    keeps it for all its fits. A choice's accuracy is the mean over folds that have rows to fit and to
+    judge. Weeks with one class only have nothing to learn and are left out. A grid with a single
+    choice is fitted directly.
     """
-    tried, used = choices(GRIDS[model] if grid is None else grid), []
+    used: list[str] = []
     training = written(training, "model_week", used=used)
-    fold = F.pmod(F.xxhash64("user_id", F.lit(seed)), F.lit(folds)).cast("int")
-    # One row per course week.
-    weeks = (
-        training.groupBy("model_week")
-        .agg(F.count(F.lit(1)).alias("n"), F.count_distinct("label").alias("classes"),
-             *[F.count_if(fold == k).alias(f"n{k}") for k in range(folds)])
-        .filter("classes > 1").orderBy("model_week").collect()
-    )
+    fold = _fold(folds, seed)
+    try:
+        # One row per course week.
+        weeks = [Week(r["model_week"], r["n"], r["ones"], tuple(r[f"n{k}"] for k in range(folds)))
+                 for r in training.groupBy("model_week").agg(*_counts(fold, folds)).orderBy("model_week").collect()]
+        return _fitted(lambda week: training.filter(F.col("model_week") == week), weeks, training.sparkSession,
+                       ids, model, grid, fold, parallelism, seed)
+    finally:
+        dropped(training.sparkSession, *used)
+
+
+def fit_prepared(
+    prepared: DataFrame, ids: Sequence[int], model: str = "logistic_regression",
+    grid: Mapping[str, list] | None = None, mode: str = "week", folds: int = 3, parallelism: int = 8,
+    seed: int = 19,
+) -> dict[int, PipelineModel]:
+    """`fit_weekly` of what `cohort.training_rows(prepared, mode)` gives, without making that table.
+
+    `prepared` is a stored table, best with a folder per week. The model of a week reads the weeks
+    it learns from out of that one table, in mode "cumulative" all up to its own, less the rows
+    that test it; so no row is written once for each model that uses it.
+    """
+    if mode not in ("week", "all", "cumulative"):
+        raise ValueError(f"unknown mode {mode!r}")
+    fold = _fold(folds, seed)
+    # At most two rows per course week.
+    parts = prepared.groupBy("feature_week", "is_test").agg(*_counts(fold, folds)).collect()
+
+    def rows_of(week: int) -> DataFrame:
+        own = F.col("feature_week") == week
+        if mode == "all":
+            return prepared.filter(own)
+        own = own & ~F.col("is_test")
+        return prepared.filter(own | (F.col("feature_week") < week) if mode == "cumulative" else own)
+
+    def counted(week: int) -> Week:
+        mine = [p for p in parts if p["feature_week"] == week and (mode == "all" or not p["is_test"])
+                or mode == "cumulative" and p["feature_week"] < week]
+        return Week(week, sum(p["n"] for p in mine), sum(p["ones"] for p in mine),
+                    tuple(sum(p[f"n{k}"] for p in mine) for k in range(folds)))
+
+    weeks = [counted(week) for week in sorted({p["feature_week"] for p in parts})]
+    return _fitted(rows_of, weeks, prepared.sparkSession, ids, model, grid, fold, parallelism, seed)
+
+
+def _fitted(
+    rows_of: Callable[[int], DataFrame], weeks: Sequence[Week], spark: SparkSession, ids: Sequence[int],
+    model: str, grid: Mapping[str, list] | None, fold: Column, parallelism: int, seed: int,
+) -> dict[int, PipelineModel]:
+    """The classifiers of the weeks that have both classes."""
+    tried = choices(GRIDS[model] if grid is None else grid)
+    weeks = [week for week in weeks if 0 < week.ones < week.rows]
     assembler = VectorAssembler(inputCols=cohort.names(ids), outputCol="features")
     if model == "svm":
-        try:
-            return _fit_machines(training, ids, tried, fold, assembler, {
-                week["model_week"]: [week[f"n{k}"] for k in range(folds)] for week in weeks})
-        finally:
-            dropped(training.sparkSession, *used)
-    threaded = inheritable_thread_target(training.sparkSession)
+        return _fit_machines(rows_of, weeks, spark, ids, tried, fold, assembler) if weeks else {}
+    threaded = inheritable_thread_target(spark)
 
-    def fit_week(week) -> PipelineModel:
-        n = week["n"]
-        rows = assembler.transform(training.filter(F.col("model_week") == week["model_week"])).select(
+    def fit_week(week: Week) -> PipelineModel:
+        n, sizes = week.rows, week.sizes
+        rows = assembler.transform(rows_of(week.week)).select(
             "features", "label", fold.alias("fold")).coalesce(-(-n // ROWS_PER_PART)).persist()
-        sizes = [week[f"n{k}"] for k in range(folds)]
 
         def judged(choice: Mapping, k: int) -> float | None:
             if not 0 < sizes[k] < n:
                 return None
             fitted = _fit(rows.filter(F.col("fold") != k), n - sizes[k], len(ids), model, choice, seed)
             right = (F.col("prediction") == F.col("label")).cast("double")
-            return PipelineModel(fitted).transform(rows.filter(F.col("fold") == k)).agg(F.avg(right)).first()[0]
+            return fitted.transform(rows.filter(F.col("fold") == k)).agg(F.avg(right)).first()[0]
 
         def accuracy(choice: Mapping) -> float:
-            found = [x for x in (judged(choice, k) for k in range(folds)) if x is not None]
+            found = [x for x in (judged(choice, k) for k in range(len(sizes))) if x is not None]
             return sum(found) / max(len(found), 1)
 
         try:
@@ -154,46 +208,71 @@ def fit_weekly(
             if len(tried) > 1:
                 scores = list(inner.map(threaded(accuracy), tried))
                 best = scores.index(max(scores))
-            stages = _fit(rows, n, len(ids), model, tried[best], seed)
-            if model == "svm":
-                stages += _margin_to_probability(PipelineModel(stages).transform(rows))
-            return PipelineModel([assembler, *stages])
+            return PipelineModel([assembler, _fit(rows, n, len(ids), model, tried[best], seed)])
         finally:
             rows.unpersist()
 
-    try:
-        with ThreadPoolExecutor(parallelism) as inner, ThreadPoolExecutor(max(1, parallelism // 2)) as outer:
-            fitted = list(outer.map(threaded(fit_week), weeks))
-    finally:
-        dropped(training.sparkSession, *used)
-    return {week["model_week"]: pipeline for week, pipeline in zip(weeks, fitted)}
+    with ThreadPoolExecutor(parallelism) as inner, ThreadPoolExecutor(max(1, parallelism // 2)) as outer:
+        fitted = list(outer.map(threaded(fit_week), weeks))
+    return {week.week: pipeline for week, pipeline in zip(weeks, fitted)}
 
 
-def _fit_machines(training: DataFrame, ids: Sequence[int], tried: Sequence[Mapping], fold, assembler,
-                  sizes: Mapping[int, Sequence[int]]) -> dict[int, PipelineModel]:
+def _fit_machines(
+    rows_of: Callable[[int], DataFrame], weeks: Sequence[Week], spark: SparkSession, ids: Sequence[int],
+    tried: Sequence[Mapping], fold: Column, assembler: VectorAssembler,
+) -> dict[int, PipelineModel]:
     """The best support vector machine per week, with probabilities; see `hinge`."""
-    spark, models = training.sparkSession, {}
-    best = hinge.fitted_grid(training, cohort.names(ids), fold, sizes, tried)
-    for week, (choice, weights, constant) in best.items():
+    training = reduce(DataFrame.unionByName, [
+        rows_of(week.week).withColumn("model_week", F.lit(week.week)) for week in weeks])
+    best = hinge.fitted_grid(training, cohort.names(ids), fold, {week.week: week.sizes for week in weeks}, tried)
+    models = {}
+    for week in weeks:
+        choice, weights, constant = best[week.week]
         stages = [assembler, *hinge.as_stages(spark, len(ids), choice.get("degree", 1), choice["penalty"],
-                                              sum(sizes[week]), weights, constant)]
-        rows = PipelineModel(stages).transform(training.filter(F.col("model_week") == week))
-        models[week] = PipelineModel([*stages, *_margin_to_probability(rows)])
+                                              week.rows, weights, constant)]
+        rows = PipelineModel(stages).transform(rows_of(week.week))
+        models[week.week] = PipelineModel([*stages, *_margin_to_probability(rows)])
     return models
 
 
-def save_models(models: Mapping[int, PipelineModel], folder: str) -> None:
-    """Store weekly models, one folder each; what is there of other weeks stays."""
+def save_models(models: Mapping[int, PipelineModel], folder: str, about: Mapping | None = None) -> None:
+    """Store the weekly models of a run as the folder's newest version.
+
+    They come into a folder of their own, which is then listed with the run's weeks, the names of the
+    features and `about` (what else tells how rows have to be prepared, such as the scaling). Readers
+    see the models of one run whole; those of earlier runs stay until `Manifest.clean`.
+    """
+    if not models:
+        raise ValueError("there are no models to store")
+    spark = SparkSession.getActiveSession()
+    manifest = Manifest(spark, folder)
+    before, place = manifest.read()[0], manifest.new_folder()
     for week, model in models.items():
-        model.write().overwrite().save(f"{folder.rstrip('/')}/week={week}")
+        model.write().save(f"{manifest.folder}/{place}/week={week}")
+    columns = {week: model.stages[0].getInputCols() for week, model in models.items()}
+    if len({tuple(c) for c in columns.values()}) > 1:
+        raise ValueError(f"the weeks do not use the same features: {columns}")
+    manifest.commit({"folder": place, "weeks": sorted(models), "features": next(iter(columns.values())),
+                     "about": dict(about or {})}, before)
 
 
-def load_models(spark: SparkSession, folder: str) -> dict[int, PipelineModel]:
-    """The weekly models stored in a folder."""
-    files, root = hadoop_path(spark, folder)
-    names = sorted(x.getPath().getName() for x in files.listStatus(root))
-    weeks = [int(name.removeprefix("week=")) for name in names if name.startswith("week=")]
-    return {w: PipelineModel.load(f"{folder.rstrip('/')}/week={w}") for w in sorted(weeks)}
+def load_models(
+    spark: SparkSession, folder: str, ids: Sequence[int] | None = None, about: Mapping | None = None,
+) -> dict[int, PipelineModel]:
+    """The weekly models of the run stored last in a folder.
+
+    `ids` and `about` may tell the features, and how the rows that are to be scored were prepared;
+    models of other features or another preparation are refused.
+    """
+    listed = Manifest(spark, folder).read()[1]
+    if not listed:
+        raise LookupError(f"no models in {folder}")
+    if ids is not None and cohort.names(ids) != listed["features"]:
+        raise ValueError(f"the models use {listed['features']}, not {cohort.names(ids)}")
+    for name, value in (about or {}).items():
+        if listed["about"].get(name) != value:
+            raise ValueError(f"the models were made with {name} {listed['about'].get(name)!r}, not {value!r}")
+    return {w: PipelineModel.load(f"{folder.rstrip('/')}/{listed['folder']}/week={w}") for w in listed["weeks"]}
 
 
 def score(models: Mapping[int, PipelineModel], rows: DataFrame) -> DataFrame:
@@ -251,8 +330,7 @@ def train_and_score(
     if mode == "all":
         raise ValueError('mode "all" trains on the test rows; use fit_weekly and transfer')
     prepared = written(prepared, "feature_week")
-    models = fit_weekly(cohort.training_rows(prepared, mode), ids, model, grid)
-    return score(models, prepared.filter("is_test"))
+    return score(fit_prepared(prepared, ids, model, grid, mode), prepared.filter("is_test"))
 
 
 def transfer(models: Mapping[int, PipelineModel], other: DataFrame) -> DataFrame:
@@ -284,10 +362,10 @@ def compare_models(
 ) -> DataFrame:
     """Accuracy and AUC per model and week on the same test rows."""
     prepared = written(prepared, "feature_week")
-    training, held_out = cohort.training_rows(prepared), prepared.filter("is_test")
+    held_out = prepared.filter("is_test")
     tables = []
     for model in models:
-        fitted = fit_weekly(training, ids, model, (grids or GRIDS)[model])
+        fitted = fit_prepared(prepared, ids, model, (grids or GRIDS)[model])
         scores = written(score(fitted, held_out))
         tables.append(
             evaluation.accuracy(scores).join(evaluation.auc(scores), "feature_week")

@@ -58,18 +58,18 @@ class States:
         return States(**{kind: change(kind, rows) for kind, rows in self.tables().items()})
 
 
-def _within(moment: Column, since: str | None, until: str | None) -> Column:
-    """Whether a moment lies in a range, as a range on the raw column that reaches the scan.
+def _within(course: Course, frame: DataFrame, moment: Column, since: str | None, until: str | None) -> DataFrame:
+    """Rows with a moment in a range, by a filter on the raw column that reaches the scan.
 
     What has no time belongs to the range without a beginning.
     """
+    start, end = (None if x is None else F.lit(x).cast("timestamp") for x in (since, until))
     inside = F.lit(True)
-    if since is not None:
-        inside = moment >= F.lit(since).cast("timestamp")
-    if until is not None:
-        before = moment < F.lit(until).cast("timestamp")
-        inside = inside & before if since is not None else before | moment.isNull()
-    return inside
+    if start is not None:
+        inside = moment >= start
+    if end is not None:
+        inside = inside & (moment < end) if start is not None else (moment < end) | moment.isNull()
+    return course.on_days(frame, start, end).filter(inside)
 
 
 def states(course: Course, since: str | None = None, until: str | None = None,
@@ -98,7 +98,7 @@ def _events(course: Course, since: str | None, until: str | None) -> DataFrame:
     passed = seconds_since_start(course, moment)
     duration = F.col("observed_event_duration")
     return (
-        valid_events(course).filter(_within(moment, since, until))
+        _within(course, valid_events(course), moment, since, until)
         .groupBy("user_id", week(course, moment).alias("feature_week"), "url_id")
         .agg(F.count(F.lit(1)).alias("n"), F.sum(duration).alias("total"), F.max(duration).alias("longest"),
              F.sum(passed.cast("double")).alias("moments"), *_hours(moment),
@@ -109,7 +109,7 @@ def _events(course: Course, since: str | None, until: str | None) -> DataFrame:
 def _submissions(course: Course, since: str | None, until: str | None) -> DataFrame:
     moment = F.col("submission_timestamp")
     valid = F.col("validity") == 1
-    graded = course.submissions.filter(_within(moment, since, until))
+    graded = _within(course, course.submissions, moment, since, until)
     if "assessments" in course.tables:
         graded = graded.join(correct_assessments(course), "submission_id", "left")
     else:
@@ -130,7 +130,7 @@ def _contributions(course: Course, since: str | None, until: str | None) -> Data
     post = kind.isin(*FORUM)
     length = F.when(post, F.octet_length("collaboration_content"))
     return (
-        course.collaborations.filter(_within(moment, since, until))
+        _within(course, course.collaborations, moment, since, until)
         .groupBy("user_id", week(course, moment).alias("feature_week"))
         .agg(F.count(F.lit(1)).alias("n"), F.count_if(post).alias("posts"),
              F.count_if(kind == WIKI_EDIT).alias("edits"), F.count_if(kind == RESPONSE).alias("responses"),

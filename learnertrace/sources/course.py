@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from learnertrace.sources.manifest import hadoop_path
 from learnertrace.sources.schemas import ACTIVITY
 
 
@@ -18,13 +19,16 @@ class Course:
 
     A table is a DataFrame, or a function that gives one; then it is only looked
     up when a feature reads it. A table may be absent (many courses have no
-    collaborations); the features that read it are then unavailable.
+    collaborations); the features that read it are then unavailable. Tables may be stored in
+    folders by date; `day` then names that column, and what needs a range of time opens the folders
+    of its days only.
     """
 
     tables: Mapping[str, DataFrame | Callable[[], DataFrame]]
     start: str
     weeks: int
     stamp: str
+    day: str | None = None
 
     def __post_init__(self) -> None:
         unknown = set(self.tables) - set(ACTIVITY)
@@ -54,6 +58,19 @@ class Course:
         are counted, whatever clocks do in between."""
         return F.timestamp_seconds(F.unix_timestamp(self.start_time) + F.lit(self.weeks * 604800))
 
+    def on_days(self, frame: DataFrame, since: Column | None = None, until: Column | None = None) -> DataFrame:
+        """Rows of the folders that may hold moments from `since` to before `until`, where `frame` has
+        such folders. A day more on either side covers any time zone the dates were taken in."""
+        if self.day is None or self.day not in frame.columns:
+            return frame
+        kept = F.lit(True)
+        if since is not None:
+            kept = kept & (F.col(self.day) >= F.date_sub(F.to_date(since), 1))
+        if until is not None:
+            kept = kept & (F.col(self.day) <= F.date_add(F.to_date(until), 1))
+        # What has no date may have no time either, and is for the range of times to judge.
+        return frame.filter(kept | F.col(self.day).isNull())
+
     @property
     def extracted(self) -> str:
         """The run stamp, to the second, as an SQL expression."""
@@ -62,19 +79,28 @@ class Course:
 
 def from_files(
     spark: SparkSession, root: str, start: str, weeks: int, stamp: str,
-    format: str = "parquet", names: list[str] | None = None,
+    format: str = "parquet", names: list[str] | None = None, day: str | None = None,
 ) -> Course:
     """Tables stored as one folder each under `root`, in any Spark file format.
 
     Formats that know their types are read with those and cast; text formats are read as
-    the declared types.
+    the declared types. `day` is the column of dates by which tables are stored in folders, if
+    any are (<table>/<day>=2024-01-31/...).
     """
     def read(name: str) -> DataFrame:
         reader, path = spark.read.format(format), f"{root.rstrip('/')}/{name}"
         if format in ("csv", "json", "text", "xml"):
-            return reader.schema(ACTIVITY[name]).load(path)
-        return conform(reader.load(path), ACTIVITY[name])
-    return _course(read, start, weeks, stamp, names)
+            dated = day is not None and _has_folders(spark, path, day)
+            return reader.schema(ACTIVITY[name] + (f", {day} DATE" if dated else "")).load(path)
+        rows = reader.load(path)
+        dated = f", {day} DATE" if day is not None and day in rows.columns else ""
+        return conform(rows, ACTIVITY[name] + dated)
+    return replace(_course(read, start, weeks, stamp, names), day=day)
+
+
+def _has_folders(spark: SparkSession, path: str, day: str) -> bool:
+    files, where = hadoop_path(spark, path)
+    return any(entry.getPath().getName().startswith(f"{day}=") for entry in files.listStatus(where))
 
 
 def from_catalog(

@@ -408,6 +408,7 @@ FINAL_SQL = {
     "f707f_rewatched_share_per_user": feature_select(707, """
         (SELECT user_id, count(n) / count(*) AS v
          FROM learner_pairs LEFT JOIN returns USING (user_id, video_id) GROUP BY user_id)"""),
+    "s01_partitioned_files": " UNION ALL ".join(feature_select(i) for i in (2, 6, 7, 13, 15)),
     "s03_stored_features": " UNION ALL ".join(feature_select(i) for i in (2, 15)),
     "s07_extracted_after": " UNION ALL ".join(feature_select(i) for i in (3, 4, 5, 14, 201)).replace(
         STAMP, "'2024-03-01 00:00:00' AS date_of_extraction"),
@@ -456,8 +457,12 @@ FINAL_SQL = {
     "m07_with_support": f"SELECT user_id, week AS feature_week, {WIDE_COLUMNS} FROM supported",
     "m08_with_future_label": f"""
         SELECT user_id, week AS feature_week, label, {WIDE_COLUMNS} FROM labelled""",
+    "s08_by_learner": f"""
+        SELECT user_id, week AS feature_week, label, {WIDE_COLUMNS} FROM labelled""",
     "m09_scale_min_max": f"""
         SELECT user_id, week AS feature_week, label, {WIDE_COLUMNS} FROM scaled""",
+    "s08_reopened_frame": f"""
+        SELECT user_id, week AS feature_week, label, is_test, {WIDE_COLUMNS} FROM split""",
     "m10_valid_weeks": "SELECT week AS feature_week, users FROM weeks",
     "m11_with_split": """
         SELECT user_id, week AS feature_week, label,

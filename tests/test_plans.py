@@ -3,12 +3,14 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from learnertrace.operators import observed
+from learnertrace.operators import cohort, observed
 from learnertrace.operators.dropout import user_dropout
 from learnertrace.plans.catalog import CATALOG
 from learnertrace.plans.features import feature
+from learnertrace.sources.bucketed import open_by_learner, save_by_learner
 from learnertrace.sources.course import from_files
 from learnertrace.sources.driver_tables import course as driver_course
 from learnertrace.sources.schemas import ACTIVITY
@@ -108,3 +110,38 @@ def test_attempts_are_windowed_after_two_aggregates(course):
     plan = physical(feature(course, user_dropout(course), 9))
     below = plan[plan.index("Window"):]
     assert below.count("partial_") >= 2
+
+
+def test_tables_by_learner_join_where_they_lie(spark, no_small_tables, tmp_path):
+    wide = spark.createDataFrame([(f"u{k % 40}", k // 40, float(k)) for k in range(200)],
+                                 "user_id STRING, feature_week INT, f2 DOUBLE")
+    labels = wide.selectExpr("user_id", "feature_week", "CAST(f2 % 2 AS INT) AS label")
+    for rows, name in ((wide, "wide"), (labels, "labels")):
+        for _ in range(2):  # a second version replaces the first
+            save_by_learner(rows, f"{tmp_path}/{name}", 4)
+    got = cohort.with_future_label_by_learner(*[open_by_learner(spark, f"{tmp_path}/{n}") for n in ("wide", "labels")])
+    plan = physical(got)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    want = cohort.with_future_label(wide, wide.selectExpr(
+        "user_id", "feature_week", "1 AS feature_id", "f2 % 2 AS feature_value"))
+    assert sorted(map(tuple, got.select("user_id", "feature_week", "f2", "label").collect())) \
+        == sorted(map(tuple, want.select("user_id", "feature_week", "f2", "label").collect()))
+    with pytest.raises(LookupError):
+        open_by_learner(spark, f"{tmp_path}/none")
+
+
+def test_the_course_range_opens_the_folders_of_its_days(spark, course, tmp_path):
+    rows = course.observed_events.withColumn("day", F.to_date("observed_event_timestamp"))
+    rows.repartition("day").write.partitionBy("day").parquet(f"{tmp_path}/observed_events")
+    course.submissions.write.parquet(f"{tmp_path}/submissions")
+    days = from_files(spark, str(tmp_path), course.start, 1, course.stamp, day="day")
+    frame = feature(days, user_dropout(days), 2)
+    scan = next(line for line in physical(frame).splitlines() if "FileScan" in line and "observed_event_duration" in line)
+    dates = scan[scan.index("PartitionFilters"):scan.index("PushedFilters")]
+    assert "2023-12-31" in dates and "2024-01-09" in dates
+    kept = days.on_days(days.observed_events, days.start_time, days.end_time)
+    assert 0 < kept.select("day").distinct().count() <= 10 < days.observed_events.select("day").distinct().count()
+    short = from_files(spark, str(tmp_path), course.start, 1, course.stamp)
+    found, want = ({(r.user_id, r.feature_week): round(r.feature_value, 6) for r in f.collect()}
+                   for f in (frame, feature(short, user_dropout(short), 2)))
+    assert found == want and found
