@@ -344,28 +344,29 @@ def linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
     return root
 
 
-def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    """(block, part, tiles, text) to (block, part, tile, other, node, set), for each pair of tiles."""
+def _tiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, part, tiles, node, text) to (block, part, tile, other, node, text), for each pair of tiles.
+
+    Texts are dealt out and not their sets: a text is shorter than its set, and compresses.
+    """
     for batch in pieces(batches, most=1 << 20):
         seen, rows = set(), []
-        places = zip(*(batch.column(c).to_pylist() for c in ("block", "part", "tiles")))
-        for (block, part, tiles), text in zip(places, encoded(batch.column("text"))):
-            found = shingles(text, words)
-            node = signature(found)
+        places = zip(*(batch.column(c).to_pylist() for c in ("block", "part", "tiles", "node")))
+        for (block, part, tiles, node), text in zip(places, encoded(batch.column("text"))):
             if (block, part, node) in seen:
                 continue
             seen.add((block, part, node))
-            data, tile = found.tobytes(), node % tiles
-            rows.extend((block, part, min(tile, other), max(tile, other), node, data)
+            tile = node % tiles
+            rows.extend((block, part, min(tile, other), max(tile, other), node, text)
                         for other in range(tiles))
         if rows:
             kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
-                                             names=["block", "part", "tile", "other", "node", "found"])
+                                             names=["block", "part", "tile", "other", "node", "text"])
 
 
-def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Sets sorted by block, part and tiles to (a, b): a node and the first of its component there."""
+def _linked(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Texts sorted by block, part and tiles to (a, b): a node and the first of its component there."""
     def solved(nodes: list[int], sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         own = np.array(nodes, np.int64)
         return own[linked(sets, percent)], own
@@ -379,7 +380,7 @@ def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
                 at, nodes, sets = here, [], []
             if not nodes or node != nodes[-1]:
                 nodes.append(node)
-                sets.append(np.frombuffer(data, np.uint64))
+                sets.append(shingles(data, words))
         if done:
             yield _roots(done)
             done = []
@@ -458,14 +459,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
         F.ceil(F.sum("n_shingles") / F.lit(block_shingles)).cast("int").alias("tiles"),
         F.count(F.lit(1)).alias("sets")).filter("sets > 1")
     wanted = written(parted.join(tiles, ["root", "part"]).select(
-        "text_hash", F.col("root").alias("block"), "part", "tiles"))
+        "text_hash", "node", F.col("root").alias("block"), "part", "tiles"))
     several = bool(wanted.filter("tiles > 1 OR part >= 0").head(1))
     members = with_likely(texts.select("text_hash", "text"), wanted).filter("likely").join(wanted, "text_hash")
-    dealt = mapped(members.select("block", "part", "tiles", "text"), partial(_sets, words=words),
-                   "block long, part int, tile int, other int, node long, found binary")
+    dealt = mapped(members.select("block", "part", "tiles", "node", "text"), _tiled,
+                   "block long, part int, tile int, other int, node long, text binary")
     at = ["block", "part", "tile", "other"]
     found = mapped(dealt.repartition(*at).sortWithinPartitions(*at, "node"),
-                   partial(_linked, percent=percent), "a long, b long")
+                   partial(_linked, words=words, percent=percent), "a long, b long")
     if several:
         roots = components(found.filter("a <> b"))
     else:
