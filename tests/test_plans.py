@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 from learnertrace.operators import cohort, observed
 from learnertrace.operators.dropout import user_dropout
 from learnertrace.plans.catalog import CATALOG
-from learnertrace.plans.features import feature
+from learnertrace.plans.features import FAMILIES, feature, features
 from learnertrace.sources.bucketed import open_by_learner, save_by_learner
 from learnertrace.sources.course import from_files
 from learnertrace.sources.driver_tables import course as driver_course
@@ -100,6 +100,14 @@ def test_no_hint_without_a_bound(course, no_small_tables):
         assert plan.count("BroadcastExchange") <= bounded.get(number, 0) * 2, number
 
 
+def test_families_have_tasks_of_their_own(course, no_small_tables):
+    """A task of a union may hold the parts of all its members, so none of these sorts for a join there."""
+    plan = features(course)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Union")
+    members = re.findall(r"^[:+]- (\w+)", plan, re.M)
+    assert members.count("RebalancePartitions") == len(FAMILIES)
+
+
 def test_clicks_are_windowed_by_time_slot(course):
     plan = physical(feature(course, user_dropout(course), 701))
     clicks = [line for line in plan.splitlines() if "Window" in line and "event_id" in line]
