@@ -7,8 +7,9 @@ of up to thousands of monomials, and the rows are kept in these coordinates.
 
 Then every model of every week - each fold left out and none, each penalty, each degree - takes Newton
 steps on the hinge loss with its corner rounded off, ever less. One pass over the rows gives losses along
-the step, slopes and curvatures of all models that are not done; the driver, which sees sums only,
-solves for the next steps. Passes hold as many models as `CELLS` allows.
+the step, slopes and curvatures of all models that are not done; tasks that share the models add these
+up and solve for the next steps, and find a week's directions. The driver sees steps and directions, no
+matrix of moments or curvatures. Passes hold as many models as `CELLS` allows.
 
 The loss is the mean of max(0, 1 - y f(x)), the penalty 1 / (2 c n) times the squared weights but
 for the constant; f is the smoothed solution's, whose distance from the optimum `certificates` measures.
@@ -20,6 +21,7 @@ import pickle
 import uuid
 from collections import defaultdict
 from collections.abc import Iterator, Mapping, Sequence
+from copy import copy
 from dataclasses import dataclass, field
 from itertools import combinations_with_replacement, count
 
@@ -33,7 +35,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from learnertrace.functions.arrow import mapped, totals
+from learnertrace.functions.arrow import finished, mapped, totals
 
 #: Widths of the rounded corner, one after the other.
 CORNERS = (2.0, 0.3, 0.05, 0.01)
@@ -90,7 +92,7 @@ def blocks(training: DataFrame, columns: Sequence[str], fold: Column) -> DataFra
     return mapped(plain, pack, "model_week int, block binary")
 
 
-def _moments(week: int, block: dict, degree: int) -> np.ndarray:
+def _moments(block: dict, degree: int) -> np.ndarray:
     """Sums of products of monomials."""
     rows, total = block["rows"], 0.0
     for start in range(0, len(rows), CHUNK):
@@ -167,9 +169,8 @@ class Machine:
         if self.step.any():
             best = int(losses.argmin())
             if best == 0:
-                # No share of it helps: a more careful step from the same place.
-                self.damping = max(100 * self.damping, 1e-5)
-                self.aim()
+                # No share of it helps: a more careful step from the same place, once that is measured again.
+                self.damping, self.step = max(100 * self.damping, 1e-5), np.zeros(self.size)
                 return
             self.damping = max(self.damping / 10, 1e-9)
             self.at = self.at + SHARES[best] * self.step
@@ -177,15 +178,15 @@ class Machine:
                 # What was measured at the whole step's end does not count.
                 self.step = np.zeros(self.size)
                 return
-        self.slope = sums[len(SHARES):len(SHARES) + self.size] / self.rows + pen * self.at
-        self.curve = sums[len(SHARES) + self.size:].reshape(self.size, self.size) / self.rows + np.diag(pen)
-        self.aim()
+        slope = sums[len(SHARES):len(SHARES) + self.size] / self.rows + pen * self.at
+        curve = sums[len(SHARES) + self.size:].reshape(self.size, self.size) / self.rows + np.diag(pen)
+        self.aim(slope, curve)
 
-    def aim(self) -> None:
+    def aim(self, slope: np.ndarray, curve: np.ndarray) -> None:
         """The next step, or the next corner where it promises little."""
         # The coordinates have second moments of 1, so one number damps them all alike.
-        self.step = -np.linalg.solve(self.curve + self.damping * np.eye(self.size), self.slope)
-        if -float(self.slope @ self.step) < LITTLE:
+        self.step = -np.linalg.solve(curve + self.damping * np.eye(self.size), slope)
+        if -float(slope @ self.step) < LITTLE:
             self.rounder()
 
     def rounder(self) -> None:
@@ -195,19 +196,25 @@ class Machine:
         self.done = self.corner == len(CORNERS)
 
 
-def _measured(week: int, block: dict, asked: Mapping[int, list[tuple]]) -> np.ndarray:
+def _measured(block: dict, asked: Mapping[int, Machine]) -> Iterator[tuple[int, np.ndarray]]:
     """Losses, slopes and curvatures of a week's models over a block."""
-    found = []
-    for degree, fold, corner, at, step in asked[week]:
-        rows, mine = block[degree], block["fold"] != fold
+    for number, machine in asked.items():
+        corner, at, step = CORNERS[machine.corner], machine.at, machine.step
+        rows, mine = block[machine.degree], block["fold"] != machine.fold
         y = block["y"] * mine  # a row left out has no part in any sum
         margin, change = (at @ rows) * y, (step @ rows) * y
         short = mine - (margin + SHARES[:, None] * change)
         losses = np.where(short >= corner, short - corner / 2, np.maximum(short, 0) ** 2 / (2 * corner)).sum(1)
         pull = np.clip(short[-1] / corner, 0, 1)
         bent = rows[:, (pull > 0) & (pull < 1)]
-        found += [losses, -rows @ (pull * y), (bent @ bent.T / corner).ravel()]
-    return np.concatenate(found)
+        yield number, np.concatenate([losses, -rows @ (pull * y), (bent @ bent.T / corner).ravel()])
+
+
+def _told(machine: Machine, sums: np.ndarray) -> Machine:
+    """What becomes of a machine with the sums of a pass."""
+    machine = copy(machine)  # a task that is repeated starts from the same
+    machine.told(sums)
+    return machine
 
 
 def _right(week: int, block: dict, asked: Mapping[int, list[tuple]]) -> np.ndarray:
@@ -223,23 +230,20 @@ def _right(week: int, block: dict, asked: Mapping[int, list[tuple]]) -> np.ndarr
 def descend(rows: DataFrame, machines: list[Machine]) -> None:
     """Fit machines on blocks of rows in their coordinates."""
     for _ in range(MOST):
-        asked, cells = defaultdict(list), defaultdict(int)
-        for machine in machines:
+        asked, cells = defaultdict(dict), defaultdict(int)
+        for number, machine in enumerate(machines):
             if not machine.done and (not cells[machine.week] or cells[machine.week] + machine.cells <= CELLS):
-                asked[machine.week].append(machine)
+                asked[machine.week][number] = machine
                 cells[machine.week] += machine.cells
         if not asked:
             break
-        told = {week: [(m.degree, m.fold, CORNERS[m.corner], m.at, m.step) for m in some]
-                for week, some in asked.items()}
-        shared = rows.sparkSession.sparkContext.broadcast(told)
-        here = rows.filter(F.col("model_week").isin(list(told)))
-        sums = totals(here, "model_week", lambda week, block: _measured(week, block, shared.value))
+        shared = rows.sparkSession.sparkContext.broadcast(dict(asked))
+        here = rows.filter(F.col("model_week").isin(list(asked)))
+        for (_, number), machine in finished(
+                here, lambda week, block: _measured(block, shared.value[week]),
+                lambda week, number, sums: _told(shared.value[week][number], sums)).items():
+            machines[number] = machine
         shared.destroy()
-        for week, some in asked.items():
-            cuts = np.cumsum([m.cells for m in some])[:-1]
-            for machine, part in zip(some, np.split(sums[week], cuts)):
-                machine.told(part)
 
 
 def fitted_grid(
@@ -255,16 +259,23 @@ def fitted_grid(
     degrees = sorted({c.get("degree", 1) for c in choices})
     packed = blocks(training, columns, fold).persist()
     bases, machines = {}, []
+    rows_in = {week: sum(parts) for week, parts in sizes.items()}
+    monomials = {degree: len(exponents(len(columns), degree)) for degree in degrees}
+    most = max(c["penalty"] for c in choices)
+
+    def found_directions(week: int, _: int, sums: np.ndarray) -> dict[int, np.ndarray]:
+        n = rows_in[week]
+        return {d: directions(sums[:size, :size] / n, 1 / (most * n)) for d, size in monomials.items()}
+
     try:
+        for (week, _), made in finished(
+                packed.filter(F.col("model_week").isin(list(sizes))),
+                lambda week, block: iter([(0, _moments(block, degrees[-1]))]), found_directions).items():
+            bases |= {(week, degree): basis for degree, basis in made.items()}
         for week, parts in sizes.items():
-            n = sum(parts)
-            sums = totals(packed.filter(F.col("model_week") == week), "model_week",
-                          lambda key, block: _moments(key, block, degrees[-1]))[week] / n
-            most = max(c["penalty"] for c in choices) * n
+            n = rows_in[week]
             for degree in degrees:
-                size = len(exponents(len(columns), degree))
-                basis = directions(sums[:size, :size], 1 / most)
-                bases[week, degree] = basis
+                basis = bases[week, degree]
                 # Of weights w = basis' v, the squared sum, as the lines of the basis are orthogonal.
                 strength = (basis * basis).sum(1)
                 for choice in choices:

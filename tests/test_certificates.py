@@ -1,5 +1,6 @@
 """Fits of whole grids at once, and what the certificates say of good and bad models."""
 
+import pickle
 import random
 
 import numpy as np
@@ -9,6 +10,7 @@ from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from learnertrace.functions import arrow
 from learnertrace.operators import certificates, cohort, hinge, models
 
 IDS = [2, 3, 6]
@@ -84,6 +86,20 @@ def test_fits_of_a_grid_are_optimal(training, monkeypatch, cells):
                 assert loss(weights + step, constant + size * rng.normal()) > least - hinge.CORNERS[-1] / 2
 
 
+def test_no_matrix_comes_to_the_driver(training, monkeypatch):
+    """Moments and curvatures are added up and solved by tasks; the driver gets directions and steps."""
+    got, loads = [], pickle.loads
+    monkeypatch.setattr(arrow.pickle, "loads", lambda data: got.append(len(data)) or loads(data))
+    choices = models.choices({"penalty": [1, 100], "degree": [4]})
+    found = hinge.fitted_grid(training, cohort.names(IDS), fold(), sizes(training), choices)
+    monomials = len(hinge.exponents(len(IDS), 4))
+    assert sorted(found) == [1, 2] and len(found[1][1]) == monomials
+    # A week's directions are fewer than its monomials; of a model come some vectors along them.
+    matrix = 8 * monomials * monomials
+    assert len(got) > 50 and max(got) < matrix + 1000 and sum(sorted(got)[-3:]) < 3 * matrix
+    assert sorted(got)[-3] < 6 * 8 * (monomials + 1) + 1000
+
+
 def fitted(training, model, grid):
     return models.fit_weekly(training, IDS, model, grid)
 
