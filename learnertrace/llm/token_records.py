@@ -40,7 +40,7 @@ HEAD, FOOT, NAME = struct.Struct("<QI"), struct.Struct("<I"), struct.Struct("<?q
 
 #: Bytes of memory that a Python worker's known words take, in each of two generations; what one takes,
 #: at most; the longest word that is kept.
-KEPT, OVERHEAD, KEPT_BYTES = 160 << 20, 220, 48
+KEPT, OVERHEAD, KEPT_BYTES = 64 << 20, 220, 48
 
 #: Words that are encoded as one line.
 LINE = 64

@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from learnertrace.llm import decontaminate, exact_dedup, mixing, token_records
+from learnertrace.llm import common, decontaminate, exact_dedup, mixing, token_records
 from learnertrace.llm.token_counts import Merges, token_counts
 
 DOCS = "doc_id long, text string, source string, digest string, `a b.c` int"
@@ -84,6 +84,27 @@ def test_counts_of_tricky_texts(spark):
     assert [r.over_limit for r in got] == [n > 4 for n in want]
 
 
+def test_tasks_give_memory_back(monkeypatch):
+    class Library:
+        asked = []
+
+        def malloc_trim(self, pad):
+            self.asked.append(pad)
+
+    monkeypatch.setattr(common.ctypes, "CDLL", lambda name: Library())
+    given_back = common._giving_back(iter([1, 2]), lambda batches: (2 * b for b in batches))
+    assert next(given_back) == 2 and not Library.asked
+    assert list(given_back) == [4] and Library.asked == [0]
+
+
+def test_known_words_stay_within_their_bound():
+    words = token_records.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    for k in range(0, 900_000, 1000):
+        list(words.of([b" ".join(b"%d" % n for n in range(k, k + 1000))]))
+    entries = len(words.known) + len(words.before)
+    assert entries * token_records.OVERHEAD < 2 * 65 << 20
+
+
 def test_records_round_trip(spark, tmp_path):
     rows = [(k, text, None) for k, text in reversed(list(enumerate(TRICKY)))] + [
         (3, TRICKY[3], None), (None, None, None), (99, None, None)]
