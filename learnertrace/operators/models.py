@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -75,6 +76,24 @@ def choices(grid: Mapping[str, list]) -> list[dict]:
     return [dict(zip(grid, values)) for values in product(*grid.values())]
 
 
+def same_fit(model: str, choice: Mapping, n_features: int) -> tuple:
+    """What a choice's fit depends on: choices that agree in it give the same model on the same rows.
+
+    Trees look at a number of features per split, whatever rule gives it. Trees of a forest that see all rows
+    and all features are copies of one tree, so their number changes no prediction.
+    """
+    found = dict(choice)
+    if "featureSubsetStrategy" in found:
+        per_split = {"all": n_features, "sqrt": math.ceil(math.sqrt(n_features)),
+                     "log2": max(1, math.ceil(math.log(n_features) / math.log(2)))}
+        rule = found["featureSubsetStrategy"]
+        found["featureSubsetStrategy"] = rule if rule == "all" else per_split.get(rule, rule)
+    if model == "random_forest" and found.get("bootstrap") is False and (
+            found.get("featureSubsetStrategy") == "all" and found.get("subsamplingRate", 1.0) == 1.0):
+        found.pop("numTrees", None)
+    return tuple(sorted((name, repr(value)) for name, value in found.items()))
+
+
 def _fit(rows: DataFrame, n: int, n_features: int, model: str, choice: Mapping, seed: int) -> Transformer:
     """A model fitted on `rows` (features, label), of which there are `n`.
 
@@ -125,7 +144,7 @@ def fit_weekly(
     `training` is what `cohort.training_rows` gives. It is written out once,
     split by model week, and removed when done; each week then reads its own part once and
     keeps it for all its fits. A choice's accuracy is the mean over folds that have rows to fit and to
-    judge. Weeks with one class only have nothing to learn and are left out. A grid with a single
+    judge; choices that fit the same model are fitted once. Weeks with one class only have nothing to learn and are left out. A grid with a single
     choice is fitted directly.
     """
     used: list[str] = []
@@ -199,19 +218,24 @@ def _fitted(
             right = (F.col("prediction") == F.col("label")).cast("double")
             return fitted.transform(rows.filter(F.col("fold") == k)).agg(F.avg(right)).first()[0]
 
-        def accuracy(choice: Mapping) -> float:
-            found = [x for x in (judged(choice, k) for k in range(len(sizes))) if x is not None]
+        def accuracy(shares: Sequence[float | None]) -> float:
+            found = [x for x in shares if x is not None]
             return sum(found) / max(len(found), 1)
 
         try:
             best = 0
             if len(tried) > 1:
-                scores = list(inner.map(threaded(accuracy), tried))
+                fits = [same_fit(model, choice, len(ids)) for choice in tried]
+                tasks = [(fit, k) for fit in dict.fromkeys(fits) for k in range(len(sizes))]
+                shares = dict(zip(tasks, inner.map(threaded(lambda task: judged(tried[fits.index(task[0])], task[1])), tasks)))
+                scores = [accuracy([shares[fit, k] for k in range(len(sizes))]) for fit in fits]
                 best = scores.index(max(scores))
             return PipelineModel([assembler, _fit(rows, n, len(ids), model, tried[best], seed)])
         finally:
             rows.unpersist()
 
+    # Most fits are one task at a time: fewer of them than cores would leave cores idle.
+    parallelism = max(parallelism, spark.sparkContext.defaultParallelism)
     with ThreadPoolExecutor(parallelism) as inner, ThreadPoolExecutor(max(1, parallelism // 2)) as outer:
         fitted = list(outer.map(threaded(fit_week), weeks))
     return {week.week: pipeline for week, pipeline in zip(weeks, fitted)}

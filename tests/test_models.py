@@ -67,6 +67,35 @@ def test_grids_cover_every_setting(spark):
                 models.estimator(model, 2, **settings)
 
 
+def test_choices_that_fit_the_same_forest_are_fitted_once(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = spark.createDataFrame(
+        [(f"u{i}", 3, *(x := [rng.random() for _ in range(3)]), int(x[0] + x[1] * rng.random() > 0.7)) for i in range(120)],
+        "user_id STRING, model_week INT, f2 DOUBLE, f3 DOUBLE, f4 DOUBLE, label INT").repartition(2, "user_id").cache()
+    grid = {"numTrees": [2, 5], "featureSubsetStrategy": ["sqrt", "log2", "all"], "bootstrap": [True, False]}
+    groups = {}
+    for choice in models.choices(grid):
+        groups.setdefault(models.same_fit("random_forest", choice, 3), []).append(choice)
+    assert len(groups) == 7
+    data = models.VectorAssembler(inputCols=["f2", "f3", "f4"], outputCol="features").transform(rows)
+    for alike in groups.values():
+        # On the same rows, each choice of a group predicts the same.
+        found = [models._fit(data, 120, 3, "random_forest", choice, 19).transform(data)
+                 .orderBy("user_id").select("prediction").collect() for choice in alike]
+        assert all(x == found[0] for x in found)
+    fits, fit = [], models._fit
+    monkeypatch.setattr(models, "_fit", lambda *args: fits.append(args[4]) or fit(*args))
+    models.fit_weekly(rows, [2, 3, 4], "random_forest", grid)
+    assert len(fits) == 7 * 3 + 1
+
+
+def test_equal_fits_of_the_grid():
+    choices = models.choices(models.GRIDS["random_forest"])
+    assert len({models.same_fit("random_forest", c, 10) for c in choices}) == 20
+    # The square root and the logarithm of 100 differ.
+    assert len({models.same_fit("random_forest", c, 100) for c in choices}) == 32
+
+
 def test_penalty_is_an_inverse_weight(prepared):
     """The penalised gradient vanishes at the solution."""
     rows = prepared.filter("feature_week = 3 AND NOT is_test").withColumn("model_week", F.col("feature_week"))
