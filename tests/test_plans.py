@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from learnertrace.operators import cohort, observed
+from learnertrace.operators import cohort, observed, video
 from learnertrace.operators.dropout import user_dropout
 from learnertrace.plans.catalog import CATALOG
 from learnertrace.plans.features import FAMILIES, feature, features
@@ -114,6 +114,12 @@ def test_clicks_are_windowed_by_time_slot(course):
     assert clicks and all("slot" in line for line in clicks)
 
 
+def test_both_ways_of_watching_share_their_windows(course):
+    """Three windows cut the clicks into pieces, one links these, three chain them, for 701 and 702 at once."""
+    plan = physical(video.pairs(course))
+    assert len(re.findall(r"[+:]- (?:\*\(\d+\) )?Window \[", plan)) <= 7
+
+
 def test_attempts_are_windowed_after_two_aggregates(course):
     plan = physical(feature(course, user_dropout(course), 9))
     below = plan[plan.index("Window"):]

@@ -1,5 +1,6 @@
 """The catalogue, the stored tables and a whole run."""
 
+import threading
 import warnings
 from types import SimpleNamespace
 
@@ -75,6 +76,39 @@ def test_selection_brings_in_what_it_needs(spark, tmp_path):
         assert rounded(store.read(table)) == rounded(planned) and planned.count()
 
 
+def test_a_stage_is_written_at_the_same_time(spark, tmp_path, monkeypatch):
+    """The parts of a stage do not wait for each other, and a table's are listed together."""
+    running, most, lock, files = [0], [0], threading.Lock(), FeatureStore._files
+
+    def counted(self, *args):
+        with lock:
+            running[0] += 1
+            most[0] = max(most[0], running[0])
+        try:
+            files(self, *args)
+        finally:
+            with lock:
+                running[0] -= 1
+
+    monkeypatch.setattr(FeatureStore, "_files", counted)
+    store = FeatureStore(spark, str(tmp_path))
+    populate(driver_course(spark, FOLDER), store, only=[2, 7, 9, 10, 14])
+    assert most[0] > 1
+    created, families, derived = 1, 1, 1
+    assert store.manifest("user_long_feature").read()[0] == created + families + derived
+
+
+def test_a_part_that_breaks_off_leaves_its_table(spark, tmp_path):
+    store = FeatureStore(spark, str(tmp_path))
+    rows = spark.createDataFrame([(i, "u", 0, 1.0, at(0)) for i in (2, 3)], OUTPUT["user_long_feature"])
+    store.append("user_long_feature", rows)
+    broken = rows.withColumn("feature_value", F.raise_error(F.lit("broken")).cast("double"))
+    with pytest.raises(Exception, match="broken"):
+        store.append_all({"user_long_feature": [(rows.filter("feature_id = 9"), [2]), (broken, [3])]},
+                         "2024-01-01 00:00:00")
+    assert as_set(store.read("user_long_feature")) == as_set(rows)
+
+
 def test_an_empty_rewrite_leaves_no_stale_rows(spark, tmp_path):
     store = FeatureStore(spark, str(tmp_path))
     rows = spark.createDataFrame([(i, "u", 0, 1.0, at(0)) for i in (2, 3)], OUTPUT["user_long_feature"])
