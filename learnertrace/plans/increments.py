@@ -36,7 +36,7 @@ class StateStore:
         that follows is taken in, and nothing can be added later.
         """
         before, listed = self.manifest.read()
-        parts = listed.get("parts", [])
+        parts = self._parts(listed)
         since = parts[-1]["range"][1] if parts else None
         if parts and since is None:
             raise ValueError("the last range has no end")
@@ -46,7 +46,15 @@ class StateStore:
         for kind, rows in states.states(course, since, until, self._kinds(course)).tables().items():
             rows.write.parquet(f"{self.root}/{folder}/{kind}")
             kinds.append(kind)
-        self.manifest.commit({"parts": [*parts, {"range": [since, until], "folder": folder, "kinds": kinds}]}, before)
+        self.manifest.commit({"parts": [*parts, {"range": [since, until], "folder": folder, "kinds": kinds,
+                                                  "form": states.FORM}]}, before)
+
+    @staticmethod
+    def _parts(listed: dict) -> list[dict]:
+        parts = listed.get("parts", [])
+        if any(part.get("form") != states.FORM for part in parts):
+            raise ValueError("the store holds states of an earlier form; build it anew")
+        return parts
 
     @staticmethod
     def _kinds(course: Course) -> list[str]:
@@ -56,7 +64,7 @@ class StateStore:
 
     def read(self) -> states.States:
         """States of all that was taken in."""
-        parts = self.manifest.read()[1].get("parts", [])
+        parts = self._parts(self.manifest.read()[1])
         found: dict[str, DataFrame] = {}
         for kind in states.KEYS:
             paths = [f"{self.root}/{part['folder']}/{kind}" for part in parts if kind in part["kinds"]]

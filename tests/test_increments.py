@@ -95,6 +95,14 @@ def test_ranges_do_not_overlap(spark, make_course, tmp_path):
     assert len(store.ranges()) == 1
 
 
+def test_states_of_another_form_are_not_mixed_in(spark, make_course, tmp_path):
+    store, course = StateStore(spark, str(tmp_path)), make_course()
+    store.manifest.commit({"parts": [{"range": [None, "2024-01-08 00:00:00"], "folder": "data-old", "kinds": ["events"]}]}, 0)
+    for use in (lambda: store.add(course), lambda: store.features(course)):
+        with pytest.raises(ValueError, match="earlier form"):
+            use()
+
+
 def test_only_the_new_week_is_scanned(spark, tmp_path):
     from learnertrace.sources.course import from_files
     source = driver_course(spark, "/root/testdata/sf0.001")

@@ -82,6 +82,44 @@ def test_moments_count_once_a_second(spark, make_course):
         assert row.feature_value == 5
 
 
+@pytest.mark.parametrize("zone, start", [("America/New_York", "2024-03-04 00:00:30"), ("Asia/Kolkata", "2024-01-01 23:59:59"),
+                                         ("UTC", "1969-12-29 00:00:00")])
+def test_seconds_of_minutes_are_those_of_the_moments(spark, zone, start):
+    """In zones with half hours, across a change of clocks and in a course that starts within a minute."""
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        ticks = spark.range(3000).selectExpr(
+            "id AS observed_event_id", "concat('u', id % 7) AS user_id", f"timestamp_seconds(unix_timestamp(TIMESTAMP '{start}')"
+            " + CASE id % 3 WHEN 0 THEN id WHEN 1 THEN id * id % 1209600 ELSE 518400 + id * 61 END - 50) AS observed_event_timestamp",
+            "1D AS observed_event_duration", "1 AS validity", "id % 2 AS url_id")
+        tried = spark.range(7).selectExpr(
+            "concat('s', id) AS submission_id", "concat('u', id) AS user_id", "'p' AS problem_id",
+            f"TIMESTAMP '{start}' AS submission_timestamp", "1 AS submission_attempt_number", "1 AS validity")
+        course = Course({"observed_events": ticks, "submissions": tried}, start, 2, "2024-06-01 00:00:00")
+        known = states.states(course, kinds=["events", "submissions"])
+        got, want = (features(course, only=[13], known_states=k) for k in (known, None))
+        assert rounded(got) == rounded(want) and want.count() == 14
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_states_of_events_hold_numbers_and_are_rolled_up_once(spark):
+    """No sets to sort for, and one pass over the states for all that is summed by week."""
+    course = driver_course(spark, FOLDER)
+    ids = [2, 15, 16, 17, 18, 301, 302]
+    known = stored_states(course, [*ids, 13])
+    assert not any(kind.startswith("array") for _, kind in known.events.dtypes)
+    plan = states.states(course).events._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+    folder = known.events.inputFiles()[0].split("/")[-2]
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        plan = features(course, only=ids, known_states=known)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert sum(folder in line for line in plan.splitlines() if "FileScan" in line) == 1
+
+
 def test_one_scan_of_each_activity_table(spark, tmp_path):
     source = driver_course(spark, FOLDER)
     for name in ACTIVITY:
