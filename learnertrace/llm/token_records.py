@@ -20,16 +20,18 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import cache, partial
+from itertools import accumulate
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from learnertrace.llm.common import encoded, mapped, pieces, shared_folder, table
+from learnertrace.llm.common import mapped, pieces, shared_folder, table
 
 INDEX = "shard int, path string, record long, doc_id long, offset long, length long, n_tokens long"
 READ = "shard int, record long, doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -39,8 +41,9 @@ MASK = 0xA282EAD8
 HEAD, FOOT, NAME = struct.Struct("<QI"), struct.Struct("<I"), struct.Struct("<?qB")
 
 #: Bytes of memory that a Python worker's known words take, in each of two generations; what one takes,
-#: at most; the longest word that is kept.
-KEPT, OVERHEAD, KEPT_BYTES = 64 << 20, 220, 48
+#: with its share of the table by which words are found; the longest word that is kept.
+KEPT, OVERHEAD, KEPT_BYTES = 64 << 20, 128, 48
+KNOWN = pa.schema([("word", pa.binary()), ("ids", pa.binary())])
 
 #: Words that are encoded as one line.
 LINE = 64
@@ -94,8 +97,10 @@ class WordIds:
     """Ids of texts, by the tokenizers library, little-endian in `width` bytes each.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of
-    its words in turn; each distinct word is encoded once per worker, and words are kept up
-    to a bound: where it is reached, those met since the time before stay, the older ones go. Only ASCII white space is cut at; the library sees to all other.
+    its words in turn. Each distinct word is looked up once per batch and encoded once per
+    worker, and words are kept up to a bound: where it is reached, those met since the time
+    before stay, the older ones go. Only ASCII white space is cut at; the library sees to all
+    other. Words and ids are Arrow columns: a dict of them takes several times the memory.
     """
 
     def __init__(self, path: str) -> None:
@@ -106,47 +111,49 @@ class WordIds:
         ids = self.library.get_vocab(with_added_tokens=True).values()
         self.width = 2 if max(ids, default=0) < 1 << 16 else 4
         self.code = {2: "H", 4: "I"}[self.width]
-        self.known: dict[bytes, bytes] = {}
-        self.before: dict[bytes, bytes] = {}
-        self.held = 0
+        self.known = self.before = KNOWN.empty_table()
 
     def packed(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}{self.code}", *ids)
 
-    def encoded(self, words: list[bytes]) -> dict[bytes, bytes]:
+    def encoded(self, words: list[bytes]) -> list[bytes]:
         """The ids of some words: lines of words are encoded, and cut where a word starts."""
-        new = {}
-        parts = [words[k:k + LINE] for k in range(0, len(words), LINE)]
-        lines = [[w.decode(errors="replace") for w in part] for part in parts]
-        found = self.library.encode_batch([" ".join(line) for line in lines], add_special_tokens=False)
-        for part, line, encoding in zip(parts, lines, found):
-            ids, starts = self.packed(encoding.ids), [start for start, _ in encoding.offsets]
-            after = np.cumsum([len(word) + 1 for word in line])
-            cuts = [0, *(np.searchsorted(starts, after) * self.width).tolist()]
-            new.update(zip(part, (ids[a:b] for a, b in zip(cuts, cuts[1:]))))
-        return new
-
-    def of(self, texts: list[bytes]) -> Iterator[bytes]:
-        if self.held > KEPT:
-            # The words met since the last time stay; a text's own are known anew if it needs others.
-            self.before, self.known, self.held = self.known, {}, 0
-        for text in texts:
-            words = text.split()
-            missing = set(words).difference(self.known)
-            if not missing:
-                yield b"".join(map(self.known.__getitem__, words))
-                continue
-            new = {w: self.before[w] for w in missing if w in self.before} if self.before else {}
-            new |= self.encoded([w for w in missing if w not in new] if new else list(missing))
-            long = {w: v for w, v in new.items() if len(w) > KEPT_BYTES}
-            for w in long:
-                del new[w]
-            self.known.update(new)
-            self.held += OVERHEAD * len(new)
-            if long:
-                yield b"".join([long[w] if w in long else self.known[w] for w in words])
-            else:
-                yield b"".join(map(self.known.__getitem__, words))
+        found = []
+        for k in range(0, len(words), LINE):
+            line = [w.decode(errors="replace") for w in words[k:k + LINE]]
+            encoding = self.library.encode(" ".join(line), add_special_tokens=False)
+            starts = list(accumulate(len(word) + 1 for word in line[:-1]))
+            cuts = list(map(encoding.char_to_token, starts))
+            if None in cuts:  # a word whose first character gives no token
+                cuts = np.searchsorted([start for start, _ in encoding.offsets], starts).tolist()
+            ids, cuts = self.packed(encoding.ids), [self.width * cut for cut in cuts]
+            found += [ids[a:b] for a, b in zip([0, *cuts], [*cuts, len(ids)])]
+        return found
+
+    def of_words(self, words: pa.Array) -> pa.Array:
+        """The ids of distinct words."""
+        if len(self.known) * OVERHEAD > KEPT:
+            self.before, self.known = self.known, KNOWN.empty_table()
+        at, older = (pa.compute.index_in(words, value_set=rows["word"]).fill_null(-1).to_numpy()
+                     for rows in (self.known, self.before))
+        new = (at < 0) & (older < 0)
+        ids = pa.array(self.encoded(words.filter(pa.array(new)).to_pylist()), pa.binary())
+        ends = len(self.known), len(self.known) + len(self.before)
+        ids = pa.chunked_array([*self.known["ids"].chunks, *self.before["ids"].chunks, ids]).take(pa.array(
+            np.where(at >= 0, at, np.where(older >= 0, ends[0] + older, ends[1] + np.cumsum(new) - 1))))
+        kept = (at < 0) & (pa.compute.binary_length(words).to_numpy() <= KEPT_BYTES)
+        met = pa.table([words, ids], schema=KNOWN).filter(pa.array(kept))
+        self.known = pa.concat_tables([self.known, met]).combine_chunks()
+        return ids.combine_chunks()
+
+    def of(self, texts: list[bytes] | pa.Array) -> Iterator[bytes]:
+        """The ids of each text; a null is empty."""
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.binary()).view(pa.string())
+        parts = pa.compute.ascii_split_whitespace(column.fill_null(""))
+        words = parts.flatten().dictionary_encode()
+        ids = self.of_words(words.dictionary.cast(pa.binary())).cast(pa.large_binary()).take(words.indices)
+        yield from pa.compute.binary_join(
+            pa.ListArray.from_arrays(parts.offsets, ids), pa.scalar(b"", pa.large_binary())).to_pylist()
 
 
 @cache
@@ -166,7 +173,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, path: str,
         for batch in pieces(batches):
             rows = []
             names = batch.column("doc_id").to_pylist()
-            for doc_id, ids in zip(names, words.of(encoded(batch.column("text")))):
+            for doc_id, ids in zip(names, words.of(batch.column("text"))):
                 if out is None:
                     system.create_dir(os.path.dirname(where), recursive=True)
                     out = system.open_output_stream(where)

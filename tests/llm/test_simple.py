@@ -1,5 +1,6 @@
 """Exact duplicates, token records, token counts, decontamination and mixing."""
 
+import itertools
 import math
 import struct
 import zlib
@@ -7,6 +8,7 @@ from collections import Counter
 
 import duckdb
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -105,6 +107,26 @@ def test_known_words_stay_within_their_bound():
     assert entries * token_records.OVERHEAD < 2 * 65 << 20
 
 
+def test_known_words_are_encoded_once():
+    words = token_records.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    encode, asked = words.encoded, []
+    words.encoded = lambda new: asked.extend(new) or encode(new)
+    texts = [b" ".join(b"%d" % n for n in range(k, k + 20_000)) for k in range(0, 700_000, 20_000)]
+    for text in [*texts, texts[0]]:
+        list(words.of([text]))
+    assert len(asked) == 700_000
+
+
+def test_ids_of_a_batch_equal_the_library():
+    odd = ["", " ", "\u3000", "\u0301", "\u2028a", "\ufeffx", "a\u3000b", "\x1c", "\x85b", "<|endoftext|>", "\u0958", "x" * 200]
+    texts = [" ".join(p) for p in itertools.product(odd, repeat=2)] + ["\t".join(odd * 20), None]
+    column = pa.array(texts, pa.string())
+    words = token_records.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    for batch in (column, column.slice(7), column.cast(pa.large_string()), column.slice(0, 0)):
+        got = [list(struct.unpack(f"<{len(ids) // 2}H", ids)) for ids in words.of(batch)]
+        assert got == [WORD.encode(t or "", add_special_tokens=False).ids for t in batch.to_pylist()]
+
+
 def test_records_round_trip(spark, tmp_path):
     rows = [(k, text, None) for k, text in reversed(list(enumerate(TRICKY)))] + [
         (3, TRICKY[3], None), (None, None, None), (99, None, None)]
