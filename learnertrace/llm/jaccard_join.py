@@ -9,9 +9,11 @@ No machine can hold one tree, and in many dimensions a tree over unrelated texts
 little, so the sets are first dealt out by an exact criterion on the same kind of groups.
 Linked sets differ in at most d shingles, where d follows from their sizes. With more than
 d groups, some group holds the very same shingles in both. So sets of about the same size
-meet under a key per group (band of sizes, group, hash of the group's content); sets that
-are joined by such meetings, directly or through others, form a block. No link leaves a
-block. Texts that are near copies of nothing meet nobody and never travel further.
+meet under a key per group (band of sizes, group, hash of the group's content). Texts that
+share some passage meet as well, more of them the more texts there are, so those who
+meet are first compared by the counts of their sets in ranges of the hashes, which bound what two
+share; sets that are joined by what passes, directly or through others, form a block. No link leaves a
+block. Of equal sets one text does all this; texts that are near copies of nothing travel no further.
 
 Within a block a search goes from set to set: each finds, in the block's tree, its partners
 among those not yet reached. A group of near copies costs about one search for each member
@@ -26,7 +28,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import cache, partial
+from functools import cache, partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +38,19 @@ from pyspark.sql import functions as F
 from learnertrace.llm.common import LOWER_BYTES, NOT_SPACE, encoded, mapped, pieces, table, written
 
 MEETING = "key long, node long"
+COMPANY = "company long, first long, node long"
 
 #: Shingles that one task holds of a block, and the seeds for dealing shingles into groups.
 BLOCK_SHINGLES = 3_000_000
 SEEDS = 4
 
+#: Parts in which keys are shuffled one after the other, so that not all are on the disks at once; each reads the texts.
+TURNS = 2
+
+#: Sets of a company that one task compares with each other, and the largest count of a range that is told.
+COMPANY_SETS = 4096
+MANY = 15
+
 LEAF = 32
 
 #: Shingles that are compared at once.
@@ -170,21 +180,8 @@ def keys(found: np.ndarray, bands: Bands) -> np.ndarray:
     return np.concatenate(every)
 
 
-def _starred(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For sorted keys: the first node of each key, and (first, other) for the others."""
-    first = np.concatenate(([True], key[1:] != key[:-1]))
-    head = np.flatnonzero(first)[np.cumsum(first) - 1]
-    other = node != node[head]
-    return first, node[head][other], node[other]
-
-
-def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.unique(np.stack((a, b), axis=1), axis=0) if len(a) else np.empty((0, 2), np.int64)
-
-
-def _meetings(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """(key, node) for the first node that a batch has under a key. The others that meet it
-    there share one more key with it, however many they have met under."""
+def _meetings(batches: Iterator[pa.RecordBatch], words: int, percent: int, turn: int) -> Iterator[pa.RecordBatch]:
+    """(key, node) for every key of a text's set that has its turn."""
     bands = Bands(percent)
     for batch in pieces(batches):
         seen, many, nodes = set(), [], []
@@ -193,36 +190,190 @@ def _meetings(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> It
             node = signature(found)
             if len(found) and node not in seen:
                 seen.add(node)
-                many.append(keys(found, bands).view(np.int64))
+                every = keys(found, bands)
+                many.append(every[every % np.uint64(TURNS) == turn].view(np.int64))
                 nodes.append(node)
-        if not many:
-            continue
-        key = np.concatenate(many)
-        node = np.repeat(np.array(nodes, np.int64), [len(x) for x in many])
-        order = np.argsort(key, kind="stable")
-        key, node = key[order], node[order]
-        first, a, b = _starred(key, node)
-        pair = _pairs(a, b)
-        shared = mix(mix(pair[:, 0].astype(np.uint64)) + pair[:, 1].astype(np.uint64)).view(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate((key[first], shared, shared)), pa.int64()),
-             pa.array(np.concatenate((node[first], pair[:, 0], pair[:, 1])), pa.int64())],
-            names=["key", "node"])
+        if many:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(many), pa.int64()),
+                 pa.array(np.repeat(np.array(nodes, np.int64), [len(x) for x in many]), pa.int64())],
+                names=["key", "node"])
+
+
+def _gathered(key: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
+    """(company, first, node) for the keys, sorted with their nodes, under which several nodes meet.
+
+    A company is known by a hash of its nodes, so keys under which the same nodes meet count once.
+    """
+    own = np.concatenate(([True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])))
+    key, node = key[own], node[own]
+    starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    sizes = np.diff(starts, append=len(key))
+    company = mix(np.add.reduceat(mix(node.view(np.uint64) ^ np.uint64(BASE)), starts)
+                  + sizes.astype(np.uint64)).view(np.int64)
+    taken = np.zeros(len(starts), dtype=bool)
+    taken[np.unique(company, return_index=True)[1]] = True
+    taken &= sizes > 1
+    row = np.repeat(taken, sizes)
+    sizes = sizes[taken]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.repeat(company[taken], sizes), pa.int64()),
+         pa.array(np.repeat(node[starts[taken]], sizes), pa.int64()), pa.array(node[row], pa.int64())],
+        names=["company", "first", "node"])
 
 
-def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Meetings sorted by key to pairs (a, b): the first under a key with each other one."""
-    last_key = last_node = None
+def _companies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Meetings sorted by key and node to companies; the rows of a last key wait for the next batch."""
+    waiting: list[tuple[np.ndarray, np.ndarray]] = []
     for batch in batches:
         key, node = (batch.column(c).to_numpy() for c in ("key", "node"))
         if not len(key):
             continue
-        if last_key is not None and key[0] == last_key:
-            key, node = np.concatenate(([last_key], key)), np.concatenate(([last_node], node))
-        first, a, b = _starred(key, node)
-        last_key, last_node = key[-1], node[np.flatnonzero(first)[-1]]
-        pair = _pairs(a, b)
-        yield pa.RecordBatch.from_arrays([pa.array(pair[:, k], pa.int64()) for k in (0, 1)], names=["a", "b"])
+        cut = int(np.searchsorted(key, key[-1]))
+        if waiting and (cut or waiting[0][0][0] != key[0]):
+            waiting.append((key[:cut], node[:cut]))
+            yield _gathered(*map(np.concatenate, zip(*waiting)))
+            waiting = []
+        elif cut:
+            yield _gathered(key[:cut], node[:cut])
+        waiting.append((key[cut:], node[cut:]))
+    if waiting:
+        yield _gathered(*map(np.concatenate, zip(*waiting)))
+
+
+# --- who of a company may be linked ---------------------------------------------------------
+
+def counts(found: np.ndarray) -> np.ndarray:
+    """How many elements of a set lie in each of so many equal ranges that one or two do on average;
+    MANY stands for as many or more."""
+    bits = max(1, len(found).bit_length() - 1)
+    cells = np.bincount((found >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(cells, MANY).astype(np.uint8)
+
+
+def packed(cells: np.ndarray) -> bytes:
+    """Counts as half bytes."""
+    return (cells[::2] | cells[1::2] << 4).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    both = np.frombuffer(data, dtype=np.uint8)
+    return np.stack((both & 15, both >> 4), axis=1).ravel()
+
+
+def folded(cells: np.ndarray, size: int) -> np.ndarray:
+    """Counts over `size` ranges, out of those over more."""
+    if len(cells) == size:
+        return cells
+    return np.minimum(cells.reshape(size, -1).sum(1), MANY).astype(np.uint8)
+
+
+def possible(own: np.ndarray, size: int, cells: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the sets with these counts (a line each) may be linked with the set of counts `own`: they share
+    at most the sum of the lesser counts."""
+    least = np.minimum(cells, own)
+    full = (least == MANY).any(1) if (own == MANY).any() else False
+    return full | (least.sum(1, dtype=np.int64) * (100 + percent) >= percent * (sizes + size))
+
+
+def close(every: list[np.ndarray], sizes: np.ndarray, roots: np.ndarray, percent: int) -> np.ndarray:
+    """For each set the number of the first set that possible links and common roots join it with."""
+    least = min(map(len, every))
+    cells = np.stack([folded(x, least) for x in every])
+    kin = np.unique(roots, return_inverse=True)[1]
+    left, first = np.ones(len(every), dtype=bool), np.full(len(every), -1)
+    for start in range(len(every)):
+        if not left[start]:
+            continue
+        open_ = np.flatnonzero(kin == kin[start]).tolist()
+        left[open_], first[open_] = False, start
+        while open_ and left.any():
+            k = open_.pop()
+            among = np.flatnonzero(left)
+            found = among[possible(cells[k], sizes[k], cells[among], sizes[among], percent)]
+            if len(found):
+                found = np.flatnonzero(left & np.isin(kin, kin[found]))
+                left[found], first[found] = False, start
+                open_.extend(found.tolist())
+    return first
+
+
+def _counted(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    for batch in pieces(batches):
+        found = [shingles(text, words) for text in encoded(batch.column("text"))]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(map(signature, found), pa.int64()), pa.array(map(len, found), pa.int64()),
+             pa.array([packed(counts(x)) for x in found], pa.binary())], names=["node", "size", "counts"])
+
+
+def _possible(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) that may be linked, of pairs with their sizes and counts."""
+    for batch in batches:
+        rows = zip(*(batch.column(c).to_pylist() for c in ("a_counts", "a_size", "b_counts", "b_size")))
+        passed = []
+        for a, a_size, b, b_size in rows:
+            one, other = unpacked(a), unpacked(b)
+            least = min(len(one), len(other))
+            passed.append(bool(possible(folded(one, least), a_size, folded(other, least)[None],
+                                        np.array([b_size]), percent)[0]))
+        yield batch.select(["a", "b"]).filter(pa.array(passed, pa.bool_()))
+
+
+def _close(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Companies, sorted by company and tiles, to (a, b): a node and the first that it may be joined with there."""
+    def solved(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        node, root, size, data = zip(*rows)
+        own = np.array(node, np.int64)
+        return own[close([unpacked(x) for x in data], np.array(size), np.array(root, np.int64), percent)], own
+
+    at, rows, done = None, [], []
+    for batch in batches:
+        for *here, node, root, size, data in zip(*(batch.column(c).to_pylist() for c in batch.schema.names)):
+            if here != at:
+                if rows:
+                    done.append(solved(rows))
+                at, rows = here, []
+            rows.append((node, root, size, data))
+        if done:
+            yield _roots(done)
+            done = []
+    if rows:
+        yield _roots([solved(rows)])
+
+
+def joined(companies: DataFrame, texts: DataFrame, words: int, percent: int, most: int) -> DataFrame:
+    """Pairs (a, b) of nodes that connect, directly or through others, all linked nodes of a company.
+
+    Nodes that met by chance, or under what many texts say, are told apart by the counts of their sets, some hundredths of
+    a text in size. First each company's first node is compared with the others; then all nodes of those that
+    this leaves in several parts. `texts` has the node's texts, perhaps among others. Of a company of more
+    than `most` nodes each pair of tiles is one task.
+    """
+    sets = written(mapped(texts.select("text"), partial(_counted, words=words), "node long, size long, counts binary")
+                   .dropDuplicates(["node"]))
+
+    def seen(name: str) -> DataFrame:
+        return sets.select(F.col("node").alias(name), F.col("size").alias(f"{name}_size"),
+                           F.col("counts").alias(f"{name}_counts"))
+
+    stars = companies.filter("first <> node").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
+    stars = written(mapped(stars.join(seen("a"), "a").join(seen("b"), "b"), partial(_possible, percent=percent),
+                           "a long, b long"))
+    known = companies.join(components(stars), "node", "left").select(
+        "company", "node", F.coalesce("root", "node").alias("root"))
+    # Of two nodes the first was compared with the other.
+    parted = written(known.groupBy("company").agg(
+        F.count(F.lit(1)).alias("n"), F.min("root").alias("least"), F.max("root").alias("last"))
+        .filter("n > 2 AND least <> last").select("company", F.ceil(F.col("n") / F.lit(most)).cast("int").alias("tiles")))
+    tile, other = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"), F.col("beside")
+    dealt = (known.join(parted, "company").join(sets, "node")
+             .withColumn("beside", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+             .select("company", F.least(tile, other).alias("tile"), F.greatest(tile, other).alias("other"),
+                     "node", "root", "size", "counts"))
+    at = ["company", "tile", "other"]
+    found = mapped(dealt.repartition(*at).sortWithinPartitions(*at, "node"), partial(_close, percent=percent),
+                   "a long, b long")
+    return stars.unionByName(written(found.filter("a <> b").distinct()))
 
 
 # --- components -------------------------------------------------------------------------
@@ -395,13 +546,13 @@ def _roots(done: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
 
 # --- texts of blocks ---------------------------------------------------------------------
 
-def with_likely(texts: DataFrame, wanted: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
-    """`texts` with a flag `likely`, true wherever text_hash is one of `wanted`, and seldom elsewhere.
+def with_likely(texts: DataFrame, wanted: DataFrame, bits: int = FILTER_BITS, by: str = "text_hash") -> DataFrame:
+    """`texts` with a flag `likely`, true wherever the hash `by` is one of `wanted`, and seldom elsewhere.
 
-    A bitmap with a bit for each text_hash modulo `bits` is broadcast, in rows of 4 KB; its
+    A bitmap with a bit for each hash modulo `bits` is broadcast, in rows of 4 KB; its
     size does not depend on the data. When it fills up it only flags more rows.
     """
-    at = F.pmod(F.col("text_hash"), F.lit(bits)) + 1
+    at = F.pmod(F.col(by), F.lit(bits)) + 1
     bitmap = wanted.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bitmap"))
     position = F.bitmap_bit_position(at)
@@ -417,13 +568,13 @@ def _described(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Rec
     for batch in pieces(batches):
         found = [shingles(text, words) for text in encoded(batch.column("text"))]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc"), batch.column("doc_id"), batch.column("text_hash"),
+            [batch.column("doc"), batch.column("doc_id"), batch.column("text_hash"), batch.column("row_hash"),
              pa.array(map(len, found), pa.int64()), pa.array(map(signature, found), pa.int64())],
-            names=["doc", "doc_id", "text_hash", "n_shingles", "node"])
+            names=["doc", "doc_id", "text_hash", "row_hash", "n_shingles", "node"])
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
-                    block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+                    block_shingles: int = BLOCK_SHINGLES, company_sets: int = COMPANY_SETS) -> DataFrame:
     """doc_id, n_shingles, component_id, first, text_hash of every row of `docs`.
 
     Texts are linked when their sets of `words`-word shingles share at least `percent` percent of
@@ -433,22 +584,29 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
     component and kept. Other columns are ignored, an empty table gives an empty result.
     """
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    texts = texts.withColumn("text_hash", F.xxhash64("text"))
+    texts = texts.withColumn("text_hash", F.xxhash64("text")).withColumn("row_hash", F.xxhash64("doc_id", "text_hash"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     nodes = written(mapped(
-        texts.select(F.monotonically_increasing_id().alias("doc"), "doc_id", "text_hash", "text"),
+        texts.select(F.monotonically_increasing_id().alias("doc"), "doc_id", "text_hash", "row_hash", "text"),
         partial(_described, words=words),
-        f"doc long, doc_id {kind}, text_hash long, n_shingles long, node long"))
-
-    meetings = mapped(texts.select("text"), partial(_meetings, words=words, percent=percent), MEETING)
-    pairs = written(mapped(meetings.repartition("key").sortWithinPartitions("key", "node"), _met,
-                           "a long, b long").distinct())
+        f"doc long, doc_id {kind}, text_hash long, row_hash long, n_shingles long, node long"))
+
+    # Of texts with the same set one row stands for all.
+    sets = written(nodes.filter("n_shingles > 0").groupBy("node").agg(
+        F.min("row_hash").alias("row_hash"), F.max("n_shingles").alias("n_shingles")))
+    own = with_likely(texts.select("row_hash", "text"), sets, by="row_hash").filter("likely")
+    companies = reduce(DataFrame.unionByName, [
+        written(mapped(mapped(own.select("text"), partial(_meetings, words=words, percent=percent, turn=turn), MEETING)
+                       .repartition("key").sortWithinPartitions("key", "node"), _companies, COMPANY).distinct())
+        for turn in range(TURNS)])
+    met = sets.join(companies.select("node").distinct(), "node", "left_semi")
+    meeting = with_likely(texts.select("row_hash", "text"), written(met.select("row_hash")), by="row_hash").filter("likely")
+    pairs = joined(companies, meeting, words, percent, company_sets)
     blocks = components(pairs)
 
     # One text for each set of a block. A block too large for a task is first parted by size: linked
     # sets lie in the same band or in neighbours, so each set goes to its own and the next one's part.
-    sets = blocks.join(nodes.groupBy("node").agg(
-        F.min("text_hash").alias("text_hash"), F.max("n_shingles").alias("n_shingles")), "node")
+    sets = blocks.join(sets, "node")
     bands = Bands(percent)
     bands.of(nodes.agg(F.coalesce(F.max("n_shingles"), F.lit(1))).first()[0])
     band = F.size(F.filter(F.array(*map(F.lit, bands.edges)), lambda edge: edge <= F.col("n_shingles"))) - 1
@@ -459,9 +617,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
         F.ceil(F.sum("n_shingles") / F.lit(block_shingles)).cast("int").alias("tiles"),
         F.count(F.lit(1)).alias("sets")).filter("sets > 1")
     wanted = written(parted.join(tiles, ["root", "part"]).select(
-        "text_hash", "node", F.col("root").alias("block"), "part", "tiles"))
+        "row_hash", "node", F.col("root").alias("block"), "part", "tiles"))
     several = bool(wanted.filter("tiles > 1 OR part >= 0").head(1))
-    members = with_likely(texts.select("text_hash", "text"), wanted).filter("likely").join(wanted, "text_hash")
+    members = with_likely(texts.select("row_hash", "text"), wanted, by="row_hash").filter("likely").join(wanted, "row_hash")
     dealt = mapped(members.select("block", "part", "tiles", "node", "text"), _tiled,
                    "block long, part int, tile int, other int, node long, text binary")
     at = ["block", "part", "tile", "other"]

@@ -2,12 +2,16 @@
 
 import random
 import re
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from learnertrace.llm import common
 from learnertrace.llm import jaccard_join as jj
 
 DOCS = "doc_id long, text string, first string, node int, `a b` int"
@@ -154,3 +158,78 @@ def test_filter_lets_all_wanted_pass(spark):
         assert len(rows) == 5000
         assert {k for k in range(5000) if k % 7 == 0} <= got and len(got) <= most
     assert jj.with_likely(texts, wanted.limit(0)).filter('likely').count() == 0
+
+
+def test_texts_that_share_a_passage_only_are_no_block(spark, monkeypatch):
+    """Many unrelated texts with the same passage meet, but none of them travels to be compared as a whole."""
+    draw = random.Random(5)
+    passage = " ".join(f"p{k}" for k in range(30))
+    rows = [(k, " ".join(f"w{draw.randrange(10**6)}" for _ in range(70)) + " " + passage) for k in range(300)]
+    rows += [(1000 + k, text + " end") for k, (_, text) in enumerate(rows[:3])]
+    rows += [(2000 + k, text) for k, (_, text) in enumerate(rows[:3])]
+    dealt, write = [], jj.written
+
+    def seen(frame):
+        found = write(frame)
+        if "block" in found.columns:
+            dealt.append(found.select("node", "block").distinct().count())
+        return found
+
+    monkeypatch.setattr(jj, "written", seen)
+    got = {r.doc_id: r.component_id for r in jj.near_duplicates(frame(spark, rows)).collect()}
+    assert got == {k: root[1] for k, root in brute(rows, 5, 80).items()}
+    assert dealt == [6]
+
+
+@pytest.mark.parametrize("seed, words, percent", [(4, 5, 80), (5, 2, 50)])
+def test_companies_in_tiles(spark, seed, words, percent):
+    rows = near_copies(seed, families=9)
+    got = jj.near_duplicates(frame(spark, rows).repartition(3), words, percent, company_sets=2).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows, words, percent)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.integers(0, 10**9), st.integers(1, 300), st.integers(0, 60), st.sampled_from([50, 80, 85]))
+def test_linked_sets_are_possible(seed, size, added, percent):
+    """Counts never part sets that are linked, also where one has many elements in one range."""
+    draw = np.random.default_rng(seed)
+    pool = np.unique(draw.integers(0, 2**64 - 1, size + added, dtype=np.uint64) >> np.uint64(draw.choice([0, 0, 9])))
+    a, b = pool[:size], pool[min(added // 2, size - 1):]
+    assert (jj.unpacked(jj.packed(jj.counts(a))) == jj.counts(a)).all()
+    shared = len(np.intersect1d(a, b))
+    if 100 * shared >= percent * (len(a) + len(b) - shared):
+        one, other = jj.counts(a), jj.counts(b)
+        least = min(len(one), len(other))
+        assert jj.possible(jj.folded(one, least), len(a), jj.folded(other, least)[None], np.array([len(b)]), percent)[0]
+        assert jj.close([one, other], np.array([len(a), len(b)]), np.array([1, 2]), percent).tolist() == [0, 0]
+
+
+@given(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 6)), max_size=30), st.integers(1, 7))
+def test_companies_are_the_nodes_under_a_key(rows, size):
+    rows = sorted(rows)
+    cut = [rows[k:k + size] for k in range(0, len(rows), size)]
+    found = {}
+    for batch in jj._companies(pa.RecordBatch.from_arrays(
+            [pa.array(c, pa.int64()) for c in zip(*part)], names=["key", "node"]) for part in cut):
+        for company, first, node in zip(*(c.to_pylist() for c in batch.columns)):
+            found.setdefault(company, (first, set()))[1].add(node)
+    nodes = {}
+    for key, node in rows:
+        nodes.setdefault(key, set()).add(node)
+    want = {(min(x), frozenset(x)) for x in nodes.values() if len(x) > 1}
+    assert {(first, frozenset(x)) for first, x in found.values()} == want
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    def held():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return set(re.findall(r"shuffle_\d+", blocks.mkString(",")))
+
+    before = held()
+    again = spark.conf.get(common.TIDY, None)
+    common.written(spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count())
+    for _ in range(50):
+        if held() <= before:
+            break
+        time.sleep(0.2)
+    assert held() <= before and spark.conf.get(common.TIDY, None) == again
