@@ -9,7 +9,8 @@ Then every model of every week - each fold left out and none, each penalty, each
 steps on the hinge loss with its corner rounded off, ever less. One pass over the rows gives losses along
 the step, slopes and curvatures of all models that are not done; tasks that share the models add these
 up and solve for the next steps, and find a week's directions. The driver sees steps and directions, no
-matrix of moments or curvatures. Passes hold as many models as `CELLS` allows.
+matrix of moments or curvatures. Passes hold as many models as `CELLS` allows. Of a week whose rows fit a task
+(`ALONE`) tasks that share its models take all their steps alone, the same ones, without a pass for each.
 
 The loss is the mean of max(0, 1 - y f(x)), the penalty 1 / (2 c n) times the squared weights but
 for the constant; f is the smoothed solution's, whose distance from the optimum `certificates` measures.
@@ -47,6 +48,8 @@ LITTLE = 1e-9
 LEFT_OUT = 5e-4
 #: Numbers that one week's models may sum in a pass.
 CELLS = 8 << 20
+#: Numbers that a week's rows may be, in the coordinates of a degree, for a task to hold them all.
+ALONE = 48 << 20
 #: Passes after which a fit ends as it is.
 MOST = 600
 #: Rows that are expanded at once.
@@ -162,28 +165,30 @@ class Machine:
 
     def told(self, sums: np.ndarray) -> None:
         """Go on with the sums of a pass: losses along the step, slope and curvature at its end."""
+        if self.step.any() and self.moved(sums[:len(SHARES)]) != len(SHARES) - 1:
+            # What was measured at the whole step's end does not count; it is measured again where this one ended.
+            self.step = np.zeros(self.size)
+            return
+        self.aim(sums[len(SHARES):len(SHARES) + self.size],
+                 sums[len(SHARES) + self.size:].reshape(self.size, self.size))
+
+    def moved(self, losses: np.ndarray) -> int:
+        """Go along the step as far as pays most; the number of that share of it."""
         pen = np.append(self.weak, 0.0)
-        losses = sums[:len(SHARES)] / self.rows
         points = self.at + SHARES[:, None] * self.step
-        losses = losses + (pen * points * points).sum(1) / 2
-        if self.step.any():
-            best = int(losses.argmin())
-            if best == 0:
-                # No share of it helps: a more careful step from the same place, once that is measured again.
-                self.damping, self.step = max(100 * self.damping, 1e-5), np.zeros(self.size)
-                return
+        best = int((losses / self.rows + (pen * points * points).sum(1) / 2).argmin())
+        if best == 0:
+            # No share of it helps: a more careful step from the same place.
+            self.damping = max(100 * self.damping, 1e-5)
+        else:
             self.damping = max(self.damping / 10, 1e-9)
             self.at = self.at + SHARES[best] * self.step
-            if best != len(SHARES) - 1:
-                # What was measured at the whole step's end does not count.
-                self.step = np.zeros(self.size)
-                return
-        slope = sums[len(SHARES):len(SHARES) + self.size] / self.rows + pen * self.at
-        curve = sums[len(SHARES) + self.size:].reshape(self.size, self.size) / self.rows + np.diag(pen)
-        self.aim(slope, curve)
+        return best
 
     def aim(self, slope: np.ndarray, curve: np.ndarray) -> None:
-        """The next step, or the next corner where it promises little."""
+        """The next step, or the next corner where it promises little, from sums of slopes and curvatures."""
+        pen = np.append(self.weak, 0.0)
+        slope, curve = slope / self.rows + pen * self.at, curve / self.rows + np.diag(pen)
         # The coordinates have second moments of 1, so one number damps them all alike.
         self.step = -np.linalg.solve(curve + self.damping * np.eye(self.size), slope)
         if -float(slope @ self.step) < LITTLE:
@@ -196,6 +201,11 @@ class Machine:
         self.done = self.corner == len(CORNERS)
 
 
+def _losses(short: np.ndarray, corner: float) -> np.ndarray:
+    """Per line, the summed loss of rows that lack so much of the margin."""
+    return np.where(short >= corner, short - corner / 2, np.maximum(short, 0) ** 2 / (2 * corner)).sum(1)
+
+
 def _measured(block: dict, asked: Mapping[int, Machine]) -> Iterator[tuple[int, np.ndarray]]:
     """Losses, slopes and curvatures of a week's models over a block."""
     for number, machine in asked.items():
@@ -204,7 +214,7 @@ def _measured(block: dict, asked: Mapping[int, Machine]) -> Iterator[tuple[int,
         y = block["y"] * mine  # a row left out has no part in any sum
         margin, change = (at @ rows) * y, (step @ rows) * y
         short = mine - (margin + SHARES[:, None] * change)
-        losses = np.where(short >= corner, short - corner / 2, np.maximum(short, 0) ** 2 / (2 * corner)).sum(1)
+        losses = _losses(short, corner)
         pull = np.clip(short[-1] / corner, 0, 1)
         bent = rows[:, (pull > 0) & (pull < 1)]
         yield number, np.concatenate([losses, -rows @ (pull * y), (bent @ bent.T / corner).ravel()])
@@ -217,6 +227,89 @@ def _told(machine: Machine, sums: np.ndarray) -> Machine:
     return machine
 
 
+def _descended(machine: Machine, rows: np.ndarray) -> Iterator[Machine]:
+    """A machine at the end of each corner, on the descent that `descend` would make it take; `rows` are all it
+    learns from (a line each), times their class."""
+    machine = copy(machine)
+    margin, slope, curve = np.zeros(len(rows)), None, None
+    for _ in range(MOST):
+        before, corner = machine.corner, CORNERS[machine.corner]
+        if machine.step.any():
+            change = rows @ machine.step
+            best = machine.moved(_losses(1 - (margin + SHARES[:, None] * change), corner))
+            margin = margin + SHARES[best] * change
+        else:
+            best = -1
+        if best:
+            pull = np.clip((1 - margin) / corner, 0, 1)
+            bent = np.flatnonzero((pull > 0) & (pull < 1))
+            slope, curve = -(pull @ rows), 0.0
+            for start in range(0, max(len(bent), 1), CHUNK):
+                part = rows[bent[start:start + CHUNK]]
+                curve = curve + part.T @ part / corner
+        machine.aim(slope, curve)
+        if machine.corner > before:
+            yield machine
+        if machine.done:
+            return
+    yield machine
+
+
+def alone(packed: DataFrame, shared, machines: Sequence[Machine]) -> dict[tuple, tuple[np.ndarray, int]]:
+    """Machines fitted by tasks that each hold all rows of a week: per week, degree, fold and penalty where it ends,
+    and how many rows of the fold it has right. `shared` has the directions per week and degree."""
+    tasks: dict[tuple[int, int, int], list[Machine]] = defaultdict(list)
+    for machine in machines:
+        tasks[machine.week, machine.degree, machine.fold].append(machine)
+    # Those that take longest begin first.
+    order = sorted(tasks, key=lambda task: -tasks[task][0].rows * tasks[task][0].size ** 2)
+    places = defaultdict(list)
+    for place, (week, _, _) in enumerate(order):
+        places[week].append(place)
+    work = packed.sparkSession.sparkContext.broadcast([tasks[task] for task in order])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for week, block in zip(batch.column("model_week").to_pylist(), batch.column("block")):
+                for place in places[week]:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([place], pa.int32()), pa.array([block.as_py()], pa.binary())], ["place", "block"])
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = defaultdict(list)
+        for batch in batches:
+            for place, block in zip(*(batch.column(c).to_pylist() for c in ("place", "block"))):
+                held[place].append(pickle.loads(block))
+        for place, blocks in held.items():
+            mine = work.value[place]
+            week, degree, fold = mine[0].week, mine[0].degree, mine[0].fold
+            basis = shared.value[week, degree]
+            plain, y, part = (np.concatenate([block[name] for block in blocks]) for name in ("rows", "y", "fold"))
+            last = np.argsort(part == fold, kind="stable")  # those that judge come last
+            plain, y, learnt = plain[last], y[last], int((part != fold).sum())
+            rows = np.empty((len(y), len(basis) + 1))
+            for start in range(0, len(y), CHUNK):
+                rows[start:start + CHUNK, :-1] = (basis @ expanded(plain[start:start + CHUNK], degree)).T
+            rows[:, -1] = 1
+            rows *= y[:, None]
+            for machine in mine:
+                for end in _descended(machine, rows[:learnt]):
+                    # A margin of 0 counts as the lower class.
+                    margin = rows[learnt:] @ end.at
+                    right = int(np.where(y[learnt:] > 0, margin > 0, margin >= 0).sum())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([place], pa.int32()), pa.array([pickle.dumps((end.penalty, end.at, right))], pa.binary())],
+                        ["place", "end"])
+
+    dealt = mapped(packed.filter(F.col("model_week").isin(list(places))), deal, "place int, block binary")
+    found = {}
+    for row in mapped(dealt.repartitionById(len(order), "place"), fit, "place int, end binary").collect():
+        penalty, at, right = pickle.loads(row["end"])
+        found[(*order[row["place"]], penalty)] = at, right  # that of the last corner stays
+    work.destroy()
+    return found
+
+
 def _right(week: int, block: dict, asked: Mapping[int, list[tuple]]) -> np.ndarray:
     """Right predictions of a week's models for the fold each left out."""
     found = []
@@ -285,15 +378,28 @@ def fitted_grid(
                             machines.append(Machine(week, degree, choice["penalty"], k, left,
                                                     strength / (choice["penalty"] * left)))
         shared = training.sparkSession.sparkContext.broadcast(bases)
-        rows = _projected(packed, shared, degrees).persist()
+        widest = {week: max(m.size for m in machines if m.week == week) for week in sizes}
+        small = {week for week, n in rows_in.items() if n * widest[week] <= ALONE}
+        rows = _projected(packed.filter(~F.col("model_week").isin(list(small))), shared, degrees).persist()
+        right: dict[int, Sequence] = {}
         try:
-            descend(rows, machines)
+            ends = alone(packed, shared, [m for m in machines if m.week in small]) if small else {}
+            large = [m for m in machines if m.week not in small]
+            descend(rows, large)
+            machines = [m for m in machines if m.week in small] + large
             judges = [m for m in machines if m.fold >= 0]
             told = defaultdict(list)
             for m in judges:
-                told[m.week].append((m.degree, m.fold, m.at))
-            right = totals(rows.filter(F.col("model_week").isin(list(told))), "model_week",
-                           lambda week, block: _right(week, block, told)) if told else {}
+                if m.week not in small:
+                    told[m.week].append((m.degree, m.fold, m.at))
+            if told:
+                right |= totals(rows.filter(F.col("model_week").isin(list(told))), "model_week",
+                                lambda week, block: _right(week, block, told))
+            for m in machines:
+                if m.week in small:
+                    m.at, hits = ends[m.week, m.degree, m.fold, m.penalty]
+                    if m.fold >= 0:
+                        right.setdefault(m.week, []).append(hits)
         finally:
             rows.unpersist()
             shared.destroy()

@@ -100,6 +100,26 @@ def test_no_matrix_comes_to_the_driver(training, monkeypatch):
     assert sorted(got)[-3] < 6 * 8 * (monomials + 1) + 1000
 
 
+@pytest.mark.parametrize("cells", [hinge.CELLS, 2500])
+def test_tasks_that_hold_a_week_take_the_same_steps(training, monkeypatch, cells):
+    """A week's rows that fit a task take no pass per step, and give what passes give."""
+    passes, measure = [], hinge.finished
+    monkeypatch.setattr(hinge, "finished", lambda *a: passes.append(1) or measure(*a))
+    monkeypatch.setattr(hinge, "CELLS", cells)
+    choices = models.choices({"penalty": [1, 100], "degree": [1, 3]})
+    rest = training.filter("model_week = 1 OR f2 > 0.3")
+    alone = hinge.fitted_grid(rest, cohort.names(IDS), fold(), sizes(rest), choices)
+    assert len(passes) == 1  # the directions
+    # Both weeks in passes, then only the larger one.
+    for most in (0, 2300):
+        monkeypatch.setattr(hinge, "ALONE", most)
+        found = hinge.fitted_grid(rest, cohort.names(IDS), fold(), sizes(rest), choices)
+        for week, (choice, weights, constant) in found.items():
+            assert choice == alone[week][0]
+            assert np.allclose(weights, alone[week][1], atol=1e-3) and abs(constant - alone[week][2]) < 1e-3
+    assert len(passes) > 20
+
+
 def fitted(training, model, grid):
     return models.fit_weekly(training, IDS, model, grid)
 
